@@ -77,8 +77,9 @@ def weight_kg(weight: Column, unit: Column) -> Column:
 
 def zodiac(birthday: Column) -> Column:
     """Zodiac sign; NULL for no birthday and for 1970-01-01, which stands for an unset one."""
-    month, day = F.month(birthday), F.dayofmonth(birthday)
-    sign = F.when(birthday.isNull() | (birthday == F.lit(dt.date(1970, 1, 1))), F.lit(None).cast("string"))
-    for number, (last, earlier, later) in enumerate(ZODIAC, start=1):
-        sign = sign.when((month == number) & (day <= last), earlier).when(month == number, later)
-    return sign
+    month = F.month(birthday)
+    last_day, earlier, later = (
+        F.expr(f"array({', '.join(repr(row[i]) for row in ZODIAC)})")[month - 1] for i in range(3)
+    )
+    sign = F.when(F.dayofmonth(birthday) <= last_day, earlier).otherwise(later)
+    return F.when(birthday != F.lit(dt.date(1970, 1, 1)), sign)

@@ -16,13 +16,14 @@ from tagloom.functions import textrows
 BROADCAST_ROWS = 500_000
 
 
-def broadcast_if_small(dim: DataFrame, bound: DataFrame | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``dim`` with a broadcast hint if ``bound``, a table with at least as many rows, is small enough.
+def broadcast_if_small(dim: DataFrame, rows: int | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``dim`` with a broadcast hint if it is small enough.
 
-    Counting a stored table reads no columns; ``dim`` itself is counted when no ``bound`` is given.
+    ``rows`` is a bound on its rows that is already known, such as the count of
+    the stored table it comes from; without one ``dim`` itself is counted.
     """
-    rows = (dim if bound is None else bound).select(F.lit(1)).count()
-    return F.broadcast(dim) if rows <= max_rows else dim
+    bound = dim.count() if rows is None else rows
+    return F.broadcast(dim) if bound <= max_rows else dim
 
 
 def category_dim(category3: DataFrame, category2: DataFrame, category1: DataFrame) -> DataFrame:
@@ -79,7 +80,7 @@ def with_search_category(rows: DataFrame, searches: DataFrame, term: str = "sear
     return rows.join(searches.withColumnRenamed("term", term), term, "left")
 
 
-def adjusted_prices(orders: DataFrame, rules: DataFrame) -> DataFrame:
+def adjusted_prices(orders: DataFrame, rules: DataFrame, rule_rows: int | None = None) -> DataFrame:
     """Price times the latest rate of the product, 1.0 without one, as text with two decimals.
 
     ``orders.value`` holds ``id,name,price`` and ``rules.value`` holds ``id:rate``
@@ -92,7 +93,7 @@ def adjusted_prices(orders: DataFrame, rules: DataFrame) -> DataFrame:
     )
     items = orders.select(*textrows.priced_item(F.col("value")))
     rate = F.coalesce("rate", F.lit(1.0))
-    return items.join(broadcast_if_small(rates, bound=rules), "id", "left").select(
+    return items.join(broadcast_if_small(rates, rule_rows), "id", "left").select(
         "id",
         "name",
         F.format_string("%.2f", "price").alias("price"),

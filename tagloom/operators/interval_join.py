@@ -76,9 +76,9 @@ def orders_with_details(orders: DataFrame, details: DataFrame, bound_ms: int = O
 
 def merged_order(pairs: DataFrame) -> DataFrame:
     """All order fields and nine detail fields; the order's times win, the detail's id becomes ``detail_id``."""
-    return pairs.select(
-        F.col("d_order_id").alias("order_id"),
-        F.col("d_id").alias("detail_id"),
+    return pairs.selectExpr(
+        "d_order_id AS order_id",
+        "d_id AS detail_id",
         "uid",
         "consignee",
         "create_time",
@@ -87,12 +87,12 @@ def merged_order(pairs: DataFrame) -> DataFrame:
         "total_amount",
         "province_id",
         "pay_time_slot",
-        F.col("d_sku_id").alias("sku_id"),
-        F.col("d_sku_num").alias("sku_num"),
-        F.col("d_sku_name").alias("sku_name"),
-        F.col("d_order_price").alias("order_price"),
-        F.coalesce(F.col("d_split_total_amount").try_cast("double"), F.lit(0.0)).alias("split_total_amount"),
-        F.coalesce(F.col("d_split_activity_amount").try_cast("double"), F.lit(0.0)).alias("split_activity_amount"),
-        F.col("d_split_coupon_amount").alias("split_coupon_amount"),
-        F.col("d_ts_ms").alias("detail_ts_ms"),
+        "d_sku_id AS sku_id",
+        "d_sku_num AS sku_num",
+        "d_sku_name AS sku_name",
+        "d_order_price AS order_price",
+        "coalesce(try_cast(d_split_total_amount AS double), 0D) AS split_total_amount",
+        "coalesce(try_cast(d_split_activity_amount AS double), 0D) AS split_activity_amount",
+        "d_split_coupon_amount AS split_coupon_amount",
+        "d_ts_ms AS detail_ts_ms",
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tagloom import schemas
 from tagloom.functions import device
-from tagloom.operators.parsing import drop_tombstones, parsed
+from tagloom.operators.parsing import parsed
 
 # The key all guests share, and the page item type that holds a search term.
 GUEST = "-1"
@@ -21,7 +21,7 @@ PROFILE_FIELDS = ("os", "ch", "md", "ba", "search_item")
 
 def page_logs(messages: DataFrame) -> DataFrame:
     """Readable page logs; a log without the common part or the system name is of no use."""
-    return parsed(drop_tombstones(messages), schemas.PAGE_LOG).filter(
+    return parsed(messages, schemas.PAGE_LOG).filter(
         F.col("_corrupt").isNull() & F.col("common").isNotNull()
     )
 

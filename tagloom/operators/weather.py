@@ -24,23 +24,22 @@ def outcomes(responses: DataFrame) -> DataFrame:
     Not JSON, another status or an empty reading list is a failure. A missing
     reading list is an empty reading.
     """
-    return (
-        responses.withColumn("r", F.from_json("response", schemas.WEATHER_RESPONSE))
-        .withColumn("ok", F.coalesce(F.col("r.status") == GOOD_STATUS, F.lit(False)))
-        .withColumn("ok", F.col("ok") & (F.col("r.lives").isNull() | (F.size("r.lives") > 0)))
-    )
+    reading = F.col("lives").isNull() | (F.size("lives") > 0)
+    return responses.select(
+        "code", "province", "city", "area", F.inline(F.array(F.from_json("response", schemas.WEATHER_RESPONSE)))
+    ).withColumn("ok", F.coalesce(F.col("status") == GOOD_STATUS, F.lit(False)) & reading)
 
 
 def weather_rows(read: DataFrame) -> DataFrame:
     """Table rows of the good outcomes; the first reading is kept as JSON text."""
-    reading = F.coalesce(F.get("r.lives", F.lit(0)), F.lit("{}"))
+    reading = F.coalesce(F.get("lives", F.lit(0)), F.lit("{}"))
     empty = F.lit("")
     return read.filter("ok").select(
         F.coalesce(F.col("code").cast("int"), F.lit(0)).alias("code"),
         F.coalesce("province", empty).alias("province"),
         F.coalesce("city", "province", empty).alias("city"),
         F.coalesce("area", "city", "province", empty).alias("area"),
-        F.coalesce("r.info", empty).alias("info"),
+        F.coalesce("info", empty).alias("info"),
         reading.alias("lives"),
         F.nullif(F.get_json_object(reading, "$.reporttime"), empty).alias("report_time"),
     )

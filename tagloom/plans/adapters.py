@@ -5,12 +5,12 @@ Only arithmetic any SQL engine can repeat. Times are epoch milliseconds.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions import timeparts
 from tagloom.operators import dimensions, page_logs, parsing, weather
-from tagloom.sources.tables import read_table
+from tagloom.sources.tables import Tables
 
 # 2024-01-01 00:00:00 UTC; orders and users spread over the 30 days after it.
 START_MS = 1704067200000
@@ -61,27 +61,27 @@ COMPARISON = (
 SEARCH_TERMS = ("red widget", "hot rod", "扫地机器人", "old bolt", "new ring", "iPhone14")
 
 
-def _money(amount: Column) -> Column:
-    return amount.cast("decimal(16,2)").cast("string")
+_ORDER_TIME = f"{START_MS} + ({{}} * 7919 % {SPREAD_SECONDS}) * 1000"
+_USER_TIME = f"{START_MS} + (c_custkey % {SPREAD_MINUTES}) * 60000"
 
 
-def _pick(index: Column, values: tuple[str | None, ...]) -> Column:
-    return F.array(*[F.lit(value) for value in values])[index]
+def _money(column: str) -> str:
+    return f"CAST(CAST({column} AS decimal(16,2)) AS string)"
 
 
-def order_time(order_key: Column) -> Column:
-    return START_MS + (order_key * 7919 % SPREAD_SECONDS) * 1000
+def _quoted(values: tuple[str, ...]) -> str:
+    return ", ".join(f"'{value}'" for value in values)
 
 
 def _order_after(orders: DataFrame) -> DataFrame:
-    return orders.select(
-        F.col("o_orderkey").cast("string").alias("id"),
-        F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("o_orderpriority").alias("consignee"),
-        order_time(F.col("o_orderkey")).alias("create_time"),
-        _money(F.col("o_totalprice")).alias("original_total_amount"),
-        _money(F.col("o_totalprice")).alias("total_amount"),
-        (F.col("o_custkey") % 34 + 1).alias("province_id"),
+    return orders.selectExpr(
+        "CAST(o_orderkey AS string) AS id",
+        "CAST(o_custkey AS string) AS user_id",
+        "o_orderpriority AS consignee",
+        f"{_ORDER_TIME.format('o_orderkey')} AS create_time",
+        f"{_money('o_totalprice')} AS original_total_amount",
+        f"{_money('o_totalprice')} AS total_amount",
+        "o_custkey % 34 + 1 AS province_id",
         "o_orderstatus",
     )
 
@@ -101,25 +101,22 @@ def order_rows(orders: DataFrame) -> DataFrame:
     )
 
 
-def order_info(spark: SparkSession, folder: str) -> DataFrame:
-    return order_rows(read_table(spark, folder, "orders"))
+def order_info(t: Tables) -> DataFrame:
+    return order_rows(t["orders"])
 
 
 def _detail_after(lines: DataFrame) -> DataFrame:
-    return lines.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("id"),
-        F.col("l_orderkey").cast("string").alias("order_id"),
-        F.col("l_partkey").alias("sku_id"),
-        F.col("l_quantity").cast("long").alias("sku_num"),
-        F.concat(F.lit("sku "), F.col("l_partkey").cast("string")).alias("sku_name"),
-        _money(F.col("l_extendedprice")).alias("order_price"),
-        _money(F.col("l_extendedprice")).alias("split_total_amount"),
-        _money(F.col("l_discount")).alias("split_activity_amount"),
-        _money(F.col("l_tax")).alias("split_coupon_amount"),
-        (
-            order_time(F.col("l_orderkey"))
-            + ((F.col("l_linenumber") * 53 + F.col("l_partkey")) % 400 - 200) * 1000
-        ).alias("create_time"),
+    return lines.selectExpr(
+        "CAST(l_orderkey * 10 + l_linenumber AS string) AS id",
+        "CAST(l_orderkey AS string) AS order_id",
+        "l_partkey AS sku_id",
+        "CAST(l_quantity AS bigint) AS sku_num",
+        "concat('sku ', l_partkey) AS sku_name",
+        f"{_money('l_extendedprice')} AS order_price",
+        f"{_money('l_extendedprice')} AS split_total_amount",
+        f"{_money('l_discount')} AS split_activity_amount",
+        f"{_money('l_tax')} AS split_coupon_amount",
+        f"{_ORDER_TIME.format('l_orderkey')} + ((l_linenumber * 53 + l_partkey) % 400 - 200) * 1000 AS create_time",
         "l_shipdate",
     )
 
@@ -130,8 +127,8 @@ def detail_rows(lines: DataFrame) -> DataFrame:
     return after.select(F.col("create_time").alias("ts_ms"), *after.columns)
 
 
-def order_detail(spark: SparkSession, folder: str) -> DataFrame:
-    return detail_rows(read_table(spark, folder, "lineitem"))
+def order_detail(t: Tables) -> DataFrame:
+    return detail_rows(t["lineitem"])
 
 
 def arriving_detail_rows(lines: DataFrame) -> DataFrame:
@@ -139,31 +136,25 @@ def arriving_detail_rows(lines: DataFrame) -> DataFrame:
     return _detail_after(lines).withColumn("arrived_ms", timeparts.epoch_ms(F.col("l_shipdate"))).drop("l_shipdate")
 
 
-def arriving_details(spark: SparkSession, folder: str) -> DataFrame:
-    return arriving_detail_rows(read_table(spark, folder, "lineitem"))
+def arriving_details(t: Tables) -> DataFrame:
+    return arriving_detail_rows(t["lineitem"])
 
 
-def detail_ids(spark: SparkSession, folder: str) -> DataFrame:
-    lines = read_table(spark, folder, "lineitem")
-    return lines.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("detail_id"))
-
-
-def user_time(customer_key: Column) -> Column:
-    return START_MS + (customer_key % SPREAD_MINUTES) * 60000
+def detail_ids(t: Tables) -> DataFrame:
+    return t["lineitem"].selectExpr("CAST(l_orderkey * 10 + l_linenumber AS string) AS detail_id")
 
 
 def _user_after(customers: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    return customers.select(
-        key.alias("id"),
-        F.lower("c_name").alias("login_name"),
-        F.col("c_name").alias("name"),
-        F.concat(F.lit("139"), key.cast("string")).alias("phone_num"),
-        F.concat(key.cast("string"), F.lit("@example.com")).alias("email"),
-        # Epoch days from 1950-01-01 on; one market segment states no birthday.
-        F.when(F.col("c_mktsegment") != "MACHINERY", key * 37 % 22000 - 7305).alias("birthday"),
-        _pick((key % 3).cast("int"), ("M", "F", None)).alias("gender"),
-        user_time(key).alias("_ts_ms"),
+    """Birthdays are epoch days from 1950-01-01 on; one market segment states none."""
+    return customers.selectExpr(
+        "c_custkey AS id",
+        "lower(c_name) AS login_name",
+        "c_name AS name",
+        "concat('139', c_custkey) AS phone_num",
+        "concat(c_custkey, '@example.com') AS email",
+        "CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_custkey * 37 % 22000 - 7305 END AS birthday",
+        "CASE c_custkey % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' END AS gender",
+        f"{_USER_TIME} AS _ts_ms",
         "c_acctbal",
     )
 
@@ -182,30 +173,23 @@ def user_rows(customers: DataFrame) -> DataFrame:
     )
 
 
-def user_info(spark: SparkSession, folder: str) -> DataFrame:
-    return user_rows(read_table(spark, folder, "customer"))
+def user_info(t: Tables) -> DataFrame:
+    return user_rows(t["customer"])
 
 
 def _sup_after(customers: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    number = key.cast("string")
-    height = _pick((key % 5).cast("int"), (None, None, None, "abc", None))
-    return customers.select(
-        key.alias("uid"),
-        _pick((key % 4).cast("int"), ("F", None, "M", None)).alias("gender"),
-        F.when(key % 5 == 0, (150 + key % 50).cast("string"))
-        .when(key % 5 == 1, (58 + key % 20).cast("string"))
-        .when(key % 5 == 2, F.concat(F.lit("1."), (50 + key % 50).cast("string")))
-        .otherwise(height)
-        .alias("height"),
-        _pick((key % 5).cast("int"), ("cm", "in", "M", "cm", "cm")).alias("unit_height"),
-        F.when(key % 4 == 0, (45 + key % 60).cast("string"))
-        .when(key % 4 == 1, (100 + key % 120).cast("string"))
-        .when(key % 4 == 2, (45000 + key % 60000).cast("string"))
-        .otherwise(number)
-        .alias("weight"),
-        _pick((key % 4).cast("int"), ("kg", "LB", "g", None)).alias("unit_weight"),
-        (user_time(key) + (key * 7 % 90 - 45) * 60000).alias("_ts_ms"),
+    return customers.selectExpr(
+        "c_custkey AS uid",
+        "CASE c_custkey % 4 WHEN 0 THEN 'F' WHEN 2 THEN 'M' END AS gender",
+        """CASE c_custkey % 5 WHEN 0 THEN CAST(150 + c_custkey % 50 AS string)
+             WHEN 1 THEN CAST(58 + c_custkey % 20 AS string)
+             WHEN 2 THEN concat('1.', 50 + c_custkey % 50)
+             WHEN 3 THEN 'abc' END AS height""",
+        "CASE c_custkey % 5 WHEN 1 THEN 'in' WHEN 2 THEN 'M' ELSE 'cm' END AS unit_height",
+        """CAST(CASE c_custkey % 4 WHEN 0 THEN 45 + c_custkey % 60 WHEN 1 THEN 100 + c_custkey % 120
+                  WHEN 2 THEN 45000 + c_custkey % 60000 ELSE c_custkey END AS string) AS weight""",
+        "CASE c_custkey % 4 WHEN 0 THEN 'kg' WHEN 1 THEN 'LB' WHEN 2 THEN 'g' END AS unit_weight",
+        f"{_USER_TIME} + (c_custkey * 7 % 90 - 45) * 60000 AS _ts_ms",
         "c_acctbal",
     )
 
@@ -218,17 +202,17 @@ def sup_rows(customers: DataFrame) -> DataFrame:
     )
 
 
-def user_info_sup(spark: SparkSession, folder: str) -> DataFrame:
-    return sup_rows(read_table(spark, folder, "customer"))
+def user_info_sup(t: Tables) -> DataFrame:
+    return sup_rows(t["customer"])
 
 
-def _records(rows: DataFrame, table: str, fields: list[str], ts: str, is_delete: Column, is_broken: Column) -> DataFrame:
+def _records(
+    rows: DataFrame, table: str, fields: list[str], ts: str, deleted: str = "false", broken: str = "false"
+) -> DataFrame:
     """Change records as text: deletes carry no row, broken ones stop in the middle."""
-    after = F.when(~is_delete, F.struct(*[F.col(name) for name in fields]))
-    text = F.to_json(
-        F.struct(after.alias("after"), F.struct(F.lit(table).alias("table")).alias("source"), F.col(ts).alias("ts_ms"))
-    )
-    return rows.select(F.when(is_broken, F.substring(text, 1, 12)).otherwise(text).alias("value"))
+    after = f"CASE WHEN NOT ({deleted}) THEN struct({', '.join(fields)}) END"
+    text = f"to_json(struct({after} AS after, struct('{table}' AS table) AS source, {ts} AS ts_ms))"
+    return rows.selectExpr(f"CASE WHEN {broken} THEN substring({text}, 1, 12) ELSE {text} END AS value")
 
 
 _USER_FIELDS = ["id", "login_name", "name", "phone_num", "email", "birthday", "gender"]
@@ -258,38 +242,31 @@ _DETAIL_FIELDS = [
 
 def user_records(customers: DataFrame) -> DataFrame:
     """Accounts in debt arrive as deletes."""
-    return _records(
-        _user_after(customers), "user_info", _USER_FIELDS, "_ts_ms", F.col("c_acctbal") < 0, F.lit(False)
-    )
+    return _records(_user_after(customers), "user_info", _USER_FIELDS, "_ts_ms", deleted="c_acctbal < 0")
 
 
 def sup_records(customers: DataFrame) -> DataFrame:
     """Records of accounts in debt arrive broken."""
-    return _records(
-        _sup_after(customers), "user_info_sup", _SUP_FIELDS, "_ts_ms", F.lit(False), F.col("c_acctbal") < 0
-    )
+    return _records(_sup_after(customers), "user_info_sup", _SUP_FIELDS, "_ts_ms", broken="c_acctbal < 0")
 
 
 def order_records(orders: DataFrame) -> DataFrame:
     """Pending orders arrive as deletes."""
-    return _records(
-        _order_after(orders), "order_info", _ORDER_FIELDS, "create_time", F.col("o_orderstatus") == "P", F.lit(False)
-    )
+    return _records(_order_after(orders), "order_info", _ORDER_FIELDS, "create_time", deleted="o_orderstatus = 'P'")
 
 
 def detail_records(lines: DataFrame) -> DataFrame:
-    after = _detail_after(lines)
-    return _records(after, "order_detail", _DETAIL_FIELDS, "create_time", F.lit(False), F.lit(False))
+    return _records(_detail_after(lines), "order_detail", _DETAIL_FIELDS, "create_time")
 
 
-def change_log(spark: SparkSession, folder: str) -> DataFrame:
+def change_log(t: Tables) -> DataFrame:
     """All four tables as one log of change records."""
-    customers = read_table(spark, folder, "customer")
+    customers = t["customer"]
     return (
         user_records(customers)
         .unionByName(sup_records(customers))
-        .unionByName(order_records(read_table(spark, folder, "orders")))
-        .unionByName(detail_records(read_table(spark, folder, "lineitem")))
+        .unionByName(order_records(t["orders"]))
+        .unionByName(detail_records(t["lineitem"]))
     )
 
 
@@ -298,55 +275,37 @@ def log_messages(events: DataFrame) -> DataFrame:
 
     A value of 150 or more loses its message (null), a click below 1 arrives broken.
     """
-    user, event = F.col("user_id"), F.col("event_id")
-    system = (
-        F.when(user % 4 == 0, "iOS 15.4")
-        .when(user % 4 == 1, "Android 13")
-        .when(user % 4 == 2, F.when(event % 2 == 0, "iOS 16").otherwise("Android 12"))
-        .otherwise("Windows 11")
-    )
-    term_index = F.when((user % 5 == 0) & (event % 2 == 1), (user + 1) % 6).otherwise(user % 6)
-    common = F.struct(
-        F.when(F.col("event_type") == "error", "")
-        .when(F.col("event_type") != "signup", user.cast("string"))
-        .alias("uid"),
-        F.concat(F.lit("mid_"), user.cast("string")).alias("mid"),
-        F.concat(F.lit("sid_"), event.cast("string")).alias("sid"),
-        F.when(F.col("event_type") == "signup", "1").otherwise("0").alias("is_new"),
-        system.alias("os"),
-        _pick((event % 4).cast("int"), ("xiaomi", "oppo", "Appstore", "web")).alias("ch"),
-        F.concat(F.lit("md_"), (event % 7).cast("string")).alias("md"),
-        F.concat(F.lit("ba_"), (event % 5).cast("string")).alias("ba"),
-        F.concat(F.lit("v2.1."), (user % 3).cast("string")).alias("vc"),
-    )
-    page = F.when(
-        F.col("event_type") == "view",
-        F.struct(
-            F.lit("keyword").alias("item_type"),
-            _pick(term_index.cast("int"), SEARCH_TERMS).alias("item"),
-        ),
-    ).when(
-        F.col("event_type").isin("click", "purchase"),
-        F.struct(F.lit("sku_id").alias("item_type"), event.cast("string").alias("item")),
-    )
-    text = F.to_json(
-        F.struct(common.alias("common"), page.alias("page"), timeparts.epoch_ms(F.col("ts")).alias("ts"))
-    )
-    return events.select(
-        F.when(F.col("value") >= 150, F.lit(None).cast("string"))
-        .when((F.col("event_type") == "click") & (F.col("value") < 1), F.substring(text, 1, 20))
-        .otherwise(text)
-        .alias("value")
+    common = """struct(
+        CASE event_type WHEN 'error' THEN '' WHEN 'signup' THEN NULL ELSE CAST(user_id AS string) END AS uid,
+        concat('mid_', user_id) AS mid,
+        concat('sid_', event_id) AS sid,
+        CASE WHEN event_type = 'signup' THEN '1' ELSE '0' END AS is_new,
+        CASE user_id % 4 WHEN 0 THEN 'iOS 15.4' WHEN 1 THEN 'Android 13'
+             WHEN 2 THEN if(event_id % 2 = 0, 'iOS 16', 'Android 12') ELSE 'Windows 11' END AS os,
+        array('xiaomi', 'oppo', 'Appstore', 'web')[int(event_id % 4)] AS ch,
+        concat('md_', event_id % 7) AS md,
+        concat('ba_', event_id % 5) AS ba,
+        concat('v2.1.', user_id % 3) AS vc)"""
+    term = f"""array({_quoted(SEARCH_TERMS)})[
+        int(if(user_id % 5 = 0 AND event_id % 2 = 1, user_id + 1, user_id) % 6)]"""
+    page = f"""CASE WHEN event_type = 'view' THEN struct('keyword' AS item_type, {term} AS item)
+        WHEN event_type IN ('click', 'purchase')
+        THEN struct('sku_id' AS item_type, CAST(event_id AS string) AS item) END"""
+    ms = "timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)"
+    text = f"to_json(struct({common} AS common, {page} AS page, {ms} AS ts))"
+    return events.selectExpr(
+        f"""CASE WHEN value >= 150 THEN NULL
+                 WHEN event_type = 'click' AND value < 1 THEN substring({text}, 1, 20) ELSE {text} END AS value"""
     )
 
 
-def page_log_messages(spark: SparkSession, folder: str) -> DataFrame:
-    return log_messages(read_table(spark, folder, "events"))
+def page_log_messages(t: Tables) -> DataFrame:
+    return log_messages(t["events"])
 
 
-def log_records(spark: SparkSession, folder: str) -> DataFrame:
+def log_records(t: Tables) -> DataFrame:
     """Device-and-search records of the page log."""
-    return page_logs.device_and_search(page_logs.page_logs(page_log_messages(spark, folder)))
+    return page_logs.device_and_search(page_logs.page_logs(page_log_messages(t)))
 
 
 def redelivered(messages: DataFrame) -> DataFrame:
@@ -354,88 +313,79 @@ def redelivered(messages: DataFrame) -> DataFrame:
     return messages.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
 
 
-def category3(spark: SparkSession, folder: str) -> DataFrame:
+def category3(t: Tables) -> DataFrame:
     """Third-level categories; names repeat."""
-    return read_table(spark, folder, "part").select(
+    return t["part"].select(
         F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_size").cast("long").alias("category2_id")
     )
 
 
-def category2(spark: SparkSession, folder: str) -> DataFrame:
+def category2(t: Tables) -> DataFrame:
     """One per part size; some point to no first-level category."""
-    sizes = read_table(spark, folder, "part").select(F.col("p_size").cast("long").alias("id")).distinct()
+    sizes = t["part"].select(F.col("p_size").cast("long").alias("id")).distinct()
     return sizes.select(
         "id", F.concat(F.lit("size "), F.col("id").cast("string")).alias("name"), (F.col("id") % 18).alias("category1_id")
     )
 
 
-def category1(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(TOP_CATEGORIES, start=1)), "id long, name string")
+def category1(t: Tables) -> DataFrame:
+    return t.spark.createDataFrame(list(enumerate(TOP_CATEGORIES, start=1)), "id long, name string")
 
 
-def categories(spark: SparkSession, folder: str) -> DataFrame:
-    third = category3(spark, folder)
-    return dimensions.category_dim(third, category2(spark, folder), category1(spark))
+def categories(t: Tables) -> DataFrame:
+    third = category3(t)
+    return dimensions.category_dim(third, category2(t), category1(t))
 
 
-def skus(spark: SparkSession, folder: str) -> DataFrame:
+def skus(t: Tables) -> DataFrame:
     """Four sale units make a product; some products have no known brand."""
-    parts = read_table(spark, folder, "part")
+    parts = t["part"]
     product = F.floor(F.col("p_partkey") / 4).cast("long")
     brand = F.substring("p_brand", 7, 10).cast("long") % 12
     sku = parts.select(F.col("p_partkey").alias("id"), product.alias("spu_id"))
     spu = parts.groupBy(product.alias("id")).agg(
         F.min("p_partkey").alias("category3_id"), F.min(brand).alias("tm_id")
     )
-    trademark = spark.createDataFrame(list(enumerate(BRANDS, start=1)), "id long, tm_name string")
+    trademark = t.spark.createDataFrame(list(enumerate(BRANDS, start=1)), "id long, tm_name string")
     return dimensions.sku_dim(sku, spu, trademark)
 
 
-def sized_skus(spark: SparkSession, folder: str) -> DataFrame:
-    return dimensions.broadcast_if_small(skus(spark, folder), bound=read_table(spark, folder, "part"))
+def sized_skus(t: Tables) -> DataFrame:
+    return dimensions.broadcast_if_small(skus(t), rows=t.rows("part"))
 
 
-def sized_categories(spark: SparkSession, folder: str) -> DataFrame:
-    return dimensions.broadcast_if_small(categories(spark, folder), bound=read_table(spark, folder, "part"))
+def sized_categories(t: Tables) -> DataFrame:
+    return dimensions.broadcast_if_small(categories(t), rows=t.rows("part"))
 
 
-def comparison(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(COMPARISON), "id int, category_name string, search_category string")
+def comparison(t: Tables) -> DataFrame:
+    return t.spark.createDataFrame(list(COMPARISON), "id int, category_name string, search_category string")
 
 
-def searches(spark: SparkSession, folder: str) -> DataFrame:
-    dim = dimensions.search_dim(categories(spark, folder), comparison(spark))
-    return dimensions.broadcast_if_small(dim, bound=read_table(spark, folder, "part"))
+def searches(t: Tables) -> DataFrame:
+    dim = dimensions.search_dim(categories(t), comparison(t))
+    return dimensions.broadcast_if_small(dim, rows=t.rows("part"))
 
 
-def priced_items(spark: SparkSession, folder: str) -> DataFrame:
+def priced_items(t: Tables) -> DataFrame:
     """Order lines as ``id,name,price`` text."""
-    lines = read_table(spark, folder, "lineitem")
-    part = F.col("l_partkey").cast("string")
-    return lines.select(
-        F.concat_ws(",", F.concat(F.lit("P"), part), F.concat(F.lit("sku "), part), _money(F.col("l_extendedprice"))).alias(
-            "value"
-        )
+    return t["lineitem"].selectExpr(
+        f"concat_ws(',', concat('P', l_partkey), concat('sku ', l_partkey), {_money('l_extendedprice')}) AS value"
     )
 
 
-def rate_rules(spark: SparkSession, folder: str) -> DataFrame:
+def rate_rules(t: Tables) -> DataFrame:
     """``id:rate`` rules: a first one for two part types, a later one for one of them."""
-    parts = read_table(spark, folder, "part")
-    product = F.concat(F.lit("P"), F.col("p_partkey").cast("string"))
-    first = parts.filter(F.col("p_type").isin("PROMO", "ECONOMY")).select(
-        F.lit(1).alias("seq"), F.concat(product, F.lit(":0.9")).alias("value")
-    )
-    second = parts.filter(F.col("p_type") == "PROMO").select(
-        F.lit(2).alias("seq"), F.concat(product, F.lit(":0.75")).alias("value")
+    rules = """CASE p_type WHEN 'PROMO' THEN array(':0.9', ':0.75') WHEN 'ECONOMY' THEN array(':0.9') END"""
+    return t["part"].selectExpr("p_partkey", f"posexplode({rules}) AS (seq, rate)").selectExpr(
+        "seq", "concat('P', p_partkey, rate) AS value"
     )
-    return first.unionByName(second)
 
 
-def city_codes(spark: SparkSession, folder: str) -> DataFrame:
+def city_codes(t: Tables) -> DataFrame:
     """Cities: the nation is the province, three of them named as the left-out ones."""
-    customers = read_table(spark, folder, "customer")
-    nations = dimensions.broadcast_if_small(read_table(spark, folder, "nation"))
+    customers = t["customer"]
+    nations = dimensions.broadcast_if_small(t["nation"], t.rows("nation"))
     province = (
         F.when(F.col("n_nationkey") == 0, weather.LEFT_OUT_PROVINCES[0])
         .when(F.col("n_nationkey") == 1, weather.LEFT_OUT_PROVINCES[1])
@@ -452,7 +402,7 @@ def city_codes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def weather_responses(spark: SparkSession, folder: str) -> DataFrame:
+def weather_responses(t: Tables) -> DataFrame:
     """Cities with the text of their response: bad status in debt, no reading or an empty list in two segments."""
     segment = F.col("c_mktsegment")
     head = F.concat(
@@ -470,4 +420,4 @@ def weather_responses(spark: SparkSession, folder: str) -> DataFrame:
         .when(segment == "FURNITURE", F.concat(head, F.lit("}")))
         .otherwise(F.concat(head, F.lit(',"lives":'), reading, F.lit("}")))
     )
-    return weather.cities(city_codes(spark, folder)).withColumn("response", response)
+    return weather.cities(city_codes(t)).withColumn("response", response)

@@ -28,8 +28,8 @@ def score_profiles(profiles: DataFrame, searches: DataFrame) -> DataFrame:
         *[joined(F.col(f"{name}_set")).alias(name) for name in PROFILE_FIELDS],
         device.judged_system(F.col("os_set")).alias("judge_os"),
     )
-    scored = with_scores(dimensions.with_search_category(judged, searches), DEVICE, "judge_os")
-    return with_scores(scored, SEARCH, "search_category").select(
+    found = dimensions.with_search_category(judged, searches)
+    return with_scores(found, (DEVICE, "judge_os"), (SEARCH, "search_category")).select(
         *kept, *PROFILE_FIELDS, "judge_os", "b1_category", "search_category", *DEVICE.columns, *SEARCH.columns
     )
 

@@ -19,6 +19,7 @@ from tagloom.plans import user_tags as users
 from tagloom.session import new_folder
 from tagloom.sinks import files, tables
 from tagloom.sources.messages import stream_table
+from tagloom.sources.tables import Tables
 from tagloom.streaming import flows
 
 AS_OF = dt.date(2024, 12, 31)
@@ -30,96 +31,96 @@ RECORD = ["uid", "ts", *page_logs.PROFILE_FIELDS, "other_info"]
 DETAIL_ARRIVAL = ["arrived_ms", "create_time", "sku_id", "sku_num", "order_price", "split_activity_amount"]
 
 
-def pay_time_slot(spark: SparkSession, folder: str) -> DataFrame:
-    return adapters.order_info(spark, folder).select("id", "create_time", "pay_time_slot")
+def pay_time_slot(t: Tables) -> DataFrame:
+    return adapters.order_info(t).select("id", "create_time", "pay_time_slot")
 
 
-def score_time(spark: SparkSession, folder: str) -> DataFrame:
-    rows = adapters.order_info(spark, folder).select("id", "pay_time_slot")
-    return with_scores(rows, PAY_TIME, "pay_time_slot")
+def score_time(t: Tables) -> DataFrame:
+    rows = adapters.order_info(t).select("id", "pay_time_slot")
+    return with_scores(rows, (PAY_TIME, "pay_time_slot"))
 
 
-def score_amount(spark: SparkSession, folder: str) -> DataFrame:
-    rows = adapters.order_detail(spark, folder).select("id", "order_price")
-    return with_scores(rows, AMOUNT, "order_price")
+def score_amount(t: Tables) -> DataFrame:
+    rows = adapters.order_detail(t).select("id", "order_price")
+    return with_scores(rows, (AMOUNT, "order_price"))
 
 
-def score_brand(spark: SparkSession, folder: str) -> DataFrame:
-    return with_scores(order_enrich(spark, folder).select("detail_id", "tname"), BRAND, "tname")
+def score_brand(t: Tables) -> DataFrame:
+    return with_scores(order_enrich(t).select("detail_id", "tname"), (BRAND, "tname"))
 
 
-def score_category(spark: SparkSession, folder: str) -> DataFrame:
-    return with_scores(order_enrich(spark, folder).select("detail_id", "b1_name"), CATEGORY, "b1_name")
+def score_category(t: Tables) -> DataFrame:
+    return with_scores(order_enrich(t).select("detail_id", "b1_name"), (CATEGORY, "b1_name"))
 
 
-def score_device(spark: SparkSession, folder: str) -> DataFrame:
+def score_device(t: Tables) -> DataFrame:
     judged = (
-        adapters.log_records(spark, folder).groupBy("uid").agg(device.judged_system_agg(F.col("os")).alias("judge_os"))
+        adapters.log_records(t).groupBy("uid").agg(device.judged_system_agg(F.col("os")).alias("judge_os"))
     )
-    return with_scores(judged, DEVICE, "judge_os")
+    return with_scores(judged, (DEVICE, "judge_os"))
 
 
-def score_search(spark: SparkSession, folder: str) -> DataFrame:
+def score_search(t: Tables) -> DataFrame:
     """Users by the one term they searched for; users with none or several match no category."""
     term = F.when(F.min("search_item") == F.max("search_item"), F.min("search_item"))
-    rows = adapters.log_records(spark, folder).groupBy("uid").agg(term.alias("search_item"))
-    found = dimensions.with_search_category(rows, adapters.searches(spark, folder))
-    return with_scores(found, SEARCH, "search_category").select(
+    rows = adapters.log_records(t).groupBy("uid").agg(term.alias("search_item"))
+    found = dimensions.with_search_category(rows, adapters.searches(t))
+    return with_scores(found, (SEARCH, "search_category")).select(
         "uid", "search_item", "b1_category", "search_category", *SEARCH.columns
     )
 
 
-def age_group(spark: SparkSession, folder: str) -> DataFrame:
+def age_group(t: Tables) -> DataFrame:
     years = tags.age(F.col("birthday"), AS_OF)
-    return adapters.user_info(spark, folder).select("id", years.alias("age"), tags.age_group(years).alias("age_group"))
+    return adapters.user_info(t).select("id", years.alias("age"), tags.age_group(years).alias("age_group"))
 
 
-def zodiac(spark: SparkSession, folder: str) -> DataFrame:
-    return adapters.user_info(spark, folder).select("id", tags.zodiac(F.col("birthday")).alias("constellation"))
+def zodiac(t: Tables) -> DataFrame:
+    return adapters.user_info(t).select("id", tags.zodiac(F.col("birthday")).alias("constellation"))
 
 
-def gender_tag(spark: SparkSession, folder: str) -> DataFrame:
-    return _user_pairs(spark, folder).select("id", tags.gender(F.col("gender"), F.col("s_gender")).alias("gender"))
+def gender_tag(t: Tables) -> DataFrame:
+    return _user_pairs(t).select("id", tags.gender(F.col("gender"), F.col("s_gender")).alias("gender"))
 
 
-def body_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return adapters.user_info_sup(spark, folder).select(
+def body_metrics(t: Tables) -> DataFrame:
+    return adapters.user_info_sup(t).select(
         "uid",
         tags.height_cm(F.col("height"), F.col("unit_height")).alias("height_cm"),
         tags.weight_kg(F.col("weight"), F.col("unit_weight")).alias("weight_kg"),
     )
 
 
-def dim_category(spark: SparkSession, folder: str) -> DataFrame:
-    return adapters.categories(spark, folder)
+def dim_category(t: Tables) -> DataFrame:
+    return adapters.categories(t)
 
 
-def dim_sku(spark: SparkSession, folder: str) -> DataFrame:
-    return adapters.skus(spark, folder)
+def dim_sku(t: Tables) -> DataFrame:
+    return adapters.skus(t)
 
 
-def order_enrich(spark: SparkSession, folder: str) -> DataFrame:
-    details = adapters.order_detail(spark, folder).select(F.col("id").alias("detail_id"), "sku_id")
-    known = dimensions.with_sku(details, adapters.sized_skus(spark, folder))
-    return dimensions.with_top_category(known, adapters.sized_categories(spark, folder)).select(
+def order_enrich(t: Tables) -> DataFrame:
+    details = adapters.order_detail(t).select(F.col("id").alias("detail_id"), "sku_id")
+    known = dimensions.with_sku(details, adapters.sized_skus(t))
+    return dimensions.with_top_category(known, adapters.sized_categories(t)).select(
         "detail_id", "sku_id", "c3id", "tname", "b1_name"
     )
 
 
-def search_category(spark: SparkSession, folder: str) -> DataFrame:
-    rows = adapters.log_records(spark, folder).select("uid", "ts", "search_item")
-    return dimensions.with_search_category(rows, adapters.searches(spark, folder)).select(
+def search_category(t: Tables) -> DataFrame:
+    rows = adapters.log_records(t).select("uid", "ts", "search_item")
+    return dimensions.with_search_category(rows, adapters.searches(t)).select(
         "uid", "ts", "search_item", "b1_category", "search_category"
     )
 
 
-def broadcast_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return dimensions.adjusted_prices(adapters.priced_items(spark, folder), adapters.rate_rules(spark, folder))
+def broadcast_rules(t: Tables) -> DataFrame:
+    return dimensions.adjusted_prices(adapters.priced_items(t), adapters.rate_rules(t), 2 * t.rows("part"))
 
 
-def _user_pairs(spark: SparkSession, folder: str) -> DataFrame:
+def _user_pairs(t: Tables) -> DataFrame:
     return interval_join.users_with_supplements(
-        adapters.user_info(spark, folder), adapters.user_info_sup(spark, folder)
+        adapters.user_info(t), adapters.user_info_sup(t)
     )
 
 
@@ -127,96 +128,96 @@ def _pair_columns(pairs: DataFrame) -> DataFrame:
     return pairs.select("id", "name", "ts_ms", "s_uid", "s_ts_ms", "s_height", "s_weight")
 
 
-def user_interval_join(spark: SparkSession, folder: str) -> DataFrame:
-    return _pair_columns(_user_pairs(spark, folder))
+def user_interval_join(t: Tables) -> DataFrame:
+    return _pair_columns(_user_pairs(t))
 
 
-def order_interval_join(spark: SparkSession, folder: str) -> DataFrame:
+def order_interval_join(t: Tables) -> DataFrame:
     return interval_join.orders_with_details(
-        adapters.order_info(spark, folder), adapters.order_detail(spark, folder)
+        adapters.order_info(t), adapters.order_detail(t)
     )
 
 
-def log_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    messages = adapters.redelivered(adapters.page_log_messages(spark, folder))
+def log_dedup(t: Tables) -> DataFrame:
+    messages = adapters.redelivered(adapters.page_log_messages(t))
     return repeats.without_repeats(page_logs.device_and_search(page_logs.page_logs(messages)))
 
 
-def detail_monotone(spark: SparkSession, folder: str) -> DataFrame:
-    details = adapters.arriving_details(spark, folder)
+def detail_monotone(t: Tables) -> DataFrame:
+    details = adapters.arriving_details(t)
     return repeats.rising_only(details, "id", "create_time", DETAIL_ARRIVAL, probe=details.select("id")).select(
         "id", "arrived_ms", "create_time"
     )
 
 
-def _records(spark: SparkSession, folder: str) -> DataFrame:
-    return repeats.without_repeats(adapters.log_records(spark, folder))
+def _records(t: Tables) -> DataFrame:
+    return repeats.without_repeats(adapters.log_records(t))
 
 
-def _user_ids(spark: SparkSession, folder: str) -> DataFrame:
+def _user_ids(t: Tables) -> DataFrame:
     """User keys of the raw log: what hot users are looked for in."""
-    return adapters.log_records(spark, folder).select("uid")
+    return adapters.log_records(t).select("uid")
 
 
-def running_pv(spark: SparkSession, folder: str) -> DataFrame:
-    rows = profiles.running_views(_records(spark, folder), probe=_user_ids(spark, folder))
+def running_pv(t: Tables) -> DataFrame:
+    rows = profiles.running_views(_records(t), probe=_user_ids(t))
     return rows.select("uid", "ts", "os", "ch", "md", "ba", "pv")
 
 
-def running_sets(spark: SparkSession, folder: str) -> DataFrame:
-    rows = profiles.running_profile(_records(spark, folder), probe=_user_ids(spark, folder))
+def running_sets(t: Tables) -> DataFrame:
+    rows = profiles.running_profile(_records(t), probe=_user_ids(t))
     return behavior.profile_text(rows.select("uid", "ts", "pv", *[f"{name}_set" for name in page_logs.PROFILE_FIELDS]))
 
 
-def window_last(spark: SparkSession, folder: str) -> DataFrame:
-    rows = profiles.running_views(_records(spark, folder), probe=_user_ids(spark, folder))
+def window_last(t: Tables) -> DataFrame:
+    rows = profiles.running_views(_records(t), probe=_user_ids(t))
     kept = rows.select("uid", "ts", "os", "ch", "md", "ba", "pv")
     return profiles.last_in_window(kept, ["pv"])
 
 
-def window_profile(spark: SparkSession, folder: str) -> DataFrame:
-    return behavior.profile_text(profiles.windowed_profile(_records(spark, folder)))
+def window_profile(t: Tables) -> DataFrame:
+    return behavior.profile_text(profiles.windowed_profile(_records(t)))
 
 
-def cdc_envelope(spark: SparkSession, folder: str) -> DataFrame:
+def cdc_envelope(t: Tables) -> DataFrame:
     row_id = F.coalesce(F.get_json_object("after", "$.id"), F.get_json_object("after", "$.uid"))
-    return parsing.envelope(adapters.change_log(spark, folder)).select(
+    return parsing.envelope(adapters.change_log(t)).select(
         F.col("table").alias("source_table"), "ts_ms", "kind", row_id.alias("row_id")
     )
 
 
-def cdc_route(spark: SparkSession, folder: str) -> DataFrame:
-    return parsing.route(adapters.change_log(spark, folder), ROUTES).select(
+def cdc_route(t: Tables) -> DataFrame:
+    return parsing.route(adapters.change_log(t), ROUTES).select(
         "topic",
         F.col("table").alias("source_table"),
         F.get_json_object("value", "$.ts_ms").cast("long").alias("ts_ms"),
     )
 
 
-def cdc_quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    return parsing.quarantine(adapters.change_log(spark, folder))
+def cdc_quarantine(t: Tables) -> DataFrame:
+    return parsing.quarantine(adapters.change_log(t))
 
 
-def user_info_parse(spark: SparkSession, folder: str) -> DataFrame:
-    rows = parsing.user_info(adapters.change_log(spark, folder))
+def user_info_parse(t: Tables) -> DataFrame:
+    rows = parsing.user_info(adapters.change_log(t))
     return rows.withColumn("birthday", F.date_format("birthday", "yyyy-MM-dd"))
 
 
-def user_sup_parse(spark: SparkSession, folder: str) -> DataFrame:
-    return parsing.user_info_sup(adapters.change_log(spark, folder))
+def user_sup_parse(t: Tables) -> DataFrame:
+    return parsing.user_info_sup(adapters.change_log(t))
 
 
-def order_info_project(spark: SparkSession, folder: str) -> DataFrame:
-    return parsing.order_info(adapters.change_log(spark, folder))
+def order_info_project(t: Tables) -> DataFrame:
+    return parsing.order_info(adapters.change_log(t))
 
 
-def order_detail_project(spark: SparkSession, folder: str) -> DataFrame:
-    return parsing.order_detail(adapters.change_log(spark, folder))
+def order_detail_project(t: Tables) -> DataFrame:
+    return parsing.order_detail(adapters.change_log(t))
 
 
-def log_parse(spark: SparkSession, folder: str) -> DataFrame:
+def log_parse(t: Tables) -> DataFrame:
     common = F.col("common")
-    return page_logs.page_logs(adapters.page_log_messages(spark, folder)).select(
+    return page_logs.page_logs(adapters.page_log_messages(t)).select(
         common["sid"].alias("sid"),
         common["uid"].alias("uid"),
         common["os"].alias("os"),
@@ -226,148 +227,152 @@ def log_parse(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def log_identity(spark: SparkSession, folder: str) -> DataFrame:
-    return page_logs.identities(page_logs.page_logs(adapters.page_log_messages(spark, folder)))
+def log_identity(t: Tables) -> DataFrame:
+    return page_logs.identities(page_logs.page_logs(adapters.page_log_messages(t)))
 
 
-def device_extract(spark: SparkSession, folder: str) -> DataFrame:
-    return adapters.log_records(spark, folder)
+def device_extract(t: Tables) -> DataFrame:
+    return adapters.log_records(t)
 
 
-def tombstone_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return parsing.drop_tombstones(adapters.page_log_messages(spark, folder))
+def tombstone_filter(t: Tables) -> DataFrame:
+    return parsing.drop_tombstones(adapters.page_log_messages(t))
 
 
-def user_tags(spark: SparkSession, folder: str) -> DataFrame:
+def user_tags(t: Tables) -> DataFrame:
     """From change records to base tags."""
-    log = adapters.change_log(spark, folder)
+    log = adapters.change_log(t)
     return users.user_tags(parsing.user_info(log), parsing.user_info_sup(log), AS_OF)
 
 
-def tags_json(spark: SparkSession, folder: str) -> DataFrame:
-    tagged = users.user_tags(adapters.user_info(spark, folder), adapters.user_info_sup(spark, folder), AS_OF)
+def tags_json(t: Tables) -> DataFrame:
+    tagged = users.user_tags(adapters.user_info(t), adapters.user_info_sup(t), AS_OF)
     return parsing.as_messages(tagged)
 
 
-def behavior_scores(spark: SparkSession, folder: str) -> DataFrame:
+def behavior_scores(t: Tables) -> DataFrame:
     """From page-log messages, each delivered twice, to device and search scores per user and window."""
-    messages = adapters.redelivered(adapters.page_log_messages(spark, folder))
+    messages = adapters.redelivered(adapters.page_log_messages(t))
     records = page_logs.device_and_search(page_logs.page_logs(messages))
-    return behavior.behavior_scores(records, adapters.searches(spark, folder))
+    return behavior.behavior_scores(records, adapters.searches(t))
 
 
-def order_scores(spark: SparkSession, folder: str) -> DataFrame:
+def order_scores(t: Tables) -> DataFrame:
     """From change records to scored order details."""
-    log = adapters.change_log(spark, folder)
+    log = adapters.change_log(t)
     return orders.order_scores(
         parsing.order_info(log),
         parsing.order_detail(log),
-        adapters.sized_skus(spark, folder),
-        adapters.sized_categories(spark, folder),
-        probe=adapters.detail_ids(spark, folder),
+        adapters.sized_skus(t),
+        adapters.sized_categories(t),
+        probe=adapters.detail_ids(t),
     )
 
 
-def order_csv(spark: SparkSession, folder: str) -> DataFrame:
+def order_csv(t: Tables) -> DataFrame:
     """Scored order details through the CSV file and back."""
     scored = orders.order_scores(
-        adapters.order_info(spark, folder),
-        adapters.order_detail(spark, folder),
-        adapters.sized_skus(spark, folder),
-        adapters.sized_categories(spark, folder),
-        probe=adapters.detail_ids(spark, folder),
+        adapters.order_info(t),
+        adapters.order_detail(t),
+        adapters.sized_skus(t),
+        adapters.sized_categories(t),
+        probe=adapters.detail_ids(t),
     )
-    path = new_folder(spark, "order-csv")
+    path = new_folder(t.spark, "order-csv")
     files.write_order_csv(scored, path)
-    return files.read_order_csv(spark, path, scored.schema)
+    return files.read_order_csv(t.spark, path, scored.schema)
 
 
-def city_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return weather.cities(adapters.city_codes(spark, folder)).select("code", "province", "city", "area")
+def city_scan(t: Tables) -> DataFrame:
+    return weather.cities(adapters.city_codes(t)).select("code", "province", "city", "area")
 
 
-def weather_normalize(spark: SparkSession, folder: str) -> DataFrame:
-    return weather.weather_rows(weather.outcomes(adapters.weather_responses(spark, folder)))
+def weather_normalize(t: Tables) -> DataFrame:
+    return weather.weather_rows(weather.outcomes(adapters.weather_responses(t)))
 
 
-def weather_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return weather.batch_summary(weather.outcomes(adapters.weather_responses(spark, folder)))
+def weather_summary(t: Tables) -> DataFrame:
+    return weather.batch_summary(weather.outcomes(adapters.weather_responses(t)))
 
 
-def weather_total(spark: SparkSession, folder: str) -> DataFrame:
-    return weather.total_summary(weather_summary(spark, folder))
+def weather_total(t: Tables) -> DataFrame:
+    return weather.total_summary(weather_summary(t))
 
 
-def weather_write(spark: SparkSession, folder: str) -> DataFrame:
+def weather_write(t: Tables) -> DataFrame:
     """Weather rows through the table sink and back."""
-    rows = weather_normalize(spark, folder)
-    path = new_folder(spark, "weather")
+    rows = weather_normalize(t)
+    path = new_folder(t.spark, "weather")
     tables.append_rows(rows, "parquet", path=path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return t.spark.read.schema(rows.schema).parquet(path)
 
 
-def stream_user_join(spark: SparkSession, folder: str) -> DataFrame:
-    rows = adapters.user_rows(stream_table(spark, folder, "customer"))
-    supplements = adapters.sup_rows(stream_table(spark, folder, "customer"))
+def stream_user_join(t: Tables) -> DataFrame:
+    rows = adapters.user_rows(stream_table(t.spark, t.folder, "customer"))
+    supplements = adapters.sup_rows(stream_table(t.spark, t.folder, "customer"))
     return flows.drained(_pair_columns(flows.users_with_supplements(rows, supplements)), "user-join")
 
 
-def stream_user_tags(spark: SparkSession, folder: str) -> DataFrame:
-    rows = parsing.user_info(adapters.user_records(stream_table(spark, folder, "customer")))
-    supplements = parsing.user_info_sup(adapters.sup_records(stream_table(spark, folder, "customer")))
+def stream_user_tags(t: Tables) -> DataFrame:
+    rows = parsing.user_info(adapters.user_records(stream_table(t.spark, t.folder, "customer")))
+    supplements = parsing.user_info_sup(adapters.sup_records(stream_table(t.spark, t.folder, "customer")))
     return flows.drained(flows.user_tags(rows, supplements, AS_OF), "user-tags")
 
 
-def stream_order_join(spark: SparkSession, folder: str) -> DataFrame:
-    rows = adapters.order_rows(stream_table(spark, folder, "orders"))
-    details = adapters.detail_rows(stream_table(spark, folder, "lineitem"))
+def stream_order_join(t: Tables) -> DataFrame:
+    rows = adapters.order_rows(stream_table(t.spark, t.folder, "orders"))
+    details = adapters.detail_rows(stream_table(t.spark, t.folder, "lineitem"))
     return flows.drained(flows.orders_with_details(rows, details), "order-join")
 
 
-def stream_order_scores(spark: SparkSession, folder: str) -> DataFrame:
-    rows = parsing.order_info(adapters.order_records(stream_table(spark, folder, "orders")))
-    details = parsing.order_detail(adapters.detail_records(stream_table(spark, folder, "lineitem")))
+def stream_order_scores(t: Tables) -> DataFrame:
+    rows = parsing.order_info(adapters.order_records(stream_table(t.spark, t.folder, "orders")))
+    details = parsing.order_detail(adapters.detail_records(stream_table(t.spark, t.folder, "lineitem")))
     scored = flows.order_scores(
-        rows, details, adapters.sized_skus(spark, folder), adapters.sized_categories(spark, folder)
+        rows, details, adapters.sized_skus(t), adapters.sized_categories(t)
     )
-    return flows.drained(scored, "order-scores")
+    return flows.drained(scored, "order-scores", close_windows=False)
 
 
-def _streamed_records(spark: SparkSession, folder: str, twice: bool = False) -> DataFrame:
-    messages = adapters.log_messages(stream_table(spark, folder, "events"))
+def _streamed_records(t: Tables, twice: bool = False) -> DataFrame:
+    messages = adapters.log_messages(stream_table(t.spark, t.folder, "events"))
     if twice:
         messages = adapters.redelivered(messages)
     return page_logs.device_and_search(page_logs.page_logs(messages))
 
 
-def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    records = _streamed_records(spark, folder, twice=True)
+def stream_dedup(t: Tables) -> DataFrame:
+    records = _streamed_records(t, twice=True)
     return flows.drained(flows.without_repeats(records).drop("event_time"), "dedup")
 
 
-def stream_window_last(spark: SparkSession, folder: str) -> DataFrame:
-    profile = flows.windowed_profile(_streamed_records(spark, folder, twice=True))
+def stream_window_last(t: Tables) -> DataFrame:
+    profile = flows.windowed_profile(_streamed_records(t, twice=True))
     return flows.drained(behavior.profile_text(profile), "window-last")
 
 
-def stream_behavior_scores(spark: SparkSession, folder: str) -> DataFrame:
-    scored = flows.behavior_scores(_streamed_records(spark, folder, twice=True), adapters.searches(spark, folder))
+def stream_behavior_scores(t: Tables) -> DataFrame:
+    scored = flows.behavior_scores(_streamed_records(t, twice=True), adapters.searches(t))
     return flows.drained(scored, "behavior-scores")
 
 
-def stream_running_profile(spark: SparkSession, folder: str) -> DataFrame:
-    rows = flows.running_profile(_streamed_records(spark, folder))
+def stream_running_profile(t: Tables) -> DataFrame:
+    rows = flows.running_profile(_streamed_records(t))
     return flows.drained(behavior.profile_text(rows), "running-profile")
 
 
-def stream_detail_monotone(spark: SparkSession, folder: str) -> DataFrame:
-    details = adapters.arriving_detail_rows(stream_table(spark, folder, "lineitem"))
+def stream_detail_monotone(t: Tables) -> DataFrame:
+    details = adapters.arriving_detail_rows(stream_table(t.spark, t.folder, "lineitem"))
     kept = flows.rising_only(details, "id", "create_time", DETAIL_ARRIVAL)
-    return flows.drained(kept.select("id", "arrived_ms", "create_time"), "detail-monotone")
+    return flows.drained(kept.select("id", "arrived_ms", "create_time"), "detail-monotone", close_windows=False)
+
+
+def _over_folder(query: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, folder: query(Tables(spark, folder))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query
+    query.__name__: _over_folder(query)
     for query in (
         pay_time_slot,
         score_time,

@@ -65,6 +65,8 @@ ENVELOPE_HEAD = StructType(
     ]
 )
 
+ROUTING = StructType([StructField("source", _struct(table=_STRING))])
+
 # Page logs carry more device fields than the ones profiled, and a repeat is a repeat of all of them,
 # so the common part is read as a map.
 PAGE_LOG = StructType(

@@ -5,8 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, folder: str, name: str, format: str = "parquet") -> DataFrame:
-    return spark.read.format(format).load(f"{folder.rstrip('/')}/{name}.{format}")
+class Tables:
+    """The stored tables of one folder; each is opened and counted at most once."""
+
+    def __init__(self, spark: SparkSession, folder: str, format: str = "parquet") -> None:
+        self.spark = spark
+        self.folder = folder.rstrip("/")
+        self._format = format
+        self._opened: dict[str, DataFrame] = {}
+        self._rows: dict[str, int] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.format(self._format).load(f"{self.folder}/{name}.{self._format}")
+        return self._opened[name]
+
+    def rows(self, name: str) -> int:
+        """Row count; reads no columns."""
+        if name not in self._rows:
+            self._rows[name] = self[name].count()
+        return self._rows[name]
 
 
 def jdbc_options(

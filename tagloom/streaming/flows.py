@@ -139,9 +139,23 @@ def start_files(rows: DataFrame, name: str, path: str, checkpoint: str, **trigge
     )
 
 
-def drained(rows: DataFrame, name: str) -> DataFrame:
-    """Runs a stream over all input available now and reads back what it wrote to the shared folder."""
+def drained(rows: DataFrame, name: str, close_windows: bool = True) -> DataFrame:
+    """Runs a stream over all input available now and reads back what it wrote to the shared folder.
+
+    ``close_windows`` lets batches without input follow, which write the
+    windows the last watermark closed. State with a processing-time limit asks
+    for such batches for ever, so turn it off there.
+    """
     spark = rows.sparkSession
     folder = new_folder(spark, name)
-    start_files(rows, folder.rsplit("/", 1)[1], f"{folder}/rows", f"{folder}/checkpoint", availableNow=True).awaitTermination()
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(close_windows).lower())
+    try:
+        query = start_files(
+            rows, folder.rsplit("/", 1)[1], f"{folder}/rows", f"{folder}/checkpoint", availableNow=True
+        )
+        query.awaitTermination()
+    finally:
+        spark.conf.set(setting, before)
     return spark.read.schema(rows.schema).parquet(f"{folder}/rows")
