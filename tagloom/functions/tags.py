@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tagloom.functions.textrows import fixed_point
+
 # First age above the group, and the group's name.
 AGE_GROUPS = ((18, "under 18"), (25, "18-24"), (30, "25-29"), (35, "30-34"), (40, "35-39"), (50, "40-49"))
 OLDEST_GROUP = "50+"
@@ -54,7 +56,7 @@ def gender(main: Column, supplement: Column) -> Column:
 
 def _one_decimal(value: Column, unit: Column) -> Column:
     """Text with one decimal, halves up; NULL when the number or the unit is missing."""
-    return F.when(value.isNotNull() & unit.isNotNull(), F.format_string("%.1f", value))
+    return F.when(value.isNotNull() & unit.isNotNull(), fixed_point(value, 1))
 
 
 def height_cm(height: Column, unit: Column) -> Column:

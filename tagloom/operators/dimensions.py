@@ -96,7 +96,7 @@ def adjusted_prices(orders: DataFrame, rules: DataFrame, rule_rows: int | None =
     return items.join(broadcast_if_small(rates, rule_rows), "id", "left").select(
         "id",
         "name",
-        F.format_string("%.2f", "price").alias("price"),
-        F.format_string("%.2f", rate).alias("rate"),
-        F.format_string("%.2f", F.col("price") * rate).alias("adjusted"),
+        textrows.fixed_point(F.col("price"), 2).alias("price"),
+        textrows.fixed_point(rate, 2).alias("rate"),
+        textrows.fixed_point(F.col("price") * rate, 2).alias("adjusted"),
     )

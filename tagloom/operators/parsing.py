@@ -71,23 +71,27 @@ def route(messages: DataFrame, routes: dict[str, str]) -> DataFrame:
 
 
 def _rows_of(messages: DataFrame, table: str, after: StructType) -> DataFrame:
-    """Rows of one table; deletes, other tables and unreadable records fall away."""
-    return parsed(messages, schemas.envelope(after)).filter(
-        F.col("source.table").eqNullSafe(table) & F.col("after").isNotNull() & F.col("_corrupt").isNull()
+    """Typed rows of one table with their capture time ``_ts_ms``.
+
+    Deletes, other tables and unreadable records fall away; a field that does not fit its type is NULL.
+    """
+    fields = [f"try_cast(after.{field.name} AS {field.dataType.simpleString()}) AS {field.name}" for field in after]
+    return (
+        parsed(messages, schemas.envelope(after))
+        .filter(F.col("source.table").eqNullSafe(table) & F.col("after").isNotNull() & F.col("_corrupt").isNull())
+        .selectExpr(*fields, "ts_ms AS _ts_ms")
     )
 
 
 def user_info(messages: DataFrame, birthday_unit: str = "days", zone: str = "UTC") -> DataFrame:
-    return (
-        _rows_of(messages, "user_info", schemas.USER_INFO)
-        .selectExpr("after.*", "ts_ms")
-        .withColumn("birthday", timeparts.birth_date(F.col("birthday"), birthday_unit, zone))
-        .withColumnRenamed("phone_num", "phone")
+    rows = _rows_of(messages, "user_info", schemas.USER_INFO)
+    return rows.withColumn("birthday", timeparts.birth_date(F.col("birthday"), birthday_unit, zone)).withColumnsRenamed(
+        {"phone_num": "phone", "_ts_ms": "ts_ms"}
     )
 
 
 def user_info_sup(messages: DataFrame) -> DataFrame:
-    return _rows_of(messages, "user_info_sup", schemas.USER_INFO_SUP).selectExpr("after.*", "ts_ms")
+    return _rows_of(messages, "user_info_sup", schemas.USER_INFO_SUP).withColumnRenamed("_ts_ms", "ts_ms")
 
 
 def order_info(messages: DataFrame, zone: str = "UTC") -> DataFrame:
@@ -95,14 +99,14 @@ def order_info(messages: DataFrame, zone: str = "UTC") -> DataFrame:
     return (
         _rows_of(messages, "order_info", schemas.ORDER_INFO)
         .selectExpr(
-            "coalesce(ts_ms, 0L) AS ts_ms",
-            "after.id",
-            "after.user_id AS uid",
-            "after.consignee",
-            "coalesce(after.create_time, 0L) AS create_time",
-            "after.original_total_amount",
-            "after.total_amount",
-            "coalesce(after.province_id, 0L) AS province_id",
+            "coalesce(_ts_ms, 0L) AS ts_ms",
+            "id",
+            "user_id AS uid",
+            "consignee",
+            "coalesce(create_time, 0L) AS create_time",
+            "original_total_amount",
+            "total_amount",
+            "coalesce(province_id, 0L) AS province_id",
         )
         .withColumn("pay_time_slot", timeparts.pay_time_slot(F.col("create_time"), zone))
     )
@@ -111,17 +115,17 @@ def order_info(messages: DataFrame, zone: str = "UTC") -> DataFrame:
 def order_detail(messages: DataFrame) -> DataFrame:
     """Order-detail rows; missing numbers count as 0."""
     return _rows_of(messages, "order_detail", schemas.ORDER_DETAIL).selectExpr(
-        "coalesce(ts_ms, 0L) AS ts_ms",
-        "after.id",
-        "after.order_id",
-        "coalesce(after.sku_id, 0L) AS sku_id",
-        "coalesce(after.sku_num, 0L) AS sku_num",
-        "after.sku_name",
-        "after.order_price",
-        "after.split_total_amount",
-        "after.split_activity_amount",
-        "after.split_coupon_amount",
-        "coalesce(after.create_time, 0L) AS create_time",
+        "coalesce(_ts_ms, 0L) AS ts_ms",
+        "id",
+        "order_id",
+        "coalesce(sku_id, 0L) AS sku_id",
+        "coalesce(sku_num, 0L) AS sku_num",
+        "sku_name",
+        "order_price",
+        "split_total_amount",
+        "split_activity_amount",
+        "split_coupon_amount",
+        "coalesce(create_time, 0L) AS create_time",
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import timeparts
 from tagloom.operators import dimensions, page_logs, parsing, weather
+from tagloom.sources.messages import spread
 from tagloom.sources.tables import Tables
 
 # 2024-01-01 00:00:00 UTC; orders and users spread over the 30 days after it.
@@ -265,8 +266,8 @@ def change_log(t: Tables) -> DataFrame:
     return (
         user_records(customers)
         .unionByName(sup_records(customers))
-        .unionByName(order_records(t["orders"]))
-        .unionByName(detail_records(t["lineitem"]))
+        .unionByName(order_records(spread(t["orders"])))
+        .unionByName(detail_records(spread(t["lineitem"])))
     )
 
 
@@ -300,7 +301,7 @@ def log_messages(events: DataFrame) -> DataFrame:
 
 
 def page_log_messages(t: Tables) -> DataFrame:
-    return log_messages(t["events"])
+    return log_messages(spread(t["events"]))
 
 
 def log_records(t: Tables) -> DataFrame:
@@ -308,6 +309,11 @@ def log_records(t: Tables) -> DataFrame:
     return page_logs.device_and_search(page_logs.page_logs(page_log_messages(t)))
 
 
+def log_user_ids(t: Tables) -> DataFrame:
+    """User keys of the page log, straight from the table."""
+    return t["events"].selectExpr("if(event_type = 'signup', '-1', CAST(user_id AS string)) AS uid")
+
+
 def redelivered(messages: DataFrame) -> DataFrame:
     """Every message twice, as at-least-once delivery may send them."""
     return messages.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")

@@ -154,23 +154,18 @@ def _records(t: Tables) -> DataFrame:
     return repeats.without_repeats(adapters.log_records(t))
 
 
-def _user_ids(t: Tables) -> DataFrame:
-    """User keys of the raw log: what hot users are looked for in."""
-    return adapters.log_records(t).select("uid")
-
-
 def running_pv(t: Tables) -> DataFrame:
-    rows = profiles.running_views(_records(t), probe=_user_ids(t))
+    rows = profiles.running_views(_records(t), probe=adapters.log_user_ids(t))
     return rows.select("uid", "ts", "os", "ch", "md", "ba", "pv")
 
 
 def running_sets(t: Tables) -> DataFrame:
-    rows = profiles.running_profile(_records(t), probe=_user_ids(t))
+    rows = profiles.running_profile(_records(t), probe=adapters.log_user_ids(t))
     return behavior.profile_text(rows.select("uid", "ts", "pv", *[f"{name}_set" for name in page_logs.PROFILE_FIELDS]))
 
 
 def window_last(t: Tables) -> DataFrame:
-    rows = profiles.running_views(_records(t), probe=_user_ids(t))
+    rows = profiles.running_views(_records(t), probe=adapters.log_user_ids(t))
     kept = rows.select("uid", "ts", "os", "ch", "md", "ba", "pv")
     return profiles.last_in_window(kept, ["pv"])
 

@@ -43,11 +43,21 @@ ORDER_DETAIL = _struct(
 )
 
 
+def as_text(row: StructType) -> StructType:
+    """The same fields, all as text."""
+    return StructType([StructField(field.name, _STRING) for field in row])
+
+
 def envelope(after: StructType) -> StructType:
-    """Change record of one table; ``_corrupt`` keeps the text of a record that is not JSON."""
+    """Change record of one table; ``_corrupt`` keeps the text of a record that is not JSON.
+
+    Row fields are read as text: one topic holds many tables, and a field that
+    is a number in one and text in another must not spoil (and slow down) the
+    parse. Whoever picks the rows of a table casts them.
+    """
     return StructType(
         [
-            StructField("after", after),
+            StructField("after", as_text(after)),
             StructField("source", _struct(table=_STRING)),
             StructField("ts_ms", _LONG),
             StructField("_corrupt", _STRING),

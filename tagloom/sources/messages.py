@@ -39,6 +39,16 @@ def read_messages(
     return reader.format(format).schema("value STRING").options(**options).load(source)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Batch rows in at least as many pieces as there are cores.
+
+    Reading JSON text is bound by the processor, so an input stored in a few
+    unsplittable pieces is dealt out first. Larger inputs are left alone.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def stream_table(spark: SparkSession, folder: str, name: str, max_files: int = 1000) -> DataFrame:
     """A stored parquet table as a bounded stream; ``name`` is a file or a folder of files in ``folder``."""
     path = f"{folder.rstrip('/')}/{name}.parquet"
