@@ -45,42 +45,36 @@ def last_in_window(rows: DataFrame, order: list[str], width_ms: int = WINDOW_MS,
     )
 
 
-def window_counts(records: DataFrame, width_ms: int = WINDOW_MS) -> DataFrame:
-    """Per user and window: views in it and the values first seen in it (arrays, NULL when there are none)."""
-    slotted = records.withColumn("_slot", slot_of(F.col("ts"), width_ms))
-    views = slotted.groupBy("uid", "_slot").agg(F.count(F.lit(1)).alias("views"))
-    seen = F.explode(
-        F.array(*[F.struct(F.lit(name).alias("field"), F.col(name).alias("value")) for name in PROFILE_FIELDS])
-    )
-    first_seen = (
-        slotted.select("uid", "_slot", seen.alias("s"))
-        .filter(F.col("s.value").isNotNull())
-        .groupBy("uid", F.col("s.field").alias("field"), F.col("s.value").alias("value"))
-        .agg(F.min("_slot").alias("_slot"))
-        .groupBy("uid", "_slot")
-        .agg(
-            *[
-                F.collect_list(F.when(F.col("field") == name, F.col("value"))).alias(f"new_{name}")
-                for name in PROFILE_FIELDS
-            ]
-        )
-    )
-    return views.join(first_seen, ["uid", "_slot"], "left")
-
-
 def windowed_profile(records: DataFrame, width_ms: int = WINDOW_MS) -> DataFrame:
     """The running profile as of the last record of each user and window.
 
     Equal to ``last_in_window`` of ``running_profile``, without ever running
-    over single records: views and first-seen values are aggregated per window
-    with map-side combining, and only the window rows of a user are scanned.
-    Their number is bounded by the time covered, not by traffic, so guests
-    need no special treatment.
+    over single records: views are counted per window and each value is kept
+    with the window it was first seen in, both with map-side combining, and
+    only those rows are scanned per user. Their number is bounded by the time
+    covered and the distinct values, not by traffic, so guests need no special
+    treatment.
     """
-    so_far = Window.partitionBy("uid").orderBy("_slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return window_counts(records, width_ms).select(
-        "uid",
-        (F.col("_slot") * width_ms).alias("window_start"),
-        F.sum("views").over(so_far).alias("pv"),
-        *[F.flatten(F.collect_list(f"new_{name}").over(so_far)).alias(f"{name}_set") for name in PROFILE_FIELDS],
+    slotted = records.withColumn("_slot", slot_of(F.col("ts"), width_ms))
+    views = slotted.groupBy("uid", "_slot").agg(F.count(F.lit(1)).alias("views"))
+    fields = ", ".join(f"struct('{name}' AS field, {name} AS value)" for name in PROFILE_FIELDS)
+    first_seen = (
+        slotted.selectExpr("uid", "_slot", f"inline(array({fields}))")
+        .filter(F.col("value").isNotNull())
+        .groupBy("uid", "field", "value")
+        .agg(F.min("_slot").alias("_slot"))
+    )
+    # A range frame takes in all rows of a window, so the views row sees the values first seen in it.
+    so_far = "OVER (PARTITION BY uid ORDER BY _slot RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return (
+        views.unionByName(first_seen, allowMissingColumns=True)
+        .selectExpr(
+            "uid",
+            f"_slot * {width_ms} AS window_start",
+            "views",
+            f"sum(views) {so_far} AS pv",
+            *[f"collect_list(CASE WHEN field = '{name}' THEN value END) {so_far} AS {name}_set" for name in PROFILE_FIELDS],
+        )
+        .filter(F.col("views").isNotNull())
+        .drop("views")
     )

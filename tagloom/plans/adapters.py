@@ -103,7 +103,7 @@ def order_rows(orders: DataFrame) -> DataFrame:
 
 
 def order_info(t: Tables) -> DataFrame:
-    return order_rows(t["orders"])
+    return order_rows(spread(t["orders"]))
 
 
 def _detail_after(lines: DataFrame) -> DataFrame:
@@ -129,7 +129,7 @@ def detail_rows(lines: DataFrame) -> DataFrame:
 
 
 def order_detail(t: Tables) -> DataFrame:
-    return detail_rows(t["lineitem"])
+    return detail_rows(spread(t["lineitem"]))
 
 
 def arriving_detail_rows(lines: DataFrame) -> DataFrame:
@@ -138,7 +138,7 @@ def arriving_detail_rows(lines: DataFrame) -> DataFrame:
 
 
 def arriving_details(t: Tables) -> DataFrame:
-    return arriving_detail_rows(t["lineitem"])
+    return arriving_detail_rows(spread(t["lineitem"]))
 
 
 def detail_ids(t: Tables) -> DataFrame:
@@ -375,7 +375,7 @@ def searches(t: Tables) -> DataFrame:
 
 def priced_items(t: Tables) -> DataFrame:
     """Order lines as ``id,name,price`` text."""
-    return t["lineitem"].selectExpr(
+    return spread(t["lineitem"]).selectExpr(
         f"concat_ws(',', concat('P', l_partkey), concat('sku ', l_partkey), {_money('l_extendedprice')}) AS value"
     )
 

@@ -47,3 +47,17 @@ def stream_messages(
 def write_routed(messages: DataFrame, path: str) -> None:
     """Routed messages as text files, one folder per topic; a single pass over the input."""
     messages.select("topic", "value").write.partitionBy("topic").text(path)
+
+
+def stream_routed(messages: DataFrame, name: str, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """The same for a stream; each file is final exactly once."""
+    return (
+        messages.select("topic", "value")
+        .writeStream.format("text")
+        .partitionBy("topic")
+        .queryName(name)
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "3 seconds"}))
+        .start()
+    )
