@@ -81,7 +81,7 @@ def zodiac(birthday: Column) -> Column:
     """Zodiac sign; NULL for no birthday and for 1970-01-01, which stands for an unset one."""
     month = F.month(birthday)
     last_day, earlier, later = (
-        F.expr(f"array({', '.join(repr(row[i]) for row in ZODIAC)})")[month - 1] for i in range(3)
+        F.get(F.expr(f"array({', '.join(repr(row[i]) for row in ZODIAC)})"), month - 1) for i in range(3)
     )
     sign = F.when(F.dayofmonth(birthday) <= last_day, earlier).otherwise(later)
     return F.when(birthday != F.lit(dt.date(1970, 1, 1)), sign)

@@ -40,7 +40,7 @@ def epoch_ms(ntz: Column) -> Column:
 def pay_time_slot(ms: Column, zone: str = "UTC") -> Column:
     """Name of the part of day an instant falls into; NULL for a NULL instant."""
     by_hour = [next(name for until, name in PAY_TIME_SLOTS if hour < until) for hour in range(24)]
-    return F.expr(f"array({', '.join(repr(name) for name in by_hour)})")[F.hour(wall_clock(ms, zone))]
+    return F.get(F.expr(f"array({', '.join(repr(name) for name in by_hour)})"), F.hour(wall_clock(ms, zone)))
 
 
 def birth_date(raw: Column, unit: str = "days", zone: str = "UTC") -> Column:

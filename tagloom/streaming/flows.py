@@ -29,7 +29,10 @@ RAW_DELAY = "3 seconds"
 
 
 def with_event_time(rows: DataFrame, ms: str, delay: str, name: str = "event_time") -> DataFrame:
-    """Watermarked event time from epoch milliseconds; a missing time counts as 0."""
+    """Watermarked event time from epoch milliseconds.
+
+    A missing time counts as 0, which is never ahead of the watermark: such a row is late.
+    """
     return rows.withColumn(name, F.timestamp_millis(F.coalesce(ms, F.lit(0).cast("long")))).withWatermark(name, delay)
 
 

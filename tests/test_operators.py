@@ -1,0 +1,186 @@
+"""Joins, scans, deduplication and profiles against brute force, hot keys included."""
+
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tagloom.operators import dimensions, interval_join, prefix_scan, profiles, repeats
+from tagloom.operators.page_logs import PROFILE_FIELDS
+
+MINUTE = 60 * 1000
+
+
+def tuples(df):
+    return sorted((tuple(row) for row in df.collect()), key=repr)
+
+
+def test_interval_ends_are_inclusive(spark):
+    users = spark.createDataFrame([(1, 100 * MINUTE)], "id long, ts_ms long")
+    offsets = [-30 * MINUTE - 1, -30 * MINUTE, -30 * MINUTE + 1, 0, 30 * MINUTE - 1, 30 * MINUTE, 30 * MINUTE + 1]
+    supplements = spark.createDataFrame([(1, 100 * MINUTE + o) for o in offsets] + [(2, 100 * MINUTE)], "uid long, ts_ms long")
+    got = interval_join.users_with_supplements(users, supplements).select("s_ts_ms")
+    assert [t - 100 * MINUTE for (t,) in tuples(got)] == offsets[1:-1]
+
+
+@pytest.mark.parametrize("slot_bounds", [1, 2, 16])
+def test_interval_join_equals_brute_force_with_a_hot_key(spark, slot_bounds):
+    rng = random.Random(slot_bounds)
+    key = lambda: 7 if rng.random() < 0.4 else rng.randrange(20)
+    left = [(key(), rng.randrange(-2000, 20000), i) for i in range(300)]
+    right = [(key(), rng.randrange(-2000, 20000), i) for i in range(400)]
+    joined = interval_join.interval_join(
+        spark.createDataFrame(left, "a long, at long, ai long"),
+        spark.createDataFrame(right, "b long, bt long, bi long"),
+        "a", "b", "at", "bt", 120, slot_bounds,
+    )
+    expected = sorted(((x[2], y[2]) for x in left for y in right if x[0] == y[0] and abs(x[1] - y[1]) <= 120), key=repr)
+    assert tuples(joined.select("ai", "bi")) == expected
+
+
+def test_order_merge_reads_every_amount_from_its_own_field(spark):
+    orders = spark.createDataFrame(
+        [("1", "u", "c", 5, 5, "10.00", "9.00", 3, "凌晨"), ("", "u", "c", 5, 5, "1", "1", 3, "凌晨")],
+        "id string, uid string, consignee string, create_time long, ts_ms long, original_total_amount string, "
+        "total_amount string, province_id long, pay_time_slot string",
+    )
+    details = spark.createDataFrame(
+        [(6, "11", "1", 4, 2, "sku", "5.00", "4.00", "0.50", None, 6), (6, "12", None, 4, 2, "sku", "5", "4", "0", "0", 6)],
+        "ts_ms long, id string, order_id string, sku_id long, sku_num long, sku_name string, order_price string, "
+        "split_total_amount string, split_activity_amount string, split_coupon_amount string, create_time long",
+    )
+    (row,) = interval_join.orders_with_details(orders, details).collect()
+    assert (row.detail_id, row.create_time, row.ts_ms, row.detail_ts_ms) == ("11", 5, 5, 6)
+    assert (row.split_total_amount, row.split_activity_amount, row.split_coupon_amount) == (4.0, 0.5, None)
+
+
+def log_rows(n, seed=1, hot=0.4):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        uid = "-1" if rng.random() < hot else f"u{rng.randrange(12)}"
+        rows.append((
+            uid, rng.randrange(0, 40 * MINUTE), rng.choice(["iOS", "Android", "Windows"]), rng.choice(["web", "app", None]),
+            f"md{rng.randrange(4)}", f"ba{rng.randrange(3)}", rng.choice([None, None, f"t{rng.randrange(6)}"]), None,
+        ))
+    return rows
+
+
+RECORDS = "uid string, ts long, os string, ch string, md string, ba string, search_item string, other_info string"
+
+
+def brute_profile(rows):
+    """Per record: page views and value sets so far."""
+    state = defaultdict(lambda: [0, *[set() for _ in PROFILE_FIELDS]])
+    out = []
+    for row in sorted(rows, key=lambda r: (r[0], r[1], *[(v is not None, v) for v in r[2:]])):
+        seen = state[row[0]]
+        seen[0] += 1
+        for values, value in zip(seen[1:], row[2:7]):
+            if value is not None:
+                values.add(value)
+        out.append((row[0], row[1], seen[0], *[",".join(sorted(values)) for values in seen[1:]]))
+    return out
+
+
+@pytest.mark.parametrize("hot_rows", [10, 100, 10_000])
+def test_running_profile_is_the_same_however_hot_keys_are_cut(spark, hot_rows):
+    rows = sorted(set(log_rows(900)), key=repr)
+    records = spark.createDataFrame(rows, RECORDS)
+    got = profiles.running_profile(records, hot_rows=hot_rows).select(
+        "uid", "ts", "pv", *[profiles.joined(F.col(f"{name}_set")) for name in PROFILE_FIELDS]
+    )
+    assert tuples(got) == sorted(brute_profile(rows), key=repr)
+    views = profiles.running_views(records, hot_rows=hot_rows).select("uid", "ts", "pv")
+    assert tuples(views) == sorted([r[:3] for r in brute_profile(rows)], key=repr)
+
+
+def test_hot_keys_raise_the_bar_when_there_are_too_many(spark, monkeypatch):
+    monkeypatch.setattr(prefix_scan, "MAX_HOT_KEYS", 3)
+    rows = spark.createDataFrame([(k,) for k, n in zip("abcdefg", (40, 30, 20, 5, 5, 5, 5)) for _ in range(n)], "k string")
+    found, total = prefix_scan.hot_keys(rows, "k", 4)
+    assert {key for (key,) in found} == {"a"} and total == 40
+
+
+def test_hot_rows_are_spread_over_many_tasks(spark):
+    rows = sorted(set(log_rows(2000, hot=0.9)), key=repr)
+    records = spark.createDataFrame(rows, RECORDS)
+    scanned = profiles.running_views(records, hot_rows=50)
+    hot = scanned.filter("uid = '-1'")
+    assert hot.count() == sum(1 for row in rows if row[0] == "-1")
+    assert hot.agg(F.max("pv")).first()[0] == hot.count()
+
+
+def test_windowed_profile_is_the_last_of_the_running_profile(spark):
+    rows = sorted(set(log_rows(900, seed=5)), key=repr)
+    records = spark.createDataFrame(rows, RECORDS)
+    columns = [profiles.joined(F.col(f"{name}_set")).alias(name) for name in PROFILE_FIELDS]
+    last = profiles.last_in_window(profiles.running_profile(records), ["pv"])
+    expected = last.select("uid", "window_start", "pv", *columns)
+    got = profiles.windowed_profile(records).select("uid", "window_start", "pv", *columns)
+    assert tuples(got) == tuples(expected)
+    assert got.count() == len({(row[0], row[1] // (2 * MINUTE)) for row in rows})
+
+
+def test_dedup_is_idempotent_and_keeps_every_distinct_record(spark):
+    rows = log_rows(300)
+    records = spark.createDataFrame(rows + rows[:200], RECORDS)
+    once = repeats.without_repeats(records)
+    assert tuples(once) == sorted(set(rows), key=repr)
+    assert tuples(repeats.without_repeats(once)) == tuples(once)
+
+
+@pytest.mark.parametrize("hot_rows", [5, 10_000])
+def test_rising_only_equals_brute_force(spark, hot_rows):
+    rng = random.Random(3)
+    rows = [("hot" if rng.random() < 0.4 else f"k{rng.randrange(9)}", rng.choice([None, *range(30)]), i) for i in range(400)]
+    kept, last = [], {}
+    for key, value, arrived in rows:
+        known = 0 if value is None else value
+        if key not in last or known > last[key]:
+            last[key] = known
+            kept.append((key, known, arrived))
+    df = spark.createDataFrame(rows, "k string, v long, arrived long").repartition(7)
+    assert tuples(repeats.rising_only(df, "k", "v", ["arrived"], hot_rows=hot_rows)) == sorted(kept, key=repr)
+
+
+def test_lookups_and_their_ties(spark):
+    categories = spark.createDataFrame(
+        [(67, "移动电源", "配件", "手机"), (199, "移动电源", "影音", "数码"), (1, "衬衫", "男装", "服饰内衣")],
+        "id long, b3name string, b2name string, b1name string",
+    )
+    comparison = spark.createDataFrame(
+        [(2, "数码", "性价比"), (1, "数码", "科技与数码")], "id int, category_name string, search_category string"
+    )
+    searches = dimensions.search_dim(categories, comparison)
+    terms = spark.createDataFrame([("移动电源",), ("衬衫",), ("移动电源,衬衫",), ("",)], "search_item string")
+    assert tuples(dimensions.with_search_category(terms, searches)) == sorted(
+        [("移动电源", "数码", "科技与数码"), ("衬衫", "服饰内衣", None), ("移动电源,衬衫", None, None), ("", None, None)], key=repr
+    )
+
+
+def test_sku_lookup_misses_leave_nulls(spark):
+    sku = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "id long, spu_id long")
+    spu = spark.createDataFrame([(10, 61, 2), (20, 61, 99)], "id long, category3_id long, tm_id long")
+    trademark = spark.createDataFrame([(2, "苹果")], "id long, tm_name string")
+    skus = dimensions.broadcast_if_small(dimensions.sku_dim(sku, spu, trademark), rows=3)
+    rows = spark.createDataFrame([(1,), (2,), (3,), (4,)], "sku_id long")
+    assert tuples(dimensions.with_sku(rows, skus)) == [(1, 61, "苹果"), (2, None, None), (3, None, None), (4, None, None)]
+
+
+def test_large_dimensions_are_not_broadcast(spark):
+    dim = spark.range(100).withColumnRenamed("id", "k")
+    plan = lambda d: d._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan(dimensions.broadcast_if_small(dim, max_rows=100)).lower()
+    assert "broadcast" not in plan(dimensions.broadcast_if_small(dim, max_rows=99)).lower()
+
+
+def test_adjusted_prices_take_the_latest_rule(spark):
+    orders = spark.createDataFrame([("P123,iPhone 13,5999.00",), ("P456,小米电视,3299.00",), ("P9,x,1",)], "value string")
+    rules = spark.createDataFrame([(0, "P123:0.5"), (1, "P123:0.9"), (2, "P456:0.8")], "seq int, value string")
+    assert tuples(dimensions.adjusted_prices(orders, rules)) == [
+        ("P123", "iPhone 13", "5999.00", "0.90", "5399.10"),
+        ("P456", "小米电视", "3299.00", "0.80", "2639.20"),
+        ("P9", "x", "1.00", "1.00", "1.00"),
+    ]
