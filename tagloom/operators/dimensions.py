@@ -19,11 +19,13 @@ BROADCAST_ROWS = 500_000
 def broadcast_if_small(dim: DataFrame, rows: int | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``dim`` with a broadcast hint if it is small enough.
 
-    ``rows`` is a bound on its rows that is already known, such as the count of
-    the stored table it comes from; without one ``dim`` itself is counted.
+    ``rows`` is a bound that is already known, such as the count of the stored
+    table ``dim`` comes from; ``dim`` itself is counted if there is none or it
+    is too large to tell.
     """
-    bound = dim.count() if rows is None else rows
-    return F.broadcast(dim) if bound <= max_rows else dim
+    if rows is None or rows > max_rows:
+        rows = dim.count()
+    return F.broadcast(dim) if rows <= max_rows else dim
 
 
 def category_dim(category3: DataFrame, category2: DataFrame, category1: DataFrame) -> DataFrame:
@@ -62,6 +64,20 @@ def with_top_category(rows: DataFrame, categories: DataFrame) -> DataFrame:
     return rows.join(dim, "c3id", "left")
 
 
+def product_dim(skus: DataFrame, categories: DataFrame) -> DataFrame:
+    """Sale units with brand and first-level category.
+
+    The category of an order detail only ever comes from its unit, so the two
+    dimensions are joined to each other and the details look up once, not twice.
+    """
+    return with_top_category(skus, categories).select("skuid", "c3id", "tname", "b1_name")
+
+
+def with_product(rows: DataFrame, products: DataFrame) -> DataFrame:
+    """Adds category id, brand and first-level category by ``sku_id``; NULL for an unknown unit."""
+    return rows.join(products.withColumnRenamed("skuid", "sku_id"), "sku_id", "left")
+
+
 def search_dim(categories: DataFrame, comparison: DataFrame) -> DataFrame:
     """Search term -> first-level category and search category.
 

@@ -129,6 +129,15 @@ def order_detail(messages: DataFrame) -> DataFrame:
     )
 
 
+def tag_records(messages: DataFrame) -> DataFrame:
+    """Base-tag records back from their JSON text, with ``ts`` as a number."""
+    text = schemas.as_text(schemas.TAGS)
+    fields = [name for name in schemas.TAGS.names if name != "ts"]
+    return (
+        parsed(messages, text).filter(F.col("user_id").isNotNull()).selectExpr(*fields, "try_cast(ts AS bigint) AS ts")
+    )
+
+
 def with_key(rows: DataFrame, key: str) -> DataFrame:
     """Rows whose key is there and not empty."""
     return rows.filter(F.col(key).isNotNull() & (F.col(key) != ""))

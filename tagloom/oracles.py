@@ -321,6 +321,11 @@ SELECT id, name, ts_ms, s_uid, s_ts_ms, height AS s_height, weight AS s_weight F
 
 _USER_TAGS = f"WITH {_USERS}, {_PAIRS}, {_TAGS} SELECT {_TAG_COLUMNS} FROM t WHERE c_acctbal >= 0"
 
+_TAG_RECORDS = f"WITH {_USERS}, {_PAIRS}, {_TAGS} SELECT * EXCLUDE (ts, c_acctbal), CAST(ts AS BIGINT) AS ts FROM t"
+
+_LOG_IDENTITY = f"""WITH {_LOGS}
+SELECT 'mid_' || user_id AS mid, raw_uid AS uid, ms AS ts FROM m WHERE NOT broken"""
+
 _LOG_TEXT = """
 '{"common":{' || CASE WHEN raw_uid IS NULL THEN '' ELSE '"uid":"' || raw_uid || '",' END
   || '"mid":"mid_' || user_id || '","sid":"sid_' || event_id || '","is_new":"'
@@ -428,12 +433,12 @@ SELECT ts_ms, id, order_id, sku_id, sku_num, sku_name, order_price, split_total_
        split_coupon_amount, create_time FROM od""",
     "log_parse": f"""WITH {_LOGS}
 SELECT 'sid_' || event_id AS sid, raw_uid AS uid, raw_os AS os, item_type, item, ms AS ts FROM m WHERE NOT broken""",
-    "log_identity": f"""WITH {_LOGS}
-SELECT 'mid_' || user_id AS mid, raw_uid AS uid, ms AS ts FROM m WHERE NOT broken""",
+    "log_identity": _LOG_IDENTITY,
     "device_extract": f"WITH {_LOGS} SELECT * FROM rec",
     "tombstone_filter": f"""WITH {_LOGS}, x AS (SELECT broken, {_LOG_TEXT} AS txt FROM m)
 SELECT CASE WHEN broken THEN substr(txt, 1, 20) ELSE txt END AS value FROM x""",
     "tags_json": f"WITH {_USERS}, {_PAIRS}, {_TAGS} SELECT {_TAG_JSON} AS value FROM t",
+    "tag_records": _TAG_RECORDS,
     "user_tags": _USER_TAGS,
     "behavior_scores": _behavior_scores(),
     "order_scores": _order_scores("WHERE oi.o_orderstatus <> 'P'"),
@@ -447,6 +452,8 @@ SELECT CAST(sum(success_count) AS BIGINT) AS success_count, CAST(sum(fail_count)
     "weather_write": _WEATHER_ROWS,
     "stream_user_join": _USER_JOIN,
     "stream_user_tags": _USER_TAGS,
+    "stream_tag_records": _TAG_RECORDS,
+    "stream_log_identity": _LOG_IDENTITY,
     "stream_order_join": f"WITH {_ORDERS}, {_DETAILS} {_MERGED}",
     "stream_order_scores": _order_scores("WHERE oi.o_orderstatus <> 'P'"),
     "stream_dedup": f"WITH {_LOGS} SELECT * FROM d",

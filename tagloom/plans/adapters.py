@@ -356,12 +356,8 @@ def skus(t: Tables) -> DataFrame:
     return dimensions.sku_dim(sku, spu, trademark)
 
 
-def sized_skus(t: Tables) -> DataFrame:
-    return dimensions.broadcast_if_small(skus(t), rows=t.rows("part"))
-
-
-def sized_categories(t: Tables) -> DataFrame:
-    return dimensions.broadcast_if_small(categories(t), rows=t.rows("part"))
+def products(t: Tables) -> DataFrame:
+    return dimensions.broadcast_if_small(dimensions.product_dim(skus(t), categories(t)), rows=t.rows("part"))
 
 
 def comparison(t: Tables) -> DataFrame:

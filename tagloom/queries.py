@@ -101,8 +101,7 @@ def dim_sku(t: Tables) -> DataFrame:
 
 def order_enrich(t: Tables) -> DataFrame:
     details = adapters.order_detail(t).select(F.col("id").alias("detail_id"), "sku_id")
-    known = dimensions.with_sku(details, adapters.sized_skus(t))
-    return dimensions.with_top_category(known, adapters.sized_categories(t)).select(
+    return dimensions.with_product(details, adapters.products(t)).select(
         "detail_id", "sku_id", "c3id", "tname", "b1_name"
     )
 
@@ -245,6 +244,11 @@ def tags_json(t: Tables) -> DataFrame:
     return parsing.as_messages(tagged)
 
 
+def tag_records(t: Tables) -> DataFrame:
+    """Base tags through their messages and back."""
+    return parsing.tag_records(tags_json(t))
+
+
 def behavior_scores(t: Tables) -> DataFrame:
     """From page-log messages, each delivered twice, to device and search scores per user and window."""
     messages = adapters.redelivered(adapters.page_log_messages(t))
@@ -258,8 +262,7 @@ def order_scores(t: Tables) -> DataFrame:
     return orders.order_scores(
         parsing.order_info(log),
         parsing.order_detail(log),
-        adapters.sized_skus(t),
-        adapters.sized_categories(t),
+        adapters.products(t),
         probe=adapters.detail_ids(t),
     )
 
@@ -269,8 +272,7 @@ def order_csv(t: Tables) -> DataFrame:
     scored = orders.order_scores(
         adapters.order_info(t),
         adapters.order_detail(t),
-        adapters.sized_skus(t),
-        adapters.sized_categories(t),
+        adapters.products(t),
         probe=adapters.detail_ids(t),
     )
     path = new_folder(t.spark, "order-csv")
@@ -314,6 +316,21 @@ def stream_user_tags(t: Tables) -> DataFrame:
     return flows.drained(flows.user_tags(rows, supplements, AS_OF), "user-tags")
 
 
+def stream_tag_records(t: Tables) -> DataFrame:
+    customers = stream_table(t.spark, t.folder, "customer")
+    messages = parsing.as_messages(
+        users.tag_rows(
+            interval_join.users_with_supplements(adapters.user_rows(customers), adapters.user_info_sup(t)), AS_OF
+        )
+    )
+    return flows.drained(flows.tag_records(messages).drop("event_time"), "tag-records")
+
+
+def stream_log_identity(t: Tables) -> DataFrame:
+    messages = adapters.log_messages(stream_table(t.spark, t.folder, "events"))
+    return flows.drained(flows.identities(page_logs.page_logs(messages)).drop("event_time"), "log-identity")
+
+
 def stream_order_join(t: Tables) -> DataFrame:
     rows = adapters.order_rows(stream_table(t.spark, t.folder, "orders"))
     details = adapters.detail_rows(stream_table(t.spark, t.folder, "lineitem"))
@@ -323,9 +340,7 @@ def stream_order_join(t: Tables) -> DataFrame:
 def stream_order_scores(t: Tables) -> DataFrame:
     rows = parsing.order_info(adapters.order_records(stream_table(t.spark, t.folder, "orders")))
     details = parsing.order_detail(adapters.detail_records(stream_table(t.spark, t.folder, "lineitem")))
-    scored = flows.order_scores(
-        rows, details, adapters.sized_skus(t), adapters.sized_categories(t)
-    )
+    scored = flows.order_scores(rows, details, adapters.products(t))
     return flows.drained(scored, "order-scores", close_windows=False)
 
 
@@ -405,6 +420,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         device_extract,
         tombstone_filter,
         tags_json,
+        tag_records,
         user_tags,
         behavior_scores,
         order_scores,
@@ -416,6 +432,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         weather_write,
         stream_user_join,
         stream_user_tags,
+        stream_tag_records,
+        stream_log_identity,
         stream_order_join,
         stream_order_scores,
         stream_dedup,

@@ -75,6 +75,21 @@ ENVELOPE_HEAD = StructType(
     ]
 )
 
+TAGS = _struct(
+    user_id=_STRING,
+    login_name=_STRING,
+    name=_STRING,
+    phone=_STRING,
+    email=_STRING,
+    age=_STRING,
+    age_group=_STRING,
+    gender=_STRING,
+    height_cm=_STRING,
+    weight_kg=_STRING,
+    constellation=_STRING,
+    ts=_LONG,
+)
+
 ROUTING = StructType([StructField("source", _struct(table=_STRING))])
 
 # Page logs carry more device fields than the ones profiled, and a repeat is a repeat of all of them,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tagloom.operators import page_logs, parsing
 from tagloom.operators.interval_join import ORDER_BOUND_MS, USER_BOUND_MS, merged_order, prefixed
 from tagloom.operators.page_logs import PROFILE_FIELDS
 from tagloom.operators.parsing import with_key
@@ -110,13 +111,24 @@ def running_profile(records: DataFrame, delay: str = RAW_DELAY) -> DataFrame:
 def rising_only(
     rows: DataFrame, key: str, value: str, order: list[str], ttl_ms: int = processors.LAST_VALUE_TTL_MS
 ) -> DataFrame:
-    """Rows whose value exceeds the last one passed for the key within the time to live."""
+    """Rows whose value exceeds the last one passed for the key within the time to live; a NULL value counts as 0."""
     use_keyed_state(rows.sparkSession, processors)
-    return rows.groupBy(key).transformWithState(
-        processors.RisingOnly(value, order, ttl_ms), rows.schema, "Append", "ProcessingTime"
+    known = rows.withColumn(value, F.coalesce(value, F.lit(0).cast("long")))
+    return known.groupBy(key).transformWithState(
+        processors.RisingOnly(value, order, ttl_ms), known.schema, "Append", "ProcessingTime"
     )
 
 
+def tag_records(messages: DataFrame) -> DataFrame:
+    """Base-tag records read back from their topic, watermarked on their own time."""
+    return with_event_time(parsing.tag_records(messages), "ts", TYPED_DELAY)
+
+
+def identities(logs: DataFrame) -> DataFrame:
+    """Who was on which device when, watermarked."""
+    return with_event_time(page_logs.identities(logs), "ts", TYPED_DELAY)
+
+
 def user_tags(users: DataFrame, supplements: DataFrame, as_of: dt.date) -> DataFrame:
     return tag_rows(users_with_supplements(users, supplements), as_of)
 
@@ -125,9 +137,9 @@ def behavior_scores(records: DataFrame, searches: DataFrame) -> DataFrame:
     return score_profiles(windowed_profile(records), searches)
 
 
-def order_scores(orders: DataFrame, details: DataFrame, skus: DataFrame, categories: DataFrame) -> DataFrame:
+def order_scores(orders: DataFrame, details: DataFrame, products: DataFrame) -> DataFrame:
     kept = rising_only(orders_with_details(orders, details), "detail_id", "create_time", ARRIVAL)
-    return score_orders(kept, skus, categories)
+    return score_orders(kept, products)
 
 
 def start_files(rows: DataFrame, name: str, path: str, checkpoint: str, **trigger) -> StreamingQuery:
@@ -151,14 +163,20 @@ def drained(rows: DataFrame, name: str, close_windows: bool = True) -> DataFrame
     """
     spark = rows.sparkSession
     folder = new_folder(spark, name)
-    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(close_windows).lower())
+    wanted = {"spark.sql.streaming.noDataMicroBatches.enabled": str(close_windows).lower()}
+    if spark.sparkContext.master.startswith("local"):
+        # Each shuffle partition is a set of state stores; beyond the cores of one machine they only cost.
+        partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {setting: spark.conf.get(setting) for setting in wanted}
+    for setting, value in wanted.items():
+        spark.conf.set(setting, value)
     try:
         query = start_files(
             rows, folder.rsplit("/", 1)[1], f"{folder}/rows", f"{folder}/checkpoint", availableNow=True
         )
         query.awaitTermination()
     finally:
-        spark.conf.set(setting, before)
+        for setting, value in before.items():
+            spark.conf.set(setting, value)
     return spark.read.schema(rows.schema).parquet(f"{folder}/rows")
