@@ -33,6 +33,10 @@ def interval_join(
     slot, the right row's, so nothing is doubled. A (key, slot) that is still
     hot is an ordinary skewed inner join, which AQE splits.
 
+    Both sides are facts. The size Spark expects of rows parsed from text is a
+    fraction of their real one, so a sort-merge join is asked for rather than
+    leaving it a broadcast to choose.
+
     Give the smaller side as ``left``. The frames must not share column names.
     """
     width = slot_bounds * bound_ms
@@ -41,7 +45,7 @@ def interval_join(
     lefts = left.withColumn("_left_slot", F.explode(F.sequence(first, last)))
     rights = right.withColumn("_right_slot", slot_of(F.col(right_ms), width))
     return lefts.join(
-        rights,
+        rights.hint("merge"),
         (F.col(left_key) == F.col(right_key))
         & (F.col("_left_slot") == F.col("_right_slot"))
         & F.col(right_ms).between(F.col(left_ms) - bound_ms, F.col(left_ms) + bound_ms),

@@ -89,14 +89,16 @@ def prefix_scan(
     scans: list[Scan],
     probe: DataFrame | None = None,
     hot_rows: int = HOT_KEY_ROWS,
+    hot: tuple[list[tuple], int] | None = None,
 ) -> DataFrame:
     """``rows`` with one column per scan. ``order`` must be a total order within a key.
 
     ``probe`` is a cheaper frame with at least the rows of each key (such as
-    the source the rows were derived from) to look for hot keys in.
+    the source the rows were derived from) to look for hot keys in; ``hot`` is
+    the outcome if they were looked for already.
     """
     window = Window.partitionBy(key).orderBy(*order)
-    found, hot_total = hot_keys(rows if probe is None else probe, key, hot_rows)
+    found, hot_total = hot or hot_keys(rows if probe is None else probe, key, hot_rows)
     if not found:
         return rows.select("*", *[scan.within(window).alias(scan.name) for scan in scans])
 

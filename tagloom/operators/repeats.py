@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.operators.prefix_scan import HOT_KEY_ROWS, max_before, prefix_scan
+from tagloom.operators.prefix_scan import HOT_KEY_ROWS, hot_keys, max_before, prefix_scan
 
 
 def without_repeats(rows: DataFrame) -> DataFrame:
@@ -23,19 +23,23 @@ def rising_only(
 ) -> DataFrame:
     """Per key in arrival order, the rows whose value exceeds that of every row before them.
 
-    A row whose value was seen before never passes, so the first row per (key,
-    value) is all that is needed; taking it first trims hot groups of copies
-    on the map side (window group limit) before anything is shuffled by key.
     The first row of a key always passes, and a NULL value counts as 0.
+
+    A key can be hot because its rows are copies, which no cut along the order
+    would part. A row whose value was seen before never passes, so if there are
+    hot keys the rows are first cut down to the first one per (key, value), on
+    the map side (window group limit) before anything is shuffled.
     """
     known = rows.withColumn(value, F.coalesce(value, F.lit(0).cast("long")))
-    firsts = (
-        known.withColumn("_nth", F.row_number().over(Window.partitionBy(key, value).orderBy(*order)))
-        .filter(F.col("_nth") == 1)
-        .drop("_nth")
-    )
+    hot = hot_keys(rows if probe is None else probe, key, hot_rows)
+    if hot[0]:
+        known = (
+            known.withColumn("_nth", F.row_number().over(Window.partitionBy(key, value).orderBy(*order)))
+            .filter(F.col("_nth") == 1)
+            .drop("_nth")
+        )
     return (
-        prefix_scan(firsts, key, order, [max_before("_seen", value)], probe, hot_rows)
+        prefix_scan(known, key, order, [max_before("_seen", value)], hot_rows=hot_rows, hot=hot)
         .filter(F.col("_seen").isNull() | (F.col(value) > F.col("_seen")))
         .drop("_seen")
     )

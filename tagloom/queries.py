@@ -144,7 +144,8 @@ def log_dedup(t: Tables) -> DataFrame:
 
 def detail_monotone(t: Tables) -> DataFrame:
     details = adapters.arriving_details(t)
-    return repeats.rising_only(details, "id", "create_time", DETAIL_ARRIVAL, probe=details.select("id")).select(
+    ids = adapters.detail_ids(t).withColumnRenamed("detail_id", "id")
+    return repeats.rising_only(details, "id", "create_time", DETAIL_ARRIVAL, probe=ids).select(
         "id", "arrived_ms", "create_time"
     )
 

@@ -145,6 +145,14 @@ def test_rising_only_equals_brute_force(spark, hot_rows):
     assert tuples(repeats.rising_only(df, "k", "v", ["arrived"], hot_rows=hot_rows)) == sorted(kept, key=repr)
 
 
+def test_rising_only_with_a_hot_group_of_copies(spark):
+    rows = [("hot", 5, 1, "x")] * 300 + [("hot", 4, 2, "y")] * 50 + [("hot", 6, 3, "z")] + [(f"k{i}", i, 0, "x") for i in range(100)]
+    df = spark.createDataFrame(rows, "k string, v long, arrived long, pay string").repartition(5)
+    expected = [("hot", 5, 1, "x"), ("hot", 6, 3, "z"), *rows[351:]]
+    assert tuples(repeats.rising_only(df, "k", "v", ["arrived"], hot_rows=20)) == sorted(expected, key=repr)
+    assert tuples(repeats.rising_only(df, "k", "v", ["arrived"])) == sorted(expected, key=repr)
+
+
 def test_lookups_and_their_ties(spark):
     categories = spark.createDataFrame(
         [(67, "移动电源", "配件", "手机"), (199, "移动电源", "影音", "数码"), (1, "衬衫", "男装", "服饰内衣")],
