@@ -91,21 +91,27 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     return table / np.where(norms > 0, norms, 1)
 
 
+# Pooled per document: mean, spread, and mean distance from one word's vector to the next, which repetition brings to zero.
+FEATURES = 3 * DIMS
+
+
 def pooled(texts: list[str], vectors: np.ndarray, buckets: _Buckets) -> np.ndarray:
-    """Mean and spread of the word vectors of each whole text; zeros for a text without words."""
-    out = np.zeros((len(texts), 2 * DIMS), np.float32)
+    """Mean, spread and mean step of the word vectors of each whole text; zeros for a text without words."""
+    out = np.zeros((len(texts), FEATURES), np.float32)
     for row, text in enumerate(texts):
-        total, squares, n = np.zeros(DIMS), np.zeros(DIMS), 0
+        total, squares, steps, n, last = np.zeros(DIMS), np.zeros(DIMS), np.zeros(DIMS), 0, np.zeros((0, DIMS), np.float32)
         for words in _word_ids(text, buckets):
             for at in range(0, len(words), 1 << 16):
                 found = vectors[words[at : at + (1 << 16)]]
                 total += found.sum(axis=0)
                 squares += np.einsum("ij,ij->j", found, found)
-                n += len(found)
+                steps += np.abs(np.diff(np.concatenate([last, found]), axis=0)).sum(axis=0)
+                n, last = n + len(found), found[-1:]
         if n:
             mean = total / n
             out[row, :DIMS] = mean
-            out[row, DIMS:] = np.sqrt(np.maximum(squares / n - mean * mean, 0))
+            out[row, DIMS : 2 * DIMS] = np.sqrt(np.maximum(squares / n - mean * mean, 0))
+            out[row, 2 * DIMS :] = steps / max(1, n - 1)
     return out
 
 
@@ -208,7 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     made = T.StructType([T.StructField("features", T.ArrayType(T.FloatType()))])
     features = map_texts(rows, "_text", make, made).groupBy("key", "label").agg(F.min("features").alias("features"))
     found = sorted(features.collect())  # at most MAX_LABELLED rows
-    x = np.array([row.features for row in found], np.float64).reshape(len(found), 2 * DIMS)
+    x = np.array([row.features for row in found], np.float64).reshape(len(found), FEATURES)
     return QualityModel(vectors, fit_network(x, np.array([row.label for row in found], np.int64)))
 
 
