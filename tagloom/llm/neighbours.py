@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 from tagloom.llm.common import materialised
 
 # Vectors in a block, with its own sorted projections, and queries that go over it together.
-BLOCK_VECTORS = 8192
-BLOCK_QUERIES = 512
-PROJECTIONS = 64
+BLOCK_VECTORS = 16384
+BLOCK_QUERIES = 256
+PROJECTIONS = 40
 # Share of the projections that a vector must collide in to be verified.
-COLLISIONS = 0.58
+COLLISIONS = 0.6
 # Windows reach this many radii to either side of the query; radii grow by this factor from this start (of a diameter of 2).
 REACH = 1.0
 GROWTH = 1.2
-FIRST_RADIUS = 0.2
+FIRST_RADIUS = 0.6
 SEED = 97
 
 
@@ -39,15 +39,16 @@ class Block:
     """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, largest: float):
-        self.ids, self.vectors = ids, vectors
+        self.ids, self.vectors, self.largest = ids, vectors, largest
         scaled = vectors / largest
         rest = np.sqrt(np.maximum(0, 1 - np.einsum("ij,ij->i", scaled, scaled)))
-        self.points = np.column_stack([scaled, rest])
+        points = np.column_stack([scaled, rest])
         random = np.random.RandomState(SEED)
-        self.lines = random.standard_normal((PROJECTIONS, self.points.shape[1]))
-        projected = self.lines @ self.points.T
-        self.order = np.argsort(projected, axis=1, kind="stable").astype(np.int32)
-        self.sorted = np.take_along_axis(projected, self.order, axis=1)
+        self.lines = random.standard_normal((PROJECTIONS, points.shape[1]))
+        projected = self.lines @ points.T
+        order = np.argsort(projected, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(projected, order, axis=1)
+        self.flat = order.ravel()
 
     def nearest(self, ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, int, float]]:
         """(query, vector, inner product) of up to ``k`` nearest found for each query.
@@ -58,51 +59,56 @@ class Block:
         verified vectors lie within the radius, or all vectors are verified:
         beyond the sphere's diameter everything is.
         """
-        n, found = len(self.ids), []
-        need = math.ceil(COLLISIONS * PROJECTIONS)
-        norms = np.linalg.norm(queries, axis=1, keepdims=True)
-        centres = np.column_stack([queries / norms, np.zeros(len(queries))]) @ self.lines.T
+        norms = np.linalg.norm(queries, axis=1)
+        centres = (queries / norms[:, None]) @ self.lines[:, :-1].T
+        radii = FIRST_RADIUS * GROWTH ** np.arange(math.ceil(math.log(2 / FIRST_RADIUS, GROWTH)))
+        # Where the windows of all queries begin and end, for every radius: one search per projection.
+        reach = REACH * radii
+        low = np.empty((len(queries), len(radii), PROJECTIONS), np.int32)
+        high = np.empty_like(low)
+        for p in range(PROJECTIONS):
+            low[:, :, p] = np.searchsorted(self.sorted[p], centres[:, p, None] - reach)
+            high[:, :, p] = np.searchsorted(self.sorted[p], centres[:, p, None] + reach, "right")
+        starts = np.arange(PROJECTIONS) * len(self.ids)
+        low, high = low + starts, high + starts
+        found = []
         for at in range(len(queries)):
-            query, centre = queries[at], centres[at]
-            counts = np.zeros(n, np.int64)
-            verified = np.zeros(n, bool)
-            low = high = np.array([np.searchsorted(self.sorted[p], centre[p]) for p in range(PROJECTIONS)])
-            rows, scores, near = [], [], 0
-            wanted = min(k, n - int((self.ids == ids[at]).sum()))
-            radius = FIRST_RADIUS
-            own = self.ids == ids[at]
-            verified[own] = True
-            distances = np.zeros(0)
-            while wanted:
-                if radius >= 2:
-                    new = np.flatnonzero(~verified)
-                else:
-                    reach = REACH * radius
-                    lower = np.array([np.searchsorted(self.sorted[p], centre[p] - reach) for p in range(PROJECTIONS)])
-                    upper = np.array([np.searchsorted(self.sorted[p], centre[p] + reach, "right") for p in range(PROJECTIONS)])
-                    wings = [self.order[p, lower[p] : low[p]] for p in range(PROJECTIONS)]
-                    wings += [self.order[p, high[p] : upper[p]] for p in range(PROJECTIONS)]
-                    low, high = lower, upper
-                    counts += np.bincount(np.concatenate(wings), minlength=n)
-                    new = np.flatnonzero((counts >= need) & ~verified)
-                if len(new):
-                    verified[new] = True
-                    rows.append(new)
-                    # Summed along each row, so that equal vectors have equal scores.
-                    scores.append((self.vectors[new] * query).sum(axis=1))
-                    away = self.points[new, :-1] - query / norms[at]
-                    squares = np.einsum("ij,ij->i", away, away) + self.points[new, -1] ** 2
-                    distances = np.concatenate([distances, squares])
-                near = int((distances <= radius * radius).sum())
-                if near >= wanted or radius >= 2:
-                    break
-                radius *= GROWTH
-            if rows:
-                chosen, values = np.concatenate(rows), np.concatenate(scores)
-                best = np.lexsort((self.ids[chosen], -values))[:k]
-                found += [(int(ids[at]), int(self.ids[chosen[b]]), float(values[b])) for b in best]
+            rows, scores = self._search(int(ids[at]), queries[at], norms[at], low[at], high[at], radii, k)
+            best = np.lexsort((self.ids[rows], -scores))[:k]
+            found += [(int(ids[at]), int(self.ids[rows[b]]), float(scores[b])) for b in best]
         return found
 
+    def _search(
+        self, own: int, query: np.ndarray, norm: float, low: np.ndarray, high: np.ndarray, radii: np.ndarray, k: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Verified vectors of the block and their inner products; ``low`` and ``high`` are windows by radius."""
+        n, need = len(self.ids), math.ceil(COLLISIONS * PROJECTIONS)
+        counts = np.zeros(n, np.int64)
+        verified = self.ids == own
+        wanted = min(k, n - int(verified.sum()))
+        rows, scores, near = [np.zeros(0, np.int64)], [np.zeros(0)], np.zeros(0)
+        for step in range(len(radii) + 1 if wanted else 0):
+            if step == len(radii):
+                new = np.flatnonzero(~verified)
+            else:
+                if step == 0:
+                    wings = zip(low[0].tolist(), high[0].tolist())
+                else:
+                    left = zip(low[step].tolist(), low[step - 1].tolist())
+                    wings = [*left, *zip(high[step - 1].tolist(), high[step].tolist())]
+                counts += np.bincount(np.concatenate([self.flat[a:b] for a, b in wings]), minlength=n)
+                new = np.flatnonzero((counts >= need) & ~verified)
+            if len(new):
+                verified[new] = True
+                # Summed along each row, so that equal vectors have equal scores.
+                products = (self.vectors[new] * query).sum(axis=1)
+                rows.append(new)
+                scores.append(products)
+                near = np.concatenate([near, 2 - 2 * products / (norm * self.largest)])
+            if step < len(radii) and (near <= radii[step] * radii[step]).sum() >= wanted:
+                break
+        return np.concatenate(rows), np.concatenate(scores)
+
 
 def nearest(
     vectors: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id", vector: str = "embedding"
