@@ -49,6 +49,7 @@ class Block:
         order = np.argsort(projected, axis=1, kind="stable")
         self.sorted = np.take_along_axis(projected, order, axis=1)
         self.flat = order.ravel()
+        self.scanned = np.empty_like(self.flat)  # a step scans every place once at most
 
     def nearest(self, ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, int, float]]:
         """(query, vector, inner product) of up to ``k`` nearest found for each query.
@@ -74,6 +75,10 @@ class Block:
         found = []
         for at in range(len(queries)):
             rows, scores = self._search(int(ids[at]), queries[at], norms[at], low[at], high[at], radii, k)
+            if len(rows) > k:  # anything within rounding of the k-th best
+                rows = rows[scores >= np.partition(scores, -k)[-k] - 1e-9 * norms[at] * self.largest]
+            # Summed along each row, so that equal vectors have equal scores.
+            scores = (self.vectors[rows] * queries[at]).sum(axis=1)
             best = np.lexsort((self.ids[rows], -scores))[:k]
             found += [(int(ids[at]), int(self.ids[rows[b]]), float(scores[b])) for b in best]
         return found
@@ -81,7 +86,7 @@ class Block:
     def _search(
         self, own: int, query: np.ndarray, norm: float, low: np.ndarray, high: np.ndarray, radii: np.ndarray, k: int
     ) -> tuple[np.ndarray, np.ndarray]:
-        """Verified vectors of the block and their inner products; ``low`` and ``high`` are windows by radius."""
+        """Verified vectors of the block and their inner products to rounding; ``low`` and ``high`` are windows by radius."""
         n, need = len(self.ids), math.ceil(COLLISIONS * PROJECTIONS)
         counts = np.zeros(n, np.int64)
         verified = self.ids == own
@@ -96,12 +101,15 @@ class Block:
                 else:
                     left = zip(low[step].tolist(), low[step - 1].tolist())
                     wings = [*left, *zip(high[step - 1].tolist(), high[step].tolist())]
-                counts += np.bincount(np.concatenate([self.flat[a:b] for a, b in wings]), minlength=n)
+                size = 0
+                for a, b in wings:
+                    self.scanned[size : size + b - a] = self.flat[a:b]
+                    size += b - a
+                np.add.at(counts, self.scanned[:size], 1)
                 new = np.flatnonzero((counts >= need) & ~verified)
             if len(new):
                 verified[new] = True
-                # Summed along each row, so that equal vectors have equal scores.
-                products = (self.vectors[new] * query).sum(axis=1)
+                products = np.einsum("ij,j->i", self.vectors[new], query)
                 rows.append(new)
                 scores.append(products)
                 near = np.concatenate([near, 2 - 2 * products / (norm * self.largest)])
