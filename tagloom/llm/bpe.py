@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -13,10 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.common import map_texts, text_runs
+from tagloom.llm.common import forget, map_texts, text_runs
 
-# Pre-tokens whose ids a task remembers at most; beyond it starts anew.
-REMEMBERED = 300_000
+# Pre-tokens whose ids a Python worker remembers at most, about 100 MB; beyond it the older half goes.
+REMEMBERED = 600_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -125,7 +126,8 @@ class Codec:
         self.ranks = dict(zip(self.tokens, self.ids))
         self.bytes_of = dict(zip(self.ids, self.tokens))
         self.split = regex.compile(pattern).findall
-        self.known: dict[str, tuple[int, ...]] = {}
+        # Ids of pre-tokens seen before, as the bytes of an int32 array.
+        self.known: dict[str, bytes] = {}
 
     @staticmethod
     def shared(path: str, pattern: str) -> tuple[list[bytes], list[int], PerfectHash, str]:
@@ -136,32 +138,29 @@ class Codec:
             raise ValueError(f"the vocabulary lacks single bytes: {missing}")
         return tokens, list(ranks.values()), PerfectHash(tokens), pattern
 
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [piece for piece in dict.fromkeys(pieces) if piece not in self.known]
-        if not new:
-            return
+    def _learn(self, new: list[str]) -> None:
         raw = [piece.encode() for piece in new]
         for text, piece, at in zip(new, raw, self.perfect.candidates(raw).tolist()):
-            self.known[text] = (self.ids[at],) if self.tokens[at] == piece else tuple(merged(piece, self.ranks))
+            ids = [self.ids[at]] if self.tokens[at] == piece else merged(piece, self.ranks)
+            self.known[text] = array("i", ids).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
-        parts = [np.zeros(0, np.int32)]
+        parts = []
         for run in text_runs(text, 1 << 18):
             pieces = self.split(run)
-            try:
-                found = [self.known[piece] for piece in pieces]
-            except KeyError:
-                self._learn(pieces)
-                found = [self.known[piece] for piece in pieces]
-            parts.append(np.array([number for ids in found for number in ids], np.int32))
-        return np.concatenate(parts)
+            forget(self.known, REMEMBERED)
+            self._learn(list(set(pieces).difference(self.known)))
+            parts.append(b"".join([self.known[piece] for piece in pieces]))
+        return np.frombuffer(b"".join(parts), np.int32)
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join([self.bytes_of[number] for number in ids.tolist()])
 
 
+#: A Python worker's codecs by vocabulary and pattern: later tasks go on with what earlier ones have remembered.
+_CODECS: dict[tuple[str, str], Codec] = {}
+
+
 ENCODED = T.StructType([T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
 
 
@@ -177,7 +176,9 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
     shared = Codec.shared(vocabulary, pattern)
 
     def make() -> Callable[[list[str]], list[tuple]]:
-        codec = Codec(shared)
+        if (vocabulary, pattern) not in _CODECS:
+            _CODECS[vocabulary, pattern] = Codec(shared)
+        codec = _CODECS[vocabulary, pattern]
 
         def each(texts: list[str]) -> list[tuple]:
             found = [codec.encode(value) for value in texts]

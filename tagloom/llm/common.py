@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 import pyarrow.compute
@@ -120,6 +121,13 @@ def _slices(column: pa.Array, piece_bytes: int) -> Iterator[tuple[int, int]]:
         yield first, len(lengths)
 
 
+def forget(known: dict, most: int) -> None:
+    """Drops the older half of a memo that holds more than ``most`` entries."""
+    if len(known) > most:
+        for key in list(islice(known, len(known) // 2)):
+            del known[key]
+
+
 def ascii_lower(column: Column) -> Column:
     """A-Z lowered, everything else untouched."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.common import map_texts, text_runs
+from tagloom.llm.common import forget, map_texts, text_runs
 
-# Pre-tokens whose counts a task remembers at most; beyond it starts anew.
-REMEMBERED = 500_000
+# Pre-tokens whose counts a Python worker remembers at most, about 100 MB; beyond it the older half goes.
+REMEMBERED = 800_000
 # Bytes of pre-tokens that are merged together at most, or one longer pre-token.
 MERGED_BYTES = 1 << 20
 NO_RANK = np.iinfo(np.int32).max
@@ -75,26 +75,33 @@ class WordMerges:
         word_of = np.repeat(np.arange(len(words)), lengths)
         result = np.zeros(len(words), np.int64)
         names = np.arange(len(words))
+        # The rank of each symbol with the next one; none at the end of a word.
+        ranks = np.full(len(symbols), NO_RANK, np.int32)
+        inside = np.flatnonzero(word_of[:-1] == word_of[1:])
+        ranks[inside] = self.ranks_of(symbols[inside], symbols[inside + 1])
         while len(symbols):
-            ranks = np.full(len(symbols), NO_RANK, np.int32)
-            ranks[:-1] = self.ranks_of(symbols[:-1], symbols[1:])
-            ranks[:-1][word_of[:-1] != word_of[1:]] = NO_RANK
             starts = np.flatnonzero(np.r_[True, word_of[1:] != word_of[:-1]])
             lowest = np.minimum.reduceat(ranks, starts)
             sizes = np.diff(np.r_[starts, len(symbols)])
             done = lowest == NO_RANK
             result[names[done]] = sizes[done]
             here = np.flatnonzero((ranks == np.repeat(lowest, sizes)) & (ranks != NO_RANK))
-            run_start = np.r_[True, np.diff(here) != 1] if len(here) else np.zeros(0, bool)
-            firsts = np.flatnonzero(run_start)
+            firsts = np.flatnonzero(np.r_[True, np.diff(here) != 1][: len(here)])
             in_run = np.arange(len(here)) - np.repeat(firsts, np.diff(np.r_[firsts, len(here)]))
             here = here[in_run % 2 == 0]
             symbols[here] = self.made[ranks[here]]
+            ranks[here] = ranks[here + 1]  # the end of a word stays one
             stays = np.repeat(~done, sizes)
             stays[here + 1] = False
-            symbols = symbols[stays]
+            changed = (np.cumsum(stays) - 1)[here]
+            symbols, ranks = symbols[stays], ranks[stays]
             left = np.cumsum(~done) - 1
-            word_of, names = left[np.repeat(np.arange(len(sizes)), sizes)[stays]], names[~done]
+            word_of, names = left[word_of[stays]], names[~done]
+            # Only pairs beside a merged symbol have a new rank.
+            beside = np.unique(np.r_[changed - 1, changed])
+            beside = beside[(beside >= 0) & (beside < len(symbols) - 1)]
+            beside = beside[word_of[beside] == word_of[beside + 1]]
+            ranks[beside] = self.ranks_of(symbols[beside], symbols[beside + 1])
         return result
 
 
@@ -111,33 +118,43 @@ class Counter:
         # Lower case letter by letter: a final sigma is no special case.
         return self.split(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
-    def learn(self, words: list[str]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [word for word in dict.fromkeys(words) if word not in self.known]
+    def learn(self, new: list[str]) -> None:
         raw = [word.encode() for word in new]
-        if not new:
-            return
         bounds = np.fromiter(accumulate(map(len, raw)), np.int64, len(raw)) // MERGED_BYTES
         cuts = [0, *(np.flatnonzero(np.diff(bounds)) + 1).tolist(), len(raw)]
         for first, after in zip(cuts, cuts[1:]):
             self.known.update(zip(new[first:after], self.merges.counts(raw[first:after]).tolist()))
 
-    def count(self, text: str) -> int:
-        total = 0
-        for run in text_runs(text, 1 << 18):
-            parts = [run]
-            if self.special and "<" in run:
-                parts = self.special.split(run)
-                total += len(parts) - 1
-            words = [word for part in parts for word in self.words(part)]
-            try:
-                total += sum([self.known[word] for word in words])
-            except KeyError:
-                self.learn(words)
-                total += sum([self.known[word] for word in words])
-        return total
-
+    def count(self, texts: list[str]) -> list[int]:
+        """Tokens of each text; what is new in several short texts is merged together."""
+        totals = [0] * len(texts)
+        waiting: list[tuple[int, list[str]]] = []
+        held = 0
+        for at, text in enumerate(texts):
+            for run in text_runs(text, 1 << 18):
+                parts = [run]
+                if self.special and "<" in run:
+                    parts = self.special.split(run)
+                    totals[at] += len(parts) - 1
+                waiting.append((at, [word for part in parts for word in self.words(part)]))
+                held += len(run)
+                if held >= 1 << 18:
+                    self.settle(waiting, totals)
+                    waiting, held = [], 0
+        self.settle(waiting, totals)
+        return totals
+
+    def settle(self, waiting: list[tuple[int, list[str]]], totals: list[int]) -> None:
+        forget(self.known, REMEMBERED)
+        new = {word for _, words in waiting for word in words if word not in self.known}
+        if new:
+            self.learn(list(new))
+        for at, words in waiting:
+            totals[at] += sum([self.known[word] for word in words])
+
+
+#: A Python worker's counters by vocabulary: later tasks go on with what earlier ones have remembered.
+_COUNTERS: dict[str, Counter] = {}
 
 COUNTED = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
 
@@ -154,7 +171,9 @@ def token_counts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
     merges = WordMerges(vocabulary)
 
     def make() -> Callable[[list[str]], list[tuple]]:
-        counter = Counter(merges)
-        return lambda texts: [(len(value.encode()), counter.count(value)) for value in texts]
+        if vocabulary not in _COUNTERS:
+            _COUNTERS[vocabulary] = Counter(merges)
+        counter = _COUNTERS[vocabulary]
+        return lambda texts: list(zip([len(value.encode()) for value in texts], counter.count(texts)))
 
     return map_texts(docs.select(F.col(key), F.col(text).alias("_text")), "_text", make, COUNTED)
