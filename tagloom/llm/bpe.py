@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 
 from tagloom.llm.common import forget, map_texts, text_runs
 
-# Pre-tokens whose ids a Python worker remembers at most, about 100 MB; beyond it the older half goes.
-REMEMBERED = 600_000
+# Pre-tokens whose ids a task remembers at most, about 60 MB; beyond it the older half goes.
+REMEMBERED = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -157,10 +157,6 @@ class Codec:
         return b"".join([self.bytes_of[number] for number in ids.tolist()])
 
 
-#: A Python worker's codecs by vocabulary and pattern: later tasks go on with what earlier ones have remembered.
-_CODECS: dict[tuple[str, str], Codec] = {}
-
-
 ENCODED = T.StructType([T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
 
 
@@ -176,9 +172,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
     shared = Codec.shared(vocabulary, pattern)
 
     def make() -> Callable[[list[str]], list[tuple]]:
-        if (vocabulary, pattern) not in _CODECS:
-            _CODECS[vocabulary, pattern] = Codec(shared)
-        codec = _CODECS[vocabulary, pattern]
+        codec = Codec(shared)
 
         def each(texts: list[str]) -> list[tuple]:
             found = [codec.encode(value) for value in texts]

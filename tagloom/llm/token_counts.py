@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 
 from tagloom.llm.common import forget, map_texts, text_runs
 
-# Pre-tokens whose counts a Python worker remembers at most, about 100 MB; beyond it the older half goes.
-REMEMBERED = 800_000
+# Pre-tokens whose counts a task remembers at most, about 60 MB; beyond it the older half goes.
+REMEMBERED = 400_000
 # Bytes of pre-tokens that are merged together at most, or one longer pre-token.
 MERGED_BYTES = 1 << 20
 NO_RANK = np.iinfo(np.int32).max
@@ -153,9 +153,6 @@ class Counter:
             totals[at] += sum([self.known[word] for word in words])
 
 
-#: A Python worker's counters by vocabulary: later tasks go on with what earlier ones have remembered.
-_COUNTERS: dict[str, Counter] = {}
-
 COUNTED = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
 
 
@@ -171,9 +168,7 @@ def token_counts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
     merges = WordMerges(vocabulary)
 
     def make() -> Callable[[list[str]], list[tuple]]:
-        if vocabulary not in _COUNTERS:
-            _COUNTERS[vocabulary] = Counter(merges)
-        counter = _COUNTERS[vocabulary]
+        counter = Counter(merges)
         return lambda texts: list(zip([len(value.encode()) for value in texts], counter.count(texts)))
 
     return map_texts(docs.select(F.col(key), F.col(text).alias("_text")), "_text", make, COUNTED)
