@@ -193,7 +193,29 @@ def contained_items(
     )
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the documents that hold an item; rows with a NULL key are kept only if no such row holds one."""
-    bad = contained_items(docs, benchmark, key=key, **options).select(F.col(key).alias("_bad")).distinct()
-    return docs.join(bad, docs[key].eqNullSafe(F.col("_bad")), "left_anti")
+def without_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    shingle: int = 5,
+    threshold: float = 0.8,
+    text: str = "text",
+    item_key: str = "item_id",
+    item_text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` whose text holds no item to ``threshold`` or more; see ``contained_items``.
+
+    Rows are judged one by one, whatever their keys, and nothing is shuffled: each block of items filters what the
+    blocks before it have left.
+    """
+    made = T.StructType([T.StructField("_clean", T.BooleanType())])
+
+    def clean(rows: DataFrame, block: list[tuple[int, str]]) -> DataFrame:
+        index = ItemIndex(block, shingle, threshold)
+
+        def make() -> Callable[[list[str]], list[tuple]]:
+            hashes = _Hashes()
+            return lambda texts: [(not index.contained(value, hashes),) for value in texts]
+
+        return map_texts(rows, text, make, made, keep_text=True).filter("_clean").drop("_clean")
+
+    return reduce(clean, _blocks(benchmark, item_key, item_text), docs)
