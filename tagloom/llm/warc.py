@@ -18,7 +18,7 @@ from tagloom.llm.common import materialised
 from tagloom.session import new_folder
 
 CHUNK = 1 << 16
-# An archive is closed once it holds this many bytes of payload.
+# An archive is closed once its records have this many bytes.
 ARCHIVE_BYTES = 64 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ANY_GZIP = zlib.MAX_WBITS | 16
@@ -140,6 +140,7 @@ class _Writer:
     """Writes whole-file gzip archives of a task, a new one whenever one is full. Names are new for every attempt."""
 
     folder: str
+    archive_bytes: int
 
     def __post_init__(self):
         self.system, self.path = _open(self.folder)
@@ -155,7 +156,7 @@ class _Writer:
         self.size, self.n = self.size + len(record), self.n + 1
 
     def full(self) -> bool:
-        return self.file is not None and self.size >= ARCHIVE_BYTES
+        return self.file is not None and self.size >= self.archive_bytes
 
     def close(self) -> tuple[str, int]:
         self.file.write(self.engine.flush())
@@ -167,7 +168,13 @@ class _Writer:
 ARCHIVES = T.StructType([T.StructField("name", T.StringType()), T.StructField("records", T.LongType())])
 
 
-def write_raw(pages: DataFrame, folder: str, min_bytes: int = 100, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
+def write_raw(
+    pages: DataFrame,
+    folder: str,
+    min_bytes: int = 100,
+    date: str = "1970-01-01T00:00:00Z",
+    archive_bytes: int = ARCHIVE_BYTES,
+) -> DataFrame:
     """Writes a record for every page to archives compressed as one stream each; (name, records) of each archive.
 
     Pages with equal payloads (the UTF-8 bytes of ``html``) of at least
@@ -202,7 +209,7 @@ def write_raw(pages: DataFrame, folder: str, min_bytes: int = 100, date: str = "
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer, done = _Writer(folder), []
+        writer, done = _Writer(folder, archive_bytes), []
         for batch in batches:
             for at in range(batch.num_rows):
                 page_id, url, digest, n, refers_to, body = [batch.column(c)[at].as_py() for c in range(6)]
@@ -324,11 +331,13 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in zip(columns, kinds)], PAGES.names)
 
 
-def archived(spark: SparkSession, pages: DataFrame, folder: str | None = None, min_bytes: int = 100) -> DataFrame:
+def archived(
+    spark: SparkSession, pages: DataFrame, folder: str | None = None, min_bytes: int = 100, archive_bytes: int = ARCHIVE_BYTES
+) -> DataFrame:
     """Writes the pages to archives, normalises them, and gives what is read back from the normalised ones.
 
     Archives stay in ``folder`` (one in the shared folder if none is named): ``raw`` and, normalised, ``archives``.
     """
     folder = folder or new_folder(spark, "warc")
-    raw = write_raw(pages, f"{folder}/raw", min_bytes)
+    raw = write_raw(pages, f"{folder}/raw", min_bytes, archive_bytes=archive_bytes)
     return read_archives(normalise_archives(raw, f"{folder}/raw", f"{folder}/archives"), f"{folder}/archives")
