@@ -1,8 +1,9 @@
 """Dimension tables and the lookups into them.
 
-A dimension is broadcast only when a count of the table that bounds it says it
-is small; beyond that the lookup is an ordinary shuffled left join, whose hot
-keys AQE splits.
+How a dimension is joined is left to Spark, by bytes: write a derived one with
+``session.written`` before facts look things up in it. A small one is then
+broadcast without moving the facts; a large one is a shuffled left join whose
+skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -12,21 +13,6 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import textrows
 
-# Rows of short ids and names: about 100 MB at this many.
-BROADCAST_ROWS = 500_000
-
-
-def broadcast_if_small(dim: DataFrame, rows: int | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``dim`` with a broadcast hint if it is small enough.
-
-    ``rows`` is a bound that is already known, such as the count of the stored
-    table ``dim`` comes from; ``dim`` itself is counted if there is none or it
-    is too large to tell.
-    """
-    if rows is None or rows > max_rows:
-        rows = dim.count()
-    return F.broadcast(dim) if rows <= max_rows else dim
-
 
 def category_dim(category3: DataFrame, category2: DataFrame, category1: DataFrame) -> DataFrame:
     """Third-level categories with the names of all three levels."""
@@ -96,20 +82,23 @@ def with_search_category(rows: DataFrame, searches: DataFrame, term: str = "sear
     return rows.join(searches.withColumnRenamed("term", term), term, "left")
 
 
-def adjusted_prices(orders: DataFrame, rules: DataFrame, rule_rows: int | None = None) -> DataFrame:
-    """Price times the latest rate of the product, 1.0 without one, as text with two decimals.
-
-    ``orders.value`` holds ``id,name,price`` and ``rules.value`` holds ``id:rate``
-    with ``seq`` saying which rule is the latest.
-    """
-    rates = (
+def latest_rates(rules: DataFrame) -> DataFrame:
+    """(id, rate): ``rules.value`` holds ``id:rate`` with ``seq`` saying which rule is the latest."""
+    return (
         rules.select(*textrows.rate_rule(F.col("value")), "seq")
         .groupBy("id")
         .agg(F.max_by("rate", "seq").alias("rate"))
     )
+
+
+def adjusted_prices(orders: DataFrame, rates: DataFrame) -> DataFrame:
+    """Price times the rate of the product, 1.0 without one, as text with two decimals.
+
+    ``orders.value`` holds ``id,name,price``; ``rates`` is what ``latest_rates`` gives.
+    """
     items = orders.select(*textrows.priced_item(F.col("value")))
     rate = F.coalesce("rate", F.lit(1.0))
-    return items.join(broadcast_if_small(rates, rule_rows), "id", "left").select(
+    return items.join(rates, "id", "left").select(
         "id",
         "name",
         textrows.fixed_point(F.col("price"), 2).alias("price"),

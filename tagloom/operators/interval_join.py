@@ -78,25 +78,30 @@ def orders_with_details(orders: DataFrame, details: DataFrame, bound_ms: int = O
     )
 
 
+# Fixed order: all order fields and nine detail fields; the order's times win, the detail's id becomes ``detail_id``.
+_MERGED = {
+    "order_id": "d_order_id",
+    "detail_id": "d_id",
+    "uid": "uid",
+    "consignee": "consignee",
+    "create_time": "create_time",
+    "ts_ms": "ts_ms",
+    "original_total_amount": "original_total_amount",
+    "total_amount": "total_amount",
+    "province_id": "province_id",
+    "pay_time_slot": "pay_time_slot",
+    "sku_id": "d_sku_id",
+    "sku_num": "d_sku_num",
+    "sku_name": "d_sku_name",
+    "order_price": "d_order_price",
+    "split_total_amount": "coalesce(try_cast(d_split_total_amount AS double), 0D)",
+    "split_activity_amount": "coalesce(try_cast(d_split_activity_amount AS double), 0D)",
+    "split_coupon_amount": "d_split_coupon_amount",
+    "detail_ts_ms": "d_ts_ms",
+}
+MERGED_COLUMNS = list(_MERGED)
+
+
 def merged_order(pairs: DataFrame) -> DataFrame:
-    """All order fields and nine detail fields; the order's times win, the detail's id becomes ``detail_id``."""
-    return pairs.selectExpr(
-        "d_order_id AS order_id",
-        "d_id AS detail_id",
-        "uid",
-        "consignee",
-        "create_time",
-        "ts_ms",
-        "original_total_amount",
-        "total_amount",
-        "province_id",
-        "pay_time_slot",
-        "d_sku_id AS sku_id",
-        "d_sku_num AS sku_num",
-        "d_sku_name AS sku_name",
-        "d_order_price AS order_price",
-        "coalesce(try_cast(d_split_total_amount AS double), 0D) AS split_total_amount",
-        "coalesce(try_cast(d_split_activity_amount AS double), 0D) AS split_activity_amount",
-        "d_split_coupon_amount AS split_coupon_amount",
-        "d_ts_ms AS detail_ts_ms",
-    )
+    """Merged rows of pairs of an order and a detail."""
+    return pairs.selectExpr(*[f"{source} AS {name}" for name, source in _MERGED.items()])

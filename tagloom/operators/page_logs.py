@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tagloom import schemas
 from tagloom.functions import device
-from tagloom.operators.parsing import parsed
+from tagloom.operators.parsing import drop_tombstones, parsed
 
 # The key all guests share, and the page item type that holds a search term.
 GUEST = "-1"
@@ -20,9 +20,21 @@ PROFILE_FIELDS = ("os", "ch", "md", "ba", "search_item")
 
 
 def page_logs(messages: DataFrame) -> DataFrame:
-    """Readable page logs; a log without the common part or the system name is of no use."""
-    return parsed(messages, schemas.PAGE_LOG).filter(
-        F.col("_corrupt").isNull() & F.col("common").isNotNull()
+    """Readable page logs: JSON with the common part."""
+    return parsed(messages, schemas.PAGE_LOG).filter(F.col("_corrupt").isNull() & F.col("common").isNotNull())
+
+
+def quarantine(messages: DataFrame) -> DataFrame:
+    """Messages of no use to ``device_and_search``, with the reason; logs of an empty user are left out there, not here."""
+    reason = (
+        F.when(F.col("_corrupt").isNotNull(), "not json")
+        .when(F.col("common").isNull(), "no common part")
+        .when(F.col("common")["os"].isNull(), "no system name")
+    )
+    return (
+        parsed(drop_tombstones(messages), schemas.PAGE_LOG, "value")
+        .select("value", reason.alias("reason"))
+        .filter(F.col("reason").isNotNull())
     )
 
 

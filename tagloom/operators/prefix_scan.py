@@ -1,32 +1,24 @@
-"""Running values per key in a total order, safe against hot keys.
+"""Running values per key in a total order, in one plan for every key.
 
-A window function puts all rows of a key into one task. For most keys that is
-right: one exchange, one sort. A hot key (guests can be a third of a page log)
-is instead cut into chunks that follow the order; each chunk is scanned on its
-own, and what earlier chunks add up to is carried in from a table with one row
-per chunk.
+A window function over a whole key puts all of its rows into one task, and some
+keys (guests, NULL) hold a third of the log. So every key is cut into slots that
+follow the order: rows are scanned within (key, slot), each slot adds up to one
+row, and what earlier slots add up to is joined back. How often a key occurs
+makes no difference to the plan.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tagloom.session import checkpointed
-
-# A key with more rows than this is scanned in chunks of about this many rows.
-HOT_KEY_ROWS = 2_000_000
-# At most this many keys are treated as hot, so the list of them always fits a broadcast.
-MAX_HOT_KEYS = 50_000
-
 
 @dataclass(frozen=True)
 class Scan:
-    """A running value: within a chunk, of a whole chunk, over earlier chunks, and the two put together."""
+    """A running value: within a slot, of a whole slot, over earlier slots, and the two put together."""
 
     name: str
     within: Callable[[WindowSpec], Column]
@@ -35,6 +27,14 @@ class Scan:
     together: Callable[[Column, Column], Column]
 
 
+@dataclass(frozen=True)
+class RunningSet:
+    """Distinct non-null values of a column so far, the current row included."""
+
+    name: str
+    column: str
+
+
 def running_count(name: str) -> Scan:
     return Scan(
         name,
@@ -45,17 +45,6 @@ def running_count(name: str) -> Scan:
     )
 
 
-def running_set(name: str, column: str) -> Scan:
-    """Sorted distinct non-null values so far, the current row included."""
-    return Scan(
-        name,
-        lambda w: F.collect_set(column).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        F.collect_set(column),
-        lambda whole, w: F.array_distinct(F.flatten(F.collect_list(whole).over(w))),
-        lambda before, within: F.array_union(F.coalesce(before, F.array().cast("array<string>")), within),
-    )
-
-
 def max_before(name: str, column: str) -> Scan:
     """Largest value of the rows before the current one."""
     return Scan(
@@ -67,78 +56,72 @@ def max_before(name: str, column: str) -> Scan:
     )
 
 
-def hot_keys(rows: DataFrame, key: str, hot_rows: int) -> tuple[list[tuple], int]:
-    """Keys with more than ``hot_rows`` rows, and how many rows they have together.
+def first_slots(rows: DataFrame, key: str, fields: dict[str, str]) -> DataFrame:
+    """(key, field, value, _slot): the slot each value was first seen in; combines before the shuffle.
 
-    Counting combines before it shuffles, so a hot key costs nothing extra
-    here. If there are more than ``MAX_HOT_KEYS`` of them the bar is raised to
-    their rows / ``MAX_HOT_KEYS``, which no more than that many can pass.
-    """
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > hot_rows) & F.col(key).isNotNull())
-    found = counts.limit(MAX_HOT_KEYS + 1).collect()
-    if len(found) > MAX_HOT_KEYS:
-        bar = counts.agg(F.sum("n")).first()[0] / MAX_HOT_KEYS
-        found = counts.filter(F.col("n") > bar).collect()
-    return [(row[0],) for row in found], sum(row[1] for row in found)
-
-
-def prefix_scan(
-    rows: DataFrame,
-    key: str,
-    order: list[str],
-    scans: list[Scan],
-    probe: DataFrame | None = None,
-    hot_rows: int = HOT_KEY_ROWS,
-    hot: tuple[list[tuple], int] | None = None,
-) -> DataFrame:
-    """``rows`` with one column per scan. ``order`` must be a total order within a key.
-
-    ``probe`` is a cheaper frame with at least the rows of each key (such as
-    the source the rows were derived from) to look for hot keys in; ``hot`` is
-    the outcome if they were looked for already.
+    ``fields`` maps the name of a field to its column.
     """
-    window = Window.partitionBy(key).orderBy(*order)
-    found, hot_total = hot or hot_keys(rows if probe is None else probe, key, hot_rows)
-    if not found:
-        return rows.select("*", *[scan.within(window).alias(scan.name) for scan in scans])
-
-    listed = F.broadcast(rows.sparkSession.createDataFrame(found, rows.select(key).schema))
-    cold = rows.join(listed, key, "left_anti").select(
-        *rows.columns, *[scan.within(window).alias(scan.name) for scan in scans]
+    pairs = ", ".join(f"struct('{name}' AS field, {column} AS value)" for name, column in fields.items())
+    return (
+        rows.selectExpr(f"{key} AS _key", "_slot", f"inline(array({pairs}))")
+        .filter(F.col("value").isNotNull())
+        .groupBy("_key", "field", "value")
+        .agg(F.min("_slot").alias("_slot"))
+    )
+
+
+def new_values(firsts: DataFrame, names: list[str]) -> DataFrame:
+    """(key, slot) with one array per field of the values first seen in the slot."""
+    return firsts.groupBy("_key", "_slot").agg(
+        *[F.collect_list(F.when(F.col("field") == name, F.col("value"))).alias(f"_new_{name}") for name in names]
     )
-    return cold.unionByName(_in_chunks(rows.join(listed, key, "left_semi"), key, order, scans, hot_total, hot_rows))
 
 
-def _in_chunks(
-    rows: DataFrame, key: str, order: list[str], scans: list[Scan], total: int, chunk_rows: int
-) -> DataFrame:
-    # Range partitions of the whole order are even however the rows are spread, and follow the order.
-    # Checkpointed: which row is in which chunk must not change between the two uses below or on a retry.
+def values_before(name: str, earlier: WindowSpec) -> Column:
+    """All values that earlier slots have seen; each is in one slot's array only."""
+    return F.flatten(F.collect_list(f"_new_{name}").over(earlier))
+
+
+def on_key_and_slot(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Joins on key (``_key`` on the right) and slot; a NULL key meets a NULL key."""
+    right = right.withColumnsRenamed({"_key": "_its_key", "_slot": "_its_slot"})
+    same = F.col(key).eqNullSafe(F.col("_its_key")) & (F.col("_slot") == F.col("_its_slot"))
+    return left.join(right, same, how).drop("_its_key", "_its_slot")
+
+
+def prefix_scan(rows: DataFrame, key: str, order: list[str], slot: Column, scans: list[Scan | RunningSet]) -> DataFrame:
+    """``rows`` with one column per scan.
+
+    ``order`` must be a total order within a key, and ``slot`` a number that
+    never falls along it (such as a time divided by a width); NULL comes first.
+    """
     columns = rows.columns
-    chunks = checkpointed(
-        rows.repartitionByRange(max(2, math.ceil(total / chunk_rows)), key, *order).withColumn(
-            "_chunk", F.spark_partition_id()
-        )
+    simple = [scan for scan in scans if isinstance(scan, Scan)]
+    sets = [scan for scan in scans if isinstance(scan, RunningSet)]
+    slotted = rows.withColumn("_slot", F.coalesce(slot, F.lit(-(1 << 63)).cast("long")))
+    whole = slotted.groupBy(F.col(key).alias("_key"), "_slot").agg(
+        F.count(F.lit(1)).alias("_rows"), *[scan.whole.alias(f"_whole_{scan.name}") for scan in simple]
     )
-    so_far = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        chunks.groupBy(key, "_chunk")
-        .agg(*[scan.whole.alias(f"_whole_{scan.name}") for scan in scans])
-        .select(
-            key,
-            "_chunk",
-            *[scan.earlier(F.col(f"_whole_{scan.name}"), so_far).alias(f"_before_{scan.name}") for scan in scans],
-        )
+    earlier = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    if sets:
+        names = [scan.name for scan in sets]
+        firsts = first_slots(slotted, key, {scan.name: scan.column for scan in sets})
+        whole = on_key_and_slot(whole, new_values(firsts, names), "_key", "left")
+    carried = whole.select(
+        "_key",
+        "_slot",
+        *[scan.earlier(F.col(f"_whole_{scan.name}"), earlier).alias(f"_before_{scan.name}") for scan in simple],
+        *[values_before(scan.name, earlier).alias(f"_before_{scan.name}") for scan in sets],
     )
-    window = Window.partitionBy(key, "_chunk").orderBy(*order)
-    return (
-        chunks.select("*", *[scan.within(window).alias(f"_within_{scan.name}") for scan in scans])
-        .join(carried, [key, "_chunk"])
-        .select(
-            *columns,
-            *[
-                scan.together(F.col(f"_before_{scan.name}"), F.col(f"_within_{scan.name}")).alias(scan.name)
-                for scan in scans
-            ],
-        )
+    window = Window.partitionBy(key, "_slot").orderBy(*order)
+    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scanned = slotted.select(
+        "*",
+        *[scan.within(window).alias(f"_within_{scan.name}") for scan in simple],
+        *[F.collect_set(scan.column).over(so_far).alias(f"_within_{scan.name}") for scan in sets],
+    )
+    return on_key_and_slot(scanned, carried, key).select(
+        *columns,
+        *[scan.together(F.col(f"_before_{scan.name}"), F.col(f"_within_{scan.name}")).alias(scan.name) for scan in simple],
+        *[F.array_union(f"_before_{scan.name}", f"_within_{scan.name}").alias(scan.name) for scan in sets],
     )

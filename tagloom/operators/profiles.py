@@ -7,11 +7,23 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.timeparts import slot_of
 from tagloom.operators.page_logs import PROFILE_FIELDS
-from tagloom.operators.prefix_scan import HOT_KEY_ROWS, prefix_scan, running_count, running_set
+from tagloom.operators.prefix_scan import (
+    RunningSet,
+    first_slots,
+    new_values,
+    on_key_and_slot,
+    prefix_scan,
+    running_count,
+    values_before,
+)
 
 # Fixed value: length of the tumbling window.
 WINDOW_MS = 2 * 60 * 1000
 
+# A user's records are scanned by the hour, windows by the day.
+RECORD_SLOT_MS = 60 * 60 * 1000
+WINDOW_SLOTS = 720
+
 # Total order of a user's records once repeats are gone.
 RECORD_ORDER = ["ts", *PROFILE_FIELDS, "other_info"]
 
@@ -21,15 +33,15 @@ def joined(values: Column) -> Column:
     return F.array_join(F.array_sort(values), ",")
 
 
-def running_views(records: DataFrame, probe: DataFrame | None = None, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def running_views(records: DataFrame, slot_ms: int = RECORD_SLOT_MS) -> DataFrame:
     """Each record with the user's page views up to it (``pv``)."""
-    return prefix_scan(records, "uid", RECORD_ORDER, [running_count("pv")], probe, hot_rows)
+    return prefix_scan(records, "uid", RECORD_ORDER, slot_of(F.col("ts"), slot_ms), [running_count("pv")])
 
 
-def running_profile(records: DataFrame, probe: DataFrame | None = None, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def running_profile(records: DataFrame, slot_ms: int = RECORD_SLOT_MS) -> DataFrame:
     """Each record with page views and value sets up to it; one output row per input row."""
-    scans = [running_count("pv"), *[running_set(f"{name}_set", name) for name in PROFILE_FIELDS]]
-    return prefix_scan(records, "uid", RECORD_ORDER, scans, probe, hot_rows)
+    scans = [running_count("pv"), *[RunningSet(f"{name}_set", name) for name in PROFILE_FIELDS]]
+    return prefix_scan(records, "uid", RECORD_ORDER, slot_of(F.col("ts"), slot_ms), scans)
 
 
 def last_in_window(rows: DataFrame, order: list[str], width_ms: int = WINDOW_MS, time: str = "ts") -> DataFrame:
@@ -45,36 +57,58 @@ def last_in_window(rows: DataFrame, order: list[str], width_ms: int = WINDOW_MS,
     )
 
 
-def windowed_profile(records: DataFrame, width_ms: int = WINDOW_MS) -> DataFrame:
+def profile_values(records: DataFrame, width_ms: int = WINDOW_MS) -> DataFrame:
+    """The value sets in long form: one row per user, field and value, with the window it was first seen in."""
+    slotted = records.withColumn("_slot", slot_of(F.col("ts"), width_ms))
+    return first_slots(slotted, "uid", {name: name for name in PROFILE_FIELDS}).select(
+        F.col("_key").alias("uid"), "field", "value", (F.col("_slot") * width_ms).alias("window_start")
+    )
+
+
+def windowed_profile(records: DataFrame, width_ms: int = WINDOW_MS, range_slots: int = WINDOW_SLOTS) -> DataFrame:
     """The running profile as of the last record of each user and window.
 
     Equal to ``last_in_window`` of ``running_profile``, without ever running
     over single records: views are counted per window and each value is kept
-    with the window it was first seen in, both with map-side combining, and
-    only those rows are scanned per user. Their number is bounded by the time
-    covered and the distinct values, not by traffic, so guests need no special
-    treatment.
+    with the window it was first seen in, both with map-side combining. Those
+    rows are scanned by user and range of windows; what earlier ranges add up to
+    is one row per user and range, so a user with very many windows, such as all
+    guests together, is spread over tasks like any others.
     """
     slotted = records.withColumn("_slot", slot_of(F.col("ts"), width_ms))
     views = slotted.groupBy("uid", "_slot").agg(F.count(F.lit(1)).alias("views"))
-    fields = ", ".join(f"struct('{name}' AS field, {name} AS value)" for name in PROFILE_FIELDS)
-    first_seen = (
-        slotted.selectExpr("uid", "_slot", f"inline(array({fields}))")
-        .filter(F.col("value").isNotNull())
-        .groupBy("uid", "field", "value")
-        .agg(F.min("_slot").alias("_slot"))
+    firsts = first_slots(slotted, "uid", {name: name for name in PROFILE_FIELDS})
+    in_range = F.floor(F.col("_slot") / range_slots).cast("long")
+
+    ranged = views.select(F.col("uid").alias("_key"), "views", in_range.alias("_slot"))
+    fresh = new_values(firsts.withColumn("_slot", in_range), list(PROFILE_FIELDS))
+    whole = on_key_and_slot(ranged.groupBy("_key", "_slot").agg(F.sum("views").alias("_views")), fresh, "_key", "left")
+    earlier = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    carried = whole.select(
+        "_key",
+        "_slot",
+        F.coalesce(F.sum("_views").over(earlier), F.lit(0).cast("long")).alias("_before_pv"),
+        *[values_before(name, earlier).alias(f"_before_{name}") for name in PROFILE_FIELDS],
     )
     # A range frame takes in all rows of a window, so the views row sees the values first seen in it.
-    so_far = "OVER (PARTITION BY uid ORDER BY _slot RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    return (
-        views.unionByName(first_seen, allowMissingColumns=True)
+    so_far = "OVER (PARTITION BY uid, _range ORDER BY _window RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    scanned = (
+        views.unionByName(firsts.withColumnRenamed("_key", "uid"), allowMissingColumns=True)
+        .select("*", in_range.alias("_range"))
+        .withColumnRenamed("_slot", "_window")
         .selectExpr(
             "uid",
-            f"_slot * {width_ms} AS window_start",
+            f"_window * {width_ms} AS window_start",
+            "_range AS _slot",
             "views",
             f"sum(views) {so_far} AS pv",
             *[f"collect_list(CASE WHEN field = '{name}' THEN value END) {so_far} AS {name}_set" for name in PROFILE_FIELDS],
         )
         .filter(F.col("views").isNotNull())
-        .drop("views")
+    )
+    return on_key_and_slot(scanned, carried, "uid").select(
+        "uid",
+        "window_start",
+        (F.col("_before_pv") + F.col("pv")).alias("pv"),
+        *[F.concat(f"_before_{name}", f"{name}_set").alias(f"{name}_set") for name in PROFILE_FIELDS],
     )

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.operators.prefix_scan import HOT_KEY_ROWS, hot_keys, max_before, prefix_scan
+from tagloom.operators.prefix_scan import max_before, prefix_scan
 
 
 def without_repeats(rows: DataFrame) -> DataFrame:
@@ -13,33 +13,21 @@ def without_repeats(rows: DataFrame) -> DataFrame:
     return rows.distinct()
 
 
-def rising_only(
-    rows: DataFrame,
-    key: str,
-    value: str,
-    order: list[str],
-    probe: DataFrame | None = None,
-    hot_rows: int = HOT_KEY_ROWS,
-) -> DataFrame:
+def rising_only(rows: DataFrame, key: str, value: str, order: list[str], slot: Column) -> DataFrame:
     """Per key in arrival order, the rows whose value exceeds that of every row before them.
 
     The first row of a key always passes, and a NULL value counts as 0.
+    ``order`` must be a total order and ``slot`` follow it, as in ``prefix_scan``.
 
-    A key can be hot because its rows are copies, which no cut along the order
-    would part. A row whose value was seen before never passes, so if there are
-    hot keys the rows are first cut down to the first one per (key, value), on
-    the map side (window group limit) before anything is shuffled.
+    A row whose value its key has seen before never passes, so only the first
+    row per (key, value) is scanned. Spark drops the others on the map side
+    (window group limit): a group of copies is a row per task, however large.
     """
     known = rows.withColumn(value, F.coalesce(value, F.lit(0).cast("long")))
-    hot = hot_keys(rows if probe is None else probe, key, hot_rows)
-    if hot[0]:
-        known = (
-            known.withColumn("_nth", F.row_number().over(Window.partitionBy(key, value).orderBy(*order)))
-            .filter(F.col("_nth") == 1)
-            .drop("_nth")
-        )
+    first = F.row_number().over(Window.partitionBy(key, value).orderBy(*order))
+    known = known.withColumn("_nth", first).filter(F.col("_nth") == 1).drop("_nth")
     return (
-        prefix_scan(known, key, order, [max_before("_seen", value)], hot_rows=hot_rows, hot=hot)
+        prefix_scan(known, key, order, slot, [max_before("_seen", value)])
         .filter(F.col("_seen").isNull() | (F.col(value) > F.col("_seen")))
         .drop("_seen")
     )

@@ -65,6 +65,16 @@ def batch_summary(read: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
     )
 
 
+def failures(read: DataFrame) -> DataFrame:
+    """One row per failed city with the reason."""
+    reason = (
+        F.when(F.col("status").isNull(), "no readable response")
+        .when(F.col("status") != GOOD_STATUS, "bad status")
+        .otherwise("no reading")
+    )
+    return read.filter(~F.col("ok")).select("code", "province", "city", reason.alias("reason"))
+
+
 def total_summary(batches: DataFrame) -> DataFrame:
     return batches.agg(
         F.sum("success_count").alias("success_count"),

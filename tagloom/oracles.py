@@ -242,12 +242,32 @@ SELECT {_MERGED_COLUMNS}
 FROM oi JOIN od ON oi.id = od.order_id AND od.ts_ms BETWEEN oi.ts_ms - 120000 AND oi.ts_ms + 120000"""
 
 _ORDER_BY_ARRIVAL = (
-    "detail_ts_ms, sku_id, sku_num, order_price, split_activity_amount, split_coupon_amount"
+    "greatest(ts_ms, detail_ts_ms), ts_ms, detail_ts_ms, order_id, uid, consignee, create_time, original_total_amount, "
+    "total_amount, province_id, pay_time_slot, sku_id, sku_num, sku_name, order_price, split_total_amount, "
+    "split_activity_amount, split_coupon_amount"
 )
 
+# Three records of each order: later totals, half of them with a later time in the last.
+_VERSIONS = """
+oi AS (
+  SELECT ts_ms, id, uid, consignee, create_time, original_total_amount, total_amount, province_id,
+         CASE WHEN h < 6 THEN '凌晨' WHEN h < 9 THEN '早晨' WHEN h < 12 THEN '上午' WHEN h < 14 THEN '中午'
+              WHEN h < 18 THEN '下午' WHEN h < 22 THEN '晚上' ELSE '夜间' END AS pay_time_slot
+  FROM (
+    SELECT *, create_time // 3600000 % 24 AS h FROM (
+      SELECT t0 + version * 30000 AS ts_ms, CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS uid,
+             o_orderpriority AS consignee,
+             CASE WHEN version = 2 AND (o_custkey % 34 + 1) % 2 = 0 THEN t0 + 1000 ELSE t0 END AS create_time,
+             CAST(CAST(o_totalprice AS DECIMAL(16,2)) AS VARCHAR) AS original_total_amount,
+             CAST(CAST(CAST(o_totalprice AS DECIMAL(16,2)) + version * 1500 AS DECIMAL(16,2)) AS VARCHAR) AS total_amount,
+             o_custkey % 34 + 1 AS province_id
+      FROM (SELECT *, 1704067200000 + (o_orderkey * 7919 % 2592000) * 1000 AS t0 FROM orders),
+           (VALUES (0), (1), (2)) v(version)))
+)"""
 
-def _order_scores(where: str = "") -> str:
-    return f"""WITH {_ORDERS}, {_DETAILS}, {_DIMS}, {_TIME_RULE}, {_AMOUNT_RULE}, {_BRAND_RULE}, {_CATEGORY_RULE},
+
+def _order_scores(where: str = "", orders: str = _ORDERS) -> str:
+    return f"""WITH {orders}, {_DETAILS}, {_DIMS}, {_TIME_RULE}, {_AMOUNT_RULE}, {_BRAND_RULE}, {_CATEGORY_RULE},
 mg AS (
   SELECT *, max(create_time) OVER (PARTITION BY detail_id ORDER BY {_ORDER_BY_ARRIVAL}
                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
@@ -277,24 +297,21 @@ prof AS (
   FROM win JOIN d ON d.uid = win.uid AND d.ts // 120000 <= win.slot GROUP BY win.uid, win.slot
 )"""
 
-_CLOSED = "window_start + 120000 <= (SELECT max(ts) - 3000 FROM d)"
-
-
-def _behavior_scores(where: str = "TRUE") -> str:
+def _behavior_scores() -> str:
     return f"""WITH {_LOGS}, {_DIMS}, {_SEARCH}, {_DEVICE_RULE}, {_SEARCH_RULE}, {_PROFILE},
 j AS (
   SELECT prof.*, CASE WHEN list_contains(string_split(os, ','), 'iOS') THEN 'iOS'
                       WHEN list_contains(string_split(os, ','), 'Android') THEN 'Android'
                       ELSE string_split(os, ',')[1] END AS judge_os, b1_category, search_category
-  FROM prof LEFT JOIN term ON search_item = b3name WHERE {where}
+  FROM prof LEFT JOIN term ON search_item = b3name
 )
 SELECT uid, window_start, pv, os, ch, md, ba, search_item, judge_os, b1_category, search_category,
   {_DEVICE_SCORES}, {_SEARCH_SCORES}
 FROM j LEFT JOIN device_rule dr ON dr.k = judge_os LEFT JOIN search_rule sr ON sr.k = {_SEARCH_KEY}"""
 
 
-def _profile(where: str = "TRUE") -> str:
-    return f"WITH {_LOGS}, {_PROFILE} SELECT * FROM prof WHERE {where}"
+def _profile() -> str:
+    return f"WITH {_LOGS}, {_PROFILE} SELECT * FROM prof"
 
 
 _WINDOW_SETS = ", ".join(
@@ -419,7 +436,31 @@ UNION ALL SELECT 'supplements', 'user_info_sup', ts_ms FROM s WHERE c_acctbal >=
 UNION ALL SELECT 'orders', 'order_info', ts_ms FROM oi
 UNION ALL SELECT 'details', 'order_detail', ts_ms FROM od""",
     "cdc_quarantine": f"""WITH {_USERS}
-SELECT '{{"after":{{"u' AS value, 'not json' AS reason FROM s WHERE c_acctbal < 0""",
+SELECT '{{"after":{{"u' AS value, 'not json' AS reason FROM s WHERE c_acctbal < 0
+UNION ALL SELECT CASE c_custkey % 8
+    WHEN 0 THEN '{{"after":{{"id":"x' || c_custkey || '"}},"source":{{"table":"user_info"}},"op":"c","ts_ms":1}}'
+    WHEN 1 THEN '{{"source":{{"table":"user_info"}},"ddl":"ALTER ' || c_custkey || '","ts_ms":1}}'
+    WHEN 2 THEN '{{"after":{{"id":' || c_custkey || '}},"ts_ms":1}}'
+    WHEN 3 THEN '{{"after":{{"id":' || c_custkey
+    WHEN 6 THEN '{{"after":{{"gender":"M"}},"source":{{"table":"user_info_sup"}},"ts_ms":' || c_custkey || '}}' END,
+  CASE c_custkey % 8 WHEN 0 THEN 'bad key' WHEN 1 THEN 'schema change' WHEN 2 THEN 'no table' WHEN 3 THEN 'not json'
+    WHEN 6 THEN 'bad key' END
+FROM customer WHERE c_custkey % 8 IN (0, 1, 2, 3, 6)""",
+    "log_quarantine": f"""WITH {_LOGS}, x AS (SELECT broken, {_LOG_TEXT} AS txt FROM m)
+SELECT substr(txt, 1, 20) AS value, 'not json' AS reason FROM x WHERE broken
+UNION ALL SELECT CASE event_id % 5
+    WHEN 0 THEN '{{"page":{{"item":"' || event_id || '"}},"ts":1}}'
+    WHEN 1 THEN '{{"common":{{"uid":"' || user_id || '","sid":"' || event_id || '"}},"ts":1}}'
+    ELSE '{{"common":{{"uid":"' || event_id END,
+  CASE event_id % 5 WHEN 0 THEN 'no common part' WHEN 1 THEN 'no system name' ELSE 'not json' END
+FROM events WHERE event_id % 5 < 3""",
+    "profile_values": f"""WITH {_LOGS}, long AS (
+  SELECT uid, ts, unnest(['os', 'ch', 'md', 'ba', 'search_item']) AS field, unnest([os, ch, md, ba, search_item]) AS value FROM d)
+SELECT uid, field, value, min(ts) // 120000 * 120000 AS window_start FROM long WHERE value IS NOT NULL GROUP BY 1, 2, 3""",
+    "order_versions": _order_scores(orders=_VERSIONS),
+    "stream_order_versions": _order_scores(orders=_VERSIONS),
+    "weather_failures": f"""WITH {_CITIES}
+SELECT code, province, city, CASE WHEN c_acctbal < 0 THEN 'bad status' ELSE 'no reading' END AS reason FROM res WHERE NOT ok""",
     "user_info_parse": f"""WITH {_USERS}
 SELECT id, login_name, name, phone, email, strftime(birthday, '%Y-%m-%d') AS birthday, gender, ts_ms
 FROM u WHERE c_acctbal >= 0""",
@@ -457,9 +498,8 @@ SELECT CAST(sum(success_count) AS BIGINT) AS success_count, CAST(sum(fail_count)
     "stream_order_join": f"WITH {_ORDERS}, {_DETAILS} {_MERGED}",
     "stream_order_scores": _order_scores("WHERE oi.o_orderstatus <> 'P'"),
     "stream_dedup": f"WITH {_LOGS} SELECT * FROM d",
-    # A window is written once the watermark, three seconds behind the latest record, passes its end.
-    "stream_window_last": _profile(_CLOSED),
-    "stream_behavior_scores": _behavior_scores(_CLOSED),
+    "stream_window_last": _profile(),
+    "stream_behavior_scores": _behavior_scores(),
     "stream_running_profile": _RUNNING_SETS,
     "stream_detail_monotone": _DETAIL_MONOTONE,
 }

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import timeparts
 from tagloom.operators import dimensions, page_logs, parsing, weather
-from tagloom.sources.messages import spread
+from tagloom.session import new_folder, written
+from tagloom.sources.messages import replayed, spread
 from tagloom.sources.tables import Tables
 
 # 2024-01-01 00:00:00 UTC; orders and users spread over the 30 days after it.
@@ -62,6 +63,11 @@ COMPARISON = (
 SEARCH_TERMS = ("red widget", "hot rod", "扫地机器人", "old bolt", "new ring", "iPhone14")
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """A table that stands in for a topic, in as many pieces as a topic would have partitions."""
+    return spread(rows, rows.sparkSession.sparkContext.defaultParallelism)
+
+
 _ORDER_TIME = f"{START_MS} + ({{}} * 7919 % {SPREAD_SECONDS}) * 1000"
 _USER_TIME = f"{START_MS} + (c_custkey % {SPREAD_MINUTES}) * 60000"
 
@@ -103,7 +109,7 @@ def order_rows(orders: DataFrame) -> DataFrame:
 
 
 def order_info(t: Tables) -> DataFrame:
-    return order_rows(spread(t["orders"]))
+    return order_rows(_dealt(t["orders"]))
 
 
 def _detail_after(lines: DataFrame) -> DataFrame:
@@ -129,7 +135,7 @@ def detail_rows(lines: DataFrame) -> DataFrame:
 
 
 def order_detail(t: Tables) -> DataFrame:
-    return detail_rows(spread(t["lineitem"]))
+    return detail_rows(_dealt(t["lineitem"]))
 
 
 def arriving_detail_rows(lines: DataFrame) -> DataFrame:
@@ -138,11 +144,7 @@ def arriving_detail_rows(lines: DataFrame) -> DataFrame:
 
 
 def arriving_details(t: Tables) -> DataFrame:
-    return arriving_detail_rows(spread(t["lineitem"]))
-
-
-def detail_ids(t: Tables) -> DataFrame:
-    return t["lineitem"].selectExpr("CAST(l_orderkey * 10 + l_linenumber AS string) AS detail_id")
+    return arriving_detail_rows(_dealt(t["lineitem"]))
 
 
 def _user_after(customers: DataFrame) -> DataFrame:
@@ -260,14 +262,109 @@ def detail_records(lines: DataFrame) -> DataFrame:
     return _records(_detail_after(lines), "order_detail", _DETAIL_FIELDS, "create_time")
 
 
+# Times of the records of each stream, over the columns of the table it comes from.
+_EVENT_TIME = "timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)"
+_DETAIL_TIME = f"{_ORDER_TIME.format('l_orderkey')} + ((l_linenumber * 53 + l_partkey) % 400 - 200) * 1000"
+STREAM_TIMES = {
+    "customer": _USER_TIME,
+    "supplements": f"{_USER_TIME} + (c_custkey * 7 % 90 - 45) * 60000",
+    "orders": _ORDER_TIME.format("o_orderkey"),
+    "lineitem": _DETAIL_TIME,
+    "events": _EVENT_TIME,
+}
+
+
+def streamed(t: Tables, name: str, times: str | None = None, tail: DataFrame | None = None) -> DataFrame:
+    """A stored table as a stream of three micro-batches by the time of its records, and one of the ``tail``."""
+    return replayed(t[name], STREAM_TIMES[times or name], new_folder(t.spark, f"stream-{name}"), tail=tail)
+
+
+# Users of events that no table has: of those that come too late, and of the one that closes all windows.
+LATE_USER, CLOSING_USER = 900_000_001, 900_000_002
+
+
+def late_events(t: Tables) -> DataFrame:
+    """Events of the first half of the time, of a user of their own, to be sent after everything else."""
+    events = t["events"].filter("event_id % 40 = 0 AND value BETWEEN 1 AND 149")
+    middle = t["events"].selectExpr(
+        "min(ts) + make_dt_interval(0, 0, 0, timestampdiff(SECOND, min(ts), max(ts)) / 2) AS middle"
+    )
+    return events.join(F.broadcast(middle), F.col("ts") < F.col("middle")).withColumn(
+        "user_id", F.lit(LATE_USER).cast("long")
+    )
+
+
+def closing_event(t: Tables) -> DataFrame:
+    """One event a day after the last: the watermark then passes the end of every other window."""
+    return t["events"].selectExpr(
+        "max(event_id) + 1 AS event_id", "max(ts) + INTERVAL 1 DAY AS ts", f"CAST({CLOSING_USER} AS bigint) AS user_id",
+        "'view' AS event_type", "1.0D AS value",
+    )
+
+
+# Order updates: so many versions of each order, this long apart.
+VERSIONS = 3
+VERSION_MS = 30_000
+
+
+def order_versions(orders: DataFrame) -> DataFrame:
+    """Records of orders that are updated twice: other totals, later capture times, one of them with a later time of its own."""
+    rows = _order_after(orders).selectExpr("*", f"explode(sequence(0, {VERSIONS - 1})) AS version").selectExpr(
+        "id",
+        "user_id",
+        "consignee",
+        "IF(version = 2 AND province_id % 2 = 0, create_time + 1000, create_time) AS create_time",
+        "original_total_amount",
+        "CAST(CAST(CAST(total_amount AS decimal(16,2)) + version * 1500 AS decimal(16,2)) AS string) AS total_amount",
+        "province_id",
+        f"create_time + version * {VERSION_MS} AS _ts_ms",
+    )
+    return _records(rows, "order_info", _ORDER_FIELDS, "_ts_ms")
+
+
+def versioned_log(t: Tables) -> DataFrame:
+    """A log in which orders are updated; some records are delivered twice."""
+    twice = order_versions(t["orders"].filter("o_orderkey % 5 = 0"))
+    return order_versions(_dealt(t["orders"])).unionByName(twice).unionByName(detail_records(_dealt(t["lineitem"])))
+
+
+def dirty_log(t: Tables) -> DataFrame:
+    """Change records of which many cannot be used: keys that are no numbers, schema changes, no table, broken text, tombstones."""
+    return t["customer"].selectExpr(
+        """CASE c_custkey % 8
+             WHEN 0 THEN concat('{"after":{"id":"x', c_custkey, '"},"source":{"table":"user_info"},"op":"c","ts_ms":1}')
+             WHEN 1 THEN concat('{"source":{"table":"user_info"},"ddl":"ALTER ', c_custkey, '","ts_ms":1}')
+             WHEN 2 THEN concat('{"after":{"id":', c_custkey, '},"ts_ms":1}')
+             WHEN 3 THEN concat('{"after":{"id":', c_custkey)
+             WHEN 4 THEN NULL
+             WHEN 5 THEN concat('{"after":null,"source":{"table":"user_info"},"op":"d","ts_ms":', c_custkey, '}')
+             WHEN 6 THEN concat('{"after":{"gender":"M"},"source":{"table":"user_info_sup"},"ts_ms":', c_custkey, '}')
+             ELSE concat('{"after":{"id":', c_custkey, '},"source":{"table":"user_info"},"op":"u","ts_ms":', c_custkey, '}')
+           END AS value"""
+    )
+
+
+def dirty_page_logs(t: Tables) -> DataFrame:
+    """Page logs of which some have no common part, no system name, or are broken."""
+    return t["events"].selectExpr(
+        """CASE event_id % 5
+             WHEN 0 THEN concat('{"page":{"item":"', event_id, '"},"ts":1}')
+             WHEN 1 THEN concat('{"common":{"uid":"', user_id, '","sid":"', event_id, '"},"ts":1}')
+             WHEN 2 THEN concat('{"common":{"uid":"', event_id)
+             WHEN 3 THEN NULL
+             ELSE concat('{"common":{"uid":"', user_id, '","os":"iOS 1"},"ts":', event_id, '}')
+           END AS value"""
+    )
+
+
 def change_log(t: Tables) -> DataFrame:
     """All four tables as one log of change records."""
     customers = t["customer"]
     return (
         user_records(customers)
         .unionByName(sup_records(customers))
-        .unionByName(order_records(spread(t["orders"])))
-        .unionByName(detail_records(spread(t["lineitem"])))
+        .unionByName(order_records(_dealt(t["orders"])))
+        .unionByName(detail_records(_dealt(t["lineitem"])))
     )
 
 
@@ -301,7 +398,7 @@ def log_messages(events: DataFrame) -> DataFrame:
 
 
 def page_log_messages(t: Tables) -> DataFrame:
-    return log_messages(spread(t["events"]))
+    return log_messages(_dealt(t["events"]))
 
 
 def log_records(t: Tables) -> DataFrame:
@@ -309,11 +406,6 @@ def log_records(t: Tables) -> DataFrame:
     return page_logs.device_and_search(page_logs.page_logs(page_log_messages(t)))
 
 
-def log_user_ids(t: Tables) -> DataFrame:
-    """User keys of the page log, straight from the table."""
-    return t["events"].selectExpr("if(event_type = 'signup', '-1', CAST(user_id AS string)) AS uid")
-
-
 def redelivered(messages: DataFrame) -> DataFrame:
     """Every message twice, as at-least-once delivery may send them."""
     return messages.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
@@ -335,7 +427,7 @@ def category2(t: Tables) -> DataFrame:
 
 
 def category1(t: Tables) -> DataFrame:
-    return t.spark.createDataFrame(list(enumerate(TOP_CATEGORIES, start=1)), "id long, name string")
+    return F.broadcast(t.spark.createDataFrame(list(enumerate(TOP_CATEGORIES, start=1)), "id long, name string"))
 
 
 def categories(t: Tables) -> DataFrame:
@@ -353,25 +445,24 @@ def skus(t: Tables) -> DataFrame:
         F.min("p_partkey").alias("category3_id"), F.min(brand).alias("tm_id")
     )
     trademark = t.spark.createDataFrame(list(enumerate(BRANDS, start=1)), "id long, tm_name string")
-    return dimensions.sku_dim(sku, spu, trademark)
+    return dimensions.sku_dim(sku, spu, F.broadcast(trademark))
 
 
 def products(t: Tables) -> DataFrame:
-    return dimensions.broadcast_if_small(dimensions.product_dim(skus(t), categories(t)), rows=t.rows("part"))
+    return written(dimensions.product_dim(skus(t), categories(t)), "products")
 
 
 def comparison(t: Tables) -> DataFrame:
-    return t.spark.createDataFrame(list(COMPARISON), "id int, category_name string, search_category string")
+    return F.broadcast(t.spark.createDataFrame(list(COMPARISON), "id int, category_name string, search_category string"))
 
 
 def searches(t: Tables) -> DataFrame:
-    dim = dimensions.search_dim(categories(t), comparison(t))
-    return dimensions.broadcast_if_small(dim, rows=t.rows("part"))
+    return written(dimensions.search_dim(categories(t), comparison(t)), "searches")
 
 
 def priced_items(t: Tables) -> DataFrame:
     """Order lines as ``id,name,price`` text."""
-    return spread(t["lineitem"]).selectExpr(
+    return _dealt(t["lineitem"]).selectExpr(
         f"concat_ws(',', concat('P', l_partkey), concat('sku ', l_partkey), {_money('l_extendedprice')}) AS value"
     )
 
@@ -384,10 +475,14 @@ def rate_rules(t: Tables) -> DataFrame:
     )
 
 
+def rates(t: Tables) -> DataFrame:
+    return written(dimensions.latest_rates(rate_rules(t)), "rates")
+
+
 def city_codes(t: Tables) -> DataFrame:
     """Cities: the nation is the province, three of them named as the left-out ones."""
     customers = t["customer"]
-    nations = dimensions.broadcast_if_small(t["nation"], t.rows("nation"))
+    nations = t["nation"]
     province = (
         F.when(F.col("n_nationkey") == 0, weather.LEFT_OUT_PROVINCES[0])
         .when(F.col("n_nationkey") == 1, weather.LEFT_OUT_PROVINCES[1])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tagloom.functions import device, tags
 from tagloom.functions.rules import AMOUNT, BRAND, CATEGORY, DEVICE, PAY_TIME, SEARCH
 from tagloom.functions.scoring import with_scores
+from tagloom.functions.timeparts import slot_of
 from tagloom.operators import dimensions, interval_join, page_logs, parsing, profiles, repeats, weather
 from tagloom.plans import adapters
 from tagloom.plans import behavior_scores as behavior
@@ -18,7 +19,7 @@ from tagloom.plans import order_scores as orders
 from tagloom.plans import user_tags as users
 from tagloom.session import new_folder
 from tagloom.sinks import files, tables
-from tagloom.sources.messages import stream_table
+from tagloom.sources.messages import spread
 from tagloom.sources.tables import Tables
 from tagloom.streaming import flows
 
@@ -29,6 +30,8 @@ ROUTES = {"user_info": "users", "user_info_sup": "supplements", "order_info": "o
 
 RECORD = ["uid", "ts", *page_logs.PROFILE_FIELDS, "other_info"]
 DETAIL_ARRIVAL = ["arrived_ms", "create_time", "sku_id", "sku_num", "order_price", "split_activity_amount"]
+# A key's details are scanned by the week of their arrival.
+DETAIL_SLOT_MS = 7 * 24 * 60 * 60 * 1000
 
 
 def pay_time_slot(t: Tables) -> DataFrame:
@@ -114,7 +117,7 @@ def search_category(t: Tables) -> DataFrame:
 
 
 def broadcast_rules(t: Tables) -> DataFrame:
-    return dimensions.adjusted_prices(adapters.priced_items(t), adapters.rate_rules(t), 2 * t.rows("part"))
+    return dimensions.adjusted_prices(adapters.priced_items(t), adapters.rates(t))
 
 
 def _user_pairs(t: Tables) -> DataFrame:
@@ -144,10 +147,8 @@ def log_dedup(t: Tables) -> DataFrame:
 
 def detail_monotone(t: Tables) -> DataFrame:
     details = adapters.arriving_details(t)
-    ids = adapters.detail_ids(t).withColumnRenamed("detail_id", "id")
-    return repeats.rising_only(details, "id", "create_time", DETAIL_ARRIVAL, probe=ids).select(
-        "id", "arrived_ms", "create_time"
-    )
+    slot = slot_of(F.col("arrived_ms"), DETAIL_SLOT_MS)
+    return repeats.rising_only(details, "id", "create_time", DETAIL_ARRIVAL, slot).select("id", "arrived_ms", "create_time")
 
 
 def _records(t: Tables) -> DataFrame:
@@ -155,17 +156,17 @@ def _records(t: Tables) -> DataFrame:
 
 
 def running_pv(t: Tables) -> DataFrame:
-    rows = profiles.running_views(_records(t), probe=adapters.log_user_ids(t))
+    rows = profiles.running_views(_records(t))
     return rows.select("uid", "ts", "os", "ch", "md", "ba", "pv")
 
 
 def running_sets(t: Tables) -> DataFrame:
-    rows = profiles.running_profile(_records(t), probe=adapters.log_user_ids(t))
+    rows = profiles.running_profile(_records(t))
     return behavior.profile_text(rows.select("uid", "ts", "pv", *[f"{name}_set" for name in page_logs.PROFILE_FIELDS]))
 
 
 def window_last(t: Tables) -> DataFrame:
-    rows = profiles.running_views(_records(t), probe=adapters.log_user_ids(t))
+    rows = profiles.running_views(_records(t))
     kept = rows.select("uid", "ts", "os", "ch", "md", "ba", "pv")
     return profiles.last_in_window(kept, ["pv"])
 
@@ -174,23 +175,24 @@ def window_profile(t: Tables) -> DataFrame:
     return behavior.profile_text(profiles.windowed_profile(_records(t)))
 
 
+def profile_values(t: Tables) -> DataFrame:
+    return profiles.profile_values(_records(t))
+
+
 def cdc_envelope(t: Tables) -> DataFrame:
-    row_id = F.coalesce(F.get_json_object("after", "$.id"), F.get_json_object("after", "$.uid"))
-    return parsing.envelope(adapters.change_log(t)).select(
-        F.col("table").alias("source_table"), "ts_ms", "kind", row_id.alias("row_id")
-    )
+    return parsing.envelope(adapters.change_log(t)).withColumnRenamed("table", "source_table")
 
 
 def cdc_route(t: Tables) -> DataFrame:
-    return parsing.route(adapters.change_log(t), ROUTES).select(
-        "topic",
-        F.col("table").alias("source_table"),
-        F.get_json_object("value", "$.ts_ms").cast("long").alias("ts_ms"),
-    )
+    return parsing.route(adapters.change_log(t), ROUTES).select("topic", F.col("table").alias("source_table"), "ts_ms")
 
 
 def cdc_quarantine(t: Tables) -> DataFrame:
-    return parsing.quarantine(adapters.change_log(t))
+    return parsing.quarantine(adapters.change_log(t).unionByName(adapters.dirty_log(t)))
+
+
+def log_quarantine(t: Tables) -> DataFrame:
+    return page_logs.quarantine(adapters.dirty_page_logs(t).unionByName(adapters.page_log_messages(t)))
 
 
 def user_info_parse(t: Tables) -> DataFrame:
@@ -236,8 +238,8 @@ def tombstone_filter(t: Tables) -> DataFrame:
 
 def user_tags(t: Tables) -> DataFrame:
     """From change records to base tags."""
-    log = adapters.change_log(t)
-    return users.user_tags(parsing.user_info(log), parsing.user_info_sup(log), AS_OF)
+    rows = parsing.split(adapters.change_log(t), new_folder(t.spark, "user-rows"), "user_info", "user_info_sup")
+    return users.user_tags(parsing.users_of(rows["user_info"]), parsing.supplements_of(rows["user_info_sup"]), AS_OF)
 
 
 def tags_json(t: Tables) -> DataFrame:
@@ -259,23 +261,24 @@ def behavior_scores(t: Tables) -> DataFrame:
 
 def order_scores(t: Tables) -> DataFrame:
     """From change records to scored order details."""
-    log = adapters.change_log(t)
+    return _scored_log(t, adapters.change_log(t))
+
+
+def _scored_log(t: Tables, log: DataFrame) -> DataFrame:
+    rows = parsing.split(log, new_folder(t.spark, "order-rows"), "order_info", "order_detail")
     return orders.order_scores(
-        parsing.order_info(log),
-        parsing.order_detail(log),
-        adapters.products(t),
-        probe=adapters.detail_ids(t),
+        parsing.orders_of(rows["order_info"]), parsing.details_of(rows["order_detail"]), adapters.products(t)
     )
 
 
+def order_versions(t: Tables) -> DataFrame:
+    """Scored details of orders that have several records: the first pair to arrive wins."""
+    return _scored_log(t, adapters.versioned_log(t))
+
+
 def order_csv(t: Tables) -> DataFrame:
     """Scored order details through the CSV file and back."""
-    scored = orders.order_scores(
-        adapters.order_info(t),
-        adapters.order_detail(t),
-        adapters.products(t),
-        probe=adapters.detail_ids(t),
-    )
+    scored = orders.order_scores(adapters.order_info(t), adapters.order_detail(t), adapters.products(t))
     path = new_folder(t.spark, "order-csv")
     files.write_order_csv(scored, path)
     return files.read_order_csv(t.spark, path, scored.schema)
@@ -286,7 +289,12 @@ def city_scan(t: Tables) -> DataFrame:
 
 
 def weather_normalize(t: Tables) -> DataFrame:
-    return weather.weather_rows(weather.outcomes(adapters.weather_responses(t)))
+    pieces = spread(adapters.weather_responses(t), t.spark.sparkContext.defaultParallelism)
+    return weather.weather_rows(weather.outcomes(pieces))
+
+
+def weather_failures(t: Tables) -> DataFrame:
+    return weather.failures(weather.outcomes(adapters.weather_responses(t)))
 
 
 def weather_summary(t: Tables) -> DataFrame:
@@ -306,19 +314,19 @@ def weather_write(t: Tables) -> DataFrame:
 
 
 def stream_user_join(t: Tables) -> DataFrame:
-    rows = adapters.user_rows(stream_table(t.spark, t.folder, "customer"))
-    supplements = adapters.sup_rows(stream_table(t.spark, t.folder, "customer"))
+    rows = adapters.user_rows(adapters.streamed(t, "customer"))
+    supplements = adapters.sup_rows(adapters.streamed(t, "customer", "supplements"))
     return flows.drained(_pair_columns(flows.users_with_supplements(rows, supplements)), "user-join")
 
 
 def stream_user_tags(t: Tables) -> DataFrame:
-    rows = parsing.user_info(adapters.user_records(stream_table(t.spark, t.folder, "customer")))
-    supplements = parsing.user_info_sup(adapters.sup_records(stream_table(t.spark, t.folder, "customer")))
+    rows = parsing.user_info(adapters.user_records(adapters.streamed(t, "customer")))
+    supplements = parsing.user_info_sup(adapters.sup_records(adapters.streamed(t, "customer", "supplements")))
     return flows.drained(flows.user_tags(rows, supplements, AS_OF), "user-tags")
 
 
 def stream_tag_records(t: Tables) -> DataFrame:
-    customers = stream_table(t.spark, t.folder, "customer")
+    customers = adapters.streamed(t, "customer")
     messages = parsing.as_messages(
         users.tag_rows(
             interval_join.users_with_supplements(adapters.user_rows(customers), adapters.user_info_sup(t)), AS_OF
@@ -328,25 +336,37 @@ def stream_tag_records(t: Tables) -> DataFrame:
 
 
 def stream_log_identity(t: Tables) -> DataFrame:
-    messages = adapters.log_messages(stream_table(t.spark, t.folder, "events"))
+    messages = adapters.log_messages(adapters.streamed(t, "events"))
     return flows.drained(flows.identities(page_logs.page_logs(messages)).drop("event_time"), "log-identity")
 
 
 def stream_order_join(t: Tables) -> DataFrame:
-    rows = adapters.order_rows(stream_table(t.spark, t.folder, "orders"))
-    details = adapters.detail_rows(stream_table(t.spark, t.folder, "lineitem"))
+    rows = adapters.order_rows(adapters.streamed(t, "orders"))
+    details = adapters.detail_rows(adapters.streamed(t, "lineitem"))
     return flows.drained(flows.orders_with_details(rows, details), "order-join")
 
 
 def stream_order_scores(t: Tables) -> DataFrame:
-    rows = parsing.order_info(adapters.order_records(stream_table(t.spark, t.folder, "orders")))
-    details = parsing.order_detail(adapters.detail_records(stream_table(t.spark, t.folder, "lineitem")))
+    rows = parsing.order_info(adapters.order_records(adapters.streamed(t, "orders")))
+    details = parsing.order_detail(adapters.detail_records(adapters.streamed(t, "lineitem")))
     scored = flows.order_scores(rows, details, adapters.products(t))
     return flows.drained(scored, "order-scores", close_windows=False)
 
 
-def _streamed_records(t: Tables, twice: bool = False) -> DataFrame:
-    messages = adapters.log_messages(stream_table(t.spark, t.folder, "events"))
+def stream_order_versions(t: Tables) -> DataFrame:
+    """Order updates as a stream: every order's records come in one batch, its details in another."""
+    rows = parsing.order_info(adapters.order_versions(adapters.streamed(t, "orders")))
+    details = parsing.order_detail(adapters.detail_records(adapters.streamed(t, "lineitem")))
+    scored = flows.order_scores(rows, details, adapters.products(t))
+    return flows.drained(scored, "order-versions", close_windows=False)
+
+
+def _streamed_records(t: Tables, twice: bool = False, closing: bool = False) -> DataFrame:
+    """Page-log records in several batches, then some that come too late and count for nothing."""
+    tail = adapters.late_events(t)
+    if closing:
+        tail = tail.unionByName(adapters.closing_event(t), allowMissingColumns=True)
+    messages = adapters.log_messages(adapters.streamed(t, "events", tail=tail))
     if twice:
         messages = adapters.redelivered(messages)
     return page_logs.device_and_search(page_logs.page_logs(messages))
@@ -358,12 +378,12 @@ def stream_dedup(t: Tables) -> DataFrame:
 
 
 def stream_window_last(t: Tables) -> DataFrame:
-    profile = flows.windowed_profile(_streamed_records(t, twice=True))
+    profile = flows.windowed_profile(_streamed_records(t, twice=True, closing=True))
     return flows.drained(behavior.profile_text(profile), "window-last")
 
 
 def stream_behavior_scores(t: Tables) -> DataFrame:
-    scored = flows.behavior_scores(_streamed_records(t, twice=True), adapters.searches(t))
+    scored = flows.behavior_scores(_streamed_records(t, twice=True, closing=True), adapters.searches(t))
     return flows.drained(scored, "behavior-scores")
 
 
@@ -373,7 +393,7 @@ def stream_running_profile(t: Tables) -> DataFrame:
 
 
 def stream_detail_monotone(t: Tables) -> DataFrame:
-    details = adapters.arriving_detail_rows(stream_table(t.spark, t.folder, "lineitem"))
+    details = adapters.arriving_detail_rows(adapters.streamed(t, "lineitem"))
     kept = flows.rising_only(details, "id", "create_time", DETAIL_ARRIVAL)
     return flows.drained(kept.select("id", "arrived_ms", "create_time"), "detail-monotone", close_windows=False)
 
@@ -405,6 +425,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         order_interval_join,
         log_dedup,
         detail_monotone,
+        order_versions,
+        profile_values,
+        log_quarantine,
+        weather_failures,
         running_pv,
         running_sets,
         window_last,
@@ -437,6 +461,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_log_identity,
         stream_order_join,
         stream_order_scores,
+        stream_order_versions,
         stream_dedup,
         stream_window_last,
         stream_behavior_scores,

@@ -60,17 +60,21 @@ def envelope(after: StructType) -> StructType:
             StructField("after", as_text(after)),
             StructField("source", _struct(table=_STRING)),
             StructField("ts_ms", _LONG),
+            StructField("op", _STRING),
             StructField("_corrupt", _STRING),
         ]
     )
 
 
-# Only what routing needs: which table, when, and whether there is a row.
+# Which table, when, what kind of record, and the key of its row under either of its names.
 ENVELOPE_HEAD = StructType(
     [
-        StructField("after", _STRING),
+        StructField("after", _struct(id=_STRING, uid=_STRING)),
         StructField("source", _struct(table=_STRING)),
         StructField("ts_ms", _LONG),
+        StructField("op", _STRING),
+        StructField("ddl", _STRING),
+        StructField("historyRecord", _STRING),
         StructField("_corrupt", _STRING),
     ]
 )
@@ -90,7 +94,7 @@ TAGS = _struct(
     ts=_LONG,
 )
 
-ROUTING = StructType([StructField("source", _struct(table=_STRING))])
+ROUTING = StructType([StructField("source", _struct(table=_STRING)), StructField("ts_ms", _LONG)])
 
 # Page logs carry more device fields than the ones profiled, and a repeat is a repeat of all of them,
 # so the common part is read as a map.

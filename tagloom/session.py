@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from types import ModuleType
 
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -31,32 +32,15 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
-def use_keyed_state(spark: SparkSession, module: ModuleType) -> None:
-    """Arbitrary keyed state needs the RocksDB state store, and workers that know the processor classes.
-
-    The classes travel with the query, so the package need not be installed on the workers.
-    """
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+def ship(module: ModuleType) -> None:
+    """The classes of a module travel with the query, so the package need not be installed on the workers."""
     cloudpickle.register_pickle_by_value(module)
 
 
-_made_here: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: the one the cluster names in ``spark.checkpoint.dir``.
-
-    A machine-local folder is made up only for a local master, where driver and executors share a disk.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _made_here:
-        _made_here[application] = tempfile.mkdtemp(prefix="tagloom-")
-    return _made_here[application]
+    """Folder every executor can reach: the one named in ``spark.checkpoint.dir``, else the warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return named.rstrip("/")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
@@ -64,9 +48,24 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/tagloom/{purpose}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """Materialises ``df`` in the shared folder, so that retries and reuse see the same rows."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` as a table in the shared folder: from then on Spark knows its size in bytes."""
+    path = new_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Session settings for the time of a block; what was there before comes back."""
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)

@@ -8,18 +8,20 @@ from pyspark.sql.streaming import StreamingQuery
 DURABLE = {"kafka.acks": "all", "kafka.enable.idempotence": "true"}
 
 
-def kafka_options(servers: str, topic: str | None = None, durable: bool = False) -> dict[str, str]:
-    """Without ``topic`` each row goes to the topic its ``topic`` column names."""
+def kafka_options(servers: str, topic: str | None = None, durable: bool = False, **further: str) -> dict[str, str]:
+    """Without ``topic`` each row goes to the topic its ``topic`` column names; ``further`` options win over the fixed ones."""
     options = {"kafka.bootstrap.servers": servers}
     if topic is not None:
         options["topic"] = topic
-    return {**options, **DURABLE} if durable else options
+    return {**options, **(DURABLE if durable else {}), **further}
 
 
-def write_messages(messages: DataFrame, servers: str, topic: str | None = None, durable: bool = False) -> None:
+def write_messages(
+    messages: DataFrame, servers: str, topic: str | None = None, durable: bool = False, **further: str
+) -> None:
     """Batch write of the ``value`` column (and ``topic``, if rows are routed)."""
     columns = ["value"] if topic is not None else ["topic", "value"]
-    messages.select(*columns).write.format("kafka").options(**kafka_options(servers, topic, durable)).save()
+    messages.select(*columns).write.format("kafka").options(**kafka_options(servers, topic, durable, **further)).save()
 
 
 def stream_messages(
@@ -30,13 +32,14 @@ def stream_messages(
     topic: str | None = None,
     durable: bool = False,
     every: str = "3 seconds",
+    **further: str,
 ) -> StreamingQuery:
     """Streaming write. A fixed ``name`` and ``checkpoint`` let a restarted query go on where it stopped."""
     columns = ["value"] if topic is not None else ["topic", "value"]
     return (
         messages.select(*columns)
         .writeStream.format("kafka")
-        .options(**kafka_options(servers, topic, durable))
+        .options(**kafka_options(servers, topic, durable, **further))
         .queryName(name)
         .option("checkpointLocation", checkpoint)
         .trigger(processingTime=every)

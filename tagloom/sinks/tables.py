@@ -34,10 +34,14 @@ def append_rows(rows: DataFrame, format: str = "jdbc", **options: str) -> None:
     writer.options(**(jdbc_write_options(**options) if format == "jdbc" else options)).save()
 
 
-def append_each_batch(format: str = "jdbc", **options: str):
-    """The same append for a stream's ``foreachBatch``."""
+def write_each_batch(path: str, format: str = "parquet"):
+    """A table of batches for a stream's ``foreachBatch``: a batch that is replayed replaces itself.
+
+    Each batch has a folder of its own, ``batch_id=<n>`` below ``path``. A reader of ``path`` sees every row once and
+    the batch as a column. Load databases from there, or with a unique key on (batch_id, row).
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_rows(batch, format, **options)
+        batch.write.mode("overwrite").format(format).save(f"{path.rstrip('/')}/batch_id={batch_id}")
 
     return write

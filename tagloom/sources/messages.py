@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def kafka_options(servers: str, topic: str, starting: str = "earliest") -> dict[str, str]:
+def kafka_options(servers: str, topic: str, starting: str = "earliest", **further: str) -> dict[str, str]:
+    """Reader options; ``further`` ones (rate limit, security, group, partition bounds) by the names Spark gives them."""
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
         # A log that was truncated behind a stopped query is reported, not skipped.
         "failOnDataLoss": "true",
+        **further,
     }
 
 
@@ -39,23 +41,23 @@ def read_messages(
     return reader.format(format).schema("value STRING").options(**options).load(source)
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Batch rows in at least as many pieces as there are cores.
+def spread(rows: DataFrame, pieces: int) -> DataFrame:
+    """Batch rows dealt evenly into ``pieces``, for work bound by the processor over input that is stored in too few."""
+    return rows.repartition(pieces)
 
-    Reading JSON text is bound by the processor, so an input stored in a few
-    unsplittable pieces is dealt out first. Larger inputs are left alone.
+
+def replayed(rows: DataFrame, ms: str, folder: str, batches: int = 3, tail: DataFrame | None = None) -> DataFrame:
+    """Stored rows as a bounded stream of ``batches`` micro-batches, one file each, by the time ``ms`` (an SQL expression).
+
+    The span of time is cut evenly, so a batch holds nothing older than the one before. ``tail`` rows
+    follow in a batch of their own. For data that stands in for a topic.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
-def stream_table(spark: SparkSession, folder: str, name: str, max_files: int = 1000) -> DataFrame:
-    """A stored parquet table as a bounded stream; ``name`` is a file or a folder of files in ``folder``."""
-    path = f"{folder.rstrip('/')}/{name}.parquet"
-    schema = spark.read.parquet(path).schema
-    reader = spark.readStream.format("parquet").schema(schema).option("maxFilesPerTrigger", max_files)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    status = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop_path)
-    if status.isDirectory():
-        return reader.load(path)
-    return reader.option("pathGlobFilter", f"{name}.parquet").load(folder)
+    first, last = rows.selectExpr(f"min({ms})", f"max({ms})").first()
+    width = ((last or 0) - (first or 0)) // batches + 1
+    number = F.coalesce(F.expr(f"floor(({ms} - {first or 0}L) / {width}L)"), F.lit(0))
+    for n in range(batches):  # the file source takes files by age
+        rows.filter(number == n).coalesce(1).write.parquet(f"{folder}/{n}")
+    if tail is not None:
+        tail.select(*rows.columns).coalesce(1).write.parquet(f"{folder}/{batches}")
+    reader = rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(f"{folder}/*")

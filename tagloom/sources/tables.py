@@ -6,26 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 class Tables:
-    """The stored tables of one folder; each is opened and counted at most once."""
+    """The stored tables of one folder; each is opened at most once."""
 
     def __init__(self, spark: SparkSession, folder: str, format: str = "parquet") -> None:
         self.spark = spark
         self.folder = folder.rstrip("/")
         self._format = format
         self._opened: dict[str, DataFrame] = {}
-        self._rows: dict[str, int] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._opened:
             self._opened[name] = self.spark.read.format(self._format).load(f"{self.folder}/{name}.{self._format}")
         return self._opened[name]
 
-    def rows(self, name: str) -> int:
-        """Row count; reads no columns."""
-        if name not in self._rows:
-            self._rows[name] = self[name].count()
-        return self._rows[name]
-
 
 def jdbc_options(
     url: str,
@@ -68,10 +61,10 @@ def read_query(spark: SparkSession, **options) -> DataFrame:
 
 
 def camel_case(name: str) -> str:
-    first, *rest = name.split("_")
-    return first + "".join(part[:1].upper() + part[1:] for part in rest)
+    first, *rest = name.lower().split("_")
+    return first + "".join(part.capitalize() for part in rest)
 
 
 def camel_columns(df: DataFrame) -> DataFrame:
-    """``tm_name`` -> ``tmName`` for every column."""
+    """``tm_name`` and ``TM_NAME`` -> ``tmName`` for every column."""
     return df.withColumnsRenamed({name: camel_case(name) for name in df.columns})

@@ -19,9 +19,9 @@ from tagloom.operators.page_logs import PROFILE_FIELDS
 from tagloom.operators.parsing import with_key
 from tagloom.operators.profiles import WINDOW_MS
 from tagloom.plans.behavior_scores import score_profiles
-from tagloom.plans.order_scores import ARRIVAL, score_orders
+from tagloom.plans.order_scores import ARRIVAL, pair_arrival, score_orders
 from tagloom.plans.user_tags import tag_rows
-from tagloom.session import new_folder, use_keyed_state
+from tagloom.session import ROCKSDB, new_folder, settings, ship
 from tagloom.streaming import processors
 
 # How far event time may run behind, for typed user and log rows and for raw records.
@@ -77,7 +77,7 @@ def without_repeats(records: DataFrame, delay: str = RAW_DELAY) -> DataFrame:
 
 def windowed_profile(records: DataFrame, width_ms: int = WINDOW_MS, delay: str = RAW_DELAY) -> DataFrame:
     """Profile as of the end of each closed window, from raw records (repeats are removed first)."""
-    use_keyed_state(records.sparkSession, processors)
+    ship(processors)
     windows = (
         without_repeats(records, delay)
         .groupBy("uid", F.window("event_time", f"{width_ms} milliseconds").alias("w"))
@@ -101,7 +101,7 @@ def running_profile(records: DataFrame, delay: str = RAW_DELAY) -> DataFrame:
     (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) and leave guests out of
     this form; ``windowed_profile`` has no such limit.
     """
-    use_keyed_state(records.sparkSession, processors)
+    ship(processors)
     kept = without_repeats(records, delay).drop("event_time")
     return kept.groupBy("uid").transformWithState(
         processors.RunningProfile(), processors.RUNNING_PROFILE, "Append", "None"
@@ -112,7 +112,7 @@ def rising_only(
     rows: DataFrame, key: str, value: str, order: list[str], ttl_ms: int = processors.LAST_VALUE_TTL_MS
 ) -> DataFrame:
     """Rows whose value exceeds the last one passed for the key within the time to live; a NULL value counts as 0."""
-    use_keyed_state(rows.sparkSession, processors)
+    ship(processors)
     known = rows.withColumn(value, F.coalesce(value, F.lit(0).cast("long")))
     return known.groupBy(key).transformWithState(
         processors.RisingOnly(value, order, ttl_ms), known.schema, "Append", "ProcessingTime"
@@ -138,7 +138,8 @@ def behavior_scores(records: DataFrame, searches: DataFrame) -> DataFrame:
 
 
 def order_scores(orders: DataFrame, details: DataFrame, products: DataFrame) -> DataFrame:
-    kept = rising_only(orders_with_details(orders, details), "detail_id", "create_time", ARRIVAL)
+    arriving = orders_with_details(orders, details).withColumn("_arrival", pair_arrival())
+    kept = rising_only(arriving, "detail_id", "create_time", ARRIVAL).drop("_arrival")
     return score_orders(kept, products)
 
 
@@ -163,20 +164,14 @@ def drained(rows: DataFrame, name: str, close_windows: bool = True) -> DataFrame
     """
     spark = rows.sparkSession
     folder = new_folder(spark, name)
-    wanted = {"spark.sql.streaming.noDataMicroBatches.enabled": str(close_windows).lower()}
-    if spark.sparkContext.master.startswith("local"):
-        # Each shuffle partition is a set of state stores; beyond the cores of one machine they only cost.
-        partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-        wanted["spark.sql.shuffle.partitions"] = str(partitions)
-    before = {setting: spark.conf.get(setting) for setting in wanted}
-    for setting, value in wanted.items():
-        spark.conf.set(setting, value)
-    try:
+    wanted = {
+        "spark.sql.streaming.noDataMicroBatches.enabled": str(close_windows).lower(),
+        # Arbitrary keyed state needs this state store; the session's own setting comes back afterwards.
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    }
+    with settings(spark, wanted):
         query = start_files(
             rows, folder.rsplit("/", 1)[1], f"{folder}/rows", f"{folder}/checkpoint", availableNow=True
         )
         query.awaitTermination()
-    finally:
-        for setting, value in before.items():
-            spark.conf.set(setting, value)
     return spark.read.schema(rows.schema).parquet(f"{folder}/rows")

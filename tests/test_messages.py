@@ -67,6 +67,46 @@ def test_envelope_and_quarantine(spark, mixed):
     assert parsing.drop_tombstones(mixed).count() == 8
 
 
+def test_every_message_is_a_row_a_delete_a_tombstone_or_in_quarantine(spark):
+    messages = log(
+        spark,
+        change("user_info", USER),
+        change("user_info", USER | {"id": "abc"}),
+        change("user_info", None),
+        {**change("user_info", USER), "op": "d"},
+        {**change("user_info", USER), "op": "u"},
+        {"source": {"table": "user_info"}, "ddl": "ALTER TABLE", "ts_ms": 1},
+        {"historyRecord": "x"},
+        change("user_info_sup", {"height": "1"}),
+        {"after": {"id": 1}},
+        "broken",
+        None,
+    )
+    kinds = [row.kind for row in parsing.envelope(messages).collect()]
+    reasons = sorted(row.reason for row in parsing.quarantine(messages).collect())
+    assert sorted(kinds) == ["delete", "delete", "row", "row"]
+    assert reasons == ["bad key", "bad key", "no table", "not json", "schema change", "schema change"]
+    assert len(kinds) + len(reasons) + 1 == messages.count()
+    assert parsing.user_info(messages).count() == 2 and parsing.user_info_sup(messages).count() == 0
+
+
+def test_split_reads_and_parses_each_record_once(spark, mixed, tmp_path):
+    rows = parsing.split(mixed, str(tmp_path / "split"), "user_info", "order_info")
+    assert tuple(parsing.users_of(rows["user_info"]).first()) == tuple(parsing.user_info(mixed).first())
+    assert tuple(parsing.orders_of(rows["order_info"]).first()) == tuple(parsing.order_info(mixed).first())
+    for df in (parsing.users_of(rows["user_info"]), parsing.envelope(mixed), parsing.route(mixed, {"user_info": "u"})):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json(") <= 1 and "get_json_object" not in plan
+    none = parsing.split(mixed.limit(0), str(tmp_path / "none"), "user_info")
+    assert none["user_info"].count() == 0
+
+
+def test_log_quarantine_names_its_reasons(spark):
+    messages = log(spark, {"common": {"uid": "1", "os": "iOS 1"}, "ts": 1}, {"common": {"uid": "1"}, "ts": 2}, {"ts": 3}, "broken", None)
+    assert sorted(row.reason for row in page_logs.quarantine(messages).collect()) == ["no common part", "no system name", "not json"]
+    assert page_logs.device_and_search(page_logs.page_logs(messages)).count() == 1
+
+
 def test_routing_is_null_safe_and_writes_one_folder_per_topic(spark, mixed, tmp_path):
     routed = parsing.route(mixed, {"user_info": "users", "user_info_sup": "supplements"})
     assert sorted((row.topic, row.table) for row in routed.collect()) == [
@@ -152,6 +192,9 @@ def test_weather_summary_and_cities(spark):
 def test_options():
     source = message_source.kafka_options("h:1", "t")
     assert source["subscribe"] == "t" and source["startingOffsets"] == "earliest"
+    further = {"maxOffsetsPerTrigger": "5", "kafka.security.protocol": "SASL_SSL", "kafka.group.id": "g"}
+    assert further.items() <= message_source.kafka_options("h:1", "t", **further).items()
+    assert message_sink.kafka_options("h:1", "t", True, **further | {"kafka.acks": "1"})["kafka.acks"] == "1"
     assert message_sink.kafka_options("h:1", durable=True) == {
         "kafka.bootstrap.servers": "h:1", "kafka.acks": "all", "kafka.enable.idempotence": "true"
     }
@@ -167,6 +210,8 @@ def test_options():
 
 def test_camel_columns(spark):
     assert table_source.camel_columns(spark.range(1).select(F.lit(1).alias("tm_name"), "id")).columns == ["tmName", "id"]
+    upper = spark.range(1).select(F.lit(1).alias("TM_NAME"), F.lit(1).alias("SEARCH_CATEGORY"), F.lit(1).alias("ID"))
+    assert table_source.camel_columns(upper).columns == ["tmName", "searchCategory", "id"]
 
 
 def test_csv_has_44_columns_in_order_and_survives_quotes(spark, tmp_path):
@@ -180,6 +225,29 @@ def test_csv_has_44_columns_in_order_and_survives_quotes(spark, tmp_path):
     assert back.collect() == row.collect()
 
 
+def test_a_replayed_batch_replaces_itself(spark, tmp_path):
+    write = table_sink.write_each_batch(str(tmp_path / "batches"))
+    for batch_id, n in ((0, 3), (1, 4), (1, 4), (0, 3)):
+        write(spark.range(n), batch_id)
+    rows = spark.read.parquet(str(tmp_path / "batches"))
+    assert sorted(tuple(row) for row in rows.groupBy("batch_id").count().collect()) == [(0, 3), (1, 4)]
+
+
+def test_every_row_is_printed(spark, capsys):
+    files.print_rows("label")(spark.range(50).select("id", F.repeat(F.lit("x"), 300).alias("long")), 0)
+    printed = capsys.readouterr().out.splitlines()
+    assert len(printed) == 50 and all(line.startswith("label> ") and "x" * 300 in line for line in printed)
+
+
+def test_failed_cities_are_listed_with_their_reason(spark):
+    texts = ['{"status":"0"}', '{"status":"1","lives":[]}', "oops", '{"status":"1"}']
+    rows = [(n, "p", "c", None, text) for n, text in enumerate(texts)]
+    read = weather.outcomes(spark.createDataFrame(rows, "code long, province string, city string, area string, response string"))
+    assert sorted((row.code, row.reason) for row in weather.failures(read).collect()) == [
+        (0, "bad status"), (1, "no reading"), (2, "no readable response")
+    ]
+
+
 def test_table_sink_appends(spark, tmp_path):
     path = str(tmp_path / "t")
     for _ in range(2):

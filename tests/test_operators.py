@@ -6,7 +6,10 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tagloom.operators import dimensions, interval_join, prefix_scan, profiles, repeats
+from tagloom.operators import dimensions, interval_join, profiles, repeats
+from tagloom.operators.interval_join import MERGED_COLUMNS
+from tagloom.plans.order_scores import first_pairs
+from tagloom.session import written
 from tagloom.operators.page_logs import PROFILE_FIELDS
 
 MINUTE = 60 * 1000
@@ -84,32 +87,50 @@ def brute_profile(rows):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [10, 100, 10_000])
-def test_running_profile_is_the_same_however_hot_keys_are_cut(spark, hot_rows):
-    rows = sorted(set(log_rows(900)), key=repr)
+@pytest.mark.parametrize("slot_ms", [1, 7 * MINUTE, 60 * MINUTE, 10**12])
+def test_running_profile_is_the_same_however_wide_the_slots(spark, slot_ms):
+    rows = sorted({(None, *row[1:]) if row[0] == "u3" else row for row in log_rows(900)}, key=repr)
     records = spark.createDataFrame(rows, RECORDS)
-    got = profiles.running_profile(records, hot_rows=hot_rows).select(
+    got = profiles.running_profile(records, slot_ms).select(
         "uid", "ts", "pv", *[profiles.joined(F.col(f"{name}_set")) for name in PROFILE_FIELDS]
     )
-    assert tuples(got) == sorted(brute_profile(rows), key=repr)
-    views = profiles.running_views(records, hot_rows=hot_rows).select("uid", "ts", "pv")
-    assert tuples(views) == sorted([r[:3] for r in brute_profile(rows)], key=repr)
+    expected = [(None if row[0] == "" else row[0], *row[1:]) for row in brute_profile([(r[0] or "", *r[1:]) for r in rows])]
+    assert tuples(got) == sorted(expected, key=repr)
+    views = profiles.running_views(records, slot_ms).select("uid", "ts", "pv")
+    assert tuples(views) == sorted([r[:3] for r in expected], key=repr)
 
 
-def test_hot_keys_raise_the_bar_when_there_are_too_many(spark, monkeypatch):
-    monkeypatch.setattr(prefix_scan, "MAX_HOT_KEYS", 3)
-    rows = spark.createDataFrame([(k,) for k, n in zip("abcdefg", (40, 30, 20, 5, 5, 5, 5)) for _ in range(n)], "k string")
-    found, total = prefix_scan.hot_keys(rows, "k", 4)
-    assert {key for (key,) in found} == {"a"} and total == 40
+def tasks_with_rows(df):
+    return len({row[0] for row in df.select(F.spark_partition_id()).distinct().collect()})
 
 
-def test_hot_rows_are_spread_over_many_tasks(spark):
-    rows = sorted(set(log_rows(2000, hot=0.9)), key=repr)
+def test_one_user_with_many_rows_is_spread_over_tasks(spark):
+    rows = [("-1", n * 1000, "iOS", "web", "m", "b", f"t{n}", None) for n in range(4000)]
     records = spark.createDataFrame(rows, RECORDS)
-    scanned = profiles.running_views(records, hot_rows=50)
-    hot = scanned.filter("uid = '-1'")
-    assert hot.count() == sum(1 for row in rows if row[0] == "-1")
-    assert hot.agg(F.max("pv")).first()[0] == hot.count()
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        views = profiles.running_views(records, 2 * MINUTE)
+        windows = profiles.windowed_profile(records, range_slots=4)
+        assert tasks_with_rows(views) > 1 and tasks_with_rows(windows) > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert views.agg(F.max("pv")).first()[0] == 4000
+    assert tuples(windows.select("window_start", "pv", F.size("search_item_set"))) == sorted(
+        [(n * 2 * MINUTE, min(4000, (n + 1) * 120), min(4000, (n + 1) * 120)) for n in range(34)], key=repr
+    )
+
+
+def test_profile_values_are_the_sets_in_long_form(spark):
+    rows = sorted(set(log_rows(500)), key=repr)
+    found = tuples(profiles.profile_values(spark.createDataFrame(rows, RECORDS)))
+    first = {}
+    for row in rows:
+        for field, value in zip(PROFILE_FIELDS, row[2:7]):
+            if value is not None:
+                key = (row[0], field, value)
+                first[key] = min(first.get(key, row[1]), row[1])
+    assert found == sorted([(*key, ts // (2 * MINUTE) * 2 * MINUTE) for key, ts in first.items()], key=repr)
 
 
 def test_windowed_profile_is_the_last_of_the_running_profile(spark):
@@ -118,8 +139,9 @@ def test_windowed_profile_is_the_last_of_the_running_profile(spark):
     columns = [profiles.joined(F.col(f"{name}_set")).alias(name) for name in PROFILE_FIELDS]
     last = profiles.last_in_window(profiles.running_profile(records), ["pv"])
     expected = last.select("uid", "window_start", "pv", *columns)
-    got = profiles.windowed_profile(records).select("uid", "window_start", "pv", *columns)
-    assert tuples(got) == tuples(expected)
+    for range_slots in (1, 3, 720):
+        got = profiles.windowed_profile(records, range_slots=range_slots).select("uid", "window_start", "pv", *columns)
+        assert tuples(got) == tuples(expected)
     assert got.count() == len({(row[0], row[1] // (2 * MINUTE)) for row in rows})
 
 
@@ -131,10 +153,10 @@ def test_dedup_is_idempotent_and_keeps_every_distinct_record(spark):
     assert tuples(repeats.without_repeats(once)) == tuples(once)
 
 
-@pytest.mark.parametrize("hot_rows", [5, 10_000])
-def test_rising_only_equals_brute_force(spark, hot_rows):
+@pytest.mark.parametrize("width", [1, 17, 10_000])
+def test_rising_only_equals_brute_force(spark, width):
     rng = random.Random(3)
-    rows = [("hot" if rng.random() < 0.4 else f"k{rng.randrange(9)}", rng.choice([None, *range(30)]), i) for i in range(400)]
+    rows = [("hot" if rng.random() < 0.4 else rng.choice([None, *"abcdefgh"]), rng.choice([None, *range(30)]), i) for i in range(400)]
     kept, last = [], {}
     for key, value, arrived in rows:
         known = 0 if value is None else value
@@ -142,15 +164,25 @@ def test_rising_only_equals_brute_force(spark, hot_rows):
             last[key] = known
             kept.append((key, known, arrived))
     df = spark.createDataFrame(rows, "k string, v long, arrived long").repartition(7)
-    assert tuples(repeats.rising_only(df, "k", "v", ["arrived"], hot_rows=hot_rows)) == sorted(kept, key=repr)
+    assert tuples(repeats.rising_only(df, "k", "v", ["arrived"], F.floor(F.col("arrived") / width))) == sorted(kept, key=repr)
 
 
 def test_rising_only_with_a_hot_group_of_copies(spark):
     rows = [("hot", 5, 1, "x")] * 300 + [("hot", 4, 2, "y")] * 50 + [("hot", 6, 3, "z")] + [(f"k{i}", i, 0, "x") for i in range(100)]
     df = spark.createDataFrame(rows, "k string, v long, arrived long, pay string").repartition(5)
     expected = [("hot", 5, 1, "x"), ("hot", 6, 3, "z"), *rows[351:]]
-    assert tuples(repeats.rising_only(df, "k", "v", ["arrived"], hot_rows=20)) == sorted(expected, key=repr)
-    assert tuples(repeats.rising_only(df, "k", "v", ["arrived"])) == sorted(expected, key=repr)
+    assert tuples(repeats.rising_only(df, "k", "v", ["arrived"], F.col("arrived"))) == sorted(expected, key=repr)
+
+
+def test_order_versions_give_the_same_first_pair_in_any_arrangement(spark):
+    base = dict.fromkeys(MERGED_COLUMNS, "x") | {"detail_id": "11", "create_time": 5, "detail_ts_ms": 60_000, "sku_id": 1, "sku_num": 1}
+    pairs = [base | {"ts_ms": ts, "total_amount": amount} for ts, amount in [(0, "100.00"), (30_000, "9000.00"), (60_000, "2000.00")]]
+    pairs += [base | {"ts_ms": 90_000, "total_amount": "1.00", "create_time": 6}, base | {"ts_ms": 0, "total_amount": "100.00"}]
+    schema = ", ".join(f"{name} {'long' if name in ('create_time', 'ts_ms', 'detail_ts_ms', 'sku_id', 'sku_num') else 'string'}" for name in MERGED_COLUMNS)
+    for seed in range(4):
+        random.Random(seed).shuffle(pairs)
+        df = spark.createDataFrame([tuple(pair[name] for name in MERGED_COLUMNS) for pair in pairs], schema).repartition(seed + 1)
+        assert tuples(first_pairs(df).select("ts_ms", "total_amount", "create_time")) == [(0, "100.00", 5), (90_000, "1.00", 6)]
 
 
 def test_lookups_and_their_ties(spark):
@@ -172,22 +204,27 @@ def test_sku_lookup_misses_leave_nulls(spark):
     sku = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "id long, spu_id long")
     spu = spark.createDataFrame([(10, 61, 2), (20, 61, 99)], "id long, category3_id long, tm_id long")
     trademark = spark.createDataFrame([(2, "苹果")], "id long, tm_name string")
-    skus = dimensions.broadcast_if_small(dimensions.sku_dim(sku, spu, trademark), rows=3)
+    skus = written(dimensions.sku_dim(sku, spu, trademark), "skus")
     rows = spark.createDataFrame([(1,), (2,), (3,), (4,)], "sku_id long")
     assert tuples(dimensions.with_sku(rows, skus)) == [(1, 61, "苹果"), (2, None, None), (3, None, None), (4, None, None)]
 
 
-def test_large_dimensions_are_not_broadcast(spark):
-    dim = spark.range(100).withColumnRenamed("id", "k")
-    plan = lambda d: d._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan(dimensions.broadcast_if_small(dim, max_rows=100)).lower()
-    assert "broadcast" not in plan(dimensions.broadcast_if_small(dim, max_rows=99)).lower()
+def test_written_dimensions_are_broadcast_by_their_bytes(spark):
+    dim = written(spark.range(100).withColumnRenamed("id", "k"), "dim")
+    facts = written(spark.range(1000).withColumnRenamed("id", "k"), "facts")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold, expected in (("1m", "BroadcastHashJoin"), ("10", "SortMergeJoin")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            assert expected in facts.join(dim, "k", "left")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_adjusted_prices_take_the_latest_rule(spark):
     orders = spark.createDataFrame([("P123,iPhone 13,5999.00",), ("P456,小米电视,3299.00",), ("P9,x,1",)], "value string")
     rules = spark.createDataFrame([(0, "P123:0.5"), (1, "P123:0.9"), (2, "P456:0.8")], "seq int, value string")
-    assert tuples(dimensions.adjusted_prices(orders, rules)) == [
+    assert tuples(dimensions.adjusted_prices(orders, dimensions.latest_rates(rules))) == [
         ("P123", "iPhone 13", "5999.00", "0.90", "5399.10"),
         ("P456", "小米电视", "3299.00", "0.80", "2639.20"),
         ("P9", "x", "1.00", "1.00", "1.00"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators import interval_join, page_logs, parsing, profiles, repeats
 from tagloom.sinks import files, messages as message_sink
-from tagloom.sources.messages import read_messages, stream_table
+from tagloom.sources.messages import read_messages, replayed
 from tagloom.streaming import flows
 
 MINUTE = 60 * 1000
@@ -169,7 +169,7 @@ def test_messages_to_tags_to_files(spark, tmp_path):
 def test_csv_stream(spark, tmp_path):
     one = spark.range(3).select(*[F.col("id").cast("string").alias(name) for name in files.ORDER_CSV_COLUMNS])
     one.write.parquet(str(tmp_path / "in.parquet"))
-    rows = stream_table(spark, str(tmp_path), "in")
+    rows = replayed(spark.read.parquet(str(tmp_path / "in.parquet")), "CAST(uid AS bigint)", str(tmp_path / "feed"))
     files.stream_order_csv(
         rows, "csv", str(tmp_path / "csv"), str(tmp_path / "checkpoint"), availableNow=True
     ).awaitTermination()
