@@ -270,6 +270,7 @@ STREAM_TIMES = {
     "supplements": f"{_USER_TIME} + (c_custkey * 7 % 90 - 45) * 60000",
     "orders": _ORDER_TIME.format("o_orderkey"),
     "lineitem": _DETAIL_TIME,
+    "arrivals": "timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', l_shipdate)",
     "events": _EVENT_TIME,
 }
 

@@ -393,7 +393,7 @@ def stream_running_profile(t: Tables) -> DataFrame:
 
 
 def stream_detail_monotone(t: Tables) -> DataFrame:
-    details = adapters.arriving_detail_rows(adapters.streamed(t, "lineitem"))
+    details = adapters.arriving_detail_rows(adapters.streamed(t, "lineitem", "arrivals"))
     kept = flows.rising_only(details, "id", "create_time", DETAIL_ARRIVAL)
     return flows.drained(kept.select("id", "arrived_ms", "create_time"), "detail-monotone", close_windows=False)
 
