@@ -1,4 +1,4 @@
-"""What the operators share: written tables, whole-text walks in bounded pieces, and Arrow maps over texts."""
+"""What the operators share: whole-text walks in bounded pieces, and Arrow maps over texts."""
 
 from __future__ import annotations
 
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tagloom.session import new_folder
 
 # Bytes of text that one step of a Python worker holds at a time.
 PIECE_BYTES = 1 << 20
@@ -21,18 +20,6 @@ SPACE = re.compile(rb"[\x09-\x0d ]")
 SPACE_AFTER_TEXT = re.compile(r"(?<=\S)\s")
 
 
-def materialised(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written to the shared folder and read back.
-
-    It cuts the lineage, survives lost executors, and gives later joins a side
-    of known size behind an exchange of its own, so that Spark broadcasts it if
-    it is small and splits skewed partitions if it is not.
-    """
-    path = new_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def word_runs(data: bytes, size: int = PIECE_BYTES) -> Iterator[list[bytes]]:
     """Words of a whole text (cut at ASCII white space, A-Z lowered), some at a time.
 

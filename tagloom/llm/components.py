@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import materialised
+from tagloom.session import written
+
 
 
 def _star(pairs: DataFrame, bigger: bool) -> DataFrame:
@@ -16,7 +17,7 @@ def _star(pairs: DataFrame, bigger: bool) -> DataFrame:
     minimum is written before it is joined back: a node with very many
     neighbours is then a plain skewed join, which Spark splits.
     """
-    least = materialised(
+    least = written(
         pairs.groupBy("node").agg(F.least(F.min("other"), "node").alias("least")), "component-minimum"
     )
     moved = pairs.join(least, "node")
@@ -36,7 +37,7 @@ def components(links: DataFrame) -> DataFrame:
     a NULL end or from a node to itself is ignored.
     """
     a, b = links.columns
-    edges = materialised(
+    edges = written(
         links.filter(F.col(a) != F.col(b))
         .select(F.least(a, b).alias("least"), F.greatest(a, b).alias("far"))
         .distinct(),
@@ -55,5 +56,5 @@ def components(links: DataFrame) -> DataFrame:
         forth = edges.select(F.col("least").alias("node"), F.col("far").alias("other"))
         back = edges.select(F.col("far").alias("node"), F.col("least").alias("other"))
         large = _star(forth.unionByName(back), True).distinct()
-        large = materialised(large.select(F.col("far").alias("node"), F.col("least").alias("other")), "component-large")
-        edges = materialised(_star(large, False).distinct(), "component-links")
+        large = written(large.select(F.col("far").alias("node"), F.col("least").alias("other")), "component-large")
+        edges = written(_star(large, False).distinct(), "component-links")

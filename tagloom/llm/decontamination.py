@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tagloom.llm.common import map_texts, text_runs
 
 # Items are sent to the tasks in blocks of about so many characters, or one longer item.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_000_000
 FILTER_BITS = 20
 REMEMBERED = 300_000
 WORD = re.compile(r"\w+")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import ascii_lower, materialised
+from tagloom.llm.common import ascii_lower
+from tagloom.session import written
 
 BLANKS = " \t\n\x0b\f\r"
 
@@ -58,7 +59,7 @@ def drop_repeated_lines(
         .filter(F.length("line") >= min_length)
         .select("key", "version", "position", *_hash(F.col("line")))
     )
-    lines = materialised(lines, "line-hashes")
+    lines = written(lines, "line-hashes")
     if min_docs <= 2:  # found in two documents if the smallest and the largest key differ: one shuffle, no distinct count
         shared = F.lit(min_docs < 2) | (F.min("key") < F.max("key"))
     else:
@@ -69,7 +70,7 @@ def drop_repeated_lines(
         .filter("shared")
         .select("h1", "h2", "owner")
     )
-    repeated = materialised(repeated, "repeated-lines")
+    repeated = written(repeated, "repeated-lines")
     dropped = (
         lines.join(repeated, ["h1", "h2"])
         .filter(F.col("key") != F.col("owner"))

@@ -9,11 +9,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import materialised
+from tagloom.session import written
+
 
 # Vectors in a block, with its own sorted projections, and queries that go over it together.
 BLOCK_VECTORS = 16384
-BLOCK_QUERIES = 256
+BLOCK_QUERIES = 512
 PROJECTIONS = 40
 # Share of the projections that a vector must collide in to be verified.
 COLLISIONS = 0.6
@@ -140,7 +141,7 @@ def nearest(
         rows = rows.filter(F.col("id").isNotNull() & usable(F.col("vector")))
         return rows.groupBy("id").agg(F.min("vector").alias("vector"))
 
-    base, asked = materialised(clean(vectors), "vectors"), materialised(clean(queries), "query-vectors")
+    base, asked = written(clean(vectors), "vectors"), written(clean(queries), "query-vectors")
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x))
     total, largest = base.agg(F.count(F.lit(1)), F.max(norm)).first()
     blocks = max(1, math.ceil(total / BLOCK_VECTORS))

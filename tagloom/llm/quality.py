@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.common import map_texts, materialised, text_runs
+from tagloom.llm.common import map_texts, text_runs
+from tagloom.session import written
 
 # Words share this many vectors by hash, so that the table has a fixed size however large the vocabulary grows.
 BUCKETS = 1 << 14
@@ -204,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         .orderBy(F.xxhash64("key"), "key")
         .limit(MAX_LABELLED)
     )
-    chosen = materialised(chosen, "labelled")
+    chosen = written(chosen, "labelled")
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "key")
 
     def make() -> Callable[[list[str]], list[tuple]]:

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.common import map_texts, materialised, shingle_hashes, word_runs
+from tagloom.llm.common import map_texts, shingle_hashes, word_runs
 from tagloom.llm.components import components
+from tagloom.session import written
 
 BITS = 64
+# Fingerprints that one task turns into balls.
+FINGERPRINTS_PER_TASK = 100_000
 SEED = 42
 
 
@@ -99,13 +104,15 @@ def near_duplicates(
     the documents they are near to (NULL if there are none); repeated rows stay.
     Other columns of ``docs`` are ignored; no documents give no rows.
     """
-    marked = materialised(fingerprints(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), shingle, "key"), "fingerprints")
-    distinct = materialised(marked.groupBy("bits").agg(F.min("key").alias("first_key")), "fingerprint-classes")
-    roots = components(links(distinct.select("bits"), distance)).select(F.col("node").alias("bits"), "root")
+    marked = written(fingerprints(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), shingle, "key"), "fingerprints")
+    distinct = written(marked.groupBy("bits").agg(F.min("key").alias("first_key")), "fingerprint-classes")
+    # Few bytes, but each becomes a whole ball: dealt out by number, not by size.
+    spread = distinct.select("bits").repartition(math.ceil((distinct.count() + 1) / FINGERPRINTS_PER_TASK))
+    roots = components(links(spread, distance)).select(F.col("node").alias("bits"), "root")
     rooted = distinct.join(roots, "bits", "left").select("bits", "first_key", F.coalesce("root", "bits").alias("root"))
-    rooted = materialised(rooted, "fingerprint-roots")
-    smallest = materialised(rooted.groupBy("root").agg(F.min("first_key").alias("component_id")), "fingerprint-components")
-    classes = materialised(rooted.join(smallest, "root").select("bits", "component_id"), "fingerprint-classes")
+    rooted = written(rooted, "fingerprint-roots")
+    smallest = written(rooted.groupBy("root").agg(F.min("first_key").alias("component_id")), "fingerprint-components")
+    classes = written(rooted.join(smallest, "root").select("bits", "component_id"), "fingerprint-classes")
     return marked.join(classes, "bits").select(F.col("key").alias(key), "bits", "component_id")
 
 
@@ -116,7 +123,7 @@ def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2, key: str =
     they have a near-duplicate with a key.
     """
     found = near_duplicates(docs, shingle, distance, key, text)
-    dropped = materialised(
+    dropped = written(
         found.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_dropped")).distinct(), "near-duplicates"
     )
     return docs.join(dropped, docs[key] == F.col("_dropped"), "left_anti")

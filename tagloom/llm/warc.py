@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.common import materialised
-from tagloom.session import new_folder
+from tagloom.session import new_folder, written
 
 CHUNK = 1 << 16
 # An archive is closed once its records have this many bytes.
@@ -201,7 +200,7 @@ def write_raw(
         .filter((F.col("copies") > 1) & F.col("first").isNotNull())
         .select("shared", "first")
     )
-    firsts = materialised(firsts, "page-responses")
+    firsts = written(firsts, "page-responses")
     typed = rows.join(firsts, F.col("digest") == F.col("shared"), "left").select(
         "page_id", "url", "digest", "n",
         F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"),
@@ -222,7 +221,7 @@ def write_raw(
             [pa.array([x[0] for x in done], pa.string()), pa.array([x[1] for x in done], pa.int64())], ARCHIVES.names
         )
 
-    return materialised(typed.mapInArrow(write, ARCHIVES), "raw-archives")
+    return written(typed.mapInArrow(write, ARCHIVES), "raw-archives")
 
 
 def normalise_archives(archives: DataFrame, source: str, target: str) -> DataFrame:
@@ -252,7 +251,7 @@ def normalise_archives(archives: DataFrame, source: str, target: str) -> DataFra
                 counts.append(n)
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int64())], ARCHIVES.names)
 
-    return materialised(_one_per_task(archives).mapInArrow(rewrite, ARCHIVES), "archives")
+    return written(_one_per_task(archives).mapInArrow(rewrite, ARCHIVES), "archives")
 
 
 def _one_per_task(archives: DataFrame) -> DataFrame:

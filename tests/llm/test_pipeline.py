@@ -11,7 +11,8 @@ from test_lines import brute as brute_lines
 from test_simhash import brute_components, brute_print
 
 import corpus_pipeline
-from tagloom.llm.common import materialised
+
+from tagloom.session import written
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -21,7 +22,7 @@ def stages(spark):
     """What goes into each stage, and the last one's rows."""
     out = [spark.read.parquet(f"{FOLDER}/documents.parquet")]
     for _, stage in corpus_pipeline.STAGES:
-        out.append(materialised(stage(spark, out[-1], FOLDER), "stage"))
+        out.append(written(stage(spark, out[-1], FOLDER), "stage"))
     return [df.collect() for df in out], [df.columns for df in out]
 
 
