@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm import bpe, decontamination, lines, quality, simhash
-from tagloom.llm.common import materialised
+from tagloom.session import written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -60,7 +60,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the last one's rows."""
     docs = _table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = materialised(stage(spark, docs, sf_dir), "pipeline")
+        docs = written(stage(spark, docs, sf_dir), "pipeline")
     return docs
 
 
