@@ -107,7 +107,9 @@ def near_duplicates(
     marked = written(fingerprints(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), shingle, "key"), "fingerprints")
     distinct = written(marked.groupBy("bits").agg(F.min("key").alias("first_key")), "fingerprint-classes")
     # Few bytes, but each becomes a whole ball: dealt out by number, not by size.
-    spread = distinct.select("bits").repartition(math.ceil((distinct.count() + 1) / FINGERPRINTS_PER_TASK))
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, math.ceil(distinct.count() / FINGERPRINTS_PER_TASK))
+    spread = distinct.select("bits").repartition(tasks)
     roots = components(links(spread, distance)).select(F.col("node").alias("bits"), "root")
     rooted = distinct.join(roots, "bits", "left").select("bits", "first_key", F.coalesce("root", "bits").alias("root"))
     rooted = written(rooted, "fingerprint-roots")
