@@ -360,6 +360,8 @@ def dirty_page_logs(t: Tables) -> DataFrame:
 
 def change_log(t: Tables) -> DataFrame:
     """All four tables as one log of change records."""
+    if (stored := t.topic("change_log")) is not None:
+        return stored
     customers = t["customer"]
     return (
         user_records(customers)
@@ -399,6 +401,8 @@ def log_messages(events: DataFrame) -> DataFrame:
 
 
 def page_log_messages(t: Tables) -> DataFrame:
+    if (stored := t.topic("page_log")) is not None:
+        return stored
     return log_messages(_dealt(t["events"]))
 
 

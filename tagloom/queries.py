@@ -402,8 +402,8 @@ def _over_folder(query: Callable[[Tables], DataFrame]) -> Callable[[SparkSession
     return lambda spark, folder: query(Tables(spark, folder))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: _over_folder(query)
+BY_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
+    query.__name__: query
     for query in (
         pay_time_slot,
         score_time,
@@ -469,3 +469,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_detail_monotone,
     )
 }
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    name: _over_folder(query) for name, query in BY_TABLES.items()
+}

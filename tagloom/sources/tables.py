@@ -6,10 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 class Tables:
-    """The stored tables of one folder; each is opened at most once."""
+    """The stored tables of one folder; each is opened at most once.
 
-    def __init__(self, spark: SparkSession, folder: str, format: str = "parquet") -> None:
+    ``topics`` are folders of messages (parquet, column ``value``) by topic name, where they are stored already.
+    """
+
+    def __init__(
+        self, spark: SparkSession, folder: str, format: str = "parquet", topics: dict[str, str] | None = None
+    ) -> None:
         self.spark = spark
+        self._topics = topics or {}
         self.folder = folder.rstrip("/")
         self._format = format
         self._opened: dict[str, DataFrame] = {}
@@ -19,6 +25,11 @@ class Tables:
             self._opened[name] = self.spark.read.format(self._format).load(f"{self.folder}/{name}.{self._format}")
         return self._opened[name]
 
+    def topic(self, name: str) -> DataFrame | None:
+        """Stored messages of a topic, if there are any."""
+        path = self._topics.get(name)
+        return None if path is None else self.spark.read.schema("value STRING").parquet(path)
+
 
 def jdbc_options(
     url: str,

@@ -94,6 +94,21 @@ def windowed_profile(records: DataFrame, width_ms: int = WINDOW_MS, delay: str =
     )
 
 
+def last_in_arrival_window(rows: DataFrame, order: list[str], width_ms: int = WINDOW_MS) -> DataFrame:
+    """The last row per user and tumbling window of the time rows arrive, whatever time they carry.
+
+    Combines before the shuffle. A window is written once a later batch has come after its end.
+    """
+    payload = [name for name in rows.columns if name != "uid"]
+    return (
+        rows.withColumn("_arrived", F.current_timestamp())
+        .withWatermark("_arrived", "0 seconds")
+        .groupBy("uid", F.window("_arrived", f"{width_ms} milliseconds").alias("_window"))
+        .agg(F.max_by(F.struct(*payload), F.struct(*order)).alias("_last"))
+        .select("uid", F.unix_millis("_window.start").alias("window_start"), "_last.*")
+    )
+
+
 def running_profile(records: DataFrame, delay: str = RAW_DELAY) -> DataFrame:
     """One profile row per record; repeats are removed first.
 

@@ -115,6 +115,16 @@ def test_windowed_profile_equals_batch_over_closed_windows(spark, tmp_path):
     assert tuples(streamed.select(*columns)) == tuples(expected.select(*columns))
 
 
+def test_arrival_windows_take_the_last_row_of_each_batch(spark, tmp_path):
+    inbox = Inbox(spark, tmp_path / "in", "uid string, ts long, pv long")
+    batches = [[("a", 9, 1), ("a", 1, 2), ("b", 5, 1)], [("a", 3, 3)], [("a", 2, 4), ("b", 0, 2)]]
+    for batch in batches:
+        inbox.put(batch)
+    out = run(flows.last_in_arrival_window(inbox.stream(), ["pv"], width_ms=1), tmp_path / "out")
+    assert tuples(out.select("uid", "ts", "pv")) == [("a", 1, 2), ("a", 3, 3), ("b", 5, 1)]
+    assert out.select("window_start").distinct().count() == 2
+
+
 def test_running_profile_equals_batch(spark, tmp_path):
     rows = records(150, seed=4)
     inbox = Inbox(spark, tmp_path / "in", RECORDS)
