@@ -15,9 +15,9 @@ from tagloom.session import written
 # Vectors in a block, with its own sorted projections, and queries that go over it together.
 BLOCK_VECTORS = 16384
 BLOCK_QUERIES = 512
-PROJECTIONS = 40
+PROJECTIONS = 64
 # Share of the projections that a vector must collide in to be verified.
-COLLISIONS = 0.6
+COLLISIONS = 0.58
 # Windows reach this many radii to either side of the query; radii grow by this factor from this start (of a diameter of 2).
 REACH = 1.0
 GROWTH = 1.2
