@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import base64
-import heapq
 from array import array
 from collections.abc import Callable
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import regex
@@ -88,29 +88,25 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     A node is the byte it starts at; ``after[i]`` is where the node ends and the
     next begins. A heap entry is void once one of its nodes has changed.
     """
-    n = len(piece)
+    n, rank_of = len(piece), ranks.get
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    heap = []
-    for i in range(n - 1):
-        rank = ranks.get(piece[i : i + 2])
-        if rank is not None:
-            heap.append((rank, i, i + 1, i + 2))
-    heapq.heapify(heap)
+    heap = [(rank, i, i + 1, i + 2) for i in range(n - 1) if (rank := rank_of(piece[i : i + 2])) is not None]
+    heapify(heap)
     while heap:
-        _, left, middle, end = heapq.heappop(heap)
+        _, left, middle, end = heappop(heap)
         if after[left] != middle or after[middle] != end:
             continue
         after[left], after[middle] = end, -1
         if end < n:
             before[end] = left
-            rank = ranks.get(piece[left : after[end]])
+            rank = rank_of(piece[left : after[end]])
             if rank is not None:
-                heapq.heappush(heap, (rank, left, end, after[end]))
+                heappush(heap, (rank, left, end, after[end]))
         if left > 0:
             start = before[left]
-            rank = ranks.get(piece[start:end])
+            rank = rank_of(piece[start:end])
             if rank is not None:
-                heapq.heappush(heap, (rank, start, left, end))
+                heappush(heap, (rank, start, left, end))
     ids, at = [], 0
     while at < n:
         ids.append(ranks[piece[at : after[at]]])
@@ -150,11 +146,11 @@ class Codec:
             pieces = self.split(run)
             forget(self.known, REMEMBERED)
             self._learn(list(set(pieces).difference(self.known)))
-            parts.append(b"".join([self.known[piece] for piece in pieces]))
+            parts.append(b"".join(map(self.known.__getitem__, pieces)))
         return np.frombuffer(b"".join(parts), np.int32)
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join([self.bytes_of[number] for number in ids.tolist()])
+        return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
 
 
 ENCODED = T.StructType([T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
