@@ -291,7 +291,7 @@ def compressed(
     Components become whole numbers, the floor of 1024 times their value, and
     vectors are cut into four parts (as equal as their length allows), each with
     a codebook of up to 256 entries; see ``fit`` and ``encode``. ``label_error``
-    adds up the errors of equal labels, NULLs together. Vectors that are NULL
+    adds up the errors of equal labels, NULLs together (NULL if beyond 64 bits). Vectors that are NULL
     or empty, hold a NULL or non-finite component (or one beyond 62 bits), or
     are not as long as that with the smallest key, have no row. Rows with a
     NULL key are coded, but seed no codebook before others do; repeated rows

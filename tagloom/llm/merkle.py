@@ -186,15 +186,17 @@ def manifest(
             leaf_digest([F.col(name) + 1 if name == number else F.col(name) for name in columns]),
         ).alias("tampered"),
     )
-    leaves = numbered(leaves, ["key", "digest"], "merkle-leaves")
+    # Written first: dealing by range looks at its input twice.
+    leaves = numbered(written(leaves, "merkle-digests"), ["key", "digest"], "merkle-leaves")
     levels = tree_levels(leaves, arity, block_levels)
     subroots = levels[-1].select("tree", F.col("digest").alias("subroot"))
 
     tops = numbered(subroots.select(F.lit("").alias("tree"), F.col("tree").alias("group"), F.col("subroot").alias("digest")), ["group"], "merkle-subroots")
     top_levels = tree_levels(tops, arity, block_levels)
-    root = top_levels[-1].select(F.col("digest").alias("root"))
+    roots = [row.digest for row in top_levels[-1].select("digest").collect()]  # one, or none without rows
     nothing = F.expr(f"CAST(array() AS {PATH})")
-    above = paths_down(top_levels, top_levels[-1].select("tree", F.lit(0).cast("long").alias("block"), nothing.alias("path")), arity, block_levels)
+    start = top_levels[-1].select("tree", F.lit(0).cast("long").alias("block"), nothing.alias("path"))
+    above = paths_down(top_levels, written(start, "merkle-paths"), arity, block_levels)
 
     def own_paths(nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
         nodes = nodes.sort_values("position")
@@ -212,7 +214,7 @@ def manifest(
     )
     outer = paths_down(levels, of_groups.select("tree", F.lit(0).cast("long").alias("block"), "path"), arity, block_levels)
     # One row for every superblock, so what joins here is a small part of the leaves.
-    outer = outer.join(subroots, "tree").join(F.broadcast(root))
+    outer = outer.join(subroots, "tree").withColumn("root", F.lit(roots[0] if roots else None).cast("string"))
 
     def finish(nodes: pd.DataFrame, needed: pd.DataFrame) -> pd.DataFrame:
         nodes = nodes.sort_values("position")

@@ -1,0 +1,112 @@
+"""Vector codes against nested loops."""
+
+import hashlib
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from tagloom.llm import codes
+
+SCHEMA = "vec_id long, embedding array<double>, label int, code int, error string, key string, position int"
+
+
+def brute(rows, entries=256, rounds=4):
+    kept = []
+    for key, vector, label in rows:
+        if vector and all(x is not None and math.isfinite(x) and abs(x) * 1024 < 2**62 for x in vector):
+            kept.append((key, [math.floor(Fraction(x) * 1024) for x in vector], label))
+    kept.sort(key=lambda row: (row[0] is None, row[0] or 0, row[1]))
+    kept = [row for row in kept if len(row[1]) == len(kept[0][1])]
+    if not kept:
+        return []
+    size = len(kept[0][1])
+    bounds = [part * size // 4 for part in range(5)]
+    cut = [[tuple(vector[a:b]) for a, b in zip(bounds, bounds[1:])] for _, vector, _ in kept]
+    books = [[parts[p] for parts in cut[:entries]] for p in range(4)]
+
+    def nearest(part, book):
+        return min((sum((x - y) ** 2 for x, y in zip(part, entry)), n) for n, entry in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(4):
+            held = {}
+            for parts in cut:
+                held.setdefault(nearest(parts[p], books[p])[1], []).append(parts[p])
+            for n, members in held.items():
+                books[p][n] = tuple(sum(column) // len(members) for column in zip(*members))
+    coded = []
+    for (key, _, label), parts in zip(kept, cut):
+        found = [nearest(part, book) for part, book in zip(parts, books)]
+        coded.append((key, label, "".join(f"{n:02x}" for _, n in found), sum(away for away, _ in found)))
+    of_label = {}
+    for _, label, _, error in coded:
+        of_label[label] = of_label.get(label, 0) + error
+    text = ",".join(str(x) for book in books for entry in book for x in entry)
+    digest = hashlib.sha256(text.encode()).hexdigest()
+    return sorted([(key, code, error, of_label[label], digest) for key, label, code, error in coded], key=str)
+
+
+def made(spark, rows, **sizes):
+    frame = spark.createDataFrame([(*row, 1, "e", "k", 2) for row in rows], SCHEMA)
+    return sorted(map(tuple, codes.compressed(frame, **sizes).collect()), key=str)
+
+
+def test_clustered_vectors_with_copies(spark):
+    random = np.random.RandomState(4)
+    centres = random.standard_normal((6, 12))
+    data = np.round(centres[random.randint(0, 6, 240)] + 0.3 * random.standard_normal((240, 12)), 2)
+    data[80:160] = data[5]  # a third are copies
+    rows = [(key * 7 % 240, vector.tolist(), None if key % 4 == 0 else key % 3) for key, vector in enumerate(data)]
+    assert made(spark, rows, entries=16) == brute(rows, 16)
+    assert made(spark, rows, entries=200, rounds=1) == brute(rows, 200, 1)
+
+
+def test_odd_vectors(spark):
+    good = [(3, [0.5, -0.25, 1.0, 0.0], 1), (3, [0.5, -0.25, 1.0, 0.0], None), (1, [0.0] * 4, 1), (None, [-0.0001, 1e-9, 2.5, -3.5], None)]
+    odd = [(5, None, 1), (6, [], 1), (7, [1.0, None, 1.0, 1.0], 1), (8, [math.nan] * 4, 1), (9, [1.0, math.inf, 0.0, 0.0], 2), (0, [1e300] * 4, 1), (2, [1.0] * 8, 1)]
+    found = made(spark, good + odd)
+    assert found == brute(good + odd) and len(found) == 4
+
+
+def test_numbers_beyond_27_bits_are_added_up_exactly(spark):
+    rows = [(n, [n * 4e3 + 0.3, -n * 3e3, 3e5 - n, 0.001 * n], n % 2) for n in range(40)]
+    assert made(spark, rows, entries=7) == brute(rows, 7)
+
+
+def test_errors_beyond_64_bits_are_null(spark):
+    found = made(spark, [(1, [0.0] * 4, 1), (2, [4e15] * 4, 1)], entries=1, rounds=0)
+    assert [row[2:4] for row in found] == [(0, 0), (None, 0)]
+
+
+@pytest.mark.parametrize("size", [1, 3, 4, 5, 9])
+def test_any_length(spark, size):
+    random = np.random.RandomState(size)
+    rows = [(n, random.standard_normal(size).tolist(), None) for n in range(30)]
+    assert made(spark, rows, entries=5) == brute(rows, 5)
+
+
+def test_no_vectors(spark):
+    assert made(spark, []) == []
+    assert made(spark, [(1, None, 1)]) == []
+
+
+def test_trie_walk_in_small_blocks(monkeypatch):
+    monkeypatch.setattr(codes, "NODES", 3)
+    random = np.random.RandomState(1)
+    parts = np.unique(random.randint(-3, 3, (400, 5)), axis=0)
+    entries = random.randint(-3, 3, (9, 5))
+    away = ((parts[:, None] - entries) ** 2).sum(axis=2)
+    index, error = codes.nearest_entries(parts, entries)
+    assert (index == away.argmin(axis=1)).all() and (error == away.min(axis=1)).all()
+
+
+def test_coding_keeps_other_columns(spark):
+    rows = spark.createDataFrame([(1, [0.5] * 4, "a"), (2, [0.7] * 4, None)], "vec_id long, embedding array<double>, note string")
+    fitted = codes.fit(rows)
+    found = codes.encode(rows, fitted)
+    assert found.columns == ["vec_id", "note", "code", "error"]
+    assert {row.note: row.error for row in found.collect()} == {"a": 0, None: 0}
+    with pytest.raises(ValueError):
+        codes.encode(rows.withColumnRenamed("note", "Code"), fitted)
