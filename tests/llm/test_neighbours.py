@@ -60,6 +60,38 @@ def test_recall_over_several_blocks_and_norms(spark, monkeypatch):
     assert all(len(listed) == 10 and key not in listed for key, listed in found.items())
 
 
+@pytest.mark.parametrize("table, most", [("check_s", 0.2), ("check_h", 0.2)])
+def test_few_vectors_are_verified(spark, table, most):
+    """Recall, and the share of all vectors that is verified, with the bound of another block."""
+    rows = spark.read.parquet(f"/root/testdata/{table}/embeddings.parquet").filter(neighbours.usable(F.col("embedding"))).collect()
+    ids, vectors = np.array([row.vec_id for row in rows]), np.array([row.embedding for row in rows], np.float64)
+    largest = float(np.linalg.norm(vectors, axis=1).max()) * (1 + 1e-12)
+    block = neighbours.Block(ids, vectors, largest)
+    asked = np.flatnonzero(ids % 20 == 0)[:150]
+    hits, bounds = 0, np.empty(len(asked))
+    exact = {}
+    for n, at in enumerate(asked):
+        products = vectors @ vectors[at]
+        others = np.flatnonzero((np.arange(len(ids)) != at) & (np.arange(len(ids)) % 2 == 0))
+        bounds[n] = np.sort(products[others])[-20]
+        exact[ids[at]] = sorted((-products[j], ids[j]) for j in np.flatnonzero(ids != ids[at]))[:20]
+    found = {}
+    for query, other, score in block.nearest(ids[asked], vectors[asked], bounds, 20):
+        found.setdefault(query, []).append(score)
+    for query, best in exact.items():
+        hits += sum(score >= -best[-1][0] - 1e-9 for score in found.get(query, []))
+    assert hits / (20 * len(asked)) >= 0.95
+    assert block.verified / (len(asked) * len(ids)) < most
+
+
+@pytest.mark.parametrize("dims", [1, 2, 9, 64, 65, 200])
+def test_directions_are_at_right_angles(dims):
+    lines = neighbours.directions(dims)
+    assert len(lines) >= neighbours.PROJECTIONS
+    first = lines[: min(dims, neighbours.PROJECTIONS)]
+    assert np.allclose(first @ first.T, dims * np.eye(len(first)))
+
+
 def test_copies_tie_by_key(spark):
     rows = [(n, [1.0, 2.0, 3.0]) for n in range(40, 0, -1)] + [(100, [-1.0, 0.0, 0.5])]
     vectors = frame(spark, rows)
