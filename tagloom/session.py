@@ -48,6 +48,13 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/tagloom/{purpose}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as a full URI, for code that opens it without Spark: one without a scheme is on the default file system."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(hadoop).toString()
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` as a table in the shared folder: from then on Spark knows its size in bytes."""
     path = new_folder(df.sparkSession, purpose)
