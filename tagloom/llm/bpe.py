@@ -18,6 +18,8 @@ from tagloom.llm.common import forget, map_texts, text_runs
 
 # Pre-tokens whose ids a task remembers at most, about 60 MB; beyond it the older half goes.
 REMEMBERED = 300_000
+# Characters of a text that are looked at together.
+RUN_CHARS = 1 << 18
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -142,7 +144,7 @@ class Codec:
 
     def encode(self, text: str) -> np.ndarray:
         parts = []
-        for run in text_runs(text, 1 << 18):
+        for run in text_runs(text, RUN_CHARS):
             pieces = self.split(run)
             forget(self.known, REMEMBERED)
             self._learn(list(set(pieces).difference(self.known)))

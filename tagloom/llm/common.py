@@ -17,7 +17,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 # Bytes of text that one step of a Python worker holds at a time.
 PIECE_BYTES = 1 << 20
 SPACE = re.compile(rb"[\x09-\x0d ]")
-SPACE_AFTER_TEXT = re.compile(r"(?<=\S)\s")
+# The white space of Unicode's property, which is what the vocabularies' patterns mean by it; Python's
+# own \\s adds the separators U+001C to U+001F.
+WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+SPACE_AFTER_TEXT = re.compile(f"(?<=[^{WHITE}])[{WHITE}]")
 
 
 def word_runs(data: bytes, size: int = PIECE_BYTES) -> Iterator[list[bytes]]:
@@ -47,6 +50,14 @@ def text_runs(text: str, size: int = PIECE_BYTES) -> Iterator[str]:
         at = end
 
 
+def free_name(rows: DataFrame, wanted: str) -> str:
+    """``wanted``, with underscores before it until ``rows`` has no such column."""
+    taken = {name.lower() for name in rows.columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
+
+
 def shingle_hashes(words: list[bytes], k: int, digest: Callable[[bytes, int], int], seed: int) -> list[int]:
     """Hash of each run of ``k`` space-joined words."""
     joined = b" ".join(words)

@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import xxhash
@@ -13,11 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.common import map_texts, text_runs
+from tagloom.llm.common import forget, free_name, map_texts, text_runs
+from tagloom.session import new_folder, written
 
 # Items are sent to the tasks in blocks of about so many characters, or one longer item.
-BLOCK_CHARS = 1_000_000
-FILTER_BITS = 20
+BLOCK_CHARS = 4_000_000
+FILTER_BITS = 22
+CANDIDATES_REMEMBERED = 2_000
 REMEMBERED = 300_000
 WORD = re.compile(r"\w+")
 POWER = 0x9E3779B97F4A7C15
@@ -48,45 +49,80 @@ def rolled(numbers: np.ndarray, k: int) -> np.ndarray:
     return out * np.uint64(0xBF58476D1CE4E5B9)
 
 
+class SizeClass:
+    """Sketches of the items of one size class: which items hold a hash, and how many of its own an item needs."""
+
+    def __init__(self, sketches: list[tuple[int, list[int], int]]):
+        held = sorted((value, at) for at, (_, sketch, _) in enumerate(sketches) for value in sketch)
+        values, self.holders = np.array([v for v, _ in held], np.uint64), np.array([at for _, at in held], np.int64)
+        self.items = np.array([item for item, _, _ in sketches], np.int64)
+        self.needs = np.array([need for _, _, need in sketches], np.int64)
+        self.values, firsts = np.unique(values, return_index=True)
+        self.bounds = np.append(firsts, len(values))
+
+    def among(self, values: np.ndarray) -> np.ndarray:
+        """Places of the hashes that some item of the class has sketched."""
+        at = np.minimum(np.searchsorted(self.values, values), len(self.values) - 1)
+        return np.unique(at[self.values[at] == values])
+
+    def candidates(self, places: np.ndarray) -> list[int]:
+        """Items with as many of their sketched hashes among these as they need."""
+        holders = np.concatenate([self.holders[self.bounds[at] : self.bounds[at + 1]] for at in places.tolist()])
+        shared = np.bincount(holders, minlength=len(self.items))
+        return self.items[shared >= self.needs].tolist()
+
+
 class ItemIndex:
     """A block of items, partitioned by size, with a MinHash sketch of each item.
 
     The size of an item is its number of different shingles. Partitions are
-    bounded by powers of two. A sketch holds the item's smallest shingle hashes,
-    as many as an item of the partition's upper size may miss, plus one: an item
-    contained to the threshold then has at least one sketched shingle in the
-    document, so no contained item is lost. Items with fewer words than a
-    shingle have one shingle, all of their words, in partitions of their own.
+    bounded by powers of two. A sketch holds the item's smallest shingle hashes:
+    as many as an item of the partition's upper size may miss, and an eighth of
+    that size more (one at least). An item contained to the threshold has all
+    but what it may miss of them in the document, so the larger the class, the
+    more hashes must be found, and no contained item is lost. Items with fewer
+    words than a shingle have one shingle, all of their words, in partitions of
+    their own. Shingles themselves are worked out for candidates only.
     """
 
     def __init__(self, items: list[tuple[int, str]], shingle: int, threshold: float):
-        self.threshold = threshold
-        self.shingles: list[dict[tuple[str, ...], int]] = []
+        self.shingle, self.threshold = shingle, threshold
         self.names: list[int] = []
+        self.texts: list[str] = []
         self.lengths: list[int] = []
         hashes = _Hashes()
-        sketches: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+        sketches: dict[tuple[int, int], list[tuple[int, list[int], int]]] = defaultdict(list)
         for name, text in items:
             words = words_of(text)
             if not words:
                 continue
             k = min(shingle, len(words))
-            runs = [tuple(words[at : at + k]) for at in range(len(words) - k + 1)]
-            values = rolled(np.array([hashes[word] for word in words], np.uint64), k).tolist()
-            found = dict(zip(runs, values))
-            at = len(self.names)
+            different = len({tuple(words[at : at + k]) for at in range(len(words) - k + 1)})
+            values = np.unique(rolled(np.array([hashes[word] for word in words], np.uint64), k)).tolist()
+            upper = (1 << different.bit_length()) - 1
+            sketch = values[: self._may_miss(upper) + max(1, upper // 8)]
+            sketches[k, different.bit_length()].append((len(self.names), sketch, len(sketch) - self._may_miss(different)))
             self.names.append(name)
+            self.texts.append(text)
             self.lengths.append(k)
-            self.shingles.append(found)
-            upper = (1 << len(found).bit_length()) - 1
-            for value in sorted(set(found.values()))[: int((1 - threshold) * upper + 1e-9) + 1]:
-                sketches[k][value].append(at)
-        self.sketches = {k: dict(found) for k, found in sketches.items()}
-        self.sorted = {k: np.array(sorted(found), np.uint64) for k, found in self.sketches.items()}
+        self.classes = {size: SizeClass(found) for size, found in sketches.items()}
         self.filters = {}
-        for k, values in self.sorted.items():
-            self.filters[k] = np.zeros(1 << FILTER_BITS, bool)
-            self.filters[k][(values >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        for (k, _), held in self.classes.items():
+            seen = self.filters.setdefault(k, np.zeros(1 << FILTER_BITS, bool))
+            seen[(held.values >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        self.known: dict[int, dict[tuple[str, ...], int]] = {}
+
+    def _may_miss(self, n: int) -> int:
+        return int((1 - self.threshold) * n + 1e-9)
+
+    def shingles(self, at: int, hashes: _Hashes) -> dict[tuple[str, ...], int]:
+        """Hash of each different shingle of an item; those last asked for are remembered."""
+        if at not in self.known:
+            forget(self.known, CANDIDATES_REMEMBERED)
+            words, k = words_of(self.texts[at]), self.lengths[at]
+            values = rolled(np.array([hashes[word] for word in words], np.uint64), k).tolist()
+            self.known[at] = dict(zip((tuple(words[n : n + k]) for n in range(len(words) - k + 1)), values))
+        return self.known[at]
 
     def walk(self, text: str, hashes: _Hashes, lengths: list[int]) -> Iterator[tuple[int, list[str], np.ndarray]]:
         """(shingle length, words, hash of the shingle at each word) of a whole text, piece by piece."""
@@ -99,27 +135,29 @@ class ItemIndex:
                 yield k, words, rolled(numbers, k)
             carried = words[max(0, len(words) - longest + 1) :]
 
-    def candidates(self, text: str, hashes: _Hashes) -> set[int]:
-        """Items with a sketched shingle in the text."""
-        found: set[int] = set()
-        for k, _, values in self.walk(text, hashes, list(self.sketches)):
+    def candidates(self, text: str, hashes: _Hashes) -> list[int]:
+        """Items of every size class that share enough sketched shingles with the text."""
+        places: dict[tuple[int, int], list[np.ndarray]] = defaultdict(list)
+        for k, _, values in self.walk(text, hashes, list(self.filters)):
             likely = values[self.filters[k][(values >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]]
             if len(likely):
-                at = np.minimum(np.searchsorted(self.sorted[k], likely), len(self.sorted[k]) - 1)
-                for value in set(likely[self.sorted[k][at] == likely].tolist()):
-                    found.update(self.sketches[k][value])
-        return found
+                for size, held in self.classes.items():
+                    if size[0] == k and len(found := held.among(likely)):
+                        places[size].append(found)
+        found = [self.classes[size].candidates(np.unique(np.concatenate(parts))) for size, parts in places.items()]
+        return sorted(at for items in found for at in items)
 
     def contained(self, text: str, hashes: _Hashes) -> list[tuple[int, int, int]]:
         """(item, its shingles, those found in the text) of every item contained to the threshold."""
-        if not self.sketches:
+        if not self.classes:
             return []
-        candidates = sorted(self.candidates(text, hashes))
+        candidates = self.candidates(text, hashes)
         if not candidates:
             return []
+        own = {at: self.shingles(at, hashes) for at in candidates}
         wanted: dict[int, set[int]] = defaultdict(set)
         for at in candidates:
-            wanted[self.lengths[at]].update(self.shingles[at].values())
+            wanted[self.lengths[at]].update(own[at].values())
         sought = {k: np.array(sorted(values), np.uint64) for k, values in wanted.items()}
         present: dict[int, set[tuple[str, ...]]] = defaultdict(set)
         for k, words, values in self.walk(text, hashes, list(sought)):
@@ -128,16 +166,16 @@ class ItemIndex:
                 present[k].add(tuple(words[place : place + k]))
         out = []
         for at in candidates:
-            shared = sum(shingle in present[self.lengths[at]] for shingle in self.shingles[at])
-            if shared >= self.threshold * len(self.shingles[at]) - 1e-9:
-                out.append((self.names[at], len(self.shingles[at]), shared))
+            shared = sum(shingle in present[self.lengths[at]] for shingle in own[at])
+            if shared >= self.threshold * len(own[at]) - 1e-9:
+                out.append((self.names[at], len(own[at]), shared))
         return out
 
 
 def _blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[list[tuple[int, str]]]:
     rows = benchmark.select(F.col(key).cast("long"), F.coalesce(F.col(text), F.lit(""))).distinct()
     block, held = [], 0
-    for name, value in rows.toLocalIterator():  # never more than a block and a partition at a time
+    for name, value in rows.toLocalIterator():  # a partition at a time
         block.append((name, value))
         held += len(value)
         if held >= BLOCK_CHARS:
@@ -166,10 +204,13 @@ def contained_items(
     are empty; NULL keys are carried through; a repeated item counts once and
     repeated documents are rows of their own; other columns are ignored.
 
-    Items are the stated queries and go to the tasks in blocks of bounded size,
-    each of which passes over all documents once; nothing is shuffled.
+    Items are the stated queries and go to the tasks in blocks of bounded size.
+    A block's index passes over all documents once and its results are written
+    before the next block is read, so that the driver holds one block however
+    many there are; nothing is shuffled.
     """
-    made = T.StructType([T.StructField("items", T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("item_id", "n_shingles", "n_shared")])))])
+    pairs = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("item_id", "n_shingles", "n_shared")]))
+    made = T.StructType([T.StructField("items", pairs)])
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("_text"))
 
     def found(block: list[tuple[int, str]]) -> DataFrame:
@@ -180,16 +221,17 @@ def contained_items(
             names = ("item_id", "n_shingles", "n_shared")
             return lambda texts: [([dict(zip(names, row)) for row in index.contained(t, hashes)],) for t in texts]
 
-        return map_texts(rows, "_text", make, made)
-
-    parts = [found(block) for block in _blocks(benchmark, item_key, item_text)] or [found([])]
-    return (
-        reduce(DataFrame.unionByName, parts)
-        .select("key", F.inline("items"))
-        .select(
-            F.col("key").alias(key), "item_id", "n_shingles", "n_shared",
-            (F.col("n_shared") / F.col("n_shingles")).alias("containment"),
-        )
+        return map_texts(rows, "_text", make, made).select("key", F.inline("items"))
+
+    folder = new_folder(docs.sparkSession, "contained-items")
+    schema = found([]).schema
+    docs.sparkSession.createDataFrame([], schema).write.parquet(folder)
+    for block in _blocks(benchmark, item_key, item_text):
+        found(block).write.mode("append").parquet(folder)
+    stored = docs.sparkSession.read.schema(schema).parquet(folder)
+    return stored.select(
+        F.col("key").alias(key), "item_id", "n_shingles", "n_shared",
+        (F.col("n_shared") / F.col("n_shingles")).alias("containment"),
     )
 
 
@@ -204,10 +246,11 @@ def without_contaminated(
 ) -> DataFrame:
     """The rows of ``docs`` whose text holds no item to ``threshold`` or more; see ``contained_items``.
 
-    Rows are judged one by one, whatever their keys, and nothing is shuffled: each block of items filters what the
-    blocks before it have left.
+    Rows are judged one by one, whatever their keys, keep all their columns, and nothing is shuffled: each block of
+    items filters what the blocks before it have left, which is written in between.
     """
-    made = T.StructType([T.StructField("_clean", T.BooleanType())])
+    name = free_name(docs, "_clean")
+    made = T.StructType([T.StructField(name, T.BooleanType())])
 
     def clean(rows: DataFrame, block: list[tuple[int, str]]) -> DataFrame:
         index = ItemIndex(block, shingle, threshold)
@@ -216,6 +259,11 @@ def without_contaminated(
             hashes = _Hashes()
             return lambda texts: [(not index.contained(value, hashes),) for value in texts]
 
-        return map_texts(rows, text, make, made, keep_text=True).filter("_clean").drop("_clean")
+        return map_texts(rows, text, make, made, keep_text=True).filter(F.col(name)).drop(name)
 
-    return reduce(clean, _blocks(benchmark, item_key, item_text), docs)
+    blocks = _blocks(benchmark, item_key, item_text)
+    block = next(blocks, None)
+    while block is not None:
+        docs, block = clean(docs, block), next(blocks, None)
+        docs = docs if block is None else written(docs, "decontaminated")
+    return docs

@@ -40,17 +40,21 @@ def drop_repeated_lines(
     with the smallest key keeps its lines. A NULL or empty text is one empty
     line. Rows with a NULL key are returned whole and count for nothing; rows
     that repeat a key count as one document and each lose the same lines. Other
-    columns but those of ``keep`` are ignored; no documents give no rows.
+    columns but those of ``keep`` are ignored; a column of ``keep`` named as one
+    of the result's own raises ``ValueError``; no documents give no rows.
 
     Only 128-bit hashes of lines are shuffled to find the repeated ones, with
     map-side combining, so a line that most documents hold is one row per task;
     the text itself moves once, to meet the positions that its document loses.
     """
+    if twice := {name for name in keep if name.lower() in {key.lower(), "text", "n_lines", "n_dropped"}}:
+        raise ValueError(f"columns {sorted(twice)} would be there twice; rename them first")
+    kept = [F.col(name).alias(f"kept_{at}") for at, name in enumerate(keep)]
     rows = docs.select(
         F.col(key).alias("key"),
         F.col(text).alias("text"),
         F.xxhash64(F.coalesce(text, F.lit(""))).alias("version"),
-        F.struct(*keep, F.lit(None).alias("_none")).alias("rest"),
+        F.struct(F.lit(None).alias("none"), *kept).alias("rest"),
     )
     lines = (
         rows.filter(F.col("key").isNotNull())
@@ -90,6 +94,6 @@ def drop_repeated_lines(
             F.array_join(F.flatten(stretches), "\n").alias("text"),
             F.size("parts").cast("long").alias("n_lines"),
             F.size("lost").cast("long").alias("n_dropped"),
-            *[F.col("rest").getField(name).alias(name) for name in keep],
+            *[F.col("rest").getField(f"kept_{at}").alias(name) for at, name in enumerate(keep)],
         )
     )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.common import map_texts, text_runs
+from tagloom.llm.common import free_name, map_texts, text_runs
 from tagloom.session import written
 
 # Words share this many vectors by hash, so that the table has a fixed size however large the vocabulary grows.
@@ -58,7 +58,10 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     Each task adds up its own table of fixed size in whole numbers and the
     tables are summed by bucket, so the result does not depend on how the
-    corpus is split.
+    corpus is split. A word's context ends at the ends of its text and, in a
+    text of over a megabyte, where one piece (``text_runs``) ends and at every
+    65,536th word of a piece: of the pairs of neighbours there at most
+    ``2 * WINDOW - 1`` are not counted.
     """
     names = [f"v{n}" for n in range(DIMS)]
     schema = T.StructType([T.StructField("bucket", T.IntegerType()), *[T.StructField(n, T.LongType()) for n in names]])
@@ -237,8 +240,10 @@ def score(
 
 
 def accepted(docs: DataFrame, model: QualityModel, threshold: float = 0.3, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text scores at least ``threshold``; see ``score``."""
-    return map_texts(docs, text, _scorer(model), SCORED, keep_text=True).filter(F.col("_score") >= threshold).drop("_score")
+    """The rows of ``docs``, with all their columns, whose text scores at least ``threshold``; see ``score``."""
+    name = free_name(docs, "_score")
+    made = T.StructType([T.StructField(name, T.DoubleType())])
+    return map_texts(docs, text, _scorer(model), made, keep_text=True).filter(F.col(name) >= threshold).drop(name)
 
 
 SCORED = T.StructType([T.StructField("_score", T.DoubleType())])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.common import map_texts, shingle_hashes, word_runs
+from tagloom.llm.common import free_name, map_texts, shingle_hashes, word_runs
 from tagloom.llm.components import components
 from tagloom.session import written
 
@@ -122,10 +122,11 @@ def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2, key: str =
     """``docs`` without documents that are near-duplicates of one with a smaller key.
 
     Of rows with the same key all stay if the key is the smallest of its component; rows with a NULL key go only if
-    they have a near-duplicate with a key.
+    they have a near-duplicate with a key. All columns of ``docs`` stay, whatever their names.
     """
-    found = near_duplicates(docs, shingle, distance, key, text)
+    name = free_name(docs, "_dropped")
+    found = near_duplicates(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), shingle, distance, "key", "text")
     dropped = written(
-        found.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_dropped")).distinct(), "near-duplicates"
+        found.filter(F.col("key") != F.col("component_id")).select(F.col("key").alias(name)).distinct(), "near-duplicates"
     )
-    return docs.join(dropped, docs[key] == F.col("_dropped"), "left_anti")
+    return docs.join(dropped, F.col(key) == F.col(name), "left_anti")

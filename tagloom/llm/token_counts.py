@@ -19,6 +19,8 @@ from tagloom.llm.common import forget, map_texts, text_runs
 REMEMBERED = 400_000
 # Bytes of pre-tokens that are merged together at most, or one longer pre-token.
 MERGED_BYTES = 1 << 20
+# Characters of a text that are looked at together.
+RUN_CHARS = 1 << 18
 NO_RANK = np.iinfo(np.int32).max
 
 
@@ -30,6 +32,42 @@ def byte_letters() -> list[str]:
     return [letters[n] for n in range(256)]
 
 
+def _ranges(points: list[int]) -> str:
+    """Code points as the inside of a character class."""
+    parts, numbers = [], np.array(points, np.int64)
+    for run in np.split(numbers, np.flatnonzero(np.diff(numbers) != 1) + 1):
+        parts.append(f"\\U{run[0]:08x}-\\U{run[-1]:08x}")
+    return "".join(parts)
+
+
+def newer_characters(pattern: str) -> tuple[dict[str, str], dict[int, str]]:
+    """Where Python's character tables and the vocabulary's own library differ, for code points Python does not know yet.
+
+    Gives the classes (``L``, ``N``) of which the library leaves out code points that ``regex`` counts in, as insides of
+    a character class, and the lower case of letters that only the library can lower. Without the library both are empty.
+    """
+    try:
+        from tokenizers import Regex, normalizers, pre_tokenizers
+    except ImportError:
+        return {}, {}
+    unknown = [n for n in range(0x110000) if not 0xD800 <= n < 0xE000 and unicodedata.category(chr(n)) == "Cn"]
+    text = "".join(map(chr, unknown))
+    lowered = normalizers.Lowercase().normalize_str(text)
+    lower = {n: c for n, c in zip(unknown, lowered) if chr(n) != c} if len(lowered) == len(text) else {}
+    split = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+    beyond = {}
+    for name in ("L", "N"):
+        listed = [ord(c) for c in regex.findall(rf"\p{{{name}}}", text)]
+        # A letter joins the letter before it, a number and a sign do not; a sign joins the sign before it.
+        before = "a" if name == "L" else "!"
+        pieces = split.pre_tokenize_str(" ".join(before + chr(n) for n in listed)) if listed else []
+        whole = {piece[1] for piece, _ in pieces if len(piece) == 2}
+        left_out = [n for n in listed if (chr(n) in whole) != (name == "L")]
+        if left_out:
+            beyond[name] = _ranges(left_out)
+    return beyond, lower
+
+
 class WordMerges:
     """Vocabulary as arrays: the symbol of each byte inside and at the end of a word, and merges sorted by pair."""
 
@@ -50,6 +88,7 @@ class WordMerges:
         self.made = np.array([vocab[a + b] for a, b in merges], np.int64)
         pre = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pattern = pre
+        self.beyond, self.lower = newer_characters(pre)
         self.specials = [token["content"] for token in spec["added_tokens"]]
 
     def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -113,10 +152,19 @@ class Counter:
         self.split = regex.compile(merges.pattern).findall
         self.special = regex.compile("|".join(map(regex.escape, merges.specials))) if merges.specials else None
         self.known: dict[str, int] = {}
+        # Characters that the library's tables take otherwise are rare: texts with one go by a pattern that says so.
+        pattern = merges.pattern
+        for name, left_out in merges.beyond.items():
+            pattern = pattern.replace(rf"\p{{{name}}}", rf"[\p{{{name}}}--[{left_out}]]")
+        self.split_newer = regex.compile(pattern, regex.V1).findall
+        newer = "".join(merges.beyond.values()) + (_ranges(sorted(merges.lower)) if merges.lower else "")
+        self.newer = regex.compile(f"[{newer}]").search if newer else None
 
     def words(self, text: str) -> list[str]:
+        newer = self.newer is not None and not text.isascii() and self.newer(text)
         # Lower case letter by letter: a final sigma is no special case.
-        return self.split(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return self.split_newer(text.translate(self.merges.lower)) if newer else self.split(text)
 
     def learn(self, new: list[str]) -> None:
         raw = [word.encode() for word in new]
@@ -131,14 +179,14 @@ class Counter:
         waiting: list[tuple[int, list[str]]] = []
         held = 0
         for at, text in enumerate(texts):
-            for run in text_runs(text, 1 << 18):
+            for run in text_runs(text, RUN_CHARS):
                 parts = [run]
                 if self.special and "<" in run:
                     parts = self.special.split(run)
                     totals[at] += len(parts) - 1
                 waiting.append((at, [word for part in parts for word in self.words(part)]))
                 held += len(run)
-                if held >= 1 << 18:
+                if held >= RUN_CHARS:
                     self.settle(waiting, totals)
                     waiting, held = [], 0
         self.settle(waiting, totals)
@@ -163,7 +211,8 @@ def token_counts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
     Strings of its special tokens inside a text count one each. A NULL text is
     empty and has no tokens. NULL and repeated keys are rows like any other;
     other columns are ignored. Nothing is shuffled; a text is walked in bounded
-    pieces cut before white space, which no pre-token spans.
+    pieces cut before white space (as Unicode's property has it), which no
+    pre-token spans.
     """
     merges = WordMerges(vocabulary)
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.session import new_folder, written
+from tagloom.session import new_folder, qualified, written
 
 CHUNK = 1 << 16
 # An archive is closed once its records have this many bytes.
@@ -24,7 +24,7 @@ ANY_GZIP = zlib.MAX_WBITS | 16
 
 
 def _open(folder: str):
-    """File system and path of a folder's URI; a bare path is a local one."""
+    """File system and path of a folder's URI, as ``qualified`` gives it; a bare path is one of this machine."""
     if "://" in folder or folder.startswith("file:"):
         return pa.fs.FileSystem.from_uri(folder if "://" in folder else "file://" + folder.removeprefix("file:"))
     return pa.fs.LocalFileSystem(), folder
@@ -336,7 +336,8 @@ def archived(
     """Writes the pages to archives, normalises them, and gives what is read back from the normalised ones.
 
     Archives stay in ``folder`` (one in the shared folder if none is named): ``raw`` and, normalised, ``archives``.
+    A path without a scheme is on the file system that Spark takes for it, the same on every executor.
     """
-    folder = folder or new_folder(spark, "warc")
+    folder = qualified(spark, folder or new_folder(spark, "warc"))
     raw = write_raw(pages, f"{folder}/raw", min_bytes, archive_bytes=archive_bytes)
     return read_archives(normalise_archives(raw, f"{folder}/raw", f"{folder}/archives"), f"{folder}/archives")

@@ -1,5 +1,6 @@
 """Containment of benchmark items against brute force."""
 
+import gc
 import random
 
 import pytest
@@ -101,3 +102,40 @@ def test_no_rows(spark):
     assert decontamination.contained_items(documents(spark, []), items).collect() == []
     assert decontamination.contained_items(docs, benchmark(spark, [])).collect() == []
     assert decontamination.without_contaminated(docs, benchmark(spark, [])).count() == 3
+
+
+def test_classes_need_more_hashes_the_larger_they_are():
+    index = decontamination.ItemIndex([(n, " ".join(words(4 + 2**n, n))) for n in range(1, 9)], 5, 0.8)
+    needs = {size: held.needs.min() for (_, size), held in index.classes.items()}
+    assert [needs[size] for size in sorted(needs)] == sorted(needs.values()) and max(needs.values()) >= 20
+    # Far fewer than contained: a shared phrase is no candidate.
+    item = index.texts[-1].split()
+    assert index.candidates(" ".join(words(500, 77) + item[:20] + words(500, 78)), decontamination._Hashes()) == []
+    assert index.candidates(" ".join(item), decontamination._Hashes()) == [len(index.texts) - 1]
+
+
+def test_driver_holds_one_block_of_many(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK_CHARS", 1)
+    alive, blocks = [], decontamination._blocks
+
+    def counted(*args):
+        for block in blocks(*args):
+            gc.collect()
+            alive.append(sum(isinstance(held, decontamination.ItemIndex) for held in gc.get_objects()))
+            yield block
+
+    monkeypatch.setattr(decontamination, "_blocks", counted)
+    items = [(n, " ".join(words(12, n))) for n in range(100)]
+    rows = [(n, " ".join(words(12, 3 * n))) for n in range(40)]
+    result = decontamination.contained_items(documents(spark, rows), benchmark(spark, items))
+    assert found(result.collect()) == brute(rows, items)
+    assert len(alive) == 100 and max(alive) <= 3
+    left = decontamination.without_contaminated(documents(spark, rows), benchmark(spark, items)).collect()
+    assert {row.doc_id for row in left} == {key for key, _ in rows} - {key for key, *_ in brute(rows, items)}
+    assert len(alive) == 200 and max(alive) <= 3
+
+
+def test_any_column_names(spark):
+    frame = spark.createDataFrame([(1, " ".join(ITEM), "a", 1), (2, "other", "b", 2)], "doc_id long, text string, _clean string, items int")
+    kept = decontamination.without_contaminated(frame, benchmark(spark, ITEMS))
+    assert kept.columns == frame.columns and [tuple(row) for row in kept.collect()] == [(2, "other", "b", 2)]

@@ -71,3 +71,13 @@ def test_no_rows(spark):
 def test_plan_has_no_python(spark):
     plan = lines.drop_repeated_lines(table(spark, ROWS))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "InArrow"))
+
+
+def test_any_column_names(spark):
+    rows = [(1, "a repeated line\nown", "x", 1), (2, "a repeated line", "y", 2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _none string, version int")
+    kept = lines.drop_repeated_lines(frame, keep=("_none", "version"))
+    assert sorted((row.doc_id, row.text, row._none, row.version) for row in kept.collect()) == [(1, rows[0][1], "x", 1), (2, "", "y", 2)]
+    for name in ("n_lines", "Text"):
+        with pytest.raises(ValueError):
+            lines.drop_repeated_lines(frame.withColumnRenamed("_none", name) if name == "n_lines" else frame, keep=(name,))

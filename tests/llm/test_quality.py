@@ -1,5 +1,7 @@
 """The quality classifier: held-out accuracy and odd tables."""
 
+import math
+import re
 import zlib
 
 import numpy as np
@@ -86,3 +88,43 @@ def test_temperature_calibrates():
     for low in (0.1, 0.3, 0.5, 0.7):
         inside = (scores >= low) & (scores < low + 0.2)
         assert abs(scores[inside].mean() - y[3000:][inside].mean()) < 0.1
+
+
+def test_any_column_names(spark):
+    table = docs(spark, GOOD + BAD)
+    model = quality.fit(table, labels(spark, LABELS))
+    kept = quality.accepted(table, model)
+    assert kept.columns == table.columns
+    assert {row.doc_id for row in kept.collect()} == {row.doc_id for row in quality.score(table, model).collect() if row.predicted}
+
+
+def test_word_vectors_pooling_and_scores_by_hand(spark):
+    texts = [text for _, text in GOOD[:40] + BAD[:40]] + ["", "one", "two words", "a b a c a"]
+    table = docs(spark, list(enumerate(texts)))
+    vectors = quality.word_vectors(table)
+    places, signs = quality._index_vectors()
+    ids = [[zlib.crc32(word.encode()) % quality.BUCKETS for word in re.findall(r"\w+|[^\w\s]+", text)] for text in texts]
+    summed = {}
+    for words in ids:
+        for at, word in enumerate(words):
+            for beside in words[max(0, at - 2) : at] + words[at + 1 : at + 3]:
+                own = summed.setdefault(word, [0] * quality.DIMS)
+                for place, sign in zip(places[beside], signs[beside]):
+                    own[place] += sign
+    by_hand = {}
+    for word, own in summed.items():
+        length = math.sqrt(sum(x * x for x in own))
+        by_hand[word] = [x / length if length else 0.0 for x in own]
+        assert vectors[word] == pytest.approx(by_hand[word], abs=1e-6)
+    assert {n for n in range(quality.BUCKETS) if vectors[n].any()} == {word for word, own in summed.items() if any(own)}
+    model = quality.fit(table, labels(spark, [(n, int(n < 40)) for n in range(80)]))
+    w1, b1, w2, b2 = model.network.weights
+    scores = {row.doc_id: row.score for row in quality.score(table, model).collect()}
+    for n, words in enumerate(ids):
+        rows = [by_hand.get(word, [0.0] * quality.DIMS) for word in words]
+        mean = [sum(column) / len(rows) for column in zip(*rows)] if rows else [0.0] * quality.DIMS
+        spread = [math.sqrt(max(0, sum(x * x for x in column) / len(rows) - m * m)) for column, m in zip(zip(*rows), mean)] if rows else [0.0] * quality.DIMS
+        steps = [sum(abs(a - b) for a, b in zip(column, column[1:])) / max(1, len(rows) - 1) for column in zip(*rows)] if rows else [0.0] * quality.DIMS
+        x = (np.array(mean + spread + steps) - model.network.centre) / model.network.scale
+        logit = sum(math.tanh(sum(a * b for a, b in zip(x, column)) + bias) * out for column, bias, out in zip(w1.T, b1, w2)) + b2
+        assert scores[n] == pytest.approx(1 / (1 + math.exp(-logit / model.network.temperature)), abs=2e-4)

@@ -133,3 +133,10 @@ def test_one_of_each_keeps_the_smallest(spark):
     keys = sorted(row.doc_id for row in left.filter(F.col("doc_id").isNotNull()).collect())
     stays = [(k, t) for k, t in TEXTS if k is not None and expected[k, brute_print(t)] == k]
     assert keys == sorted(k for k, _ in stays)
+
+
+def test_any_column_names(spark):
+    rows = [(1, "a b c d", "x", 1), (2, "a b c d", "y", 2), (3, "e f g h", "z", 3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _dropped string, component_id int")
+    kept = simhash.one_of_each(frame, 3, 2)
+    assert kept.columns == frame.columns and sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]

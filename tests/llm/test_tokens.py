@@ -76,6 +76,35 @@ def test_forgetting_changes_nothing(monkeypatch, encoding):
         assert counter.count([text]) == [len(whole.encode(text, add_special_tokens=False).ids)]
 
 
+WHITE = [c for c in map(chr, range(0x10000)) if c.isspace() or ord(c) < 32 or 0x7F <= ord(c) <= 0xA0]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7])
+def test_pieces_cut_at_any_white_space_or_control_character(monkeypatch, encoding, size):
+    monkeypatch.setattr(bpe, "RUN_CHARS", size)
+    monkeypatch.setattr(token_counts, "RUN_CHARS", size)
+    codec = bpe.Codec(bpe.Codec.shared(RANKS, public_tokenizers.PATTERN))
+    counter = token_counts.Counter(token_counts.WordMerges(WORDS))
+    whole = Tokenizer.from_file(WORDS)
+    for c in WHITE:
+        for text in (f"!!!!!!{c}!!!!!x{c}{c}x-{c} -", f"it{c}'s <|endoftext|>{c} 12{c}3", f"{c} {c}--{c}--\n{c}"):
+            assert counter.count([text]) == [len(whole.encode(text, add_special_tokens=False).ids)], hex(ord(c))
+            assert codec.encode(text).tolist() == encoding.encode_ordinary(text), hex(ord(c))
+
+
+def test_characters_newer_than_the_tables(encoding):
+    counter = token_counts.Counter(token_counts.WordMerges(WORDS))
+    codec = bpe.Codec(bpe.Codec.shared(RANKS, public_tokenizers.PATTERN))
+    whole = Tokenizer.from_file(WORDS)
+    texts = []
+    for at in [*range(0x500, 0x3000), *range(0xA000, 0xAC00), *range(0x10000, 0x1F000, 3), *range(0x2B700, 0x40000, 41)]:
+        c = chr(at)
+        texts.append(f"ab{c}cd {c}{c}1!{c}é?{c.upper()}Z")
+    assert counter.count(texts) == [len(found.ids) for found in whole.encode_batch(texts, add_special_tokens=False)]
+    for text, ids in zip(texts, encoding.encode_ordinary_batch(texts)):
+        assert codec.encode(text).tolist() == ids
+
+
 def test_heap_takes_the_leftmost_of_equal_ranks():
     ranks = {bytes([n]): n for n in range(256)} | {b"aa": 300, b"aaa": 301, b"ba": 299}
     assert bpe.merged(b"aaaaa", ranks) == [300, 301]
