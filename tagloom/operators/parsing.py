@@ -37,6 +37,7 @@ DELETE_OP = "d"
 
 # Numeric keys by table.
 NUMERIC_KEYS = {"user_info": "id", "user_info_sup": "uid"}
+KEYS = {**NUMERIC_KEYS, "order_info": "id", "order_detail": "id"}
 
 
 def _schema_change() -> Column:

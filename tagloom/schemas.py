@@ -66,6 +66,20 @@ def envelope(after: StructType) -> StructType:
     )
 
 
+def change_record(row: StructType) -> StructType:
+    """Change or snapshot record of one table with the row before and after, and its place in the log."""
+    return StructType(
+        [
+            StructField("before", as_text(row)),
+            StructField("after", as_text(row)),
+            StructField("source", _struct(table=_STRING, pos=_LONG)),
+            StructField("ts_ms", _LONG),
+            StructField("op", _STRING),
+            StructField("_corrupt", _STRING),
+        ]
+    )
+
+
 # Which table, when, what kind of record, and the key of its row under either of its names.
 ENVELOPE_HEAD = StructType(
     [
