@@ -8,10 +8,11 @@ skewed partitions AQE splits.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions import textrows
+from tagloom.operators.as_of import as_of_join
 
 
 def category_dim(category3: DataFrame, category2: DataFrame, category1: DataFrame) -> DataFrame:
@@ -97,11 +98,27 @@ def adjusted_prices(orders: DataFrame, rates: DataFrame) -> DataFrame:
     ``orders.value`` holds ``id,name,price``; ``rates`` is what ``latest_rates`` gives.
     """
     items = orders.select(*textrows.priced_item(F.col("value")))
+    return items.join(rates, "id", "left").select(*rated_columns())
+
+
+def rated_columns() -> list[Column | str]:
+    """id, name, price, rate and adjusted price as text, of rows with a price and a rate or NULL."""
     rate = F.coalesce("rate", F.lit(1.0))
-    return items.join(rates, "id", "left").select(
+    return [
         "id",
         "name",
         textrows.fixed_point(F.col("price"), 2).alias("price"),
         textrows.fixed_point(rate, 2).alias("rate"),
         textrows.fixed_point(F.col("price") * rate, 2).alias("adjusted"),
-    )
+    ]
+
+
+def prices_as_of(orders: DataFrame, rules: DataFrame) -> DataFrame:
+    """Like ``adjusted_prices``, with the rate that held at the order's own time ``ts_ms``; 1.0 before the first rule.
+
+    ``rules`` has ``value``, ``ts_ms`` and ``seq``, which orders rules of one time.
+    """
+    items = orders.select(*textrows.priced_item(F.col("value")), "ts_ms")
+    known = rules.select(*textrows.rate_rule(F.col("value")), "ts_ms", "seq").filter(F.col("rate").isNotNull())
+    found = as_of_join(items, known, "id", "ts_ms", ["rate"], ["seq"])
+    return found.select(*rated_columns(), "ts_ms")

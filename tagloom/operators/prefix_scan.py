@@ -56,6 +56,40 @@ def max_before(name: str, column: str) -> Scan:
     )
 
 
+def min_before(name: str, column: str) -> Scan:
+    """Smallest value of the rows before the current one."""
+    return Scan(
+        name,
+        lambda w: F.min(column).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+        F.min(column),
+        lambda whole, w: F.min(whole).over(w),
+        lambda before, within: F.least(before, within),
+    )
+
+
+def last_known(name: str, column: str, order: list[str]) -> Scan:
+    """The last value that is not NULL up to the current row; ``order`` is the scan's."""
+    return Scan(
+        name,
+        lambda w: F.last(column, True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        F.max_by(column, F.when(F.col(column).isNotNull(), F.struct(*order))),
+        lambda whole, w: F.last(whole, True).over(w),
+        lambda before, within: F.coalesce(within, before),
+    )
+
+
+def running_sum(name: str, column: str) -> Scan:
+    """Sum of the rows before the current one."""
+    nothing = F.lit(0).cast("long")
+    return Scan(
+        name,
+        lambda w: F.sum(column).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+        F.sum(column),
+        lambda whole, w: F.sum(whole).over(w),
+        lambda before, within: F.coalesce(before, nothing) + F.coalesce(within, nothing),
+    )
+
+
 def first_slots(rows: DataFrame, key: str, fields: dict[str, str]) -> DataFrame:
     """(key, field, value, _slot): the slot each value was first seen in; combines before the shuffle.
 

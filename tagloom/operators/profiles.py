@@ -44,6 +44,13 @@ def running_profile(records: DataFrame, slot_ms: int = RECORD_SLOT_MS) -> DataFr
     return prefix_scan(records, "uid", RECORD_ORDER, slot_of(F.col("ts"), slot_ms), scans)
 
 
+def last_profile(records: DataFrame) -> DataFrame:
+    """Each user's page views and value sets over all records; what a stream can start from. Combines before the shuffle."""
+    return records.groupBy("uid").agg(
+        F.count(F.lit(1)).alias("pv"), *[F.collect_set(name).alias(f"{name}_set") for name in PROFILE_FIELDS]
+    )
+
+
 def last_in_window(rows: DataFrame, order: list[str], width_ms: int = WINDOW_MS, time: str = "ts") -> DataFrame:
     """The last row per user and tumbling window; combines before the shuffle, so hot users are no problem.
 
@@ -112,3 +119,51 @@ def windowed_profile(records: DataFrame, width_ms: int = WINDOW_MS, range_slots:
         (F.col("_before_pv") + F.col("pv")).alias("pv"),
         *[F.concat(f"_before_{name}", f"{name}_set").alias(f"{name}_set") for name in PROFILE_FIELDS],
     )
+
+
+# Bits of a sketch's register number: 4,096 registers, a relative standard error of 1.04 / sqrt(4096) = 1.6 %.
+SKETCH_BITS = 12
+
+
+def windowed_distinct(records: DataFrame, width_ms: int = WINDOW_MS, range_slots: int = WINDOW_SLOTS) -> DataFrame:
+    """Page views and the number of different values so far, as of the end of each user and window, by bounded sketches.
+
+    The bounded form of ``windowed_profile``: a set never takes more than a
+    sketch of 4,096 registers, however many values a user (all guests, say) has
+    seen. Counts are estimates with a relative standard error of 1.6 %, exact to
+    rounding up to a few hundred values. Sketches combine before the shuffle,
+    are united along a range of windows, and one sketch per user and range is
+    carried to the next.
+    """
+    slotted = records.withColumn("_window", slot_of(F.col("ts"), width_ms))
+    views = slotted.groupBy("uid", "_window").agg(
+        F.count(F.lit(1)).alias("views"),
+        *[F.hll_sketch_agg(name, F.lit(SKETCH_BITS)).alias(f"_in_{name}") for name in PROFILE_FIELDS],
+    )
+    views = views.withColumn("_slot", F.floor(F.col("_window") / range_slots).cast("long"))
+    united = [F.hll_union_agg(f"_in_{name}").alias(f"_in_{name}") for name in PROFILE_FIELDS]
+    whole = views.groupBy(F.col("uid").alias("_key"), "_slot").agg(F.sum("views").alias("_views"), *united)
+    earlier = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    carried = whole.select(
+        "_key",
+        "_slot",
+        F.coalesce(F.sum("_views").over(earlier), F.lit(0).cast("long")).alias("_before_pv"),
+        *[F.hll_union_agg(f"_in_{name}").over(earlier).alias(f"_before_{name}") for name in PROFILE_FIELDS],
+    )
+    so_far = Window.partitionBy("uid", "_slot").orderBy("_window").rowsBetween(Window.unboundedPreceding, 0)
+    scanned = views.select(
+        "uid",
+        "_slot",
+        (F.col("_window") * width_ms).alias("window_start"),
+        F.sum("views").over(so_far).alias("pv"),
+        *[F.hll_union_agg(f"_in_{name}").over(so_far).alias(f"_so_far_{name}") for name in PROFILE_FIELDS],
+    )
+
+    def estimate(name: str) -> Column:
+        before, within = F.col(f"_before_{name}"), F.col(f"_so_far_{name}")
+        both = F.when(before.isNull(), within).otherwise(F.hll_union(before, within))
+        return F.hll_sketch_estimate(both).alias(f"n_{name}")
+
+    return on_key_and_slot(scanned, carried, "uid").select(
+        "uid", "window_start", (F.col("_before_pv") + F.col("pv")).alias("pv"), *[estimate(name) for name in PROFILE_FIELDS]
+    )
