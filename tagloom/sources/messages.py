@@ -46,8 +46,10 @@ def spread(rows: DataFrame, pieces: int) -> DataFrame:
     return rows.repartition(pieces)
 
 
-def replayed(rows: DataFrame, ms: str, folder: str, batches: int = 3, tail: DataFrame | None = None) -> DataFrame:
-    """Stored rows as a bounded stream of ``batches`` micro-batches, one file each, by the time ``ms`` (an SQL expression).
+def replayed(
+    rows: DataFrame, ms: str, folder: str, batches: int = 3, tail: DataFrame | None = None, files: int = 4
+) -> DataFrame:
+    """Stored rows as a bounded stream of ``batches`` micro-batches, ``files`` files each, by the time ``ms`` (an SQL expression).
 
     The span of time is cut evenly, so a batch holds nothing older than the one before. ``tail`` rows
     follow in a batch of their own. For data that stands in for a topic.
@@ -56,8 +58,17 @@ def replayed(rows: DataFrame, ms: str, folder: str, batches: int = 3, tail: Data
     width = ((last or 0) - (first or 0)) // batches + 1
     number = F.coalesce(F.expr(f"floor(({ms} - {first or 0}L) / {width}L)"), F.lit(0))
     for n in range(batches):  # the file source takes files by age
-        rows.filter(number == n).coalesce(1).write.parquet(f"{folder}/{n}")
+        _written_in(rows.filter(number == n), f"{folder}/{n}", files)
     if tail is not None:
-        tail.select(*rows.columns).coalesce(1).write.parquet(f"{folder}/{batches}")
-    reader = rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+        _written_in(tail.select(*rows.columns), f"{folder}/{batches}", files)
+    reader = rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", files)
     return reader.parquet(f"{folder}/*")
+
+
+def _written_in(rows: DataFrame, path: str, files: int) -> None:
+    """Exactly so many files, some of them empty if there are few rows: a micro-batch is counted in files."""
+    spark = rows.sparkSession
+    spread(rows, files).write.parquet(path)
+    none = spark.createDataFrame([], rows.schema).coalesce(1)
+    for _ in range(files - len(spark.read.parquet(path).inputFiles())):
+        none.write.mode("append").parquet(path)

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tagloom.functions import textrows
 from tagloom.operators import page_logs, parsing
+from tagloom.operators.dimensions import rated_columns
 from tagloom.operators.interval_join import ORDER_BOUND_MS, USER_BOUND_MS, merged_order, prefixed
 from tagloom.operators.page_logs import PROFILE_FIELDS
 from tagloom.operators.parsing import with_key
@@ -21,7 +23,7 @@ from tagloom.operators.profiles import WINDOW_MS
 from tagloom.plans.behavior_scores import score_profiles
 from tagloom.plans.order_scores import ARRIVAL, pair_arrival, score_orders
 from tagloom.plans.user_tags import tag_rows
-from tagloom.session import ROCKSDB, new_folder, settings, ship
+from tagloom.session import ROCKSDB, new_folder, settings, ship, written
 from tagloom.streaming import processors
 
 # How far event time may run behind, for typed user and log rows and for raw records.
@@ -94,14 +96,18 @@ def windowed_profile(records: DataFrame, width_ms: int = WINDOW_MS, delay: str =
     )
 
 
-def last_in_arrival_window(rows: DataFrame, order: list[str], width_ms: int = WINDOW_MS) -> DataFrame:
+def last_in_arrival_window(
+    rows: DataFrame, order: list[str], width_ms: int = WINDOW_MS, arrived_ms: str | None = None
+) -> DataFrame:
     """The last row per user and tumbling window of the time rows arrive, whatever time they carry.
 
-    Combines before the shuffle. A window is written once a later batch has come after its end.
+    ``arrived_ms`` is the column that says when a row arrived (at the broker, say); without one it is when the batch
+    is read. Combines before the shuffle. A window is written once a row has arrived after its end.
     """
     payload = [name for name in rows.columns if name != "uid"]
+    arrived = F.current_timestamp() if arrived_ms is None else F.timestamp_millis(arrived_ms)
     return (
-        rows.withColumn("_arrived", F.current_timestamp())
+        rows.withColumn("_arrived", arrived)
         .withWatermark("_arrived", "0 seconds")
         .groupBy("uid", F.window("_arrived", f"{width_ms} milliseconds").alias("_window"))
         .agg(F.max_by(F.struct(*payload), F.struct(*order)).alias("_last"))
@@ -109,9 +115,12 @@ def last_in_arrival_window(rows: DataFrame, order: list[str], width_ms: int = WI
     )
 
 
-def running_profile(records: DataFrame, delay: str = RAW_DELAY) -> DataFrame:
+def running_profile(records: DataFrame, delay: str = RAW_DELAY, history: DataFrame | None = None) -> DataFrame:
     """One profile row per record; repeats are removed first.
 
+    ``history`` has the profile that each user starts from (``profiles.last_profile``): a stream that is begun anew goes
+    on from what a batch over the older log has found.
+
     A micro-batch of one user is sorted in memory, so bound the batch
     (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) and leave guests out of
     this form; ``windowed_profile`` has no such limit.
@@ -119,8 +128,9 @@ def running_profile(records: DataFrame, delay: str = RAW_DELAY) -> DataFrame:
     ship(processors)
     kept = without_repeats(records, delay).drop("event_time")
     return kept.groupBy("uid").transformWithState(
-        processors.RunningProfile(), processors.RUNNING_PROFILE, "Append", "None"
-    )
+        processors.RunningProfile(), processors.RUNNING_PROFILE, "Append", "None",
+        None if history is None else history.groupBy("uid"),
+    )
 
 
 def rising_only(
@@ -134,6 +144,38 @@ def rising_only(
     )
 
 
+def prices_as_of(log: DataFrame, delay: str = RAW_DELAY) -> DataFrame:
+    """Order lines at the rate that held at their own time, from one log of orders and rules (``value``, ``ts_ms``, ``seq``).
+
+    A row with ``seq`` is a rule ``id:rate``, one without an order ``id,name,price``. An order is written once the
+    watermark has passed its time; one that comes later than that is dropped, and a rule too. Only orders that wait, and
+    rules they can meet, are kept for a product.
+    """
+    ship(processors)
+    rule = F.col("seq").isNotNull()
+    item, rate = textrows.priced_item(F.col("value")), textrows.rate_rule(F.col("value"))
+    rows = log.select(
+        F.when(rule, rate[0]).otherwise(item[0]).alias("id"), item[1].alias("name"), item[2].alias("price"),
+        F.when(rule, rate[1]).alias("rate"), "seq", "ts_ms",
+    )
+    priced = with_event_time(rows, "ts_ms", delay).groupBy("id").transformWithState(
+        processors.PricedOrders(), processors.PRICED_ORDERS, "Append", "EventTime"
+    )
+    return priced.select(*rated_columns(), "ts_ms")
+
+
+def rising_on_arrival(
+    rows: DataFrame, key: str, value: str, order: list[str], arrived_ms: str, ttl_ms: int = processors.LAST_VALUE_TTL_MS
+) -> DataFrame:
+    """``rising_only`` whose time to live runs by the rows' arrival time, so that a replay forgets what the first run did."""
+    ship(processors)
+    known = rows.withColumn(value, F.coalesce(value, F.lit(0).cast("long")))
+    timed = with_event_time(known, arrived_ms, "0 seconds", "_arrived")
+    return timed.groupBy(key).transformWithState(
+        processors.RisingOnArrival(value, order, arrived_ms, ttl_ms), known.schema, "Append", "EventTime"
+    )
+
+
 def tag_records(messages: DataFrame) -> DataFrame:
     """Base-tag records read back from their topic, watermarked on their own time."""
     return with_event_time(parsing.tag_records(messages), "ts", TYPED_DELAY)
@@ -170,15 +212,8 @@ def start_files(rows: DataFrame, name: str, path: str, checkpoint: str, **trigge
     )
 
 
-def drained(rows: DataFrame, name: str, close_windows: bool = True) -> DataFrame:
-    """Runs a stream over all input available now and reads back what it wrote to the shared folder.
-
-    ``close_windows`` lets batches without input follow, which write the
-    windows the last watermark closed. State with a processing-time limit asks
-    for such batches for ever, so turn it off there.
-    """
+def _drain(rows: DataFrame, folder: str, close_windows: bool) -> StreamingQuery:
     spark = rows.sparkSession
-    folder = new_folder(spark, name)
     wanted = {
         "spark.sql.streaming.noDataMicroBatches.enabled": str(close_windows).lower(),
         # Arbitrary keyed state needs this state store; the session's own setting comes back afterwards.
@@ -189,4 +224,53 @@ def drained(rows: DataFrame, name: str, close_windows: bool = True) -> DataFrame
             rows, folder.rsplit("/", 1)[1], f"{folder}/rows", f"{folder}/checkpoint", availableNow=True
         )
         query.awaitTermination()
-    return spark.read.schema(rows.schema).parquet(f"{folder}/rows")
+    return query
+
+
+def drained(rows: DataFrame, name: str, close_windows: bool = True) -> DataFrame:
+    """Runs a stream over all input available now and reads back what it wrote to the shared folder.
+
+    ``close_windows`` lets batches without input follow, which write the
+    windows the last watermark closed. State with a processing-time limit asks
+    for such batches for ever, so turn it off there.
+    """
+    folder = new_folder(rows.sparkSession, name)
+    _drain(rows, folder, close_windows)
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{folder}/rows")
+
+
+def checkpoint_of(rows: DataFrame, name: str) -> str:
+    """Runs a stream over all input available now; where its checkpoint, with the state it ended in, lies."""
+    folder = new_folder(rows.sparkSession, name)
+    _drain(rows, folder, True)
+    return f"{folder}/checkpoint"
+
+
+ACCOUNTS = "batch bigint, incoming bigint, kept bigint, repeated bigint, late bigint"
+
+
+def deduplication_account(records: DataFrame, name: str, delay: str = RAW_DELAY) -> DataFrame:
+    """Runs ``without_repeats`` over all input available now; per micro-batch, where its records went.
+
+    ``incoming`` and ``kept`` are counted on the way, ``repeated`` and ``late`` by the state operator: the three add up
+    to the first. One row per micro-batch, of the last hundred (``spark.sql.streaming.numRecentProgressUpdates``).
+    """
+    spark = records.sparkSession
+    count = F.count(F.lit(1)).alias("n")
+    kept = without_repeats(records.observe("incoming", count), delay).drop("event_time").observe("kept", count)
+    query = _drain(kept, new_folder(spark, name), True)
+    accounts = []
+    for progress in query.recentProgress:
+        seen, (state,) = progress.observedMetrics, progress.stateOperators
+        accounts.append(
+            (progress.batchId, seen["incoming"]["n"], seen["kept"]["n"],
+             state.customMetrics["numDroppedDuplicateRows"], state.numRowsDroppedByWatermark)
+        )
+    return spark.createDataFrame(accounts, ACCOUNTS)
+
+
+def stored_state(spark: SparkSession, checkpoint: str, variable: str) -> DataFrame:
+    """(key, value) of a keyed-state variable, read from the checkpoint of a stopped query by Spark's state reader."""
+    with settings(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}):
+        state = spark.read.format("statestore").option("stateVarName", variable).load(checkpoint)
+        return written(state.select("key.*", "value.*"), "state")
