@@ -376,7 +376,135 @@ FROM res GROUP BY code // 500"""
 
 _MONEY_2 = "CAST(CAST(round(CAST(CAST({} AS VARCHAR) AS DECIMAL(38,15)), 2) AS DECIMAL(20,2)) AS VARCHAR)"
 
+_ITEMS = """
+rule AS (
+  SELECT p_partkey, n, 1704067200000 + ((p_partkey * 131 + n * 997331) % 2592000) * 1000 AS ts
+  FROM part, range(3) r(n) WHERE p_partkey % 3 <> 0
+), rr AS (
+  SELECT p_partkey, ts, arg_max(rate, seq) AS rate FROM (
+    SELECT p_partkey, ts, n AS seq, CASE n WHEN 0 THEN 0.95::DOUBLE WHEN 1 THEN 0.8::DOUBLE ELSE 0.65::DOUBLE END AS rate FROM rule
+    UNION ALL SELECT p_partkey, ts, 3, 0.5::DOUBLE FROM rule WHERE n = 1 AND p_partkey % 10 = 1)
+  GROUP BY p_partkey, ts
+), li AS (
+  SELECT l_partkey, l_extendedprice, 1704067200000 + (l_orderkey * 7919 % 2592000) * 1000
+           + ((l_linenumber * 53 + l_partkey) % 400 - 200) * 1000 AS ts_ms FROM lineitem
+)"""
+
+_RATES_AS_OF = f"""WITH {_ITEMS}
+SELECT 'P' || l_partkey AS id, 'sku ' || l_partkey AS name, CAST(CAST(l_extendedprice AS DECIMAL(20,2)) AS VARCHAR) AS price,
+       CAST(CAST(coalesce(rate, 1.0::DOUBLE) AS DECIMAL(20,2)) AS VARCHAR) AS rate,
+       {_MONEY_2.format("l_extendedprice * coalesce(rate, 1.0::DOUBLE)")} AS adjusted, ts_ms
+FROM li ASOF LEFT JOIN rr ON l_partkey = rr.p_partkey AND ts_ms >= rr.ts"""
+
+_VERSIONED = f"""{_DIMS}, chg AS (
+  SELECT p_partkey AS sku_id, 1704067200000 + (p_partkey * 613 % 800000 + n * 600000) * 1000 AS ts, n, fix,
+         (CAST(substr(p_brand, 7) AS BIGINT) + 5 * fix + n) % 12 AS brand
+  FROM part, range(3) r(n), range(2) f(fix)
+  WHERE n <= p_partkey % 3 AND (fix = 0 OR n = 1 AND p_partkey % 10 = 1)
+), ver AS (
+  SELECT sku_id, tm_name AS tname, ts AS valid_from, lead(ts) OVER (PARTITION BY sku_id ORDER BY ts) AS valid_to,
+         n = 2 AND sku_id % 5 = 0 AS gone
+  FROM (SELECT * FROM chg c WHERE fix = (SELECT max(o.fix) FROM chg o WHERE o.sku_id = c.sku_id AND o.ts = c.ts))
+  LEFT JOIN tm ON tm.id = brand
+)"""
+
+_CAPTURED = """
+ev AS (
+  SELECT c_custkey AS ck, v, 1704067200000 + (c_custkey * 7919 % 2592000) * 1000 + v * 172800000 AS ts,
+         1704067200000 + (c_custkey % 8 + 1) * 259200000 AS read_at, c_custkey || '@v' || v || '.example.com' AS email,
+         CASE WHEN v = 1 AND c_custkey % 7 = 0 OR v = 2 AND c_acctbal < 0 THEN 'd'
+              WHEN v = 0 OR c_custkey % 7 = 0 THEN 'c' ELSE 'u' END AS op
+  FROM customer, range(3) r(v)
+)"""
+
+
+def _types(table: str, source: str, paths: dict[str, tuple[str, str]]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS source_table, '{path}' AS path, '{kind}' AS type, count({value}) AS rows FROM {source}"
+        for path, (kind, value) in paths.items()
+    )
+
+
+_VARIANT = f"""WITH {_USERS}, {_ORDERS}, {_DETAILS}, found AS ({" UNION ALL ".join([
+    _types("user_info", "u WHERE c_acctbal >= 0", {
+        "id": ("BIGINT", "id"), "login_name": ("STRING", "login_name"), "name": ("STRING", "name"),
+        "phone_num": ("STRING", "phone"), "email": ("STRING", "email"), "birthday": ("BIGINT", "birthday"),
+        "gender": ("STRING", "gender")}),
+    _types("user_info_sup", "s WHERE c_acctbal >= 0", {
+        "uid": ("BIGINT", "uid"), "gender": ("STRING", "gender"), "height": ("STRING", "height"),
+        "unit_height": ("STRING", "unit_height"), "weight": ("STRING", "weight"), "unit_weight": ("STRING", "unit_weight")}),
+    _types("order_info", "oi WHERE o_orderstatus <> 'P'", {
+        "id": ("STRING", "id"), "user_id": ("STRING", "uid"), "consignee": ("STRING", "consignee"),
+        "create_time": ("BIGINT", "create_time"), "original_total_amount": ("STRING", "original_total_amount"),
+        "total_amount": ("STRING", "total_amount"), "province_id": ("BIGINT", "province_id")}),
+    _types("order_detail", "od", {
+        "id": ("STRING", "id"), "order_id": ("STRING", "order_id"), "sku_id": ("BIGINT", "sku_id"),
+        "sku_num": ("BIGINT", "sku_num"), "sku_name": ("STRING", "sku_name"), "order_price": ("STRING", "order_price"),
+        "split_total_amount": ("STRING", "split_total_amount"), "split_activity_amount": ("STRING", "split_activity_amount"),
+        "split_coupon_amount": ("STRING", "split_coupon_amount"), "create_time": ("BIGINT", "create_time")}),
+    _types("spu_info", "part", {
+        "id": ("BIGINT", "p_partkey"), "spu_name": ("STRING", "p_name"), "price": ("DECIMAL", "p_retailprice"),
+        "on_sale": ("BOOLEAN", "CASE WHEN p_partkey % 4 = 0 THEN 1 END"), "sizes": ("ARRAY", "*"),
+        "detail.size": ("BIGINT", "CASE WHEN p_partkey % 2 = 0 THEN p_size END"),
+        "detail.brand": ("STRING", "CASE WHEN p_partkey % 2 = 0 THEN p_brand END"),
+        "detail.more.kind": ("STRING", "CASE WHEN p_partkey % 2 = 0 THEN p_type END")}),
+])})
+SELECT * FROM found WHERE rows > 0"""
+
 ORACLES: dict[str, str] = {
+    "rates_as_of": _RATES_AS_OF,
+    "stream_rates": _RATES_AS_OF,
+    "dim_versions": f"WITH {_VERSIONED} SELECT sku_id, tname, valid_from, valid_to FROM ver WHERE NOT gone",
+    "order_enrich_as_of": f"""WITH {_VERSIONED}, {_DETAILS}
+SELECT od.id AS detail_id, od.sku_id, od.ts_ms, ver.tname
+FROM od LEFT JOIN ver ON ver.sku_id = od.sku_id AND NOT gone AND od.ts_ms >= valid_from AND (valid_to IS NULL OR od.ts_ms < valid_to)""",
+    "cdc_state": """
+SELECT c_custkey AS id, lower(c_name) AS login_name, c_name AS name, '139' || c_custkey AS phone_num,
+       c_custkey || '@v2.example.com' AS email, CASE c_custkey % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' END AS gender
+FROM customer WHERE c_acctbal >= 0""",
+    "cdc_handover": f"""WITH {_CAPTURED}
+SELECT CAST(ck AS VARCHAR) AS row_key, read_at * 4 + 3 AS position, 'r' AS op, email
+FROM ev e WHERE v = (SELECT max(o.v) FROM ev o WHERE o.ck = e.ck AND o.ts <= o.read_at) AND op <> 'd'
+UNION ALL SELECT CAST(ck AS VARCHAR), ts * 4 + v, op, CASE WHEN op <> 'd' THEN email END
+FROM ev WHERE ts >= 1704240000000 AND ts * 4 + v > read_at * 4 + 3""",
+    "cdc_variant": _VARIANT,
+    "cdc_any_table": """
+SELECT 1704067200000 + p_partkey AS ts_ms, p_partkey AS id, p_name AS spu_name,
+       CAST(CAST(p_retailprice AS DECIMAL(16,2)) AS DOUBLE) AS price,
+       CASE WHEN p_partkey % 4 = 0 THEN p_partkey % 3 = 0 END AS on_sale,
+       CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS BIGINT) END AS detail_size,
+       CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS detail_brand,
+       CASE WHEN p_partkey % 2 = 0 THEN p_type END AS detail_more_kind, '[' || p_size || ',1]' AS sizes
+FROM part""",
+    "window_distinct": f"""WITH {_LOGS}, {_PROFILE}
+SELECT uid, window_start, pv, {", ".join(
+        f"CASE WHEN {name} = '' THEN 0 ELSE CAST(len(string_split({name}, ',')) AS BIGINT) END AS n_{name}"
+        for name in ("os", "ch", "md", "ba", "search_item"))} FROM prof""",
+    "order_csv_packed": _order_scores(),
+    "weather_upsert": f"SELECT *, code % 3 AS reading FROM ({_WEATHER_ROWS})",
+    "stream_arrival_window": """WITH a AS (
+  SELECT CAST(user_id AS VARCHAR) AS uid, epoch_us(ts) // 1000 AS ts, event_id, event_type,
+         epoch_us(ts) // 1000 + (event_id * 37 % 240) * 1000 AS arrived_ms FROM events
+)
+SELECT uid, arrived_ms // 120000 * 120000 AS window_start, ts, event_id, event_type, arrived_ms FROM a
+QUALIFY row_number() OVER (PARTITION BY uid, arrived_ms // 120000 ORDER BY ts DESC, event_id DESC) = 1""",
+    "stream_last_forgotten": f"""WITH {_ORDERS}
+SELECT id, create_time, create_time AS arrived_ms FROM oi
+UNION ALL SELECT id, create_time - 1000, create_time + 5400000 FROM oi WHERE CAST(id AS BIGINT) % 2 = 1
+UNION ALL SELECT id, create_time - 500, create_time + 6000000 FROM oi WHERE CAST(id AS BIGINT) % 2 = 1""",
+    "stream_late_counts": f"""WITH {_LOGS}, half AS (
+  SELECT epoch_us(min(ts)) + ((epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000) * 500000 AS middle FROM events
+), n AS (
+  SELECT (SELECT count(*) FROM rec) AS recs, (SELECT count(*) FROM d) AS kept,
+         (SELECT count(*) FROM events, half WHERE event_id % 40 = 0 AND value BETWEEN 1 AND 149
+            AND epoch_us(ts) < middle AND event_type <> 'error') AS late
+)
+SELECT CAST(2 * (recs + late) AS BIGINT) AS incoming, CAST(kept AS BIGINT) AS kept, CAST(2 * recs - kept AS BIGINT) AS repeated,
+       CAST(2 * late AS BIGINT) AS late FROM n""",
+    "stream_profile_resumed": _RUNNING_SETS,
+    "state_values": f"""WITH {_DETAILS}
+SELECT id, create_time AS value, min(arrived_ms) AS passed_ms FROM od
+WHERE create_time = (SELECT max(o.create_time) FROM od o WHERE o.id = od.id) GROUP BY id, create_time""",
     "pay_time_slot": f"WITH {_ORDERS} SELECT id, create_time, pay_time_slot FROM oi",
     "score_time": f"""WITH {_ORDERS}, {_TIME_RULE}
 SELECT id, pay_time_slot, {_TIME_SCORES} FROM oi LEFT JOIN time_rule ptr ON ptr.k = pay_time_slot""",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tagloom.functions import timeparts
 from tagloom.operators import dimensions, page_logs, parsing, weather
 from tagloom.session import new_folder, written
-from tagloom.sources.messages import replayed, spread
+from tagloom.sources.messages import replayed
 from tagloom.sources.tables import Tables
 
 # 2024-01-01 00:00:00 UTC; orders and users spread over the 30 days after it.
@@ -63,11 +63,6 @@ COMPARISON = (
 SEARCH_TERMS = ("red widget", "hot rod", "扫地机器人", "old bolt", "new ring", "iPhone14")
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
-    """A table that stands in for a topic, in as many pieces as a topic would have partitions."""
-    return spread(rows, rows.sparkSession.sparkContext.defaultParallelism)
-
-
 _ORDER_TIME = f"{START_MS} + ({{}} * 7919 % {SPREAD_SECONDS}) * 1000"
 _USER_TIME = f"{START_MS} + (c_custkey % {SPREAD_MINUTES}) * 60000"
 
@@ -109,7 +104,7 @@ def order_rows(orders: DataFrame) -> DataFrame:
 
 
 def order_info(t: Tables) -> DataFrame:
-    return order_rows(_dealt(t["orders"]))
+    return order_rows(t["orders"])
 
 
 def _detail_after(lines: DataFrame) -> DataFrame:
@@ -135,7 +130,7 @@ def detail_rows(lines: DataFrame) -> DataFrame:
 
 
 def order_detail(t: Tables) -> DataFrame:
-    return detail_rows(_dealt(t["lineitem"]))
+    return detail_rows(t["lineitem"])
 
 
 def arriving_detail_rows(lines: DataFrame) -> DataFrame:
@@ -144,7 +139,7 @@ def arriving_detail_rows(lines: DataFrame) -> DataFrame:
 
 
 def arriving_details(t: Tables) -> DataFrame:
-    return arriving_detail_rows(_dealt(t["lineitem"]))
+    return arriving_detail_rows(t["lineitem"])
 
 
 def _user_after(customers: DataFrame) -> DataFrame:
@@ -326,7 +321,7 @@ def order_versions(orders: DataFrame) -> DataFrame:
 def versioned_log(t: Tables) -> DataFrame:
     """A log in which orders are updated; some records are delivered twice."""
     twice = order_versions(t["orders"].filter("o_orderkey % 5 = 0"))
-    return order_versions(_dealt(t["orders"])).unionByName(twice).unionByName(detail_records(_dealt(t["lineitem"])))
+    return order_versions(t["orders"]).unionByName(twice).unionByName(detail_records(t["lineitem"]))
 
 
 def dirty_log(t: Tables) -> DataFrame:
@@ -366,11 +361,23 @@ def change_log(t: Tables) -> DataFrame:
     return (
         user_records(customers)
         .unionByName(sup_records(customers))
-        .unionByName(order_records(_dealt(t["orders"])))
-        .unionByName(detail_records(_dealt(t["lineitem"])))
+        .unionByName(order_records(t["orders"]))
+        .unionByName(detail_records(t["lineitem"]))
     )
 
 
+def any_table_log(t: Tables) -> DataFrame:
+    """The log of the four tables and of one that no contract knows, with numbers, flags, nested objects and lists."""
+    spu = t["part"].selectExpr(
+        """to_json(struct(struct(p_partkey AS id, p_name AS spu_name, CAST(p_retailprice AS decimal(16,2)) AS price,
+             CASE WHEN p_partkey % 4 = 0 THEN p_partkey % 3 = 0 END AS on_sale,
+             CASE WHEN p_partkey % 2 = 0 THEN struct(p_size AS size, p_brand AS brand, struct(p_type AS kind) AS more) END AS detail,
+             array(p_size, 1) AS sizes) AS after,
+           struct('spu_info' AS table) AS source, 1704067200000 + p_partkey AS ts_ms)) AS value"""
+    )
+    return change_log(t).unionByName(spu)
+
+
 def log_messages(events: DataFrame) -> DataFrame:
     """Page logs as text. Sign-ups come from guests, error reports carry an empty user id.
 
@@ -403,7 +410,7 @@ def log_messages(events: DataFrame) -> DataFrame:
 def page_log_messages(t: Tables) -> DataFrame:
     if (stored := t.topic("page_log")) is not None:
         return stored
-    return log_messages(_dealt(t["events"]))
+    return log_messages(t["events"])
 
 
 def log_records(t: Tables) -> DataFrame:
@@ -411,6 +418,34 @@ def log_records(t: Tables) -> DataFrame:
     return page_logs.device_and_search(page_logs.page_logs(page_log_messages(t)))
 
 
+# Events reach the log up to four minutes after they happen.
+_EVENT_ARRIVAL = f"{_EVENT_TIME} + (event_id * 37 % 240) * 1000"
+STREAM_TIMES["event arrivals"] = _EVENT_ARRIVAL
+
+
+def arriving_events(events: DataFrame) -> DataFrame:
+    """Events with the time they carry and the time they arrive."""
+    return events.selectExpr(
+        "CAST(user_id AS string) AS uid", f"{_EVENT_TIME} AS ts", "event_id", "event_type", f"{_EVENT_ARRIVAL} AS arrived_ms"
+    )
+
+
+def returning_orders(orders: DataFrame) -> DataFrame:
+    """Orders that arrive three times: the second, of a lower time, after half an hour or one and a half, the third, higher
+    than that, ten minutes later."""
+    second = "if(o_orderkey % 2 = 0, 30, 90)"
+    return _order_after(orders).selectExpr("id", "create_time", "CAST(id AS bigint) AS o_orderkey", "explode(sequence(0, 2)) AS nth").selectExpr(
+        "id",
+        "create_time - element_at(array(0, 1000, 500), nth + 1) AS create_time",
+        f"create_time + element_at(array(0, {second}, {second} + 10), nth + 1) * 60000L AS arrived_ms",
+    )
+
+
+def middle_of_events(t: Tables) -> int:
+    """The time halfway through the events."""
+    return t["events"].selectExpr(f"(min({_EVENT_TIME}) + max({_EVENT_TIME})) div 2").first()[0]
+
+
 def redelivered(messages: DataFrame) -> DataFrame:
     """Every message twice, as at-least-once delivery may send them."""
     return messages.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
@@ -467,7 +502,7 @@ def searches(t: Tables) -> DataFrame:
 
 def priced_items(t: Tables) -> DataFrame:
     """Order lines as ``id,name,price`` text."""
-    return _dealt(t["lineitem"]).selectExpr(
+    return t["lineitem"].selectExpr(
         f"concat_ws(',', concat('P', l_partkey), concat('sku ', l_partkey), {_money('l_extendedprice')}) AS value"
     )
 
@@ -484,6 +519,112 @@ def rates(t: Tables) -> DataFrame:
     return written(dimensions.latest_rates(rate_rules(t)), "rates")
 
 
+def timed_items(t: Tables) -> DataFrame:
+    """Order lines as ``id,name,price`` text, with their time."""
+    return t["lineitem"].selectExpr(
+        f"concat_ws(',', concat('P', l_partkey), concat('sku ', l_partkey), {_money('l_extendedprice')}) AS value",
+        f"{_DETAIL_TIME} AS ts_ms",
+    )
+
+
+RULES = 3
+
+
+def timed_rules(t: Tables) -> DataFrame:
+    """``id:rate`` rules that change as time goes on, for two parts of three; every tenth part is corrected at once."""
+    rules = t["part"].filter("p_partkey % 3 <> 0").selectExpr("p_partkey", f"explode(sequence(0, {RULES - 1})) AS n")
+    first = rules.selectExpr(
+        "concat('P', p_partkey, ':', element_at(array('0.95', '0.8', '0.65'), n + 1)) AS value",
+        f"{START_MS} + ((p_partkey * 131 + n * 997331) % {SPREAD_SECONDS}) * 1000 AS ts_ms",
+        "n AS seq",
+    )
+    corrected = rules.filter("p_partkey % 10 = 1 AND n = 1").selectExpr(
+        "concat('P', p_partkey, ':0.5') AS value",
+        f"{START_MS} + ((p_partkey * 131 + n * 997331) % {SPREAD_SECONDS}) * 1000 AS ts_ms",
+        f"{RULES} AS seq",
+    )
+    return first.unionByName(corrected)
+
+
+def price_log(t: Tables) -> DataFrame:
+    """Order lines (no ``seq``) and rules in one log."""
+    return timed_items(t).withColumn("seq", F.lit(None).cast("int")).unionByName(timed_rules(t))
+
+
+def closing_price(t: Tables) -> DataFrame:
+    """An order of a product of its own, a day after everything else."""
+    return t["lineitem"].agg(F.count(F.lit(1)).alias("rows")).selectExpr(
+        "'none,none,0' AS value", f"{START_MS} + ({SPREAD_SECONDS} + 86400) * 1000L AS ts_ms", "CAST(NULL AS int) AS seq"
+    )
+
+
+# Captured customers: so many versions this long apart, snapshot chunks, and where the log begins.
+CAPTURED = 3
+CAPTURED_MS = 172_800_000
+CHUNKS = 8
+CHUNK_MS = 259_200_000
+LOG_FROM_MS = START_MS + 172_800_000
+
+
+def _captured(customers: DataFrame) -> DataFrame:
+    """Every version of a customer: created, changed or (some) deleted and created anew, and at last deleted if in debt."""
+    return customers.selectExpr("*", f"explode(sequence(0, {CAPTURED - 1})) AS version").selectExpr(
+        "c_custkey AS id", "lower(c_name) AS login_name", "c_name AS name", "concat('139', c_custkey) AS phone_num",
+        "concat(c_custkey, '@v', version, '.example.com') AS email", "CAST(NULL AS bigint) AS birthday",
+        "CASE c_custkey % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' END AS gender",
+        "CASE WHEN version = 1 AND c_custkey % 7 = 0 OR version = 2 AND c_acctbal < 0 THEN 'd' WHEN version = 0 OR c_custkey % 7 = 0 THEN 'c' ELSE 'u' END AS op",
+        f"{START_MS} + (c_custkey * 7919 % {SPREAD_SECONDS}) * 1000 + version * {CAPTURED_MS} AS ts",
+        "version",
+    ).withColumn("pos", F.expr("ts * 4 + version"))
+
+
+def _capture_text(rows: DataFrame) -> DataFrame:
+    row = f"struct({', '.join(_USER_FIELDS)})"
+    return rows.selectExpr(
+        f"""to_json(struct(CASE WHEN op NOT IN ('c', 'r') THEN {row} END AS before, CASE WHEN op <> 'd' THEN {row} END AS after,
+            struct('user_info' AS table, pos AS pos) AS source, op, ts AS ts_ms)) AS value"""
+    )
+
+
+def capture_log(t: Tables) -> DataFrame:
+    """Changes of customers from when the log begins; a fifth of them is delivered twice."""
+    logged = _captured(t["customer"]).filter(F.col("ts") >= LOG_FROM_MS)
+    return _capture_text(logged.unionByName(logged.filter("id % 5 = 0")))
+
+
+def chunk_of(key: Column) -> Column:
+    return key.cast("long") % CHUNKS
+
+
+def chunk_positions(t: Tables) -> DataFrame:
+    """Log position at which each chunk of the snapshot was read, one chunk after the other."""
+    return t.spark.range(CHUNKS).selectExpr("id AS chunk", f"({START_MS} + (id + 1) * {CHUNK_MS}) * 4 + 3 AS position")
+
+
+def capture_snapshot(t: Tables) -> DataFrame:
+    """Each customer as it was when its chunk was read, if it was there."""
+    read_at = f"({START_MS} + (id % {CHUNKS} + 1) * {CHUNK_MS})"
+    held = _captured(t["customer"]).filter(F.expr(f"ts <= {read_at}"))
+    last = held.groupBy("id").agg(F.max_by(F.struct(*held.columns), "version").alias("last")).select("last.*")
+    return _capture_text(last.filter("op <> 'd'").selectExpr(*_USER_FIELDS, "'r' AS op", f"{read_at} AS ts", f"{read_at} * 4 + 3 AS pos"))
+
+
+def sku_changes(t: Tables) -> DataFrame:
+    """Brand changes of sale units over time; some are corrected at once, some end in a delete."""
+    brand = "(CAST(substring(p_brand, 7, 10) AS int) + 5 * fix + n) % 12"
+    changes = t["part"].selectExpr("*", "explode(sequence(0, CAST(p_partkey % 3 AS int))) AS n").selectExpr(
+        "*", "explode(sequence(0, if(n = 1 AND p_partkey % 10 = 1, 1, 0))) AS fix"
+    )
+    names = ", ".join(f"'{name}'" for name in BRANDS)
+    return changes.selectExpr(
+        "p_partkey AS sku_id",
+        f"{START_MS} + (p_partkey * 613 % 800000 + n * 600000) * 1000 AS ts_ms",
+        "fix AS seq",
+        "n = 2 AND p_partkey % 5 = 0 AS deleted",
+        f"CASE WHEN {brand} > 0 THEN element_at(array({names}), {brand}) END AS tname",
+    )
+
+
 def city_codes(t: Tables) -> DataFrame:
     """Cities: the nation is the province, three of them named as the left-out ones."""
     customers = t["customer"]

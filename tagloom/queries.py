@@ -12,14 +12,14 @@ from tagloom.functions import device, tags
 from tagloom.functions.rules import AMOUNT, BRAND, CATEGORY, DEVICE, PAY_TIME, SEARCH
 from tagloom.functions.scoring import with_scores
 from tagloom.functions.timeparts import slot_of
-from tagloom.operators import dimensions, interval_join, page_logs, parsing, profiles, repeats, weather
+from tagloom.operators import as_of, dimensions, interval_join, page_logs, parsing, profiles, repeats, snapshots, variants, weather
 from tagloom.plans import adapters
 from tagloom.plans import behavior_scores as behavior
 from tagloom.plans import order_scores as orders
 from tagloom.plans import user_tags as users
-from tagloom.session import new_folder
-from tagloom.sinks import files, tables
-from tagloom.sources.messages import spread
+from tagloom.session import new_folder, written
+from tagloom.sinks import files, packing, tables, upserts
+from tagloom.sources.messages import replayed, spread
 from tagloom.sources.tables import Tables
 from tagloom.streaming import flows
 
@@ -30,6 +30,8 @@ ROUTES = {"user_info": "users", "user_info_sup": "supplements", "order_info": "o
 
 RECORD = ["uid", "ts", *page_logs.PROFILE_FIELDS, "other_info"]
 DETAIL_ARRIVAL = ["arrived_ms", "create_time", "sku_id", "sku_num", "order_price", "split_activity_amount"]
+# So many small files are packed.
+PACKED_FROM = 24
 # A key's details are scanned by the week of their arrival.
 DETAIL_SLOT_MS = 7 * 24 * 60 * 60 * 1000
 
@@ -120,6 +122,57 @@ def broadcast_rules(t: Tables) -> DataFrame:
     return dimensions.adjusted_prices(adapters.priced_items(t), adapters.rates(t))
 
 
+def rates_as_of(t: Tables) -> DataFrame:
+    """Order lines at the rate that held at their own time."""
+    return dimensions.prices_as_of(adapters.timed_items(t), adapters.timed_rules(t))
+
+
+def dim_versions(t: Tables) -> DataFrame:
+    return as_of.versions(adapters.sku_changes(t), "sku_id", "ts_ms", ["tname"], ["seq"], "deleted")
+
+
+def order_enrich_as_of(t: Tables) -> DataFrame:
+    """Order details with the brand their unit had when they were made."""
+    details = adapters.order_detail(t).select(F.col("id").alias("detail_id"), "sku_id", "ts_ms")
+    return as_of.with_version(details, written(dim_versions(t), "sku-versions"), "sku_id", "ts_ms")
+
+
+def _captured_records(t: Tables) -> DataFrame:
+    return snapshots.changes(adapters.capture_snapshot(t).unionByName(adapters.capture_log(t)), "user_info")
+
+
+def cdc_handover(t: Tables) -> DataFrame:
+    """Snapshot and later changes of customers, each of them once."""
+    events = snapshots.handed_over(_captured_records(t), adapters.chunk_positions(t), adapters.chunk_of(F.col("row_key")))
+    return events.select("row_key", "position", "op", "email")
+
+
+def cdc_state(t: Tables) -> DataFrame:
+    """Customers as of the end of the log, which begins after most of them were created."""
+    messages = adapters.capture_snapshot(t).unionByName(adapters.capture_log(t))
+    chunk = adapters.chunk_of(F.col("row_key"))
+    return snapshots.table_state(messages, "user_info", adapters.chunk_positions(t), chunk).select(
+        "id", "login_name", "name", "phone_num", "email", "gender"
+    )
+
+
+def _variant_rows(t: Tables) -> DataFrame:
+    """Rows of all tables, each record parsed once."""
+    return written(variants.variant_rows(adapters.any_table_log(t)), "variant-rows")
+
+
+def cdc_variant(t: Tables) -> DataFrame:
+    """Types met at every path of every table of the log, tables without a contract included."""
+    return variants.found_types(_variant_rows(t))
+
+
+def cdc_any_table(t: Tables) -> DataFrame:
+    """Rows of a table without a contract, in the schema found for it."""
+    rows = _variant_rows(t)
+    schema = variants.schema_of(variants.found_types(rows), "spu_info")
+    return variants.typed_rows(rows, "spu_info", schema).withColumn("price", F.col("price").cast("double"))
+
+
 def _user_pairs(t: Tables) -> DataFrame:
     return interval_join.users_with_supplements(
         adapters.user_info(t), adapters.user_info_sup(t)
@@ -175,6 +228,11 @@ def window_profile(t: Tables) -> DataFrame:
     return behavior.profile_text(profiles.windowed_profile(_records(t)))
 
 
+def window_distinct(t: Tables) -> DataFrame:
+    """How many different values a user has shown up to each window, by sketches of bounded size."""
+    return profiles.windowed_distinct(_records(t))
+
+
 def profile_values(t: Tables) -> DataFrame:
     return profiles.profile_values(_records(t))
 
@@ -284,6 +342,25 @@ def order_csv(t: Tables) -> DataFrame:
     return files.read_order_csv(t.spark, path, scored.schema)
 
 
+def order_csv_packed(t: Tables) -> DataFrame:
+    """Scored order details in many small CSV files, packed by size and read back by the manifest."""
+    scored = orders.order_scores(adapters.order_info(t), adapters.order_detail(t), adapters.products(t))
+    path = new_folder(t.spark, "order-csv")
+    files.write_order_csv(spread(scored, PACKED_FROM), path)
+    packing.pack_files(t.spark, path, f"{path}-packed", idle_ms=0)
+    return packing.read_packed(t.spark, f"{path}-packed", scored.schema)
+
+
+def weather_upsert(t: Tables) -> DataFrame:
+    """Weather rows of three readings merged by city, the last reading's batch before the second's and one replayed."""
+    rows = written(weather_normalize(t), "weather-rows")
+    reading = lambda n: rows.filter(F.col("code") % 3 >= n).withColumn("reading", F.lit(n))
+    table = upserts.KeyedTable(t.spark, new_folder(t.spark, "weather-table"), reading(0).schema, ["code"], ["reading"])
+    for batch_id, n in ((0, 0), (1, 2), (2, 1), (1, 2)):
+        table.merge(reading(n), batch_id)
+    return table.read()
+
+
 def city_scan(t: Tables) -> DataFrame:
     return weather.cities(adapters.city_codes(t)).select("code", "province", "city", "area")
 
@@ -361,6 +438,13 @@ def stream_order_versions(t: Tables) -> DataFrame:
     return flows.drained(scored, "order-versions", close_windows=False)
 
 
+def stream_rates(t: Tables) -> DataFrame:
+    """Orders and rules as one stream: an order waits until all rules of its time are in."""
+    log = adapters.price_log(t)
+    feed = replayed(log, "ts_ms", new_folder(t.spark, "stream-prices"), tail=adapters.closing_price(t))
+    return flows.drained(flows.prices_as_of(feed), "rates")
+
+
 def _streamed_records(t: Tables, twice: bool = False, closing: bool = False) -> DataFrame:
     """Page-log records in several batches, then some that come too late and count for nothing."""
     tail = adapters.late_events(t)
@@ -392,6 +476,47 @@ def stream_running_profile(t: Tables) -> DataFrame:
     return flows.drained(behavior.profile_text(rows), "running-profile")
 
 
+def stream_arrival_window(t: Tables) -> DataFrame:
+    """The last event of each user and window of arrival; the window of the closing event stays open."""
+    closing = t["events"].filter("false").unionByName(adapters.closing_event(t), allowMissingColumns=True)
+    feed = adapters.streamed(t, "events", "event arrivals", tail=closing)
+    last = flows.last_in_arrival_window(adapters.arriving_events(feed), ["ts", "event_id"], arrived_ms="arrived_ms")
+    return flows.drained(last, "arrival-window")
+
+
+def stream_last_forgotten(t: Tables) -> DataFrame:
+    """Orders that return with a lower time: passed once the last value is an hour old."""
+    arrivals = adapters.returning_orders(t["orders"])
+    feed = replayed(arrivals, "arrived_ms", new_folder(t.spark, "stream-returning"))
+    return flows.drained(flows.rising_on_arrival(feed, "id", "create_time", ["arrived_ms"], "arrived_ms"), "last-forgotten")
+
+
+def stream_late_counts(t: Tables) -> DataFrame:
+    """Where the records of all micro-batches went: kept, repeated or late."""
+    account = flows.deduplication_account(_streamed_records(t, twice=True), "late-counts")
+    names = ("incoming", "kept", "repeated", "late")
+    return account.agg(*[F.sum(name).alias(name) for name in names])
+
+
+def stream_profile_resumed(t: Tables) -> DataFrame:
+    """Running profiles: the older half of the log in a batch, the newer one as a stream that starts from it."""
+    middle = adapters.middle_of_events(t)
+    older = written(_records(t).filter(F.col("ts") <= middle), "older-records")
+    known = profiles.running_profile(older).select("uid", "ts", "pv", *[f"{name}_set" for name in page_logs.PROFILE_FIELDS])
+    newer = adapters.streamed(t, "events").filter(F.expr(f"{adapters.STREAM_TIMES['events']} > {middle}"))
+    records = page_logs.device_and_search(page_logs.page_logs(adapters.log_messages(newer)))
+    streamed = flows.running_profile(records, history=written(profiles.last_profile(older), "older-profiles"))
+    return behavior.profile_text(known.unionByName(flows.drained(streamed, "profile-resumed")))
+
+
+def state_values(t: Tables) -> DataFrame:
+    """The last value passed for each detail, read from the state of the stopped stream."""
+    details = adapters.arriving_detail_rows(adapters.streamed(t, "lineitem", "arrivals"))
+    kept = flows.rising_on_arrival(details, "id", "create_time", DETAIL_ARRIVAL, "arrived_ms", ttl_ms=10**12)
+    checkpoint = flows.checkpoint_of(kept, "state-values")
+    return flows.stored_state(t.spark, checkpoint, "last").select("id", "value", "passed_ms")
+
+
 def stream_detail_monotone(t: Tables) -> DataFrame:
     details = adapters.arriving_detail_rows(adapters.streamed(t, "lineitem", "arrivals"))
     kept = flows.rising_only(details, "id", "create_time", DETAIL_ARRIVAL)
@@ -421,6 +546,13 @@ BY_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
         order_enrich,
         search_category,
         broadcast_rules,
+        rates_as_of,
+        dim_versions,
+        order_enrich_as_of,
+        cdc_state,
+        cdc_handover,
+        cdc_variant,
+        cdc_any_table,
         user_interval_join,
         order_interval_join,
         log_dedup,
@@ -433,6 +565,7 @@ BY_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
         running_sets,
         window_last,
         window_profile,
+        window_distinct,
         cdc_envelope,
         cdc_route,
         cdc_quarantine,
@@ -450,11 +583,19 @@ BY_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
         behavior_scores,
         order_scores,
         order_csv,
+        order_csv_packed,
         city_scan,
         weather_normalize,
         weather_summary,
         weather_total,
         weather_write,
+        weather_upsert,
+        stream_arrival_window,
+        stream_last_forgotten,
+        stream_late_counts,
+        stream_profile_resumed,
+        state_values,
+        stream_rates,
         stream_user_join,
         stream_user_tags,
         stream_tag_records,
