@@ -104,16 +104,19 @@ def first_slots(rows: DataFrame, key: str, fields: dict[str, str]) -> DataFrame:
     )
 
 
-def new_values(firsts: DataFrame, names: list[str]) -> DataFrame:
-    """(key, slot) with one array per field of the values first seen in the slot."""
-    return firsts.groupBy("_key", "_slot").agg(
-        *[F.collect_list(F.when(F.col("field") == name, F.col("value"))).alias(f"_new_{name}") for name in names]
-    )
-
+def values_before(slots: DataFrame, firsts: DataFrame, names: list[str]) -> DataFrame:
+    """(_key, _slot) of ``slots`` with, per field, the array ``_before_<name>`` of the values first seen in earlier slots.
 
-def values_before(name: str, earlier: WindowSpec) -> Column:
-    """All values that earlier slots have seen; each is in one slot's array only."""
-    return F.flatten(F.collect_list(f"_new_{name}").over(earlier))
+    Values stay rows until the arrays that are asked for are made: ``slots`` meet the first-seen rows of their key, a
+    plain join whose skewed keys AQE splits, and what meets is as much as the arrays hold.
+    """
+    known = firsts.select(F.col("_key").alias("_its_key"), "field", "value", F.col("_slot").alias("_seen_in"))
+    met = slots.select("_key", "_slot").join(
+        known, F.col("_key").eqNullSafe(F.col("_its_key")) & (F.col("_seen_in") < F.col("_slot")), "left"
+    )
+    return met.groupBy("_key", "_slot").agg(
+        *[F.collect_list(F.when(F.col("field") == name, F.col("value"))).alias(f"_before_{name}") for name in names]
+    )
 
 
 def on_key_and_slot(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -137,16 +140,14 @@ def prefix_scan(rows: DataFrame, key: str, order: list[str], slot: Column, scans
         F.count(F.lit(1)).alias("_rows"), *[scan.whole.alias(f"_whole_{scan.name}") for scan in simple]
     )
     earlier = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    if sets:
-        names = [scan.name for scan in sets]
-        firsts = first_slots(slotted, key, {scan.name: scan.column for scan in sets})
-        whole = on_key_and_slot(whole, new_values(firsts, names), "_key", "left")
     carried = whole.select(
         "_key",
         "_slot",
         *[scan.earlier(F.col(f"_whole_{scan.name}"), earlier).alias(f"_before_{scan.name}") for scan in simple],
-        *[values_before(scan.name, earlier).alias(f"_before_{scan.name}") for scan in sets],
     )
+    if sets:
+        firsts = first_slots(slotted, key, {scan.name: scan.column for scan in sets})
+        carried = on_key_and_slot(carried, values_before(whole, firsts, [scan.name for scan in sets]), "_key")
     window = Window.partitionBy(key, "_slot").orderBy(*order)
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     scanned = slotted.select(

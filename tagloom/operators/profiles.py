@@ -10,7 +10,6 @@ from tagloom.operators.page_logs import PROFILE_FIELDS
 from tagloom.operators.prefix_scan import (
     RunningSet,
     first_slots,
-    new_values,
     on_key_and_slot,
     prefix_scan,
     running_count,
@@ -87,16 +86,13 @@ def windowed_profile(records: DataFrame, width_ms: int = WINDOW_MS, range_slots:
     firsts = first_slots(slotted, "uid", {name: name for name in PROFILE_FIELDS})
     in_range = F.floor(F.col("_slot") / range_slots).cast("long")
 
-    ranged = views.select(F.col("uid").alias("_key"), "views", in_range.alias("_slot"))
-    fresh = new_values(firsts.withColumn("_slot", in_range), list(PROFILE_FIELDS))
-    whole = on_key_and_slot(ranged.groupBy("_key", "_slot").agg(F.sum("views").alias("_views")), fresh, "_key", "left")
+    whole = views.groupBy(F.col("uid").alias("_key"), in_range.alias("_slot")).agg(F.sum("views").alias("_views"))
     earlier = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     carried = whole.select(
-        "_key",
-        "_slot",
-        F.coalesce(F.sum("_views").over(earlier), F.lit(0).cast("long")).alias("_before_pv"),
-        *[values_before(name, earlier).alias(f"_before_{name}") for name in PROFILE_FIELDS],
+        "_key", "_slot", F.coalesce(F.sum("_views").over(earlier), F.lit(0).cast("long")).alias("_before_pv")
     )
+    sets = values_before(whole, firsts.withColumn("_slot", in_range), list(PROFILE_FIELDS))
+    carried = on_key_and_slot(carried, sets, "_key")
     # A range frame takes in all rows of a window, so the views row sees the values first seen in it.
     so_far = "OVER (PARTITION BY uid, _range ORDER BY _window RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     scanned = (

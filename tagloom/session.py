@@ -43,9 +43,20 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def work_folder(spark: SparkSession) -> str:
+    """What this application writes for itself lies here, below the shared folder."""
+    return f"{shared_folder(spark)}/tagloom/{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/tagloom/{purpose}-{uuid.uuid4().hex}"
+    """A fresh path in the work folder."""
+    return f"{work_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_work_folder(spark: SparkSession) -> None:
+    """Deletes all that this application has written for itself. Results are lazy, so store those that are still wanted first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def qualified(spark: SparkSession, path: str) -> str:

@@ -221,3 +221,14 @@ def test_a_feed_is_read_by_several_tasks(spark, tmp_path):
     found = spark.read.parquet(str(tmp_path / "o")).withColumn("batch", F.regexp_extract("file", r"/(\d+)/[^/]*$", 1))
     tasks = {row.batch: row.n for row in found.groupBy("batch").agg(F.count_distinct("task").alias("n")).collect()}
     assert len(tasks) == 3 and min(tasks.values()) > 1
+
+
+def test_work_folder_goes_when_told(spark):
+    from pathlib import Path
+
+    from tagloom.session import remove_work_folder, work_folder, written
+
+    assert written(spark.range(3), "numbers").count() == 3
+    assert list(Path(work_folder(spark)).glob("numbers-*"))
+    remove_work_folder(spark)
+    assert not Path(work_folder(spark)).exists()
