@@ -8,11 +8,13 @@ from itertools import islice
 
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from tagloom.session import written
+
 
 # Bytes of text that one step of a Python worker holds at a time.
 PIECE_BYTES = 1 << 20
@@ -119,6 +121,35 @@ def _slices(column: pa.Array, piece_bytes: int) -> Iterator[tuple[int, int]]:
         yield first, len(lengths)
 
 
+# monotonically_increasing_id: a partition's number above these bits, the row's below.
+_ROW = (1 << 33) - 1
+
+
+def numbered(rows: DataFrame, part: str, order: list[str], purpose: str) -> DataFrame:
+    """``rows`` with ``position`` (from 0 in the order given, within its ``part``) and ``n`` (rows of the part).
+
+    Rows are dealt into ranges of (part, order), so that a part of any size
+    spreads; a row's place is its place in the range plus what the part's
+    earlier ranges hold. Rows equal in all of that may swap places,
+    and a group of them spreads like any others. ``part`` must not be NULL.
+    """
+    tie = F.monotonically_increasing_id()
+    dealt = rows.withColumn("_tie", tie).repartitionByRange(part, *order, "_tie").sortWithinPartitions(part, *order, "_tie")
+    stored = written(dealt.drop("_tie").withColumn("_at", F.monotonically_increasing_id()), purpose)
+    stored = stored.withColumn("_range", F.shiftright("_at", 33))
+    ranges = stored.groupBy(part, "_range").agg(F.count(F.lit(1)).alias("_held"), F.min("_at").alias("_first"))
+    earlier = Window.partitionBy(part).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(
+        part,
+        "_range",
+        (F.coalesce(F.sum("_held").over(earlier), F.lit(0)) - F.col("_first").bitwiseAND(F.lit(_ROW))).alias("_before"),
+        F.sum("_held").over(Window.partitionBy(part)).alias("n"),
+    )
+    found = stored.join(written(ranges, f"{purpose}-ranges"), [part, "_range"])
+    position = F.col("_before") + F.col("_at").bitwiseAND(F.lit(_ROW))
+    return found.select(*rows.columns, position.alias("position"), "n")
+
+
 def forget(known: dict, most: int) -> None:
     """Drops the older half of a memo that holds more than ``most`` entries."""
     if len(known) > most:

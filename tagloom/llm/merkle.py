@@ -5,9 +5,10 @@ from __future__ import annotations
 import hashlib
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.common import numbered
 from tagloom.session import written
 
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -17,7 +18,6 @@ BLOCK_LEVELS = 8
 
 # A node's siblings up to the root of its tree: its place in each run and the run's other digests.
 PATH = "array<struct<nth: int, others: array<string>>>"
-_ROW = (1 << 33) - 1  # monotonically_increasing_id: a partition's number above these bits, the row's below
 
 
 def _sha256(text: str) -> str:
@@ -32,30 +32,6 @@ def leaf_digest(values: list[Column]) -> Column:
     )
 
 
-def numbered(rows: DataFrame, order: list[str], purpose: str) -> DataFrame:
-    """``rows`` with ``position`` (from 0 in the order given, within its ``tree``) and ``n`` (rows of the tree).
-
-    Rows are dealt into ranges of (tree, order), so that a tree of any size
-    spreads; a row's place is its place in the range plus what the tree's
-    earlier ranges hold. Rows equal in all of that may swap places.
-    """
-    tie = F.monotonically_increasing_id()
-    dealt = rows.withColumn("_tie", tie).repartitionByRange("tree", *order, "_tie").sortWithinPartitions("tree", *order, "_tie")
-    stored = written(dealt.drop("_tie").withColumn("_at", F.monotonically_increasing_id()), purpose)
-    stored = stored.withColumn("_range", F.shiftright("_at", 33))
-    ranges = stored.groupBy("tree", "_range").agg(F.count(F.lit(1)).alias("_held"), F.min("_at").alias("_first"))
-    earlier = Window.partitionBy("tree").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select(
-        "tree",
-        "_range",
-        (F.coalesce(F.sum("_held").over(earlier), F.lit(0)) - F.col("_first").bitwiseAND(F.lit(_ROW))).alias("_before"),
-        F.sum("_held").over(Window.partitionBy("tree")).alias("n"),
-    )
-    found = stored.join(written(ranges, f"{purpose}-ranges"), ["tree", "_range"])
-    position = F.col("_before") + F.col("_at").bitwiseAND(F.lit(_ROW))
-    return found.select(*rows.columns, position.alias("position"), "n")
-
-
 def _levels(digests: list[str], n: int, arity: int, block_levels: int) -> list[list[str]]:
     """A superblock's digests level by level, up to its one node; ``n`` are all nodes of its tree."""
     levels = [digests]
@@ -187,11 +163,11 @@ def manifest(
         ).alias("tampered"),
     )
     # Written first: dealing by range looks at its input twice.
-    leaves = numbered(written(leaves, "merkle-digests"), ["key", "digest"], "merkle-leaves")
+    leaves = numbered(written(leaves, "merkle-digests"), "tree", ["key", "digest"], "merkle-leaves")
     levels = tree_levels(leaves, arity, block_levels)
     subroots = levels[-1].select("tree", F.col("digest").alias("subroot"))
 
-    tops = numbered(subroots.select(F.lit("").alias("tree"), F.col("tree").alias("group"), F.col("subroot").alias("digest")), ["group"], "merkle-subroots")
+    tops = numbered(subroots.select(F.lit("").alias("tree"), F.col("tree").alias("group"), F.col("subroot").alias("digest")), "tree", ["group"], "merkle-subroots")
     top_levels = tree_levels(tops, arity, block_levels)
     roots = [row.digest for row in top_levels[-1].select("digest").collect()]  # one, or none without rows
     nothing = F.expr(f"CAST(array() AS {PATH})")

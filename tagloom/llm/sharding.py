@@ -5,9 +5,12 @@ from __future__ import annotations
 from bisect import bisect_right
 
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.llm.common import numbered
+from tagloom.session import written
+
 # Places of the ring; a key's place is its hash modulo this.
 PLACES = 1 << 16
 VIRTUAL_NODES = 64
@@ -81,8 +84,9 @@ def placed(
     ignored; no documents give no rows. Copies of a text spread by their keys.
 
     The plan is made from one count for each place of the ring (65,536 at most,
-    whatever the data), and rows are ranked within their place of the ring, not
-    within a shard. Texts are read for their length and checksum only.
+    whatever the data), and rows are ranked within their place of the ring by
+    ranges, so that rows of one key, however many, spread over tasks. Texts are
+    read once, for their length and checksum only.
     """
     spark = docs.sparkSession
     hashed = F.when(F.col(key).isNotNull(), F.xxhash64(F.col(key))).otherwise(F.xxhash64(F.lit("no key"), F.col(text)))
@@ -93,6 +97,7 @@ def placed(
         (F.octet_length(F.coalesce(F.col(text), F.lit(""))) + 8).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("text_crc32"),
     )
+    rows = written(rows, "shard-keys")
     nodes = ring(n_shards, virtual_nodes)
     starts = [place for place, _ in nodes]
     counts = dict(rows.groupBy("place").count().collect())  # at most PLACES rows
@@ -107,9 +112,8 @@ def placed(
     before = _table(spark, places, "place int, arc int, before long")
     pieces_table = _table(spark, pieces, "piece_arc int, first long, after long, shard int, base long")
 
-    in_place = Window.partitionBy("place").orderBy("hash", "key", "text_crc32", "size")
-    ranked = rows.withColumn("nth", F.row_number().over(in_place) - 1).join(before, "place")
-    rank = F.col("before") + F.col("nth")
+    ranked = numbered(rows, "place", ["hash", "key", "text_crc32", "size"], "shard-places").join(before, "place")
+    rank = F.col("before") + F.col("position")
     found = ranked.join(
         pieces_table, (F.col("arc") == F.col("piece_arc")) & (rank >= F.col("first")) & (rank < F.col("after"))
     )
