@@ -176,7 +176,8 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     takes another role, or both, and empty messages are inserted before it or at
     the end; the sum of costs is the least there is, and of equal choices the
     first turn's simplest wins. Unknown and NULL roles need a new one; a NULL
-    text is empty. Rows equal in all of conv_id, turn, role and text count once.
+    text is empty, and ``<|im_`` in a text is written ``<| im_``, for good, so that
+    no text can pass for a mark. Rows equal in all of conv_id, turn, role and text count once.
     A NULL conv_id is a conversation of its own. Other columns are ignored; no
     rows give no rows.
 

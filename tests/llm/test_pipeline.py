@@ -93,3 +93,14 @@ def test_odd_documents_go_through_every_stage(spark):
         docs = spark.createDataFrame(rows, schema)
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, docs, FOLDER).collect()
+
+
+def test_stages_on_a_table_with_the_operators_own_names(spark):
+    """Columns named as what the operators use inside neither crash a stage nor come out of it."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for name in ("_score", "_clean", "_dropped", "_none", "_text", "key", "version", "bits", "items"):
+        docs = docs.selectExpr("*", f"doc_id AS {name}")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        kept = stage(spark, docs, "/root/testdata/sf0.001")
+        assert kept.columns == corpus_pipeline.COLUMNS
+        assert 0 < kept.count() <= docs.count()
