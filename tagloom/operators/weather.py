@@ -81,3 +81,19 @@ def total_summary(batches: DataFrame) -> DataFrame:
         F.sum("fail_count").alias("fail_count"),
         F.count(F.lit(1)).alias("batches"),
     )
+
+
+def run_report(read: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """Every failed city with its batch and reason, next to the totals of the whole run.
+
+    The totals are one row, which Spark works out once and puts in as a
+    constant, so the list of failed cities may have any length. A run without
+    failures has no rows; its totals are those of ``total_summary``.
+    """
+    totals = total_summary(batch_summary(read, batch_rows)).select(F.struct("*")).scalar()
+    batch = F.floor(F.col("code").cast("long") / batch_rows).cast("long")
+    return (
+        failures(read)
+        .withColumns({"batch": batch, "_totals": totals})
+        .select("code", "province", "city", "reason", "batch", "_totals.*")
+    )

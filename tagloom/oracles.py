@@ -618,6 +618,11 @@ SELECT CASE WHEN broken THEN substr(txt, 1, 20) ELSE txt END AS value FROM x""",
     "weather_total": f"""WITH {_CITIES}, b AS ({_WEATHER_SUMMARY})
 SELECT CAST(sum(success_count) AS BIGINT) AS success_count, CAST(sum(fail_count) AS BIGINT) AS fail_count,
        count(*) AS batches FROM b""",
+    "weather_report": f"""WITH {_CITIES}, b AS ({_WEATHER_SUMMARY})
+SELECT code, province, city, CASE WHEN c_acctbal < 0 THEN 'bad status' ELSE 'no reading' END AS reason, CAST(code AS BIGINT) // 500 AS batch,
+       (SELECT CAST(sum(success_count) AS BIGINT) FROM b) AS success_count,
+       (SELECT CAST(sum(fail_count) AS BIGINT) FROM b) AS fail_count, (SELECT count(*) FROM b) AS batches
+FROM res WHERE NOT ok""",
     "weather_write": _WEATHER_ROWS,
     "stream_user_join": _USER_JOIN,
     "stream_user_tags": _USER_TAGS,

@@ -382,6 +382,10 @@ def weather_total(t: Tables) -> DataFrame:
     return weather.total_summary(weather_summary(t))
 
 
+def weather_report(t: Tables) -> DataFrame:
+    return weather.run_report(weather.outcomes(adapters.weather_responses(t)))
+
+
 def weather_write(t: Tables) -> DataFrame:
     """Weather rows through the table sink and back."""
     rows = weather_normalize(t)
@@ -588,6 +592,7 @@ BY_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
         weather_normalize,
         weather_summary,
         weather_total,
+        weather_report,
         weather_write,
         weather_upsert,
         stream_arrival_window,

@@ -189,6 +189,19 @@ def test_weather_summary_and_cities(spark):
     assert [row.code for row in weather.cities(codes).collect()] == [3]
 
 
+def test_weather_run_report(spark):
+    schema = "code long, province string, city string, status string, ok boolean"
+    rows = [(1, "p", "a", "1", True), (2, "p", "b", None, False), (499, "p", "c", "0", False), (1200, "q", "d", "1", False)]
+    report = weather.run_report(spark.createDataFrame([*rows, (1200, "q", "d", "1", False)], schema))
+    assert sorted(tuple(row) for row in report.collect()) == [
+        (2, "p", "b", "no readable response", 0, 1, 4, 2), (499, "p", "c", "bad status", 0, 1, 4, 2),
+        (1200, "q", "d", "no reading", 2, 1, 4, 2), (1200, "q", "d", "no reading", 2, 1, 4, 2),
+    ]
+    assert report.columns == ["code", "province", "city", "reason", "batch", "success_count", "fail_count", "batches"]
+    for good in (rows[:1], []):
+        assert weather.run_report(spark.createDataFrame(good, schema)).collect() == []
+
+
 def test_options():
     source = message_source.kafka_options("h:1", "t")
     assert source["subscribe"] == "t" and source["startingOffsets"] == "earliest"
