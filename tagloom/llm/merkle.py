@@ -143,7 +143,8 @@ def manifest(
     A row's proof is the digest of its siblings, level by level up to the root;
     without siblings, of nothing. Rows whose key's CRC-32 (of its decimal text)
     ``every`` divides are tampered with: one is added to ``number`` (NULL stays)
-    after the trees are made, so that folding their proof gives another root.
+    after the trees are made, so that folding their proof gives another root; it
+    is a whole number of at most 64 bits.
 
     A NULL key comes first in its group and is not tampered with; repeated rows
     are leaves of their own. No rows give no rows. Other columns are ignored.
@@ -159,7 +160,8 @@ def manifest(
         leaf_digest([F.col(name) for name in columns]).alias("digest"),
         F.when(
             (F.crc32(F.col(key).cast("string")) % every == 0) & F.col(number).isNotNull(),
-            leaf_digest([F.col(name) + 1 if name == number else F.col(name) for name in columns]),
+            # As a decimal, so that the largest long has a next one.
+            leaf_digest([F.col(name).cast("decimal(20,0)") + 1 if name == number else F.col(name) for name in columns]),
         ).alias("tampered"),
     )
     # Written first: dealing by range looks at its input twice.

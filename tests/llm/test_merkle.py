@@ -87,6 +87,13 @@ def test_many_groups_and_one_large(spark):
     assert {row[0] for row in found if not row[6]} == tampered
 
 
+def test_largest_and_smallest_numbers(spark):
+    keys = [key for key in range(200) if zlib.crc32(str(key).encode()) % 7 == 0][:4]
+    rows = [(key, "s", "en", number, "t") for key, number in zip(keys, (2**63 - 1, -(2**63), -1, 0))]
+    assert made(spark, rows) == brute(rows)
+    assert not any(row[6] for row in made(spark, rows))
+
+
 def test_does_not_depend_on_the_split(spark):
     rows = [(key % 90, "s", None if key % 5 else "de", key, "t") for key in range(300)]
     frame = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
