@@ -7,6 +7,7 @@ import hashlib
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagloom.llm.common import numbered
 from tagloom.session import written
@@ -217,14 +218,16 @@ def manifest(
             }
         )
 
-    kind = docs.schema[key].dataType.simpleString()
+    # Numbers go through pandas as text: beside a NULL it would make doubles of them.
+    kind = docs.schema[key].dataType
+    through = "string" if isinstance(kind, T.NumericType) else kind.simpleString()
     checked = (
-        _by_block(leaves, arity, block_levels)
+        _by_block(leaves.withColumn("key", F.col("key").cast(through)), arity, block_levels)
         .groupBy("tree", "block")
         .cogroup(outer.groupBy("tree", "block"))
         .applyInPandas(
             finish,
-            f"key {kind}, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
+            f"key {through}, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
         )
     )
-    return checked.withColumnRenamed("key", key)
+    return checked.withColumn("key", F.col("key").cast(kind)).withColumnRenamed("key", key)

@@ -94,6 +94,11 @@ def test_largest_and_smallest_numbers(spark):
     assert not any(row[6] for row in made(spark, rows))
 
 
+def test_large_keys_beside_a_null(spark):
+    rows = [(key, "s", "en", 1, "t") for key in (None, 2**60 + 1, 2**63 - 1, -(2**63), 2**53 + 1)]
+    assert made(spark, rows) == brute(rows)
+
+
 def test_does_not_depend_on_the_split(spark):
     rows = [(key % 90, "s", None if key % 5 else "de", key, "t") for key in range(300)]
     frame = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
