@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -161,10 +160,35 @@ class _Edge:
     last: bool = True
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, list[tuple]]]:
-    rows = (row for batch in batches for row in zip(*[batch.column(n).to_pylist() for n in range(5)]))
-    for conversation, turns in groupby(rows, key=lambda row: row[1]):
-        yield conversation, list(turns)
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, list[pa.RecordBatch]]]:
+    """Each conversation with its slices of the batches: what a task holds of a long one stays in Arrow's form."""
+    conversation, held = None, []
+    for batch in batches:
+        ids, first = batch.column("conv_id").to_pylist(), 0
+        for end in range(1, len(ids) + 1):
+            if end < len(ids) and ids[end] == ids[first]:
+                continue
+            if held and ids[first] != conversation:
+                yield conversation, held
+                held = []
+            conversation = ids[first]
+            held.append(batch.slice(first, end - first))
+            first = end
+    if held:
+        yield conversation, held
+
+
+def _part(slices: list[pa.RecordBatch]) -> int:
+    return slices[0].column("part")[0].as_py()
+
+
+def _roles(slices: list[pa.RecordBatch]) -> list[int | None]:
+    return [role_of(name) for held in slices for name in held.column("role").to_pylist()]
+
+
+def _turns(slices: list[pa.RecordBatch]) -> Iterator[tuple]:
+    for held in slices:
+        yield from zip(*[held.column(name).to_pylist() for name in ("turn", "role", "text")])
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:
@@ -187,7 +211,8 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     one 4 x 4 matrix; from these follow the costs behind each part, then the
     state before it, and the parts are decided on their own. Only the first and
     last conversation of a partition can cross, so what the driver sees is two
-    small rows per partition, however many conversations there are.
+    small rows per partition, however many conversations there are. Costs are
+    found from the roles alone; texts are read once, when they are written.
     """
     spark = conversations.sparkSession
     order = ["conv_id", "turn", "role", "text"]
@@ -213,17 +238,16 @@ def format_chats(conversations: DataFrame) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = last = None
-            for conversation, turns in _runs(batches):
-                last = (turns[0][0], conversation, [role_of(row[3]) for row in turns])
+            for last in _runs(batches):
                 first = first or last
             seen = [] if first is None else [first] if first is last else [first, last]
-            found = [(part, conversation, look(part, conversation, roles)) for part, conversation, roles in seen]
+            found = [(_part(held), conversation, look(_part(held), conversation, _roles(held))) for conversation, held in seen]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in found], pa.int32()), pa.array([x[1] for x in found], pa.int64()),
                  pa.array([x[2] for x in found], pa.list_(pa.int32()))], ["part", "conv_id", "found"],
             )
 
-        return sorted(rows.mapInArrow(run, T.StructType(edge)).collect(), key=lambda row: row.part)
+        return sorted(rows.drop("text").mapInArrow(run, T.StructType(edge)).collect(), key=lambda row: row.part)
 
     parts: dict[int | None, dict[int, list[int]]] = {}
     for row in edges(lambda part, conversation, roles: transfer(roles).ravel().tolist()):
@@ -250,13 +274,12 @@ def format_chats(conversations: DataFrame) -> DataFrame:
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, held = [], 0
-        for conversation, turns in _runs(batches):
-            at = known.get((turns[0][0], conversation)) or _Edge()
-            state = at.start
-            for n, best in enumerate(decide([role_of(row[3]) for row in turns], at.end)):
-                _, _, turn, role, text = turns[n]
-                way = best[state]
-                ending = PATHS[way.state, ASSISTANT] if at.last and n == len(turns) - 1 else None
+        for conversation, slices in _runs(batches):
+            at = known.get((_part(slices), conversation)) or _Edge()
+            state, decided = at.start, decide(_roles(slices), at.end)
+            for n, (turn, role, text) in enumerate(_turns(slices)):
+                way = decided[n][state]
+                ending = PATHS[way.state, ASSISTANT] if at.last and n == len(decided) - 1 else None
                 text = piece(way, state, text, ending)
                 after = [ROLES[s - 1] for s in ending or ()]
                 cost = way.cost + INSERT * len(after)

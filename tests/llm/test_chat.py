@@ -133,3 +133,15 @@ def test_query_on_a_whole_table(spark):
 
 def test_no_rows(spark):
     assert chat.format_chats(table(spark, [])).collect() == []
+
+
+def test_conversations_over_small_batches(spark):
+    rows = [(None if key % 7 == 0 else key % 40, n, ("user", "assistant", "tool")[(key + n) % 3], f"t{key}") for key in range(60) for n in range(9)]
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for size in ("1", "4"):
+            spark.conf.set(name, size)
+            check(chat.format_chats(table(spark, rows)).collect(), rows)
+    finally:
+        spark.conf.set(name, before)
