@@ -90,14 +90,23 @@ def running_sum(name: str, column: str) -> Scan:
     )
 
 
-def first_slots(rows: DataFrame, key: str, fields: dict[str, str]) -> DataFrame:
-    """(key, field, value, _slot): the slot each value was first seen in; combines before the shuffle.
+def by_key(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` with ``_key``: the key in a struct, which is never NULL.
 
-    ``fields`` maps the name of a field to its column.
+    So a NULL key meets a NULL key in a plain equi join, by the same expression as rows are grouped and scanned by: what
+    is joined to scanned rows moves to where they already lie.
+    """
+    return rows.withColumn("_key", F.struct(F.col(key).alias("key")))
+
+
+def first_slots(rows: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """(_key, field, value, _slot): the slot each value was first seen in; combines before the shuffle.
+
+    ``rows`` have ``_key`` and ``_slot``; ``fields`` maps the name of a field to its column.
     """
     pairs = ", ".join(f"struct('{name}' AS field, {column} AS value)" for name, column in fields.items())
     return (
-        rows.selectExpr(f"{key} AS _key", "_slot", f"inline(array({pairs}))")
+        rows.selectExpr("_key", "_slot", f"inline(array({pairs}))")
         .filter(F.col("value").isNotNull())
         .groupBy("_key", "field", "value")
         .agg(F.min("_slot").alias("_slot"))
@@ -112,20 +121,13 @@ def values_before(slots: DataFrame, firsts: DataFrame, names: list[str]) -> Data
     """
     known = firsts.select(F.col("_key").alias("_its_key"), "field", "value", F.col("_slot").alias("_seen_in"))
     met = slots.select("_key", "_slot").join(
-        known, F.col("_key").eqNullSafe(F.col("_its_key")) & (F.col("_seen_in") < F.col("_slot")), "left"
+        known, (F.col("_key") == F.col("_its_key")) & (F.col("_seen_in") < F.col("_slot")), "left"
     )
     return met.groupBy("_key", "_slot").agg(
         *[F.collect_list(F.when(F.col("field") == name, F.col("value"))).alias(f"_before_{name}") for name in names]
     )
 
 
-def on_key_and_slot(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Joins on key (``_key`` on the right) and slot; a NULL key meets a NULL key."""
-    right = right.withColumnsRenamed({"_key": "_its_key", "_slot": "_its_slot"})
-    same = F.col(key).eqNullSafe(F.col("_its_key")) & (F.col("_slot") == F.col("_its_slot"))
-    return left.join(right, same, how).drop("_its_key", "_its_slot")
-
-
 def prefix_scan(rows: DataFrame, key: str, order: list[str], slot: Column, scans: list[Scan | RunningSet]) -> DataFrame:
     """``rows`` with one column per scan.
 
@@ -135,8 +137,8 @@ def prefix_scan(rows: DataFrame, key: str, order: list[str], slot: Column, scans
     columns = rows.columns
     simple = [scan for scan in scans if isinstance(scan, Scan)]
     sets = [scan for scan in scans if isinstance(scan, RunningSet)]
-    slotted = rows.withColumn("_slot", F.coalesce(slot, F.lit(-(1 << 63)).cast("long")))
-    whole = slotted.groupBy(F.col(key).alias("_key"), "_slot").agg(
+    slotted = by_key(rows, key).withColumn("_slot", F.coalesce(slot, F.lit(-(1 << 63)).cast("long")))
+    whole = slotted.groupBy("_key", "_slot").agg(
         F.count(F.lit(1)).alias("_rows"), *[scan.whole.alias(f"_whole_{scan.name}") for scan in simple]
     )
     earlier = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
@@ -146,16 +148,16 @@ def prefix_scan(rows: DataFrame, key: str, order: list[str], slot: Column, scans
         *[scan.earlier(F.col(f"_whole_{scan.name}"), earlier).alias(f"_before_{scan.name}") for scan in simple],
     )
     if sets:
-        firsts = first_slots(slotted, key, {scan.name: scan.column for scan in sets})
-        carried = on_key_and_slot(carried, values_before(whole, firsts, [scan.name for scan in sets]), "_key")
-    window = Window.partitionBy(key, "_slot").orderBy(*order)
+        firsts = first_slots(slotted, {scan.name: scan.column for scan in sets})
+        carried = carried.join(values_before(whole, firsts, [scan.name for scan in sets]), ["_key", "_slot"])
+    window = Window.partitionBy("_key", "_slot").orderBy(*order)
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     scanned = slotted.select(
         "*",
         *[scan.within(window).alias(f"_within_{scan.name}") for scan in simple],
         *[F.collect_set(scan.column).over(so_far).alias(f"_within_{scan.name}") for scan in sets],
     )
-    return on_key_and_slot(scanned, carried, key).select(
+    return scanned.join(carried, ["_key", "_slot"]).select(
         *columns,
         *[scan.together(F.col(f"_before_{scan.name}"), F.col(f"_within_{scan.name}")).alias(scan.name) for scan in simple],
         *[F.array_union(f"_before_{scan.name}", f"_within_{scan.name}").alias(scan.name) for scan in sets],

@@ -9,8 +9,8 @@ from tagloom.functions.timeparts import slot_of
 from tagloom.operators.page_logs import PROFILE_FIELDS
 from tagloom.operators.prefix_scan import (
     RunningSet,
+    by_key,
     first_slots,
-    on_key_and_slot,
     prefix_scan,
     running_count,
     values_before,
@@ -65,9 +65,9 @@ def last_in_window(rows: DataFrame, order: list[str], width_ms: int = WINDOW_MS,
 
 def profile_values(records: DataFrame, width_ms: int = WINDOW_MS) -> DataFrame:
     """The value sets in long form: one row per user, field and value, with the window it was first seen in."""
-    slotted = records.withColumn("_slot", slot_of(F.col("ts"), width_ms))
-    return first_slots(slotted, "uid", {name: name for name in PROFILE_FIELDS}).select(
-        F.col("_key").alias("uid"), "field", "value", (F.col("_slot") * width_ms).alias("window_start")
+    slotted = by_key(records, "uid").withColumn("_slot", slot_of(F.col("ts"), width_ms))
+    return first_slots(slotted, {name: name for name in PROFILE_FIELDS}).select(
+        F.col("_key.key").alias("uid"), "field", "value", (F.col("_slot") * width_ms).alias("window_start")
     )
 
 
@@ -81,36 +81,36 @@ def windowed_profile(records: DataFrame, width_ms: int = WINDOW_MS, range_slots:
     is one row per user and range, so a user with very many windows, such as all
     guests together, is spread over tasks like any others.
     """
-    slotted = records.withColumn("_slot", slot_of(F.col("ts"), width_ms))
-    views = slotted.groupBy("uid", "_slot").agg(F.count(F.lit(1)).alias("views"))
-    firsts = first_slots(slotted, "uid", {name: name for name in PROFILE_FIELDS})
+    slotted = by_key(records, "uid").withColumn("_slot", slot_of(F.col("ts"), width_ms))
+    views = slotted.groupBy("_key", "_slot").agg(F.count(F.lit(1)).alias("views"))
+    firsts = first_slots(slotted, {name: name for name in PROFILE_FIELDS})
     in_range = F.floor(F.col("_slot") / range_slots).cast("long")
 
-    whole = views.groupBy(F.col("uid").alias("_key"), in_range.alias("_slot")).agg(F.sum("views").alias("_views"))
+    whole = views.groupBy("_key", in_range.alias("_slot")).agg(F.sum("views").alias("_views"))
     earlier = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     carried = whole.select(
         "_key", "_slot", F.coalesce(F.sum("_views").over(earlier), F.lit(0).cast("long")).alias("_before_pv")
     )
     sets = values_before(whole, firsts.withColumn("_slot", in_range), list(PROFILE_FIELDS))
-    carried = on_key_and_slot(carried, sets, "_key")
+    carried = carried.join(sets, ["_key", "_slot"])
     # A range frame takes in all rows of a window, so the views row sees the values first seen in it.
-    so_far = "OVER (PARTITION BY uid, _range ORDER BY _window RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    so_far = "OVER (PARTITION BY _key, _slot ORDER BY _window RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     scanned = (
-        views.unionByName(firsts.withColumnRenamed("_key", "uid"), allowMissingColumns=True)
+        views.unionByName(firsts, allowMissingColumns=True)
         .select("*", in_range.alias("_range"))
-        .withColumnRenamed("_slot", "_window")
+        .withColumnsRenamed({"_slot": "_window", "_range": "_slot"})
         .selectExpr(
-            "uid",
+            "_key",
             f"_window * {width_ms} AS window_start",
-            "_range AS _slot",
+            "_slot",
             "views",
             f"sum(views) {so_far} AS pv",
             *[f"collect_list(CASE WHEN field = '{name}' THEN value END) {so_far} AS {name}_set" for name in PROFILE_FIELDS],
         )
         .filter(F.col("views").isNotNull())
     )
-    return on_key_and_slot(scanned, carried, "uid").select(
-        "uid",
+    return scanned.join(carried, ["_key", "_slot"]).select(
+        F.col("_key.key").alias("uid"),
         "window_start",
         (F.col("_before_pv") + F.col("pv")).alias("pv"),
         *[F.concat(f"_before_{name}", f"{name}_set").alias(f"{name}_set") for name in PROFILE_FIELDS],
@@ -131,14 +131,14 @@ def windowed_distinct(records: DataFrame, width_ms: int = WINDOW_MS, range_slots
     are united along a range of windows, and one sketch per user and range is
     carried to the next.
     """
-    slotted = records.withColumn("_window", slot_of(F.col("ts"), width_ms))
-    views = slotted.groupBy("uid", "_window").agg(
+    slotted = by_key(records, "uid").withColumn("_window", slot_of(F.col("ts"), width_ms))
+    views = slotted.groupBy("_key", "_window").agg(
         F.count(F.lit(1)).alias("views"),
         *[F.hll_sketch_agg(name, F.lit(SKETCH_BITS)).alias(f"_in_{name}") for name in PROFILE_FIELDS],
     )
     views = views.withColumn("_slot", F.floor(F.col("_window") / range_slots).cast("long"))
     united = [F.hll_union_agg(f"_in_{name}").alias(f"_in_{name}") for name in PROFILE_FIELDS]
-    whole = views.groupBy(F.col("uid").alias("_key"), "_slot").agg(F.sum("views").alias("_views"), *united)
+    whole = views.groupBy("_key", "_slot").agg(F.sum("views").alias("_views"), *united)
     earlier = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     carried = whole.select(
         "_key",
@@ -146,9 +146,9 @@ def windowed_distinct(records: DataFrame, width_ms: int = WINDOW_MS, range_slots
         F.coalesce(F.sum("_views").over(earlier), F.lit(0).cast("long")).alias("_before_pv"),
         *[F.hll_union_agg(f"_in_{name}").over(earlier).alias(f"_before_{name}") for name in PROFILE_FIELDS],
     )
-    so_far = Window.partitionBy("uid", "_slot").orderBy("_window").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy("_key", "_slot").orderBy("_window").rowsBetween(Window.unboundedPreceding, 0)
     scanned = views.select(
-        "uid",
+        "_key",
         "_slot",
         (F.col("_window") * width_ms).alias("window_start"),
         F.sum("views").over(so_far).alias("pv"),
@@ -160,6 +160,6 @@ def windowed_distinct(records: DataFrame, width_ms: int = WINDOW_MS, range_slots
         both = F.when(before.isNull(), within).otherwise(F.hll_union(before, within))
         return F.hll_sketch_estimate(both).alias(f"n_{name}")
 
-    return on_key_and_slot(scanned, carried, "uid").select(
-        "uid", "window_start", (F.col("_before_pv") + F.col("pv")).alias("pv"), *[estimate(name) for name in PROFILE_FIELDS]
+    return scanned.join(carried, ["_key", "_slot"]).select(
+        F.col("_key.key").alias("uid"), "window_start", (F.col("_before_pv") + F.col("pv")).alias("pv"), *[estimate(name) for name in PROFILE_FIELDS]
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tagloom.operators import dimensions, interval_join, profiles, repeats
 from tagloom.operators.interval_join import MERGED_COLUMNS
 from tagloom.plans.order_scores import first_pairs
-from tagloom.session import written
+from tagloom.session import settings, written
 from tagloom.operators.page_logs import PROFILE_FIELDS
 
 MINUTE = 60 * 1000
@@ -229,3 +229,19 @@ def test_adjusted_prices_take_the_latest_rule(spark):
         ("P456", "小米电视", "3299.00", "0.80", "2639.20"),
         ("P9", "x", "1.00", "1.00", "1.00"),
     ]
+
+
+@pytest.mark.parametrize("scan", ["views", "rising", "windows"])
+def test_scanned_rows_meet_what_is_carried_where_they_lie(spark, scan):
+    rows = spark.createDataFrame([(None, 1, *["x"] * 6), ("a", 2, *["y"] * 6)], ["uid", "ts", *PROFILE_FIELDS, "other_info"])
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        if scan == "views":
+            found = profiles.running_views(rows)
+        elif scan == "rising":
+            found = repeats.rising_only(rows, "uid", "ts", ["ts"], F.col("ts"))
+        else:
+            found = profiles.windowed_profile(rows)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == 2
+    steps = [step for line in plan.splitlines() for step in ("SortMergeJoin", "Exchange", "Window ") if step in line]
+    assert steps[:2] == ["SortMergeJoin", "Window "]
