@@ -185,3 +185,80 @@ def test_csv_stream(spark, tmp_path):
     ).awaitTermination()
     back = files.read_order_csv(spark, str(tmp_path / "csv"), one.schema)
     assert tuples(back) == tuples(one)
+
+
+def buckets_of(spark, path):
+    """How many values the keyed state holds after a stream's last batch."""
+    with flows.settings(spark, {"spark.sql.streaming.stateStore.providerClass": flows.ROCKSDB}):
+        reader = spark.read.format("statestore").option("stateVarName", "last")
+        return reader.load(str(path / "checkpoint")).count()
+
+
+def rising_rows(seed, n=400):
+    rng = random.Random(seed)
+    return [(rng.choice([None, "", *map(str, range(60))]), rng.randrange(30), at * MINUTE) for at in range(n)]
+
+
+def test_rising_only_holds_many_keys_in_few_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(flows.processors, "BUCKETS", 4)
+    rows = rising_rows(1)
+    inbox = Inbox(spark, tmp_path / "in", "k string, v long, at long")
+    for i in range(0, 400, 100):
+        inbox.put(rows[i : i + 100])
+    out = run(flows.rising_only(inbox.stream(), "k", "v", ["at"]), tmp_path / "out", close_windows=False)
+    last, kept = {}, []
+    for row in rows:
+        if row[0] not in last or row[1] > last[row[0]]:
+            last[row[0]] = row[1]
+            kept.append(row)
+    assert tuples(out) == sorted(kept, key=repr)
+    assert buckets_of(spark, tmp_path / "out") <= 4
+
+
+def test_rising_on_arrival_holds_many_keys_in_few_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(flows.processors, "BUCKETS", 4)
+    rows, ttl = rising_rows(2), 90 * MINUTE
+    inbox = Inbox(spark, tmp_path / "in", "k string, v long, at long")
+    for i in range(0, 400, 100):
+        inbox.put(rows[i : i + 100])
+    out = run(flows.rising_on_arrival(inbox.stream(), "k", "v", ["at"], "at", ttl), tmp_path / "out")
+    last, kept = {}, []
+    for key, value, at in rows[1:]:  # the first has time 0, which is late
+        if key not in last or value > last[key][0] or at - last[key][1] > ttl:
+            last[key] = (value, at)
+            kept.append((key, value, at))
+    assert tuples(out) == sorted(kept, key=repr)
+    held = flows.stored_entries(spark, str(tmp_path / "out" / "checkpoint"), "last", "k string, value bigint, passed_ms bigint")
+    held = {row.k: (row.value, row.passed_ms) for row in held.collect()}
+    end = rows[-1][2]
+    assert held.items() <= last.items()  # what is too old to be met may be gone
+    assert {key for key, (_, at) in last.items() if at + ttl >= end} <= set(held)
+    assert buckets_of(spark, tmp_path / "out") <= 4
+
+
+def test_rates_wait_in_buckets_with_one_timer(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(flows.processors, "BUCKETS", 2)
+    rng = random.Random(3)
+    log = []
+    for at in range(1, 301):
+        name = f"P{rng.randrange(20)}"
+        log.append((f"{name}:0.{rng.randrange(1, 10)}", at * 60_000, float(at)) if at % 3 == 0 else (f"{name},n,{at}.0", at * 60_000, None))
+    inbox = Inbox(spark, tmp_path / "in", "value string, ts_ms long, seq double")
+    for i in range(0, 300, 100):
+        part = log[i : i + 100]
+        random.Random(i).shuffle(part)
+        inbox.put(part)
+    out = run(flows.prices_as_of(inbox.stream()), tmp_path / "out")
+    rates, expected = {}, []
+    for value, ts, seq in log:
+        if seq is not None:
+            name, rate = value.split(":")
+            rates[name] = float(rate)
+        elif ts < log[-1][1] - 3000:
+            name, _, price = value.split(",")
+            rate = rates.get(name, 1.0)
+            expected.append((name, f"{float(price):.2f}", f"{rate:.2f}", ts))
+    assert tuples(out.select("id", "price", "rate", "ts_ms")) == sorted(expected, key=repr)
+    with flows.settings(spark, {"spark.sql.streaming.stateStore.providerClass": flows.ROCKSDB}):
+        held = spark.read.format("statestore").option("stateVarName", "held").load(str(tmp_path / "out" / "checkpoint"))
+        assert held.count() <= 2
