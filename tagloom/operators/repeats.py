@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.operators.prefix_scan import max_before, prefix_scan
+from tagloom.operators.prefix_scan import by_key
 
 
 def without_repeats(rows: DataFrame) -> DataFrame:
@@ -19,15 +19,22 @@ def rising_only(rows: DataFrame, key: str, value: str, order: list[str], slot: C
     The first row of a key always passes, and a NULL value counts as 0.
     ``order`` must be a total order and ``slot`` follow it, as in ``prefix_scan``.
 
-    A row whose value its key has seen before never passes, so only the first
-    row per (key, value) is scanned. Spark drops the others on the map side
-    (window group limit): a group of copies is a row per task, however large.
+    Rows move once, to the others of their (key, slot): what does not rise there never passes. The slots' largest values,
+    a row per (key, slot), are then carried along the key; they join back only where an earlier slot has one.
     """
-    known = rows.withColumn(value, F.coalesce(value, F.lit(0).cast("long")))
-    first = F.row_number().over(Window.partitionBy(key, value).orderBy(*order))
-    known = known.withColumn("_nth", first).filter(F.col("_nth") == 1).drop("_nth")
+    known = by_key(rows.withColumn(value, F.coalesce(value, F.lit(0).cast("long"))), key)
+    known = known.withColumn("_slot", F.coalesce(slot, F.lit(-(1 << 63)).cast("long")))
+    before = Window.partitionBy("_key", "_slot").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rising = known.withColumn("_seen", F.max(value).over(before))
+    rising = rising.filter(F.col("_seen").isNull() | (F.col(value) > F.col("_seen"))).drop("_seen")
+    earlier = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        rising.groupBy("_key", "_slot").agg(F.max(value).alias("_top"))
+        .select("_key", "_slot", F.max("_top").over(earlier).alias("_before"))
+        .filter(F.col("_before").isNotNull())
+    )
     return (
-        prefix_scan(known, key, order, slot, [max_before("_seen", value)])
-        .filter(F.col("_seen").isNull() | (F.col(value) > F.col("_seen")))
-        .drop("_seen")
+        rising.join(carried, ["_key", "_slot"], "left")
+        .filter(F.col("_before").isNull() | (F.col(value) > F.col("_before")))
+        .select(*rows.columns)
     )

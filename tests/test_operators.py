@@ -245,3 +245,9 @@ def test_scanned_rows_meet_what_is_carried_where_they_lie(spark, scan):
         assert found.count() == 2
     steps = [step for line in plan.splitlines() for step in ("SortMergeJoin", "Exchange", "Window ") if step in line]
     assert steps[:2] == ["SortMergeJoin", "Window "]
+
+
+def test_rising_only_moves_rows_once(spark):
+    rows = spark.range(50).selectExpr("id % 5 AS k", "id * 7 % 11 AS v", "id AS arrived")
+    plan = repeats.rising_only(rows, "k", "v", ["arrived"], F.col("arrived"))._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" not in plan
