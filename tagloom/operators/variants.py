@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,9 +24,49 @@ def variant_rows(messages: DataFrame) -> DataFrame:
 def found_types(rows: DataFrame) -> DataFrame:
     """(source_table, path, type, rows): the types met at every path of each table's rows, nested objects by dotted path.
 
-    Numbers that are whole are BIGINT, other ones DECIMAL or DOUBLE; an array is one type. Counts combine before the
-    shuffle. Objects are opened level by level until none is left, as many times as they are nested.
+    Numbers that are whole are BIGINT, other ones DECIMAL or DOUBLE; an array is one type. Rows are counted by their whole
+    schema, combined before the shuffle; only the schemas that differ are opened. Rows that are lists are opened themselves.
     """
+    paths = F.udf(paths_of, "array<struct<path string, type string>>")
+    shapes = rows.groupBy("source_table", F.schema_of_variant("row").alias("shape")).agg(F.count(F.lit(1)).alias("rows"))
+    counted = shapes.filter(F.col("shape").startswith("OBJECT")).select("source_table", F.inline(paths("shape")), "rows")
+    lists = rows.filter(F.try_variant_get("row", "$[0]", "variant").isNotNull())
+    if not lists.isEmpty():
+        counted = counted.unionByName(_types_by_level(lists))
+    return counted.groupBy("source_table", "path", "type").agg(F.sum("rows").alias("rows"))
+
+
+# A name (quoted where it is no plain word), the start or end of what nests, or a type.
+_TOKEN = re.compile(r"`((?:[^`]|``)*)`: |(\w+): |(OBJECT<|ARRAY<|>)|([A-Z]+)[A-Z_]*(?:\([0-9,]+\))?")
+
+
+def paths_of(shape: str) -> list[tuple[str, str]]:
+    """Dotted path and type of every field of a schema as ``schema_of_variant`` writes it; lists are not opened."""
+    found: list[tuple[str, str]] = []
+    prefix: list[str] = []
+    name, in_list = "", 0
+    for quoted, plain, nested, kind in _TOKEN.findall(shape):
+        if nested == ">":
+            if in_list:
+                in_list -= 1
+            else:
+                prefix.pop()
+        elif in_list:
+            in_list += bool(nested)
+        elif nested == "OBJECT<":
+            prefix.append(f"{prefix[-1]}{name}." if prefix else "")
+        elif nested == "ARRAY<":
+            found.append((prefix[-1] + name, "ARRAY"))
+            in_list = 1
+        elif kind:
+            found.append((prefix[-1] + name, kind))
+        else:
+            name = plain or quoted.replace("``", "`")
+    return found
+
+
+def _types_by_level(rows: DataFrame) -> DataFrame:
+    """Types by path, objects opened level by level until none is left, as many times as they are nested."""
     kind = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
     counted = None
     level = rows.select("source_table", F.lit("").alias("prefix"), F.col("row").alias("whole"))
@@ -36,7 +78,7 @@ def found_types(rows: DataFrame) -> DataFrame:
         counted = own if counted is None else counted.unionByName(own)
         level = typed.filter("type = 'OBJECT'").select("source_table", F.concat("path", F.lit(".")).alias("prefix"), F.col("value").alias("whole"))
         if level.isEmpty():
-            return counted.groupBy("source_table", "path", "type").agg(F.sum("rows").alias("rows"))
+            return counted
 
 
 def schema_of(types: DataFrame, table: str) -> dict[str, str]:

@@ -169,7 +169,7 @@ def cdc_variant(t: Tables) -> DataFrame:
 def cdc_any_table(t: Tables) -> DataFrame:
     """Rows of a table without a contract, in the schema found for it."""
     rows = _variant_rows(t)
-    schema = variants.schema_of(variants.found_types(rows), "spu_info")
+    schema = variants.schema_of(variants.found_types(rows.filter("source_table = 'spu_info'")), "spu_info")
     return variants.typed_rows(rows, "spu_info", schema).withColumn("price", F.col("price").cast("double"))
 
 

@@ -232,3 +232,20 @@ def test_work_folder_goes_when_told(spark):
     assert list(Path(work_folder(spark)).glob("numbers-*"))
     remove_work_folder(spark)
     assert not Path(work_folder(spark)).exists()
+
+
+def test_paths_of_odd_names_are_those_of_the_opened_objects(spark):
+    texts = ['{"a b":1,"c`d":{"":2,"x:y, z<":[{"q":1},{"r":[1,2.5]}]},"n":null,"2":1.50,"ü":true,"e":{},"d":1e300,"OBJECT":"s"}', '[1,{"a":2},[3]]', "[]", "7", "{}"]
+    messages = [(f'{{"after":{text},"source":{{"table":"t"}}}}',) for text in texts]
+    rows = variants.variant_rows(spark.createDataFrame(messages, "value string"))
+    by_level = variants._types_by_level(rows)
+    expected = by_level.groupBy("source_table", "path", "type").agg(F.sum("rows").alias("rows"))
+    assert sorted(map(tuple, variants.found_types(rows).collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+
+
+def test_types_are_found_in_one_pass(spark):
+    messages = [(f'{{"after":{{"a":{{"b":{{"c":{{"d":{n}}}}}}}}},"source":{{"table":"t"}}}}',) for n in range(4)]
+    rows = variants.variant_rows(spark.createDataFrame(messages, "value string"))
+    types = variants.found_types(rows)
+    assert [tuple(row) for row in types.collect()] == [("t", "a.b.c.d", "BIGINT", 4)]
+    assert "Generate variant_explode" not in types._jdf.queryExecution().toString()
