@@ -262,3 +262,30 @@ def test_rates_wait_in_buckets_with_one_timer(spark, tmp_path, monkeypatch):
     with flows.settings(spark, {"spark.sql.streaming.stateStore.providerClass": flows.ROCKSDB}):
         held = spark.read.format("statestore").option("stateVarName", "held").load(str(tmp_path / "out" / "checkpoint"))
         assert held.count() <= 2
+
+
+@pytest.mark.parametrize("form", ["running", "windowed", "resumed"])
+def test_profiles_of_many_users_are_held_in_few_buckets(spark, tmp_path, monkeypatch, form):
+    monkeypatch.setattr(flows.processors, "BUCKETS", 3)
+    rows = [(None if row[0] == "c" else f"{row[0]}{row[1] % 7}", *row[1:]) for row in records(240, seed=6)]
+    old, new = (rows[:80], rows[80:]) if form == "resumed" else ([], rows)
+    inbox = Inbox(spark, tmp_path / "in", RECORDS)
+    for i in range(0, len(new), 80):
+        inbox.put(new[i : i + 80])
+    history = spark.createDataFrame(old, RECORDS).distinct()
+    if form == "windowed":
+        streamed = run(flows.windowed_profile(inbox.stream()), tmp_path / "out")
+    else:
+        known = profiles.last_profile(history) if old else None
+        streamed = run(flows.running_profile(inbox.stream(), history=known), tmp_path / "out")
+    seen = repeats.without_repeats(spark.createDataFrame(rows, RECORDS))
+    if form == "windowed":
+        expected = profiles.windowed_profile(seen).filter(F.col("window_start") + 2 * MINUTE <= rows[-1][1] - 3000)
+    else:
+        expected = profiles.running_profile(seen).filter(F.col("ts") > (old[-1][1] if old else -1))
+    sets = [profiles.joined(F.col(f"{name}_set")).alias(name) for name in page_logs.PROFILE_FIELDS]
+    columns = ["uid", "window_start" if form == "windowed" else "ts", "pv", *sets]
+    assert tuples(streamed.select(*columns)) == tuples(expected.select(*columns))
+    with flows.settings(spark, {"spark.sql.streaming.stateStore.providerClass": flows.ROCKSDB}):
+        held = spark.read.format("statestore").option("stateVarName", "held").option("operatorId", 0)
+        assert held.load(str(tmp_path / "out" / "checkpoint")).count() <= 3
