@@ -5,6 +5,7 @@ import json
 import random
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -289,3 +290,88 @@ def test_profiles_of_many_users_are_held_in_few_buckets(spark, tmp_path, monkeyp
     with flows.settings(spark, {"spark.sql.streaming.stateStore.providerClass": flows.ROCKSDB}):
         held = spark.read.format("statestore").option("stateVarName", "held").option("operatorId", 0)
         assert held.load(str(tmp_path / "out" / "checkpoint")).count() <= 3
+
+
+class HeldValue:
+    """A state variable of one bucket."""
+
+    def __init__(self):
+        self.value = None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+
+class Timers:
+    def getCurrentProcessingTimeInMs(self):
+        return 1000
+
+    def getCurrentWatermarkInMs(self):
+        return 0
+
+    def getValueState(self, *_):
+        return HeldValue()
+
+    def registerTimer(self, _):
+        pass
+
+
+@pytest.mark.parametrize("form", ["only", "on arrival"])
+def test_rising_filters_take_whole_frames(form):
+    """Cells are read column by column; numbers that tell rows apart come as text and are compared as numbers."""
+    kinds = {"at": int, "a": int, "b": float, "c": int}
+    order = ["at", "a", "b", "c"]
+    if form == "only":
+        filtered = flows.processors.RisingOnly("k", "v", order, kinds, 10**9)
+    else:
+        filtered = flows.processors.RisingOnArrival("k", "v", order, kinds, "at", 10**9)
+    filtered.init(Timers())
+    rows = [
+        ("x", 5, "9", "1", "1.0", "10", "p"), ("x", 7, "10", None, "1.0", "10", "q"), (None, 1, "3", "1", None, "2", "r"),
+        ("x", 5, "9", "1", "1.0", "9", "s"), (None, 1, "3", "1", None, "10", "t"), ("y", 2, "1", "1", "1.0", "1", None),
+        ("x", 6, "10", "1", "1.0", "1", "u"),
+    ]
+    frames = lambda rows: iter([pd.DataFrame(rows[i : i + 3], columns=["k", "v", *order, "text"]) for i in range(0, len(rows), 3)])
+    out = pd.concat(list(filtered.handleInputRows((0,), frames(rows), Timers())))
+    # NULLs come first, 9 before 10; what repeats a value or is lower falls away.
+    assert sorted(map(str, out["text"])) == ["None", "q", "r", "s"]
+    again = [("x", 7, "11", "1", "1.0", "1", "v"), ("x", 8, "12", "1", "1.0", "1", "w"), ("z", 0, "1", "1", "1.0", "1", "z")]
+    out = pd.concat(list(filtered.handleInputRows((0,), frames(again), Timers())))
+    assert sorted(out["text"]) == ["w", "z"]
+
+
+def test_rising_only_keeps_large_numbers_beside_nulls(spark, tmp_path):
+    inbox = spark.createDataFrame(
+        [("a", 1, 2**60 + 1, None, 0.1), ("b", None, None, 3, float("nan")), (None, 2, -(2**62) - 1, 4, None)],
+        "k string, v long, big long, small int, x double",
+    )
+    inbox.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(inbox.schema).parquet(str(tmp_path / "in"))
+    kept = flows.rising_only(stream, "k", "v", ["big", "small", "x"])
+    assert kept.schema.simpleString() == inbox.schema.simpleString()
+    out = run(kept, tmp_path / "out", close_windows=False)
+    expected = [("a", 1, 2**60 + 1, None, 0.1), ("b", 0, None, 3, float("nan")), (None, 2, -(2**62) - 1, 4, None)]
+    assert list(map(repr, tuples(out))) == sorted(map(repr, expected))
+
+
+def test_state_stores_do_not_count_their_rows(spark, monkeypatch):
+    """Counting reads every key again before it is written."""
+    name, seen = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", []
+
+    class Ended:
+        def awaitTermination(self):
+            pass
+
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    monkeypatch.setattr(flows, "start_files", lambda rows, *_, **__: seen.append(spark.conf.get(name)) or Ended())
+    flows.checkpoint_of(spark.range(1), "uncounted")
+    assert seen == ["false"]
+    assert spark.conf.get(name) == "true"
+    spark.conf.set(name, before or "false")
