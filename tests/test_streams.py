@@ -349,11 +349,11 @@ def test_rising_filters_take_whole_frames(form):
 def test_rising_only_keeps_large_numbers_beside_nulls(spark, tmp_path):
     inbox = spark.createDataFrame(
         [("a", 1, 2**60 + 1, None, 0.1), ("b", None, None, 3, float("nan")), (None, 2, -(2**62) - 1, 4, None)],
-        "k string, v long, big long, small int, x double",
+        "k string, v long, `_big` long, small int, `x y` double",
     )
     inbox.write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(inbox.schema).parquet(str(tmp_path / "in"))
-    kept = flows.rising_only(stream, "k", "v", ["big", "small", "x"])
+    kept = flows.rising_only(stream, "k", "v", ["_big", "small", "x y"])
     assert kept.schema.simpleString() == inbox.schema.simpleString()
     out = run(kept, tmp_path / "out", close_windows=False)
     expected = [("a", 1, 2**60 + 1, None, 0.1), ("b", 0, None, 3, float("nan")), (None, 2, -(2**62) - 1, 4, None)]
