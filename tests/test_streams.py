@@ -375,3 +375,41 @@ def test_state_stores_do_not_count_their_rows(spark, monkeypatch):
     assert seen == ["false"]
     assert spark.conf.get(name) == "true"
     spark.conf.set(name, before or "false")
+
+
+def test_state_stores_are_as_many_as_tasks_need(spark, monkeypatch):
+    """A store costs the same in every micro-batch, however few rows it has."""
+    name, seen = "spark.sql.shuffle.partitions", []
+
+    class Ended:
+        def awaitTermination(self):
+            pass
+
+    before = spark.conf.get(name)
+    monkeypatch.setattr(flows, "start_files", lambda rows, *_, **__: seen.append(int(spark.conf.get(name))) or Ended())
+    for asked in ("1000", "3"):
+        spark.conf.set(name, asked)
+        flows.checkpoint_of(spark.range(1), "few-stores")
+        assert spark.conf.get(name) == asked
+    spark.conf.set(name, before)
+    assert seen == [max(4, 2 * spark.sparkContext.defaultParallelism), 3]
+
+
+def test_windowed_profiles_take_whole_frames():
+    """Windows come as frames and go as frames, in the order of time; a NULL user is a user."""
+    grown = flows.processors.WindowedProfile()
+    grown.init(Timers())
+    names = ["uid", "window_start", "views", *[f"{name}_set" for name in page_logs.PROFILE_FIELDS]]
+    frames = lambda *rows: iter([pd.DataFrame([row], columns=names) for row in rows])
+    shown = lambda out: [(None if row[0] != row[0] else row[0], *row[1:3], *map(list, row[3:])) for row in out.itertuples(index=False)]
+    first = [("a", 20, 2, ["x"], [], ["m"], [], ["q", "p"]), (None, 10, 1, ["y"], [], [], [], []), ("a", 10, 3, ["w"], [], ["m"], [], [])]
+    out = pd.concat(list(grown.handleInputRows((0,), frames(*first), Timers())))
+    assert sorted(map(repr, shown(out))) == sorted(map(repr, [
+        ("a", 10, 3, ["w"], [], ["m"], [], []), (None, 10, 1, ["y"], [], [], [], []), ("a", 20, 5, ["w", "x"], [], ["m"], [], ["p", "q"])
+    ]))
+    again = [("a", 30, 1, ["x"], ["c"], [], [], ["o"]), (None, 30, 1, [], [], [], [], [])]
+    out = pd.concat(list(grown.handleInputRows((0,), frames(*again), Timers())))
+    assert sorted(map(repr, shown(out))) == sorted(map(repr, [
+        ("a", 30, 6, ["w", "x"], ["c"], ["m"], [], ["o", "p", "q"]), (None, 30, 2, ["y"], [], [], [], [])
+    ]))
+    assert list(grown.handleInputRows((0,), iter(()), Timers())) == []
