@@ -123,8 +123,16 @@ def values_before(slots: DataFrame, firsts: DataFrame, names: list[str]) -> Data
     met = slots.select("_key", "_slot").join(
         known, (F.col("_key") == F.col("_its_key")) & (F.col("_seen_in") < F.col("_slot")), "left"
     )
-    return met.groupBy("_key", "_slot").agg(
-        *[F.collect_list(F.when(F.col("field") == name, F.col("value"))).alias(f"_before_{name}") for name in names]
+    # One list for all fields, taken apart afterwards: a list of each would be kept and handed on for every row that meets.
+    both = F.when(F.col("field").isNotNull(), F.struct("field", "value"))
+    together = met.groupBy("_key", "_slot").agg(F.collect_list(both).alias("_met"))
+    return together.select(
+        "_key",
+        "_slot",
+        *[
+            F.expr(f"transform(filter(_met, one -> one.field = '{name}'), one -> one.value)").alias(f"_before_{name}")
+            for name in names
+        ],
     )
 
 

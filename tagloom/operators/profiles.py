@@ -19,8 +19,9 @@ from tagloom.operators.prefix_scan import (
 # Fixed value: length of the tumbling window.
 WINDOW_MS = 2 * 60 * 1000
 
-# A user's records are scanned by the hour, windows by the day.
-RECORD_SLOT_MS = 60 * 60 * 1000
+# A user's records and windows are scanned by the day: what is carried from slot to slot, the values of a user for each of
+# their slots, is less than the records if a slot has several of them.
+RECORD_SLOT_MS = 24 * 60 * 60 * 1000
 WINDOW_SLOTS = 720
 
 # Total order of a user's records once repeats are gone.

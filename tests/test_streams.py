@@ -413,3 +413,38 @@ def test_windowed_profiles_take_whole_frames():
         ("a", 30, 6, ["w", "x"], ["c"], ["m"], [], ["o", "p", "q"]), (None, 30, 2, ["y"], [], [], [], [])
     ]))
     assert list(grown.handleInputRows((0,), iter(()), Timers())) == []
+
+
+def test_running_profiles_sort_by_all_columns_only_where_times_repeat(monkeypatch):
+    names, sorted_by = ["uid", "ts", *page_logs.PROFILE_FIELDS, "other_info"], []
+    plain = pd.DataFrame.sort_values
+    monkeypatch.setattr(pd.DataFrame, "sort_values", lambda self, by, **how: sorted_by.append(len(by)) or plain(self, by, **how))
+    apart = [("a", 20, "x", None, "m", "b", None, None), ("b", 10, "y", "c", "m", "b", "q", "o"), (None, 10, "w", None, "m", "b", None, None)]
+    tied = [("a", 30, "z", "c", "m", "b", None, "p"), ("a", 30, "z", None, "m", "b", "s", "p"), (None, 31, "v", "c", "m", "b", "s", None)]
+    grown = flows.processors.RunningProfile()
+    grown.init(Timers())
+    frame = lambda rows: iter([pd.DataFrame(rows, columns=names)])
+    shown = lambda out: [(None if row[0] != row[0] else row[0], *row[1:3], *map(list, row[3:])) for row in out.itertuples(index=False)]
+    out = shown(pd.concat(list(grown.handleInputRows((0,), frame(apart), Timers()))))
+    assert sorted(map(repr, out)) == sorted(map(repr, [
+        ("b", 10, 1, ["y"], ["c"], ["m"], ["b"], ["q"]), (None, 10, 1, ["w"], [], ["m"], ["b"], []), ("a", 20, 1, ["x"], [], ["m"], ["b"], [])
+    ]))
+    out = shown(pd.concat(list(grown.handleInputRows((0,), frame(tied), Timers()))))
+    assert sorted(map(repr, out)) == sorted(map(repr, [
+        ("a", 30, 2, ["x", "z"], [], ["m"], ["b"], ["s"]), ("a", 30, 3, ["x", "z"], ["c"], ["m"], ["b"], ["s"]),
+        (None, 31, 2, ["v", "w"], ["c"], ["m"], ["b"], ["s"]),
+    ]))
+    assert sorted_by == [1, len(names) - 1]
+
+
+def test_running_profiles_carry_a_user_once_a_day(spark, monkeypatch):
+    """What earlier slots add up to is joined for each slot of a user, so there are fewer of them than records."""
+    from tagloom.operators import prefix_scan
+
+    carried, plain = [], prefix_scan.values_before
+    monkeypatch.setattr(prefix_scan, "values_before", lambda slots, *rest: carried.append(slots) or plain(slots, *rest))
+    rows = [(uid, at * 60 * MINUTE, "iOS", "w", "m", f"b{at}", None, None) for uid in ("a", "b") for at in range(48)]
+    out = profiles.running_profile(spark.createDataFrame(rows, RECORDS))
+    got = {(row.uid, row.ts): (row.pv, sorted(row.ba_set)) for row in out.collect()}
+    assert got == {(row[0], row[1]): (at + 1, sorted(f"b{n}" for n in range(at + 1))) for row in rows for at in [row[1] // (60 * MINUTE)]}
+    assert carried[0].count() == 4
