@@ -7,17 +7,24 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.session import written
+
 
 def variant_rows(messages: DataFrame) -> DataFrame:
-    """(source_table, ts_ms, row) of every change record that holds a row, whatever its table; broken text falls away."""
-    record = messages.filter(F.col("value").isNotNull()).select(F.try_parse_json("value").alias("record"))
-    return (
-        record.select(
-            F.try_variant_get("record", "$.source.table", "string").alias("source_table"),
-            F.try_variant_get("record", "$.ts_ms", "bigint").alias("ts_ms"),
-            F.try_variant_get("record", "$.after", "variant").alias("row"),
-        )
-        .filter(F.col("source_table").isNotNull() & F.col("row").isNotNull() & ~F.is_variant_null("row"))
+    """(source_table, ts_ms, row) of every change record that holds a row, whatever its table; broken text falls away.
+
+    Records and their parts go through ``inline``, as in ``parsing.parsed``: a filter pushed below either would parse each
+    record again for every condition.
+    """
+    present = messages.filter(F.col("value").isNotNull())
+    record = present.select(F.inline(F.array(F.struct(F.try_parse_json("value").alias("record")))))
+    parts = F.struct(
+        F.try_variant_get("record", "$.source.table", "string").alias("source_table"),
+        F.try_variant_get("record", "$.ts_ms", "bigint").alias("ts_ms"),
+        F.try_variant_get("record", "$.after", "variant").alias("row"),
+    )
+    return record.select(F.inline(F.array(parts))).filter(
+        F.col("source_table").isNotNull() & F.col("row").isNotNull() & ~F.is_variant_null("row")
     )
 
 
@@ -25,13 +32,16 @@ def found_types(rows: DataFrame) -> DataFrame:
     """(source_table, path, type, rows): the types met at every path of each table's rows, nested objects by dotted path.
 
     Numbers that are whole are BIGINT, other ones DECIMAL or DOUBLE; an array is one type. Rows are counted by their whole
-    schema, combined before the shuffle; only the schemas that differ are opened. Rows that are lists are opened themselves.
+    schema, combined before the shuffle; the counts are written, so ``rows`` are read once, and only the schemas that differ
+    are opened. Rows that are lists, if there are any, are read again and opened themselves.
     """
     paths = F.udf(paths_of, "array<struct<path string, type string>>")
-    shapes = rows.groupBy("source_table", F.schema_of_variant("row").alias("shape")).agg(F.count(F.lit(1)).alias("rows"))
+    shapes = written(
+        rows.groupBy("source_table", F.schema_of_variant("row").alias("shape")).agg(F.count(F.lit(1)).alias("rows")), "variant-shapes"
+    )
     counted = shapes.filter(F.col("shape").startswith("OBJECT")).select("source_table", F.inline(paths("shape")), "rows")
-    lists = rows.filter(F.try_variant_get("row", "$[0]", "variant").isNotNull())
-    if not lists.isEmpty():
+    if not shapes.filter(F.col("shape").startswith("ARRAY")).isEmpty():
+        lists = written(rows.filter(F.try_variant_get("row", "$[0]", "variant").isNotNull()), "variant-lists")
         counted = counted.unionByName(_types_by_level(lists))
     return counted.groupBy("source_table", "path", "type").agg(F.sum("rows").alias("rows"))
 

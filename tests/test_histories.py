@@ -249,3 +249,23 @@ def test_types_are_found_in_one_pass(spark):
     types = variants.found_types(rows)
     assert [tuple(row) for row in types.collect()] == [("t", "a.b.c.d", "BIGINT", 4)]
     assert "Generate variant_explode" not in types._jdf.queryExecution().toString()
+
+
+def test_a_record_is_parsed_once(spark):
+    rows = variants.variant_rows(spark.createDataFrame([('{"after":{"a":1},"source":{"table":"t"},"ts_ms":2}',)], "value string"))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("parseJson(") == 1
+    assert [(row.source_table, row.ts_ms) for row in rows.collect()] == [("t", 2)]
+
+
+def test_rows_are_read_once_for_their_types(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    messages = spark.createDataFrame([(f'{{"after":{{"a":{n}}},"source":{{"table":"t"}}}}',) for n in range(7)], "value string")
+    types = variants.found_types(variants.variant_rows(messages.mapInArrow(counted, "value string")))
+    assert [tuple(row) for row in types.collect()] == [("t", "a", "BIGINT", 7)]
+    assert read.value == 7
