@@ -251,3 +251,53 @@ def test_rising_only_moves_rows_once(spark):
     rows = spark.range(50).selectExpr("id % 5 AS k", "id * 7 % 11 AS v", "id AS arrived")
     plan = repeats.rising_only(rows, "k", "v", ["arrived"], F.col("arrived"))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" not in plan
+
+
+def shuffled_bytes(spark, run):
+    """Bytes in shuffle files of this session that are there after ``run`` and were not before."""
+    import os
+
+    def files():
+        local = spark._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+        return {f"{top}/{name}" for root in local for top, _, names in os.walk(root) for name in names if name.startswith("shuffle_")}
+
+    before = files()
+    run()
+    return sum(os.path.getsize(path) for path in files() - before)
+
+
+def test_shuffle_files_of_a_written_step_go_with_it(spark):
+    rows = spark.range(20_000).selectExpr("id % 1000 AS k", "uuid() AS v").repartition(5, "k")
+    assert shuffled_bytes(spark, lambda: written(rows, "dealt")) == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rising_where_met_equals_rising_only(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.choice([None, "a", "b", f"k{n}"]), rng.choice(["x", "y"]), rng.randrange(3), rng.choice([None, *range(20)]), n) for n in range(300)]
+    rows += rows[:40]
+    df = spark.createDataFrame(rows, "k string, o string, met long, v long, arrived long").repartition(5)
+    slot = F.floor(F.col("arrived") / 50)
+    expected = tuples(repeats.rising_only(df, "k", "v", ["arrived"], slot))
+    assert tuples(repeats.rising_where_met(df, "k", "v", ["arrived"], slot, ["o", "met"])) == expected
+    apart = df.filter("k <> 'a' AND k <> 'b'")
+    expected = tuples(repeats.rising_only(apart, "k", "v", ["arrived"], slot))
+    assert tuples(repeats.rising_where_met(apart, "k", "v", ["arrived"], slot, ["o", "met"])) == expected
+
+
+def test_pairs_are_filtered_where_they_have_met(spark, monkeypatch):
+    orders = spark.createDataFrame(
+        [(at, "1", "7", "c", 5, "10", "10", 1, "晚上") for at in (0, 30_000)],
+        "ts_ms long, id string, uid string, consignee string, create_time long, original_total_amount string, total_amount string, province_id long, pay_time_slot string",
+    )
+    details = spark.createDataFrame(
+        [(at, f"1{n}", "1", 3, 1, "sku 3", "2.00", "2.00", "0", "0", at) for n, at in enumerate((10_000, 20_000, 4_000_000))],
+        "ts_ms long, id string, order_id string, sku_id long, sku_num long, sku_name string, order_price string, split_total_amount string, split_activity_amount string, split_coupon_amount string, create_time long",
+    )
+    plans = []
+    monkeypatch.setattr(repeats, "written", lambda df, purpose, real=written: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, purpose))
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        kept = first_pairs(interval_join.orders_with_details(orders, details, slot="_met"))
+    assert plans[0].count("Exchange hashpartitioning") == 2  # both sides of the join, and nothing after it
+    assert kept.columns == MERGED_COLUMNS
+    assert tuples(kept.select("detail_id", "ts_ms")) == [("10", 0), ("11", 0)]
