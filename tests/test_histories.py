@@ -269,3 +269,29 @@ def test_rows_are_read_once_for_their_types(spark):
     types = variants.found_types(variants.variant_rows(messages.mapInArrow(counted, "value string")))
     assert [tuple(row) for row in types.collect()] == [("t", "a", "BIGINT", 7)]
     assert read.value == 7
+
+
+def test_gzip_files_are_packed_by_their_text(spark, tmp_path):
+    folder, target = str(tmp_path / "in"), str(tmp_path / "out")
+    lines = [f"{n},{'x' * (n % 50)}" for n in range(600)]
+    frame = spark.createDataFrame([(line,) for line in lines], "value string").repartition(8)
+    frame.write.option("compression", "gzip").csv(folder, quote="")
+    stored = packing.listed(spark, folder)
+    assert len(stored) == 8 and all(path.endswith(".csv.gz") for _, path, _ in stored)
+    text = {path: sum(len(row.value) + 1 for row in spark.read.text(path).collect()) for _, path, _ in stored}
+    wanted = 3 * max(text.values())
+    made = packing.pack_files(spark, folder, target, wanted, idle_ms=0)
+    packs = packing.manifest(spark, target)
+    assert 1 < made == len(packs) < 8 and sum(row.bytes for row in packs) == sum(text.values())
+    assert all(row.bytes == sum(text[path] for path in row.sources) <= wanted for row in packs)
+    for row in packs:
+        whole = [r.value for path in row.sources for r in spark.read.text(path).collect()]
+        assert [r.value for r in spark.read.text(row.pack).select("value").collect()] == whole
+        assert [path.endswith(".gz") for path in spark.read.text(row.pack).inputFiles()] == [True]
+    assert packing.pack_files(spark, folder, target, wanted, idle_ms=0) == 0
+
+
+@pytest.mark.parametrize("name", ["order_csv", "order_csv_packed"])
+def test_order_files_are_packed_text(spark, name):
+    found = QUERIES[name](spark, FOLDER).inputFiles()
+    assert found and all(path.endswith(".gz") for path in found)
