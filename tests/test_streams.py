@@ -2,8 +2,10 @@
 
 import datetime as dt
 import json
+import os
 import random
 import time
+from pathlib import Path
 
 import pandas as pd
 import pytest
@@ -448,3 +450,32 @@ def test_running_profiles_carry_a_user_once_a_day(spark, monkeypatch):
     got = {(row.uid, row.ts): (row.pv, sorted(row.ba_set)) for row in out.collect()}
     assert got == {(row[0], row[1]): (at + 1, sorted(f"b{n}" for n in range(at + 1))) for row in rows for at in [row[1] // (60 * MINUTE)]}
     assert carried[0].count() == 4
+
+
+def shuffle_files(spark):
+    local = spark._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    return {f"{top}/{name}" for root in local for top, _, names in os.walk(root) for name in names if name.startswith("shuffle_")}
+
+
+def test_a_drained_stream_leaves_no_shuffle_files(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("id % 50 AS k", "id AS at", "uuid() AS v")
+    first = shuffle_files(spark)
+    feed = replayed(rows, "at", str(tmp_path / "feed"))
+    before = shuffle_files(spark)
+    assert sum(os.path.getsize(path) for path in before - first) < 3000  # what finds the first and the last time
+    counts = flows.with_event_time(feed, "at", "1 second").groupBy("k", F.window("event_time", "1 second")).count()
+    found = flows.drained(counts.select("k", "count"), "counts")
+    assert shuffle_files(spark) <= before
+    assert found.agg(F.sum("count")).first()[0] > 0
+
+
+def test_a_drained_join_keeps_what_a_restart_needs(spark, tmp_path):
+    """Rows behind the watermark do not stay in the versions of the state that are kept."""
+    hour = 60 * 60 * 1000
+    orders = spark.range(3000).selectExpr(f"id * {hour} AS ts_ms", "CAST(id AS string) AS id", "sha2(CAST(id AS string), 512) AS consignee")
+    details = orders.selectExpr("ts_ms AS d_ts_ms", "id AS d_id")
+    left, right = (replayed(rows, ms, str(tmp_path / ms)) for rows, ms in ((orders, "ts_ms"), (details, "d_ts_ms")))
+    joined = flows._joined(left, right, "id", "d_id", "ts_ms", "d_ts_ms", 60_000, "3 seconds")
+    checkpoint = Path(flows.checkpoint_of(joined, "joined").replace("file:", "", 1))
+    held = [path.stat().st_size for path in checkpoint.rglob("left-keyWithIndexToValue/SSTs/*.sst")]
+    assert 0 < sum(held) < 3000 * 128
